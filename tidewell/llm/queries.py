@@ -15,11 +15,18 @@ def op1_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_toxicity(spark, sf_dir):
+    from .toxicity import score, train
+
+    docs = documents(spark, sf_dir)
+    return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op3_benchmark_decontamination(spark, sf_dir):
     from .decontaminate import contamination, digest
 
     return digest(contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
