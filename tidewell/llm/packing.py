@@ -24,16 +24,17 @@ from pyspark.sql import functions as F
 
 from .common import materialize, session
 
-MAX_TOKENS, SALTS, CACHE = 2048, 256, 600_000
-_cache: dict[str, dict[str, bytes]] = {}
+MAX_TOKENS, SALTS, CACHE = 2048, 256, 1_000_000
 _tokenizers: dict = {}
 
 
 def _encoder(path: str):
-    """A function from a text to its ids as little-endian 32-bit bytes.
+    """A function from texts to their ids as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    pieces between blanks, one after another; ids of frequent pieces are kept.
+    pieces between blanks, one after another; ids of frequent pieces are kept. New pieces of
+    Latin letters only are encoded together, for each of them ends with one of the tokens that
+    end a word; others are encoded one by one.
     """
     import os
 
@@ -41,37 +42,65 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
 
     if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _cache[path] = {"": b""}
-    tok, cache = _tokenizers[path], _cache[path]
+        tok = Tokenizer.from_file(path)
+        ends = np.zeros(tok.get_vocab_size(), bool)
+        ends[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
+        _tokenizers[path] = tok, ends, {"": b""}
+    tok, ends, cache = _tokenizers[path]
 
-    def ids(parts):
+    def one_by_one(parts):
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def encode(text: str) -> bytes:
+    def learn(parts):
+        """The ids of new pieces."""
+        # one comma or full stop after a letter is a token of its own
+        tail = {p for p in parts if p[-1] in ".," and len(p) > 1 and p[:-1].isalpha()}
+        bare = {x for x in (p[:-1] if p in tail else p for p in parts) if x not in cache} | {".", ","}
+        plain = [x for x in bare if x.isalpha() and max(x) < "\u0250"]
+        out, rest = {}, bare.difference(plain)
+        if plain:
+            ids = np.asarray(tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = [0, *((np.flatnonzero(ends[ids]) + 1) * 4).tolist()]
+            if len(cuts) == len(plain) + 1:
+                raw = ids.tobytes()
+                out = {x: raw[cuts[i] : cuts[i + 1]] for i, x in enumerate(plain)}
+            else:
+                rest = bare
+        rest = list(rest)
+        out.update(zip(rest, one_by_one(rest), strict=True))
+        for p in tail:
+            w = p[:-1]
+            out[p] = (out[w] if w in out else cache[w]) + out[p[-1]]
+        return out
+
+    def encode(texts):
         if len(cache) > CACHE:
             cache.clear()
             cache[""] = b""
-        parts = text.replace("\n", " ").split(" ")
-        got = list(map(cache.get, parts))
-        if None in got:
-            new = [p for p in dict.fromkeys(p for p, g in zip(parts, got, strict=True) if g is None)]
-            # one comma or full stop after an ASCII letter is a token of its own
-            tail = {p for p in new if len(p) > 1 and p[-1] in ".," and p[-2] < "\x7f" and p[-2].isalpha()}
-            bare = list(dict.fromkeys(x for x in (p[:-1] if p in tail else p for p in new) if x not in cache))
-            bare += [x for x in (".", ",") if x not in cache]
-            fresh = dict(zip(bare, ids(bare), strict=True))
-            cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
-            for p in new:
-                fresh[p] = v = (fresh.get(p[:-1]) if p[:-1] in fresh else cache[p[:-1]]) + cache[p[-1]] if p in tail else fresh[p] if p in fresh else cache[p]
-                if len(p) <= 64:
-                    cache[p] = v
-            got = [fresh[p] if g is None else g for p, g in zip(parts, got, strict=True)]
-        return b"".join(got)
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        got = [list(map(cache.get, p)) for p in parts]
+        lacking = [None in g for g in got]
+        new = {x for p, g, lack in zip(parts, got, lacking, strict=True) if lack for x, y in zip(p, g, strict=True) if y is None}
+        fresh = learn(new) if new else {}
+        cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
+        return [b"".join([fresh[x] if x in fresh else cache[x] for x in p] if lack else g) for p, g, lack in zip(parts, got, lacking, strict=True)]
 
     return encode
 
 
+def _groups(column, chars: int = 1 << 19):
+    """First row and texts of runs of about so many characters; null texts are empty."""
+    lo, held, size = 0, [], 0
+    for i, x in enumerate(column):
+        held.append(x.as_py() or "")
+        size += len(held[-1])
+        if size > chars:
+            yield lo, held
+            lo, held, size = i + 1, [], 0
+    if held:
+        yield lo, held
+
+
 def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, little-endian 32-bit): each document's ids and a closing 0, cut only where longer than max_tokens."""
     session(docs.sparkSession)
@@ -80,11 +109,12 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, keep_i
         encode, step = _encoder(tokenizer), 4 * max_tokens
         for batch in batches:
             out = []
-            for i, text in enumerate(batch.column("text")):
-                ids = encode(text.as_py() or "") + b"\0\0\0\0"
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    out.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
+            for lo, texts in _groups(batch.column("text")):
+                for i, ids in enumerate(encode(texts)):
+                    ids += b"\0\0\0\0"
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        out.append((lo + i, k, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
             row, piece, start, length, crc, part = zip(*out, strict=True) if out else ((),) * 6
             cols = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(part, pa.binary())] * keep_ids, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + keep_ids])
