@@ -83,7 +83,7 @@ def _encoder(path: str):
         new = {x for p, g, lack in zip(parts, got, lacking, strict=True) if lack for x, y in zip(p, g, strict=True) if y is None}
         fresh = learn(new) if new else {}
         cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
-        return [b"".join([fresh[x] if x in fresh else cache[x] for x in p] if lack else g) for p, g, lack in zip(parts, got, lacking, strict=True)]
+        return [b"".join([fresh[x] if y is None else y for x, y in zip(p, g, strict=True)] if lack else g) for p, g, lack in zip(parts, got, lacking, strict=True)]
 
     return encode
 
