@@ -28,5 +28,17 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return digest(contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination)}
+def op5_url_filters(spark, sf_dir):
+    from .url_rules import judge
+
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_license_scan(spark, sf_dir):
+    from .license_scan import scan
+
+    return scan(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan)}
 ORACLE_SQL: dict[str, str] = {}
