@@ -23,8 +23,8 @@ def texts(seed=1, n=40):
                 w[at:at] = p[a : len(p) - rng.randrange(4)]
         if out and i % 7 == 3:
             w = rng.choice(out).split()
-            for _ in range(i % 3):
-                w[rng.randrange(len(w)) :][:1] = ["edit"] if w else []
+            for k in range(i % 3 if w else 0):
+                w[rng.randrange(len(w))] = f"edit{i}{k}"
         out.append(rng.choice([" ", " ", "\n", ", "]).join(w))
     return out
 

@@ -40,5 +40,17 @@ def op6_license_scan(spark, sf_dir):
     return scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan)}
+def op9_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import deduplicate, digest
+
+    return digest(deduplicate(documents(spark, sf_dir)))
+
+
+def op10_substring_dedup(spark, sf_dir):
+    from .substring_dedup import deduplicate, digest
+
+    return digest(deduplicate(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan, op9_suffix_dedup, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
