@@ -40,6 +40,12 @@ def op6_license_scan(spark, sf_dir):
     return scan(documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    from .jaccard_join import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir)).drop("th")
+
+
 def op9_suffix_dedup(spark, sf_dir):
     from .suffix_dedup import deduplicate, digest
 
@@ -52,5 +58,5 @@ def op10_substring_dedup(spark, sf_dir):
     return digest(deduplicate(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan, op9_suffix_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
