@@ -217,7 +217,7 @@ def _show(kind: Kind):
                 places = at[:, None] + np.arange(-kind.reach, kind.length)
                 seg = sym[np.clip(places, 0, len(sym) - 1)]
                 seg[(places < (at - left)[:, None]) | (places >= (at + right)[:, None])] = 0
-                parts.append((left, right, seg.astype("<u8" if kind.words else "<u2")))
+                parts.append((left, right, seg.astype("<u8" if kind.words else "<u1")))
             left, right, seg = (np.concatenate(x) for x in zip(*parts, strict=True))
             rng = (h >> U(32)).astype(np.int64)
             o = np.argsort(rng, kind="stable")
@@ -237,7 +237,7 @@ def _judge(kind: Kind):
     def run(key, table):
         if key[0].as_py() < 0:
             return table.select(_SCHEMA.names)
-        bucket, h, doc, idx, pos, meta, seg = _gather(table, h="<u8", doc="<i8", idx="<u4", pos="<u4", mask="<u2", s="<u8" if kind.words else "<u2")
+        bucket, h, doc, idx, pos, meta, seg = _gather(table, h="<u8", doc="<i8", idx="<u4", pos="<u4", mask="<u2", s="<u8" if kind.words else "<u1")
         left, right = meta.reshape(-1, 2).astype(np.int64).T
         order = np.empty(len(h), np.int64)
         order[np.lexsort((pos, idx, bucket, doc))] = np.arange(len(h))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 U = np.uint64
 _BASE = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
 _pow: list[list[np.ndarray]] = [[], []]
