@@ -28,6 +28,13 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return digest(contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
+def op4_mixing_lm(spark, sf_dir):
+    from .mixing_lm import score, train
+
+    docs = documents(spark, sf_dir)
+    return score(docs, *train(docs)).drop("th")
+
+
 def op5_url_filters(spark, sf_dir):
     from .url_rules import judge
 
@@ -58,5 +65,5 @@ def op10_substring_dedup(spark, sf_dir):
     return digest(deduplicate(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op5_url_filters, op6_license_scan, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op4_mixing_lm, op5_url_filters, op6_license_scan, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
