@@ -52,27 +52,36 @@ def _shingles(data, offs, k):
 
 
 def sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """For each of 2 ** CELLS cells a small number that grows with the frequency of its shingles; 0 for most.
+    """For each of 2 ** CELLS cells a small number that grows with the frequency of its shingles; 0 for those that don't stand out.
 
-    Tasks count whole texts and report cells that stand out of their own mean, so what reaches the
-    driver is bounded by the cells, not by the data.
+    Tasks count whole texts into cells; blocks of cells are added up, first within salts, so neither
+    a task nor the driver gets more than the cells, however much data there is.
     """
+    blocks, kind = 64, "block int, n binary"
 
     def count(batches):
-        cells, total = np.zeros(1 << CELLS, np.int64), 0
+        cells = np.zeros(1 << CELLS, np.int64)
         for batch in batches:
             for _, _, data, offs in seqs.blocks(batch.column("text")):
                 out, _ = _shingles(data, offs, k)
                 cells += np.bincount((out >> U(64 - CELLS)).astype(np.int64), minlength=1 << CELLS)
-                total += len(out)
-        mean = total / (1 << CELLS)
-        high = np.flatnonzero(cells > mean + 3 * mean**0.5 + 1.5)
-        yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(cells[high])], names=["cell", "n"])
+        rows = np.minimum(cells, (1 << 32) - 1).astype("<u4").reshape(blocks, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary())], names=["block", "n"])
 
-    found = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n >= 16").toPandas()
-    out = np.zeros(1 << CELLS, np.uint8)
-    out[found["cell"].to_numpy(np.int64)] = np.minimum(31, np.log2(found["n"].to_numpy(float)).astype(int))
-    return out
+    def add(key, table):
+        total = np.zeros((1 << CELLS) // blocks, np.int64)
+        for x in table.column("n"):
+            total += np.frombuffer(x.as_buffer(), "<u4")
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())], names=["block", "n"])
+
+    part = docs.select("text").mapInArrow(count, kind).withColumn("salt", F.spark_partition_id() % 32)
+    rows = part.groupBy("block", "salt").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()
+    if not rows:
+        return np.zeros(1 << CELLS, np.uint8)
+    cells = np.concatenate([np.frombuffer(r.n, "<u4") for r in sorted(rows)]).astype(float)
+    mean = cells.mean()
+    over = cells - mean - 4 * mean**0.5
+    return np.where(over > 8, np.minimum(31, np.log2(np.maximum(over, 1))), 0).astype(np.uint8)
 
 
 def _prefix(n, percent):
@@ -202,13 +211,15 @@ def _meet(percent: int, most: int):
                 good = (100 * m[i] >= percent * m[j]) & (np.minimum(m[i] - p[i], m[j] - p[j]) >= need)
                 out_a.append(g[i][good])
                 out_b.append(g[j][good])
+            # of like sizes, all meet the one whose id hashes lowest: for the shingles of a family mostly the same one
+            like = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
+            low = seqs.mix(gid.view(U))
             for a, e in zip(start[size > most], (start + size)[size > most], strict=True):
-                lead = int(a)
-                while lead < e:  # sizes rise: each group meets the first one of like size
-                    end = int(np.searchsorted(n[a:e] * percent, 100 * n[lead], "right") + a)
-                    out_a.append(np.full(end - lead - 1, gid[lead]))
-                    out_b.append(gid[lead + 1 : end])
-                    lead = end
+                for band in np.unique(like[a:e]):
+                    at = a + np.flatnonzero(like[a:e] == band)
+                    lead = at[np.argmin(low[at])]
+                    out_a.append(np.full(len(at) - 1, gid[lead]))
+                    out_b.append(gid[at[at != lead]])
                 big.append(gid[a:e])
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         a, b = np.minimum(a, b), np.maximum(a, b)
