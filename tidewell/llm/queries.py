@@ -47,6 +47,12 @@ def op6_license_scan(spark, sf_dir):
     return scan(documents(spark, sf_dir))
 
 
+def op7_multiprobe_neighbours(spark, sf_dir):
+    from .ann import search
+
+    return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op8_jaccard_join(spark, sf_dir):
     from .jaccard_join import near_duplicates
 
@@ -65,5 +71,5 @@ def op10_substring_dedup(spark, sf_dir):
     return digest(deduplicate(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op4_mixing_lm, op5_url_filters, op6_license_scan, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op4_mixing_lm, op5_url_filters, op6_license_scan, op7_multiprobe_neighbours, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
