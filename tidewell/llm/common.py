@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,14 @@ def same_row(a: DataFrame, b: DataFrame, *names: str) -> Column:
     for n in names:
         cond = cond & a[n].eqNullSafe(b[n])
     return cond
+
+
+def nullable(column: pa.Array | pa.ChunkedArray):
+    """The same values, with every field allowed to be null, as Spark expects them back."""
+
+    def loose(t):
+        if pa.types.is_struct(t):
+            return pa.struct([pa.field(f.name, loose(f.type)) for f in t])
+        return pa.list_(loose(t.value_type)) if pa.types.is_list(t) else t
+
+    return column.cast(loose(column.type))

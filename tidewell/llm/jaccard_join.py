@@ -254,7 +254,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, few: int = FEW) -> DataFrame:
-    """doc_id, th (key of the text), n_shingles, component_id (smallest doc_id reachable by links, itself included). Shingles of at most `few` groups give all their pairs at once."""
+    """doc_id, th (key of the text), n_shingles, component_id (smallest doc_id reachable by links, itself included), label (of the component; null for empty sets). Shingles of at most `few` groups give all their pairs at once."""
     spark = session(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rank = sketch(docs, k)
@@ -310,9 +310,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
     # the smallest doc_id of each component
     root = classes.join(label.withColumnRenamed("node", "cid"), "cid", "left").select(*key, "least", F.coalesce("label", "cid").alias("label"))
     best = root.groupBy("label").agg(F.min("least").alias("component_id"))
-    final = root.join(best, "label").select(*key, "component_id")
+    final = root.join(best, "label").select(*key, "component_id", "label")
     out = seen.select("doc_id", "th", *key).join(final, key, "left")
-    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs that stay: of each component the row with the smallest doc_id (null last) and text key, once; and all rows without words."""
+    found = materialize(found.select("doc_id", "th", "label"), "components")
+    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("x"))
+    stay = first.select(F.col("x.doc_id").alias("_d"), F.col("x.th").alias("_t")).union(found.where("label is null").select("doc_id", "th").distinct())
+    own = docs.withColumn("_k", text_key())
+    kept = own.join(stay, (own["_k"] == stay["_t"]) & own["doc_id"].eqNullSafe(stay["_d"]), "left_semi")
+    if found.where("label is not null").groupBy("doc_id", "th").count().where("count > 1").take(1):
+        kept = kept.dropDuplicates(["doc_id", "_k"])
+    return kept.drop("_k")
 
 
 def _repeats(own: DataFrame) -> bool:

@@ -56,7 +56,7 @@ def op7_multiprobe_neighbours(spark, sf_dir):
 def op8_jaccard_join(spark, sf_dir):
     from .jaccard_join import near_duplicates
 
-    return near_duplicates(documents(spark, sf_dir)).drop("th")
+    return near_duplicates(documents(spark, sf_dir)).drop("th", "label")
 
 
 def op9_suffix_dedup(spark, sf_dir):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqs
-from .common import session
+from .common import nullable, session
 
 U = np.uint64
 LAST = (1 << 63) - 1  # the place in the order of a null doc_id
@@ -298,15 +298,16 @@ def covered(kind: Kind, texts: pa.Array, side: pa.Table):
         yield lo, hi, data, offs, sym_offs, words, gone
 
 
-def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> DataFrame:
-    """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows."""
+def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str, carry: bool = False) -> DataFrame:
+    """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows; carry: they get row, the other columns of docs, too."""
     spark = session(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(4, (4 * parts - 1).bit_length())
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"))
+    others = [F.struct(F.col("text").isNull().alias("_null"), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"), *others)
     bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(4 * parts)).cast("int").alias("bucket")
-    dealt = keyed.select(bucket, "doc_id", "th", "th2", "text")
+    dealt = keyed.select(bucket, "doc_id", "th", "th2", "text", *["row"] * carry)
     # copies of a text with a smaller doc_id
     ids = keyed.select("doc_id", "th", "th2").distinct()
     first = ids.groupBy("th", "th2").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
@@ -318,6 +319,7 @@ def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str) -> DataFra
     judged = by(shown, "rng").applyInArrow(_judge(kind), ROW)
 
     def end(key, docs, side):
-        return finish(kind, docs, side)
+        out = finish(kind, docs, side)
+        return out.append_column("row", nullable(docs.column("row"))) if carry else out
 
-    return by(dealt, "bucket").cogroup(by(judged, "bucket")).applyInArrow(end, schema)
+    return by(dealt, "bucket").cogroup(by(judged, "bucket")).applyInArrow(end, schema + (f", row {dealt.schema['row'].dataType.simpleString()}" if carry else ""))

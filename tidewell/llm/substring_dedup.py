@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,21 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     return repeats.chain(docs, kind, _finish, "doc_id long, th long, n_words long, n_removed long, kept string")
 
 
+def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """docs with what is left of each text; texts that lose nothing keep their white space, and n_chars follows the text."""
+
+    def finish(kind, rows: pa.Table, side: pa.Table) -> pa.Table:
+        out = _finish(kind, rows, side)
+        text = pc.if_else(pc.greater(out.column("n_removed"), 0), out.column("kept"), rows.column("text").cast(pa.string()))
+        return pa.table({"text": text})
+
+    kind = repeats.Kind(length, gram, True, True, extend)
+    out = repeats.chain(docs, kind, finish, "text string", carry=True)
+    text = F.when(~F.col("row._null"), F.col("text"))
+    cols = [text.alias(c) if c == "text" else F.coalesce(F.length(text), F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]
+    return out.select(*cols)
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The contract's columns from deduplicate()'s."""
     return result.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqs
-from .common import session
+from .common import nullable, session
 
 MAX_TRAIN, MAX_FEATURES, LEAST_G2 = 20_000, 4096, 16.0
 _ENDS = np.zeros(256, bool)
@@ -143,10 +143,10 @@ def _fit(toxic, n, sentences, features, size, steps=1500, rate=0.1, decay=1e-4):
     return w, float(b)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_sentences, and the offending sentences: number in the text, first and last byte in UTF-8, own score."""
+def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_sentences, and the offending sentences: number in the text, first and last byte in UTF-8, own score; carry: also row, all columns of docs."""
     spark = session(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    shared, rows = spark.sparkContext.broadcast(model), ["row"] * carry
 
     def run(batches):
         m = shared.value
@@ -168,8 +168,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 d = doc[bad]
                 spans = pa.StructArray.from_arrays([pa.array((sent[bad] - starts[d]).astype(np.int32)), pa.array((w.starts[first] - offs[d]).astype(np.int64)), pa.array((w.ends[last] - offs[d]).astype(np.int64)), pa.array(p[bad])], names=["sentence", "start", "end", "score"])
                 ends = pa.array(np.searchsorted(d, np.arange(len(n) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "held_out")), pa.array(-np.expm1(clean)), pa.array(n.astype(np.int64)), pa.ListArray.from_arrays(ends, spans)], names=["doc_id", "held_out", "score", "n_sentences", "offending"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "held_out")), *(nullable(batch.column(c)).slice(lo, hi - lo) for c in rows), pa.array(-np.expm1(clean)), pa.array(n.astype(np.int64)), pa.ListArray.from_arrays(ends, spans)], names=["doc_id", "held_out", *rows, "score", "n_sentences", "offending"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", (fold() == 0).alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, n_sentences long, offending array<struct<sentence:int,start:long,end:long,score:double>>")
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences", "offending")
+    given = docs.select("doc_id", (fold() == 0).alias("held_out"), "text", *([F.struct("*").alias("row")] if carry else []))
+    of_rows = "".join(f"{r} {given.schema[r].dataType.simpleString()}, " for r in rows)
+    out = given.mapInArrow(run, f"doc_id {kind}, held_out boolean, {of_rows}score double, n_sentences long, offending array<struct<sentence:int,start:long,end:long,score:double>>")
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences", "offending", *rows)
