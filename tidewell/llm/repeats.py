@@ -302,11 +302,11 @@ def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str, carry: boo
     """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows; carry: they get row, the other columns of docs, too."""
     spark = session(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (4 * parts - 1).bit_length())
+    bits = max(4, (2 * parts - 1).bit_length())
     text = F.coalesce(F.col("text"), F.lit(""))
     others = [F.struct(F.col("text").isNull().alias("_null"), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"), *others)
-    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(4 * parts)).cast("int").alias("bucket")
+    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(2 * parts)).cast("int").alias("bucket")
     dealt = keyed.select(bucket, "doc_id", "th", "th2", "text", *["row"] * carry)
     # copies of a text with a smaller doc_id
     ids = keyed.select("doc_id", "th", "th2").distinct()
