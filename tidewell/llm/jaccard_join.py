@@ -115,9 +115,8 @@ def _far(a: bytes, b: bytes) -> int:
 
 
 def _group_id(n: int, prefix: np.ndarray) -> int:
-    c = seqs.constants(2, 77)
     up, _ = seqs.powers(len(prefix) + 1)
-    return int(seqs.mix(np.array([(prefix * up[: len(prefix)]).sum() * c[0] + U(n) * c[1]], U)).view(np.int64)[0])
+    return int(seqs.grams(np.array([(prefix * up[: len(prefix)]).sum(), n], U), 2, 77).view(np.int64)[0])
 
 
 def profile(docs: DataFrame, k: int, percent: int, rank) -> DataFrame:
@@ -211,26 +210,34 @@ def _meet(percent: int, most: int):
                 good = (100 * m[i] >= percent * m[j]) & (np.minimum(m[i] - p[i], m[j] - p[j]) >= need)
                 out_a.append(g[i][good])
                 out_b.append(g[j][good])
-            # of like sizes, all meet the one whose id hashes lowest: for the shingles of a family mostly the same one
+            # of like sizes, all meet the one with the fewest shingles before this one: of a family the least edited
             like = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
             low = seqs.mix(gid.view(U))
             for a, e in zip(start[size > most], (start + size)[size > most], strict=True):
                 for band in np.unique(like[a:e]):
                     at = a + np.flatnonzero(like[a:e] == band)
-                    lead = at[np.argmin(low[at])]
-                    out_a.append(np.full(len(at) - 1, gid[lead]))
-                    out_b.append(gid[at[at != lead]])
-                big.append(gid[a:e])
+                    lead = at[np.lexsort((low[at], pos[at]))[0]]
+                    need = -(-percent * (n[at] + n[lead]) // (100 + percent))
+                    at = at[(at != lead) & (np.minimum(n[at] - pos[at], n[lead] - pos[lead]) >= need)]
+                    out_a.append(np.full(len(at), gid[lead]))
+                    out_b.append(gid[at])
+                o = np.argsort(gid[a:e])
+                big.append((gid[a:e][o], pos[a:e][o]))
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         a, b = np.minimum(a, b), np.maximum(a, b)
         o = np.lexsort((b, a))
         a, b = a[o], b[o]
         new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
         a, b = a[new], b[new]
-        # shingles with the very same groups tell the same
-        big = {x.tobytes(): x for x in map(np.sort, big)}.values()
+        # shingles with the very same groups tell the same; the first place counts
+        alike: dict[bytes, np.ndarray] = {}
+        for g, p in big:
+            alike[g.tobytes()] = np.minimum(p, alike.get(g.tobytes(), p))
         rows = [(0, 0, a[i : i + 4096], b[i : i + 4096]) for i in range(0, len(a), 4096)]
-        rows += [(1, int(seqs.mix(np.array([seqs.mix(x.view(U)).sum()], U)).view(np.int64)[0]), x[i : i + 4096], None) for x in big for i in range(0, len(x), 4096)]
+        for raw, p in alike.items():
+            g = np.frombuffer(raw, np.int64)
+            name = int(seqs.mix(np.array([seqs.mix(g.view(U)).sum(), len(g)], U)).view(np.int64)[0])
+            rows += [(1, name, g[i : i + 4096], p[i : i + 4096]) for i in range(0, len(g), 4096)]
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=["kind", "bucket", "a", "b"])
 
     return run
@@ -266,7 +273,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
     bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     met = materialize(_index(docs, k, percent, rank, bits).groupBy("rng").applyInArrow(_meet(percent, few), "kind int, bucket long, a array<long>, b array<long>"), "met")
     pairs = met.where("kind = 0").select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    big = met.where("kind = 1").select("bucket", F.explode("a").alias("gid"))
+    big = met.where("kind = 1").select("bucket", F.explode(F.arrays_zip("a", "b")).alias("p")).groupBy("bucket", F.col("p.a").alias("gid")).agg(F.min("p.b").alias("pos"))
     members = classes.join(groups, "gid").select("gid", "cid", "lead", "size", "n")
     lead = groups.select("gid", "lead", "size")
     by_group = pairs.join(lead.toDF("a", "la", "ka"), "a").join(lead.toDF("b", "lb", "kb"), "b")
@@ -294,12 +301,14 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
     label = components(edges)
     named = members.join(label.withColumnRenamed("node", "cid"), "cid", "left").select("gid", "cid", "n", "size", F.coalesce("label", "cid").alias("label"))
     # what the first round left open: buckets, groups and pairs of groups with several components
-    rows = big.join(named, "gid").select("bucket", "cid", "n", "label").union(named.where("size > 1").select(F.col("gid").alias("bucket"), "cid", "n", "label"))
+    rows = big.join(named, "gid").select("bucket", "cid", "n", "label", "pos").union(named.where("size > 1").select(F.col("gid").alias("bucket"), "cid", "n", "label", F.lit(0).cast("long")))
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
     rows = rows.join(mixed, "bucket", "left_semi")
-    x, y = rows.toDF("bucket", "a", "na", "la"), rows.toDF("bucket", "b", "nb", "lb")
+    x, y = rows.toDF("bucket", "a", "na", "la", "pa"), rows.toDF("bucket", "b", "nb", "lb", "pb")
     like = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    open_pairs = x.join(y, "bucket").where((F.col("la") < F.col("lb")) & like).select("a", "b")
+    need = percent * (F.col("na") + F.col("nb"))
+    first_shared = ((100 + percent) * (F.col("na") - F.col("pa")) >= need) & ((100 + percent) * (F.col("nb") - F.col("pb")) >= need)
+    open_pairs = x.join(y, "bucket").where((F.col("la") < F.col("lb")) & like & first_shared).select("a", "b")
     wide = by_group.where("ka > 1 or kb > 1").select("a", "b")
     m = named.select("gid", "cid", "n", "label")
     wide = wide.join(m.toDF("a", "ca", "na", "la"), "a").join(m.toDF("b", "cb", "nb", "lb"), "b").where((F.col("la") != F.col("lb")) & like).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
