@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches sent to Python: bounded in rows and in bytes, whatever the length of the texts.
-ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:

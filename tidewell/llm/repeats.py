@@ -32,7 +32,7 @@ from .common import nullable, session
 
 U = np.uint64
 LAST = (1 << 63) - 1  # the place in the order of a null doc_id
-ANCHORS, FULL, OPEN, DECIDED, COPY = range(5)
+ANCHORS, FULL, OPEN, DECIDED, COPY, MET = range(6)
 ROW = "rng int, bucket int, kind int, h binary, s binary, doc binary, idx binary, pos binary, mask binary"
 _SCHEMA = pa.schema([(n, pa.int32()) for n in ("rng", "bucket", "kind")] + [(n, pa.binary()) for n in ("h", "s", "doc", "idx", "pos", "mask")])
 
@@ -179,7 +179,11 @@ def _meet(kind: Kind):
         wait = ~covered & many[group]
         full = U(rng) << U(32) | h.astype(U)
         pick = lambda m: {"idx": idx[m].astype("<u4"), "pos": pos[m].astype("<u4")}
-        return _rows(_deal(FULL, bucket[covered], **pick(covered)) + _deal(OPEN, bucket[wait], h=full[wait].astype("<u8"), **pick(wait)))
+        # a row for each bucket: covered places in idx and pos, open ones in h, s and mask
+        rows = {r["bucket"]: r for r in _deal(MET, bucket[covered], **pick(covered))}
+        for r in _deal(MET, bucket[wait], h=full[wait].astype("<u8"), s=idx[wait].astype("<u4"), mask=pos[wait].astype("<u4")):
+            rows[r["bucket"]] = {"idx": b"", "pos": b""} | rows.get(r["bucket"], {}) | r
+        return _rows([{"h": b"", "s": b"", "mask": b""} | r for r in rows.values()])
 
     return run
 
@@ -198,10 +202,12 @@ def _show(kind: Kind):
     def run(key, docs, side):
         bucket = key[0].as_py()
         names = side.column("kind").to_numpy()
-        out = [side.filter(pa.array(names != OPEN)).select(_SCHEMA.names)]
-        side = side.filter(pa.array(names == OPEN))
+        out = [side.filter(pa.array(names != MET)).select(_SCHEMA.names)]
+        side = side.filter(pa.array(names == MET))
         if side.num_rows:
-            h, idx, pos = (_array(side, n, k) for n, k in (("h", "<u8"), ("idx", "<u4"), ("pos", "<u4")))
+            out.append(_rows([{"rng": -1 - bucket, "bucket": bucket, "kind": FULL} | {n: b"".join(side.column(n).to_pylist()) for n in ("idx", "pos")}]))
+        h, idx, pos = (_array(side, n, k) for n, k in (("h", "<u8"), ("s", "<u4"), ("mask", "<u4")))
+        if len(h):
             o = np.argsort(idx, kind="stable")
             h, idx, pos = h[o], idx[o], pos[o].astype(np.int64)
             texts, doc, _ = _texts(docs)
@@ -302,11 +308,11 @@ def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str, carry: boo
     """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows; carry: they get row, the other columns of docs, too."""
     spark = session(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (2 * parts - 1).bit_length())
+    bits = max(4, (4 * parts - 1).bit_length())
     text = F.coalesce(F.col("text"), F.lit(""))
     others = [F.struct(F.col("text").isNull().alias("_null"), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"), *others)
-    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(2 * parts)).cast("int").alias("bucket")
+    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(4 * parts)).cast("int").alias("bucket")
     dealt = keyed.select(bucket, "doc_id", "th", "th2", "text", *["row"] * carry)
     # copies of a text with a smaller doc_id
     ids = keyed.select("doc_id", "th", "th2").distinct()
