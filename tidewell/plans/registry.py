@@ -1,15 +1,196 @@
-"""All queries of the scholarly engine and their SQL."""
+"""All queries of the scholarly engine over the test tables, and the SQL each must equal."""
 
 from __future__ import annotations
 
+from functools import partial
+
+from pyspark.sql import functions as F
+
+from tidewell.functions import text
+from tidewell.operators import graph, store
+from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers
+from tidewell.plans.oracles import ORACLES
+from tidewell.plans.views import view
+
+
+class Tables:
+    """Views and derived layers of a folder of test tables, made when asked for."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.dir = spark, sf_dir
+
+    def __getattr__(self, name):
+        return view(self.spark, self.dir, name)
+
+    @property
+    def rw(self):
+        return researchers.researcher_works(self.authorships, self.works_flat)
+
+    @property
+    def rt(self):
+        return researchers.researcher_topics(self.rw, self.work_topics, self.curated_topics)
+
+    @property
+    def home(self):
+        return researchers.institution_counts(self.researcher_institutions)
+
+    @property
+    def edges(self):
+        return graph.coauthor_edges(self.authorships)
+
+    @property
+    def people(self):
+        main = researchers.main_institution(self.home)
+        top = researchers.top_topics(self.rt)
+        return researchers.researchers(self.rw).join(main, "author_id", "left").join(top, "author_id", "left").select("author_id", "author_name", "orcid", "works", "citations", "main_ror", "main_institution_name", "top_topics")
+
+    @property
+    def pairs(self):
+        return identity.candidate_pairs(self.people, self.edges)
+
+    @property
+    def identity_map(self):
+        return identity.canonical(self.people, self.pairs)
+
+    @property
+    def institution_map(self):
+        return institutions.identity_map(self.researcher_institutions, normalise=False)
+
+    @property
+    def canonical(self):
+        return outputs.canonical_sources(self.work_sources)
+
+    @property
+    def tags(self):
+        return outputs.work_output_tags(self.works_flat, self.work_sources, self.canonical)
+
+    @property
+    def fetched(self):
+        """A replayed fetch log: every third DOI came back, some with an error."""
+        dois = self.works_flat.where("doi is not null and doi != ''").select(text.normalize_doi(F.col("doi")).alias("doi_clean")).distinct()
+        digit = F.substring("doi_clean", -1, 1).cast("int")
+        return dois.where(digit % 3 == 0).select("doi_clean", F.when(digit % 2 == 0, 200).otherwise(404).alias("response_status"))
+
+    @property
+    def reg(self):
+        return outputs.registry(self.journal_registry_seed)
+
+    @property
+    def coverage(self):
+        return outputs.registry_coverage(self.reg, outputs.registry_identifiers(self.reg), self.tags)
+
+    @property
+    def record_rows(self):
+        return self.harvest_log.select("record_id", "event_id", "status", "value")
+
+
+def _candidates(t):
+    rw, rt, home = t.rw, t.rt, t.home
+    authors = researchers.researchers(rw)
+    return researchers.candidates(authors, researchers.topic_summary(rt), researchers.top_topics(rt), researchers.main_institution(home), researchers.institution_summary(home), researchers.top_sources(rw, t.work_sources), researchers.coauthor_summary(t.edges, authors), researchers.publication_types(rw))
+
+
+def _components(t):
+    edges = t.pairs.where("confidence IN ('very_high', 'high', 'medium')").select(F.col("author_id_a").alias("a"), F.col("author_id_b").alias("b"))
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b"))
+    return graph.components(nodes, edges).select(F.col("node").alias("author_id"), "component")
+
+
+def _upsert(t):
+    rows = t.record_rows
+    return store.upsert(rows.where("event_id < 300"), rows.where("event_id >= 300 AND event_id < 900"), ["record_id"], [F.desc("event_id")])
+
+
+def _insert_absent(t):
+    rows = t.record_rows
+    old = store.latest(rows.where("event_id < 300"), ["record_id"], [F.asc("event_id")])
+    return store.insert_absent(old, rows.where("event_id >= 300"), ["record_id"], [F.asc("event_id")])
+
+
+def _replace_children(t):
+    rows = t.record_rows
+    return store.replace_children(rows.where("event_id < 500"), rows.where("event_id >= 900 AND event_id < 1000"), rows.where("event_id >= 900 AND event_id < 1100").select("record_id").distinct(), ["record_id"])
+
+
+def _count_seen(t):
+    rows = t.harvest_log.select("record_id", "run_id", F.col("event_id").alias("seen_at"))
+    old = rows.where("seen_at < 400").groupBy("record_id", "run_id").agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("latest_seen"), F.count("*").alias("seen_count"))
+    return store.count_seen(old, rows.where("seen_at >= 400"), ["record_id", "run_id"])
+
+
+def _json(t):
+    parsed = F.from_json("raw_json", "k INT, missing STRING")
+    return t.harvest_log.select("event_id", parsed["k"].alias("k"), parsed["missing"].isNull().alias("is_missing"), F.sha1("raw_json").alias("content_hash"))
+
+
+PLANS = {
+    "researcher_works": lambda t: t.rw,
+    "researchers_raw": lambda t: researchers.researchers(t.rw),
+    "researcher_topics": lambda t: t.rt,
+    "topic_summary": lambda t: researchers.topic_summary(t.rt),
+    "top_topics": lambda t: researchers.top_topics(t.rt),
+    "main_institution": lambda t: researchers.main_institution(t.home),
+    "institution_summary": lambda t: researchers.institution_summary(t.home),
+    "top_sources": lambda t: researchers.top_sources(t.rw, t.work_sources),
+    "coauthor_edges": lambda t: t.edges,
+    "coauthor_summary": lambda t: researchers.coauthor_summary(t.edges, researchers.researchers(t.rw)),
+    "publication_type_summary": lambda t: researchers.publication_types(t.rw),
+    "candidate_researchers": _candidates,
+    "identity_pairs": lambda t: t.pairs,
+    "identity_confidence_counts": lambda t: t.pairs.groupBy("confidence").agg(F.count("*").alias("n")),
+    "identity_components": _components,
+    "canonical_researchers": lambda t: t.identity_map,
+    "canonical_metrics": lambda t: identity.canonical_metrics(t.identity_map, t.rw, t.rt),
+    "institution_identity_map": lambda t: t.institution_map,
+    "canonical_institutions": lambda t: institutions.canonical(t.institution_map),
+    "canonical_researcher_institutions": lambda t: institutions.researcher_links(t.researcher_institutions, t.institution_map),
+    "institution_metrics": lambda t: institutions.metrics(institutions.canonical(t.institution_map), institutions.researcher_links(t.researcher_institutions, t.institution_map), t.rw),
+    "institution_review_cases": lambda t: institutions.review_cases(t.institution_map),
+    "text_cleaning_review": lambda t: outputs.text_cleaning_review(t.works_flat, "work_id", "title", normalise=False),
+    "canonical_sources": lambda t: t.canonical,
+    "work_output_tags": lambda t: t.tags,
+    "source_metrics": lambda t: outputs.source_metrics(t.tags),
+    "output_type_metrics": lambda t: outputs.output_type_metrics(t.tags),
+    "crossref_scope_v1": lambda t: outputs.scope_books_and_missing(t.tags),
+    "crossref_scope_all": lambda t: outputs.scope_all(t.tags),
+    "crossref_scope_delta": lambda t: outputs.scope_delta(t.tags, t.fetched),
+    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags, t.fetched.limit(0)).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
+    "journal_registry": lambda t: t.reg,
+    "registry_identifiers": lambda t: outputs.registry_identifiers(t.reg),
+    "registry_coverage": lambda t: t.coverage,
+    "registry_missing": lambda t: t.coverage.where("works = 0").select("registry_id", "title"),
+    "registry_band_summary": lambda t: outputs.registry_bands(t.coverage),
+    "output_class_counts": lambda t: reports.counts(t.tags, "derived_output_class", "broad_output_family"),
+    "top_sources_by_class": lambda t: reports.top_sources_by_class(outputs.source_metrics(t.tags), t.canonical),
+    "control_char_names": lambda t: reports.odd_names(t.tags),
+    "source_name_variants": lambda t: reports.name_variants(t.tags),
+    "researcher_output_comparison": lambda t: reports.researcher_outputs(t.rw, t.tags),
+    "snapshot_missingness": lambda t: reports.missingness(t.works_flat, t.work_sources),
+    "snapshot_by_year": lambda t: reports.by_year(t.tags),
+    "raw_source_records": lambda t: provenance.raw_records(t.harvest_log.withColumn("k", F.col("event_id").cast("string")), "k", "raw_json", "raw_openalex_work_", F.col("run_id")),
+    "source_work_claims": lambda t: provenance.work_claims(t.works_flat, "claim_openalex_work_", "openalex"),
+    "work_identifier_claims": lambda t: provenance.identifier_claims(t.works_flat),
+    "discovery_summary": lambda t: provenance.discovery_summary(t.harvest_log),
+    "upsert_last_wins": _upsert,
+    "insert_ignore": _insert_absent,
+    "replace_children": _replace_children,
+    "seen_counter_upsert": _count_seen,
+    "json_flatten_events": _json,
+    "nfkc_clean": lambda t: outputs.text_cleaning_review(t.spark.read.parquet(f"{t.dir}/documents.parquet"), "doc_id", "text"),
+}
+
+
+def _run(plan, spark, sf_dir):
+    return plan(Tables(spark, sf_dir))
+
 
 def queries() -> dict:
-    return {}
+    return {name: partial(_run, plan) for name, plan in PLANS.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLES)
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    return outputs.source_metrics(Tables(spark, sf_dir).tags)
