@@ -249,7 +249,15 @@ def _judge(kind: Kind):
         order[np.lexsort((pos, idx, bucket, doc))] = np.arange(len(h))
         if not kind.inside:
             order = np.unique(doc, return_inverse=True)[1]
-        bits = kind.decide(kind, h, order, left, right, seg.reshape(len(h), -1))
+        seg = seg.reshape(len(h), -1)
+        # by runs of whole groups, so that memory doesn't follow the range
+        o, bits, at = np.argsort(h, kind="stable"), np.zeros(len(h), U), 0
+        ends = np.append(np.flatnonzero(h[o][1:] != h[o][:-1]) + 1, len(h))
+        while at < len(h):
+            end = int(ends[max(np.searchsorted(ends, at + 20_000, "right") - 1, np.searchsorted(ends, at, "right"))])
+            own = o[at:end]
+            bits[own] = kind.decide(kind, h[own], order[own], left[own], right[own], seg[own])
+            at = end
         m = bits != 0
         return _rows(_deal(DECIDED, bucket[m], idx=idx[m].astype("<u4"), pos=pos[m].astype("<u4"), mask=bits[m].astype("<u8")))
 

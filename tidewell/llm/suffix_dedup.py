@@ -34,14 +34,14 @@ def expand(kind, h, order, left, right, seg):
     words = wide.view(">u8").astype(U)
     sorted_at = np.lexsort((*words.T[::-1], h))
     wide, h, order, left, right = wide[sorted_at], h[sorted_at], order[sorted_at], left[sorted_at], right[sorted_at]
-    column = seg[sorted_at, :reach][:, ::-1].astype(np.int64)
+    column = seg[sorted_at, :reach][:, ::-1]
     differ = wide[1:] != wide[:-1]
     prefix = np.where(differ.any(1), differ.argmax(1), kind.length)
     prefix[h[1:] != h[:-1]] = -1
     bits, live, cls = np.zeros(n, U), np.arange(n), np.zeros(n, np.int64)
     for o in range(reach + 1):
         if o:
-            cls = repeats.refine(cls, column[live, o - 1])
+            cls = repeats.refine(cls, column[live, o - 1].astype(np.int64))
         run = np.append(0, np.cumsum(prefix < kind.length - o))
         key = cls * (n + 1) + run[live]
         whole = np.flatnonzero((left[live] >= o) & (right[live] >= kind.length - o))
