@@ -74,6 +74,11 @@ canon AS (SELECT canonical_institution_id, min(canonical_name) AS canonical_name
 links AS (SELECT DISTINCT author_id, canonical_institution_id, work_id FROM researcher_institutions r JOIN imap m ON r.institution_id = m.institution_id AND coalesce(r.institution_ror, '') = coalesce(m.institution_ror, '') AND coalesce(r.institution_name, '') = coalesce(m.institution_name, ''))
 """
 
+_ROR = _INST.replace("WITH ", "WITH " + ctes("ror_raw").removeprefix("WITH ") + ",\n", 1) + """,
+sup AS (SELECT s_suppkey AS k, 'R' || CAST(CAST(floor(s_suppkey / 2) AS BIGINT) AS VARCHAR) AS ror_id, s_nationkey AS n FROM supplier WHERE s_suppkey % 2 = 0),
+rel AS (SELECT ror_id, 'R' || CAST(CAST(floor(k / 4) AS BIGINT) AS VARCHAR) AS related_ror_id, 'Up' AS label, 'parent' AS relationship_type FROM sup UNION ALL SELECT ror_id, 'R' || CAST(CAST(floor(k / 2) AS BIGINT) + 1 AS VARCHAR), 'Side', 'related' FROM sup)
+"""
+
 _OUT = ctes("works_flat", "work_sources", "journal_registry_seed", "authorships") + """,
 keyed AS (SELECT *, coalesce(nullif(source_id, ''), 'ISSNL:' || nullif(issn_l, ''), 'NAME:' || regexp_replace(lower(trim(source_name)), '[^a-z0-9]+', '', 'g'), 'MISSING_SOURCE') AS source_key FROM work_sources),
 src AS (SELECT source_key, min(source_name) AS source_name, min(source_type) AS source_type, min(publisher) AS publisher, count(DISTINCT work_id) AS works, string_agg(DISTINCT source_name, '; ' ORDER BY source_name) AS name_variants, nullif(string_agg(DISTINCT issn, '; ' ORDER BY issn), '') AS issn_variants FROM keyed GROUP BY source_key),
@@ -141,6 +146,12 @@ ORACLES = {
         SELECT c.canonical_institution_id, canonical_name, researchers, works, articles, citations FROM canon c LEFT JOIN (SELECT canonical_institution_id, count(DISTINCT author_id) AS researchers, count(DISTINCT work_id) AS works, count(DISTINCT work_id) FILTER (WHERE work_type = 'article') AS articles FROM lw GROUP BY 1) o ON c.canonical_institution_id = o.canonical_institution_id
         LEFT JOIN (SELECT canonical_institution_id, CAST(sum(cites) AS BIGINT) AS citations FROM (SELECT DISTINCT canonical_institution_id, work_id, cites FROM lw) GROUP BY 1) q ON c.canonical_institution_id = q.canonical_institution_id""",
     "institution_review_cases": _INST + "SELECT normalised_name, canonical_country, count(DISTINCT canonical_institution_id) AS institutions, string_agg(DISTINCT canonical_institution_id, '; ' ORDER BY canonical_institution_id) AS ids, CAST(sum(works) AS BIGINT) AS works FROM imap GROUP BY ALL HAVING count(DISTINCT canonical_institution_id) > 1",
+    "canonical_institutions_enriched": _ROR + """SELECT canonical_institution_id, canonical_name, canonical_ror, 'Org ' || substr(ror_id, 2) AS ror_name, CASE WHEN k % 6 = 0 THEN 'inactive' WHEN k IS NOT NULL THEN 'active' END AS ror_status, CASE WHEN k IS NULL THEN 0 ELSE 2 END AS relationships, CASE WHEN k IS NULL THEN 0 ELSE 1 END AS parents, CASE WHEN k IS NULL THEN 0 ELSE 1 END AS related,
+        CASE WHEN k IS NOT NULL THEN 'Side [related]; Up [parent]' END AS related_names, CASE WHEN k IS NOT NULL THEN 'GRID:g' || k || '; GRID:h' END AS external_ids, CASE WHEN k IS NOT NULL THEN 'http://l' || n || '; http://m' || n END AS websites, k IS NOT NULL AS has_ror_match FROM canon LEFT JOIN sup ON canonical_ror = ror_id""",
+    "institution_relationships": _ROR + "SELECT a.canonical_institution_id, related_ror_id, label, relationship_type, b.canonical_institution_id AS related_institution_id FROM canon a JOIN rel ON a.canonical_ror = rel.ror_id LEFT JOIN canon b ON related_ror_id = b.canonical_ror",
+    "institution_websites_cross": _ROR + "SELECT canonical_institution_id, unnest(['http://l' || n, 'http://m' || n]) AS link, d.domain FROM canon JOIN sup ON canonical_ror = ror_id, LATERAL (SELECT unnest(['d' || n || '.org', 'e.org']) AS domain) d",
+    "institution_external_ids": _ROR + "SELECT canonical_institution_id, 'GRID' AS id_type, 'g' || k AS id_value, true AS is_preferred FROM canon JOIN sup ON canonical_ror = ror_id UNION ALL SELECT canonical_institution_id, 'GRID', 'h', false FROM canon JOIN sup ON canonical_ror = ror_id",
+    "policy_organisations": _INST + "SELECT canonical_institution_id, canonical_name FROM canon WHERE lower(canonical_name) LIKE '%000001%' OR lower(canonical_name) LIKE '%co.%'",
     "text_cleaning_review": _OUT + "SELECT work_id, title AS before, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS after FROM works_flat WHERE title IS DISTINCT FROM trim(regexp_replace(title, '\\s+', ' ', 'g'))",
     "canonical_sources": _OUT + "SELECT * FROM canon",
     "work_output_tags": _OUT + "SELECT * FROM tags",

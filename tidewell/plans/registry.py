@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import text
 from tidewell.operators import graph, store
-from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers
+from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers, ror
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
+from tidewell.sources import flatten
 
 
 class Tables:
@@ -56,6 +57,12 @@ class Tables:
     def institution_map(self):
         return institutions.identity_map(self.researcher_institutions, normalise=False)
 
+    @property
+    def enriched(self):
+        raw, canon = self.ror_raw, institutions.canonical(self.institution_map).select("canonical_institution_id", "canonical_name", "canonical_ror", "canonical_country")
+        none = flatten.organisation_lists(raw, "aliases")
+        return ror.enriched(canon, flatten.organisations(raw), flatten.organisation_names(raw), none, flatten.organisation_locations(raw), flatten.organisation_relationships(raw), flatten.organisation_ids(raw), flatten.organisation_lists(raw, "links"))
+
     @property
     def canonical(self):
         return outputs.canonical_sources(self.work_sources)
@@ -146,6 +153,11 @@ PLANS = {
     "canonical_researcher_institutions": lambda t: institutions.researcher_links(t.researcher_institutions, t.institution_map),
     "institution_metrics": lambda t: institutions.metrics(institutions.canonical(t.institution_map), institutions.researcher_links(t.researcher_institutions, t.institution_map), t.rw),
     "institution_review_cases": lambda t: institutions.review_cases(t.institution_map),
+    "canonical_institutions_enriched": lambda t: t.enriched.select("canonical_institution_id", "canonical_name", "canonical_ror", "ror_name", "ror_status", "relationships", "parents", "related", "related_names", "external_ids", "websites", "has_ror_match"),
+    "institution_relationships": lambda t: ror.relationship_edges(institutions.canonical(t.institution_map).where("canonical_ror is not null"), flatten.organisation_relationships(t.ror_raw)).select("canonical_institution_id", "related_ror_id", "label", "relationship_type", "related_institution_id"),
+    "institution_websites_cross": lambda t: ror.websites(institutions.canonical(t.institution_map), flatten.organisation_lists(t.ror_raw, "links"), flatten.organisation_lists(t.ror_raw, "domains")).select("canonical_institution_id", "link", "domain"),
+    "institution_external_ids": lambda t: ror.external_ids(institutions.canonical(t.institution_map), flatten.organisation_ids(t.ror_raw)).select("canonical_institution_id", "id_type", "id_value", "is_preferred"),
+    "policy_organisations": lambda t: ror.policy_organisations(institutions.canonical(t.institution_map), ("000001", "co.")).select("canonical_institution_id", "canonical_name"),
     "text_cleaning_review": lambda t: outputs.text_cleaning_review(t.works_flat, "work_id", "title", normalise=False),
     "canonical_sources": lambda t: t.canonical,
     "work_output_tags": lambda t: t.tags,

@@ -57,6 +57,11 @@ VIEWS = {
                CASE s_nationkey % 5 WHEN 1 THEN 'AU' WHEN 2 THEN 'NZ' WHEN 3 THEN NULL ELSE n_name END AS institution_country, 'education' AS institution_type
         FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey
         WHERE l_partkey % 97 <> 0""",
+    "ror_raw": """
+        SELECT '{{"id":"R' || CAST(CAST(floor(s_suppkey / 2) AS BIGINT) AS STRING) || '","name":"Org ' || CAST(CAST(floor(s_suppkey / 2) AS BIGINT) AS STRING) || '","status":"' || CASE WHEN s_suppkey % 6 = 0 THEN 'inactive' ELSE 'active' END
+               || '","links":["http://l' || CAST(s_nationkey AS STRING) || '",{{"type":"website","value":"http://m' || CAST(s_nationkey AS STRING) || '"}}],"domains":["d' || CAST(s_nationkey AS STRING) || '.org","e.org"],"external_ids":{{"GRID":{{"preferred":"g' || CAST(s_suppkey AS STRING) || '","all":["g' || CAST(s_suppkey AS STRING) || '","h"]}}}},'
+               || '"relationships":[{{"id":"R' || CAST(CAST(floor(s_suppkey / 4) AS BIGINT) AS STRING) || '","label":"Up","type":"Parent"}},{{"id":"R' || CAST(CAST(floor(s_suppkey / 2) AS BIGINT) + 1 AS STRING) || '","label":"Side","type":"Related"}}]}}' AS raw_json
+        FROM {supplier} WHERE s_suppkey % 2 = 0""",
     "journal_registry_seed": """
         SELECT 'J' || CAST(c_custkey AS STRING) AS registry_id, c_name AS title, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '1234-' || lpad(CAST(c_custkey % 500 AS STRING), 4, '0') END AS issn_print,
                CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '5678-' || lpad(CAST(c_custkey % 300 AS STRING), 4, '0') END AS issn_online,
