@@ -17,19 +17,24 @@ def _kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """node, component (its smallest node), by neighbour minima and pointer jumping; every node is listed."""
-    both = _kept(edges.where("a != b").select("a", "b").union(edges.where("a != b").select("b", "a")).toDF("a", "b").distinct())
+def components(nodes: DataFrame | None, edges: DataFrame, rounds: int = 50) -> DataFrame:
+    """node, component (its smallest node), by neighbour minima and pointer jumping; all of nodes are listed, or those of edges."""
+    own = edges.where("a != b")
+    pairs = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = _kept(own.select(pairs.alias("p")).select("p.a", "p.b").distinct())  # one pass over the edges
     linked = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
-    labels = _kept(linked)
+    labels = _kept(linked.withColumn("moved", F.lit(True)))
     for _ in range(rounds):
-        near = both.join(labels.toDF("b", "c"), "b").groupBy("a").agg(F.min("c").alias("c"))
-        step = labels.join(near, labels.node == near.a).select("node", F.least("component", "c").alias("component"))
-        hop = step.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = _kept(step.join(hop, "component", "left").select("node", F.least("component", F.coalesce("further", "component")).alias("component")))
-        if new.join(labels.withColumnRenamed("component", "before"), "node").where("component != before").isEmpty():
+        if labels.where("moved").isEmpty():
             break
-        labels = new
+        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        further = labels.select(F.col("node").alias("root"), F.col("component").alias("further"))
+        met = labels.join(near, labels.node == near.a).join(further, labels.component == further.root)
+        least = F.least("component", "near", "further")
+        labels = _kept(met.select("node", least.alias("component"), (least != F.col("component")).alias("moved")))
+    labels = labels.drop("moved")
+    if nodes is None:
+        return labels
     alone = nodes.select("node").distinct().join(linked.select("node"), "node", "left_anti")
     return labels.unionByName(alone.withColumn("component", F.col("node")))
 

@@ -99,8 +99,7 @@ def _candidates(t):
 
 def _components(t):
     edges = t.pairs.where("confidence IN ('very_high', 'high', 'medium')").select(F.col("author_id_a").alias("a"), F.col("author_id_b").alias("b"))
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b"))
-    return graph.components(nodes, edges).select(F.col("node").alias("author_id"), "component")
+    return graph.components(None, edges).select(F.col("node").alias("author_id"), "component")
 
 
 def _upsert(t):
