@@ -29,7 +29,7 @@ from . import seqs
 from .common import materialize, session, text_key
 from .components import components
 
-SHINGLE, PERCENT, CELLS, FEW = 5, 75, 22, 64
+SHINGLE, PERCENT, CELLS, FEW, FILTER = 5, 75, 20, 64, 23
 U = np.uint64
 
 
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["cid", "s"])
 
     own = docs.withColumn("_k", text_key())
-    texts = own.join(needed, (own["_k"] == needed["_th"]) & own["doc_id"].eqNullSafe(needed["_d"])).select("cid", "text")
+    texts = _maybe(own, needed).join(needed, (own["_k"] == needed["_th"]) & own["doc_id"].eqNullSafe(needed["_d"])).select("cid", "text")
     sets = materialize(texts.mapInArrow(make, "cid long, s array<long>"), "sets").dropDuplicates(["cid"]) if _repeats(own) else materialize(texts.mapInArrow(make, "cid long, s array<long>"), "sets")
     edges = materialize(_verified(first, classes, sets, percent), "links")
     label = components(edges)
@@ -324,6 +324,18 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 
 
+def _maybe(own: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows of own that may be needed, by a bitmap of 2 ** FILTER bits (a megabyte, whatever the data), so that few texts are shuffled."""
+    place = lambda d, t: F.pmod(F.xxhash64(d, t), F.lit(1 << FILTER))
+    at = place("_d", "_th")
+    bits = needed.select(F.shiftright(at, 15).alias("_part"), at.bitwiseAND(F.lit(32767)).alias("_bit")).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    row = own.withColumn("_at", place("doc_id", "_k")).withColumn("_part", F.shiftright("_at", 15))
+    bit = F.col("_at").bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    kept = row.join(F.broadcast(bits), "_part").where((F.floor(byte / F.pow(F.lit(2), bit.bitwiseAND(F.lit(7)))) % 2 == 1))
+    return kept.select(*own.columns)
+
+
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of docs that stay: of each component the row with the smallest doc_id (null last) and text key, once; and all rows without words."""
     found = materialize(found.select("doc_id", "th", "label"), "components")
