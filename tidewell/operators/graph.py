@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 def _kept(df: DataFrame) -> DataFrame:
     """Written to the folder that driver and executors share, and read again."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/tidewell"
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "/tmp/checkpoints/tidewell"
     path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
