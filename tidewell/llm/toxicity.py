@@ -133,7 +133,7 @@ def _fit(toxic, n, sentences, features, size, steps=1500, rate=0.1, decay=1e-4):
         clean = np.minimum(clean, -1e-9)
         # derivative of the log likelihood by the log of prod(1 - p)
         g = np.where(toxic > 0, -np.exp(clean) / -np.expm1(clean), 1.0)
-        p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-b))
+        p, p0 = np.exp(-np.logaddexp(0, -z)), np.exp(-np.logaddexp(0, -b))
         gz = g[owner] * -p
         grad = np.append(np.bincount(feature, gz[sent], size), gz.sum() + (g * plain).sum() * -p0) / len(n)
         grad[:-1] -= decay * w / 10 / max(1, len(n) / 400)
@@ -161,7 +161,7 @@ def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
                 n = np.diff(starts)
                 clean = -(n - np.bincount(doc, minlength=len(n))) * np.logaddexp(0, m.bias)
                 clean -= np.bincount(doc, np.logaddexp(0, z), len(n))
-                p = 1 / (1 + np.exp(-z))
+                p = np.exp(-np.logaddexp(0, -z))
                 bad = p >= 0.5
                 first = np.searchsorted(number, sent[bad])
                 last = np.searchsorted(number, sent[bad], "right") - 1
