@@ -34,3 +34,16 @@ def test_coauthors_skip_crowded_works_and_authors_without_id(spark):
 
 def test_markdown(spark):
     assert reports.markdown(spark.createDataFrame([("a|b", None)], "x string, y string")) == "| x | y |\n|---|---|\n| a\\|b |  |"
+
+
+def test_report_helpers(spark, tmp_path):
+    rows = spark.createDataFrame([(i, i % 3) for i in range(50)], "k int, v int")
+    assert [tuple(r) for r in reports.breakdown(rows, "v").collect()] == [(0, 17), (1, 17), (2, 16)]
+    picked = sorted(r.k for r in reports.sample_rows(rows, "k", 5).collect())
+    assert len(picked) == 5 and picked == sorted(r.k for r in reports.sample_rows(rows.repartition(7), "k", 5).collect())
+    assert [r.k for r in reports.top_rows(rows, [F.desc("v"), F.asc("k")], 2).collect()] == [2, 5]
+    rows.createOrReplaceTempView("some_rows")
+    counts = {r.table_name: r for r in reports.table_counts(spark, ["some_rows", "no_rows"]).collect()}
+    assert counts["some_rows"].row_count == 50 and counts["no_rows"].error
+    reports.export_csv(rows.limit(2), str(tmp_path / "x"))
+    assert len(next((tmp_path / "x").glob("part-*.csv")).read_text().splitlines()) == 3

@@ -174,6 +174,16 @@ ORACLES = {
     "source_name_variants": _OUT + "SELECT regexp_replace(lower(trim(source_name)), '[^a-z0-9]+', '', 'g') AS name_key, count(DISTINCT source_name) AS spellings, string_agg(DISTINCT source_name, '; ' ORDER BY source_name) AS names, count(DISTINCT work_id) AS works FROM tags WHERE source_name IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source_name) > 1",
     "researcher_output_comparison": _OUT + """, aw AS (SELECT DISTINCT author_id, work_id FROM authorships WHERE author_id IS NOT NULL), g AS (SELECT author_id, count(DISTINCT aw.work_id) AS works, count(DISTINCT aw.work_id) FILTER (WHERE broad_output_family = 'core_scholarly') AS core, count(DISTINCT aw.work_id) FILTER (WHERE broad_output_family = 'repository_or_open_output') AS repository FROM aw JOIN tags t ON aw.work_id = t.work_id GROUP BY 1)
         SELECT *, round(CAST(repository AS DOUBLE) / works, 6) AS repository_share FROM g WHERE works >= 3""",
+    "repository_heavy_researchers": _OUT + """, aw AS (SELECT DISTINCT author_id, work_id FROM authorships WHERE author_id IS NOT NULL), g AS (SELECT author_id, count(DISTINCT aw.work_id) AS works, count(DISTINCT aw.work_id) FILTER (WHERE broad_output_family = 'core_scholarly') AS core, count(DISTINCT aw.work_id) FILTER (WHERE broad_output_family = 'repository_or_open_output') AS repository FROM aw JOIN tags t ON aw.work_id = t.work_id GROUP BY 1)
+        SELECT *, round(CAST(repository AS DOUBLE) / works, 6) AS repository_share FROM g WHERE works >= 5 AND round(CAST(repository AS DOUBLE) / works, 6) >= 0.25""",
+    "missing_source_works": _OUT + "SELECT work_id, title, doi, work_type, derived_output_class, publication_year FROM tags WHERE is_missing_source",
+    "repository_sources": _OUT + "SELECT c.canonical_source_id, source_name, derived_source_class, m.works, citations, median_citations FROM canon c JOIN metrics m ON c.canonical_source_id = m.canonical_source_id WHERE is_repository_like",
+    "book_sources": _OUT + "SELECT c.canonical_source_id, source_name, derived_source_class, m.works, citations, median_citations FROM canon c JOIN metrics m ON c.canonical_source_id = m.canonical_source_id WHERE is_book_like",
+    "collapsed_institution_variants": _INST + "SELECT canonical_institution_id, canonical_name, canonical_country, canonical_ror, variants, variant_works, name_variants FROM canon WHERE variants > 1",
+    "home_institutions": _INST + "SELECT c.canonical_institution_id, canonical_name, canonical_country, count(DISTINCT author_id) AS researchers, count(DISTINCT work_id) AS works, name_variants FROM canon c JOIN links l ON c.canonical_institution_id = l.canonical_institution_id WHERE canonical_country IN ('AU', 'NZ') GROUP BY ALL",
+    "fetch_status_counts": _OUT + "SELECT CASE WHEN CAST(right(normal, 1) AS INT) % 2 = 0 THEN 200 ELSE 404 END AS response_status, count(DISTINCT normal) AS n FROM dois WHERE CAST(right(normal, 1) AS INT) % 3 = 0 GROUP BY 1",
+    "snapshot_output_summary": _OUT + "SELECT broad_output_family, derived_output_class, count(*) AS works, count(*) FILTER (WHERE doi IS NOT NULL AND doi <> '') AS with_doi, count(*) FILTER (WHERE is_oa) AS open_access FROM tags GROUP BY ALL",
+    "top_researchers": _AUTHOR + "SELECT author_id, author_name, works, citations FROM authors ORDER BY works DESC, citations DESC, author_id LIMIT 20",
     "snapshot_missingness": _OUT + "SELECT count(*) AS works, count(doi) AS doi_present, count(*) FILTER (WHERE doi IS NULL OR doi = '') AS doi_missing, count(*) FILTER (WHERE publication_year IS NULL) AS year_missing, count(s.issn) AS issn_present, count(*) FILTER (WHERE s.issn_l IS NULL OR s.issn_l = '') AS issn_l_missing, count(*) FILTER (WHERE s.source_id IS NULL) AS source_missing, count(DISTINCT s.source_name) AS source_names FROM works_flat w LEFT JOIN work_sources s ON w.work_id = s.work_id",
     "snapshot_by_year": _OUT + "SELECT publication_year, count(*) AS works, count(*) FILTER (WHERE is_journal_article_like) AS articles, count(*) FILTER (WHERE is_missing_source) AS missing_source, CAST(sum(coalesce(cited_by_count, 0)) AS BIGINT) AS citations FROM tags GROUP BY 1",
     "raw_source_records": _LOG + "SELECT 'raw_openalex_work_' || sha1(CAST(event_id AS VARCHAR)) AS raw_record_id, CAST(event_id AS VARCHAR) AS record_key, sha1(raw_json) AS content_hash, run_id FROM harvest_log",

@@ -176,6 +176,16 @@ PLANS = {
     "control_char_names": lambda t: reports.odd_names(t.tags),
     "source_name_variants": lambda t: reports.name_variants(t.tags),
     "researcher_output_comparison": lambda t: reports.researcher_outputs(t.rw, t.tags),
+    "repository_heavy_researchers": lambda t: reports.repository_heavy(reports.researcher_outputs(t.rw, t.tags)),
+    "missing_source_works": lambda t: reports.missing_sources(t.tags),
+    "repository_sources": lambda t: reports.sources_like(outputs.source_metrics(t.tags), t.canonical, "is_repository_like"),
+    "book_sources": lambda t: reports.sources_like(outputs.source_metrics(t.tags), t.canonical, "is_book_like"),
+    "collapsed_institution_variants": lambda t: reports.collapsed_variants(institutions.canonical(t.institution_map)),
+    "home_institutions": lambda t: reports.home_institutions(institutions.canonical(t.institution_map), institutions.metrics(institutions.canonical(t.institution_map), institutions.researcher_links(t.researcher_institutions, t.institution_map), t.rw)),
+    "fetch_status_counts": lambda t: t.fetched.groupBy("response_status").agg(F.count("*").alias("n")),
+    "snapshot_output_summary": lambda t: t.tags.groupBy("broad_output_family", "derived_output_class").agg(F.count("*").alias("works"), F.count_if(F.col("doi").isNotNull() & (F.col("doi") != "")).alias("with_doi"), F.count_if("is_oa").alias("open_access")),
+    "top_researchers": lambda t: reports.top_rows(researchers.researchers(t.rw).select("author_id", "author_name", "works", "citations"), [F.desc("works"), F.desc("citations"), F.asc("author_id")], 20),
+    "sample_rows": lambda t: reports.sample_rows(reports.missing_sources(t.tags), "work_id", 100),
     "snapshot_missingness": lambda t: reports.missingness(t.works_flat, t.work_sources),
     "snapshot_by_year": lambda t: reports.by_year(t.tags),
     "raw_source_records": lambda t: provenance.raw_records(t.harvest_log.withColumn("k", F.col("event_id").cast("string")), "k", "raw_json", "raw_openalex_work_", F.col("run_id")),

@@ -50,6 +50,59 @@ def by_year(tags: DataFrame) -> DataFrame:
     return tags.groupBy("publication_year").agg(F.count("*").alias("works"), F.count_if("is_journal_article_like").alias("articles"), F.count_if("is_missing_source").alias("missing_source"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("citations"))
 
 
+def breakdown(rows: DataFrame, *by: str) -> DataFrame:
+    """How many rows of each kind, most first."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *(F.asc_nulls_last(c) for c in by))
+
+
+def top_rows(rows: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows in a total order; Spark keeps n a task."""
+    return rows.orderBy(*order).limit(n)
+
+
+def sample_rows(rows: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
+    """n rows by the hash of their key: the same ones each time, from the rows given (so filter first)."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+
+
+def collapsed_variants(canon: DataFrame) -> DataFrame:
+    """Institutions that stand for several variants."""
+    return canon.where("variants > 1").select("canonical_institution_id", "canonical_name", "canonical_country", "canonical_ror", "variants", "variant_works", "name_variants")
+
+
+def home_institutions(canon: DataFrame, metrics: DataFrame, countries=("AU", "NZ")) -> DataFrame:
+    return canon.where(F.col("canonical_country").isin(*countries)).join(metrics.drop("canonical_name"), "canonical_institution_id").select("canonical_institution_id", "canonical_name", "canonical_country", "researchers", "works", "name_variants")
+
+
+def sources_like(metrics: DataFrame, sources: DataFrame, flag: str) -> DataFrame:
+    """Sources with the flag, with their works."""
+    return sources.where(F.col(flag)).select("canonical_source_id", "source_name", "derived_source_class").join(metrics.select("canonical_source_id", "works", "citations", "median_citations"), "canonical_source_id")
+
+
+def missing_sources(tags: DataFrame) -> DataFrame:
+    return tags.where("is_missing_source").select("work_id", "title", "doi", "work_type", "derived_output_class", "publication_year")
+
+
+def repository_heavy(outputs: DataFrame, share: float = 0.25) -> DataFrame:
+    return outputs.where((F.col("works") >= 5) & (F.col("repository_share") >= share))
+
+
+def table_counts(spark, tables: list[str]) -> DataFrame:
+    """Rows of each table, or why it can't be read."""
+    rows = []
+    for t in tables:
+        try:
+            rows.append((t, spark.table(t).count(), None))
+        except Exception as e:  # the report lists it
+            rows.append((t, None, str(e)[:200]))
+    return spark.createDataFrame(rows, "table_name string, row_count long, error string")
+
+
+def export_csv(rows: DataFrame, folder: str) -> None:
+    """One CSV file with a header; for review exports, which are small."""
+    rows.coalesce(1).write.mode("overwrite").csv(folder, header=True, quote='"', escape='"')
+
+
 def markdown(rows: DataFrame, most: int = 50) -> str:
     """A small result as a Markdown table; bars escaped, null empty."""
     show = lambda x: "" if x is None else str(x).replace("|", "\\|")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidewell.functions import text
 from tidewell.functions.ladders import has
 
-#: Words in the names of organisations that matter for policy.
-POLICY_WORDS = ("ministry", "department", "council", "authority", "commission", "institute", "foundation")
+#: Words in the names of organisations that matter for policy, for candidates and for the shorter report.
+POLICY_WORDS = ("education", "school", "department", "ministry", "curriculum", "assessment", "acer", "research council", "institute")
+POLICY_REPORT_WORDS = ("education", "curriculum", "assessment", "government", "department", "ministry", "institute")
 
 
 def enriched(canon: DataFrame, organisations: DataFrame, names: DataFrame, aliases: DataFrame, locations: DataFrame, relationships: DataFrame, ids: DataFrame, links: DataFrame) -> DataFrame:
