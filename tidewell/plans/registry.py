@@ -11,6 +11,7 @@ from tidewell.operators import graph, store
 from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers, ror
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
+from tidewell.session import ship
 from tidewell.sources import flatten
 
 
@@ -18,7 +19,7 @@ class Tables:
     """Views and derived layers of a folder of test tables, made when asked for."""
 
     def __init__(self, spark, sf_dir):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir = ship(spark), sf_dir
 
     def __getattr__(self, name):
         return view(self.spark, self.dir, name)

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewell.functions import text
 from tidewell.operators import store
+from tidewell.session import ship
 
 #: What counts as a yes, and tiers that are taken without one.
 YES, TIERS = ("y", "yes", "include", "included", "true", "1"), ("core", "adjacent", "strong_adjacent")
@@ -93,6 +94,7 @@ def lookup(keys: DataFrame, column: str, call: Callable[[str], tuple[int, str]],
                 rows.append((key, status, body if status == 200 else None, None if status == 200 else body[:2000]))
             yield pd.DataFrame(rows, columns=[column, "response_status", "raw_json", "error_text"])
 
+    ship(keys.sparkSession)
     return keys.select(column).distinct().repartition(partitions, column).mapInPandas(run, f"{column} string, response_status int, raw_json string, error_text string")
 
 
@@ -111,5 +113,6 @@ def pages(call: Callable[[str, str], tuple[list[str], str | None]], targets: Dat
                     if not cursor:
                         break
 
+    ship(targets.sparkSession)
     n = max(1, targets.select(column).distinct().count())
     return targets.select(column).distinct().repartition(min(n, 1000), column).mapInPandas(run, f"{column} string, page int, raw_json string")
