@@ -8,15 +8,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.session import ship
+
 #: Arrow batches sent to Python: bounded in rows and in bytes, whatever the length of the texts.
 ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session so that very long texts cannot fill a Python worker."""
+    """Bound the Arrow batches of this session so that very long texts cannot fill a Python worker, and give workers the package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    return spark
+    return ship(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
