@@ -29,7 +29,7 @@ from . import seqs
 from .common import materialize, session, text_key
 from .components import components
 
-SHINGLE, PERCENT, CELLS, FEW, FILTER = 5, 75, 20, 64, 23
+SHINGLE, PERCENT, CELLS, FEW, FILTER = 5, 75, 22, 64, 23
 U = np.uint64
 
 
@@ -65,13 +65,13 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
             for _, _, data, offs in seqs.blocks(batch.column("text")):
                 out, _ = _shingles(data, offs, k)
                 cells += np.bincount((out >> U(64 - CELLS)).astype(np.int64), minlength=1 << CELLS)
-        rows = np.minimum(cells, (1 << 32) - 1).astype("<u4").reshape(blocks, -1)
+        rows = np.minimum(cells, 255).astype(np.uint8).reshape(blocks, -1)  # a task's share; more than that is frequent anyway
         yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary())], names=["block", "n"])
 
     def add(key, table):
         total = np.zeros((1 << CELLS) // blocks, np.int64)
         for x in table.column("n"):
-            total += np.frombuffer(x.as_buffer(), "<u4")
+            total += np.frombuffer(x.as_buffer(), np.uint8 if len(x.as_buffer()) == len(total) else "<u4")
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())], names=["block", "n"])
 
     part = docs.select("text").mapInArrow(count, kind).withColumn("salt", F.spark_partition_id() % 32)
