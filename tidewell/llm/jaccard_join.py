@@ -78,10 +78,13 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
     rows = part.groupBy("block", "salt").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()
     if not rows:
         return np.zeros(1 << CELLS, np.uint8)
-    cells = np.concatenate([np.frombuffer(r.n, "<u4") for r in sorted(rows)]).astype(float)
-    mean = cells.mean()
-    over = cells - mean - 4 * mean**0.5
-    return np.where(over > 8, np.minimum(31, np.log2(np.maximum(over, 1))), 0).astype(np.uint8)
+    # block by block, so that the driver holds little more than the result
+    mean = sum(int(np.frombuffer(r.n, "<u4").sum(dtype=np.int64)) for r in rows) / (1 << CELLS)
+    out = []
+    for r in sorted(rows):
+        over = np.frombuffer(r.n, "<u4") - np.float32(mean + 4 * mean**0.5)
+        out.append(np.where(over > 8, np.minimum(31, np.log2(np.maximum(over, 1))), 0).astype(np.uint8))
+    return np.concatenate(out)
 
 
 def _prefix(n, percent):
