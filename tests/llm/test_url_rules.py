@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from tidewell.llm import url_rules
 
 URLS = [None, "", "no scheme", "http://a.COM", "http://a.com/", "http://example.com/en/x?y=/en/", "https://www.example.com/en/1", "https://x.www.example.com/en/1", "http://notexample.com/en/", "http://b.net/es/1#t", "http://b.net/fr", "http://b.net/fr/", "http://c.org?x=1", "http://c.org#/en/", "ftp://U:p@H.org:80/es/Ä?b", "x://http://y.com/", "http://d.org/es/9", "http://e.org/en/9", "http://é.net/es/"]
@@ -37,3 +39,24 @@ def test_nothing_to_mine(spark):
     none = url_rules.judge(df.where("url is null or url like '%org%'"))
     assert {r.verdict for r in none.collect()} == {"allow"}
     assert "Python" not in url_rules.judge(df)._jdf.queryExecution().toString()
+
+
+def test_no_rule_is_crowded_out(spark):
+    many = [f"m{i}" for i in range(13)]  # 1092 sure combinations of up to four tokens
+    five = list("abcde")
+    rows = [(many, True)] * 10 + [(["odd"], i > 0) for i in range(10)] + [(five, True)] * 10 + [([x for x in five if x != y], False) for y in five for _ in range(10)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
+    kept = url_rules.shortest([(list(r.a), r.c) for r in rules])
+    assert sorted(kept) == sorted([([m], 1.0) for m in many] + [(["odd"], 0.9), (five, 1.0)])
+
+
+@pytest.mark.parametrize("literal", [1000, 0])
+def test_all_rules_decide(spark, monkeypatch, literal):
+    monkeypatch.setattr(url_rules, "LITERAL", literal)
+    names = "&".join(f"m{i}=1" for i in range(10))
+    extra = [f"http://x.net/es/?{names}"] * 300 + [f"http://y.net/fr/odd/{i}" for i in range(9)] * 5 + ["http://y.com/odd/1/2"] * 5 + ["http://z.org/odd/1/2"] * 2
+    df, urls = pages(spark, extra)
+    got = url_rules.judge(df)
+    odd = [r for r in got.collect() if r.page_id is not None and urls[r.page_id] == extra[-1]]
+    assert len(odd) == 2 and all(r.verdict == "block" and r.confidence == 0.9 for r in odd)
+    assert got.count() == len(urls) + 2 and "Python" not in got._jdf.queryExecution().toString()

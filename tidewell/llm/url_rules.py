@@ -3,8 +3,9 @@
 Stated rules decide first (longest host and path wins). For the other urls Spark's FP-growth mines
 combinations of url tokens that go with the verdict "block" among labelled urls; rules under the
 support or confidence asked for, and rules that a shorter rule with as much confidence covers, are
-pruned. A rule is filed under its rarest token, so a url meets only the rules filed under its own
-tokens and then checks the rest of each.
+pruned; no other rule is left out, however many or long they are. A rule is filed under its rarest
+token, so a url meets only the rules filed under its own tokens and then checks the rest of each. The
+index is a literal, or, if there are many rules, a table that is joined.
 
 Edge cases. Null url, or one without "://": host and path are empty, no rule fits. Repeated rows
 are judged each. If no labelled url is blocked nothing is mined, and urls without a rule are
@@ -16,9 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize, session
+
 BLOCK = "=block"
 #: Verdict, host, path.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+#: So many rules are a literal; more are joined.
+LITERAL = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,43 +54,66 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(own, words, depth, names))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, most: int = 1000) -> list[tuple[list[str], float]]:
-    """Rules (tokens, confidence) for blocking, from rows (tokens, blocked); at most `most`, the surest first."""
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8) -> DataFrame:
+    """All rules (a: sorted tokens, c: confidence) for blocking, from rows (tokens, blocked), but those that a rule with one token less and as much confidence covers."""
     from pyspark.ml.fpm import FPGrowth
 
     baskets = labelled.select(F.concat("tokens", F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    found = model.associationRules.where(F.array_contains("consequent", BLOCK) & (F.size("antecedent") <= 4))
-    rows = found.select(F.array_sort("antecedent").alias("a"), F.round("confidence", 12).alias("c")).orderBy(F.desc("c"), F.size("a"), F.array_join("a", " ")).limit(most).collect()
+    found = model.associationRules.where(F.array_contains("consequent", BLOCK))
+    rules = materialize(found.select(F.array_sort("antecedent").alias("a"), F.round("confidence", 12).alias("c")), "url_rules")
+    less = rules.where(F.size("a") > 1).select("a", "c", F.explode(F.transform("a", lambda t: F.array_remove("a", t))).alias("part"))
+    covered = less.join(rules.select(F.col("a").alias("part"), F.col("c").alias("sure")), "part").where("sure >= c").select("a").distinct()
+    return materialize(rules.join(covered, "a", "left_anti"), "url_rules")
+
+
+def shortest(rules: list[tuple[list[str], float]]) -> list[tuple[list[str], float]]:
+    """The rules that no shorter one with as much confidence covers."""
     kept: list[tuple[list[str], float]] = []
-    for r in sorted(rows, key=lambda r: (len(r.a), -r.c, r.a)):
-        if not any(set(a) <= set(r.a) and c >= r.c for a, c in kept):
-            kept.append((list(r.a), float(r.c)))
+    for own, c in sorted(rules, key=lambda r: (len(r[0]), -r[1], r[0])):
+        if not any(set(a) <= set(own) and sure >= c for a, sure in kept):
+            kept.append((own, c))
     return kept
 
 
+def _listed(rules: list[tuple[list[str], float]]) -> Column:
+    """The highest confidence of the rules that fit the column tokens, by an index in a literal: each rule under its rarest token."""
+    counts: dict[str, int] = {}
+    for a, _ in rules:
+        for t in a:
+            counts[t] = counts.get(t, 0) + 1
+    index: dict[str, list] = {}
+    for a, c in rules:
+        index.setdefault(min(a, key=lambda t: (counts[t], t)), []).append((a, c))
+    if not index:
+        return F.lit(None).cast("double")
+    struct = lambda a, c: F.struct(F.lit(c).alias("c"), F.array(*map(F.lit, a)).alias("all"))
+    table = F.create_map(*(x for t, held in sorted(index.items()) for x in (F.lit(t), F.array(*(struct(a, c) for a, c in held)))))
+    filed = F.flatten(F.array_compact(F.transform("tokens", lambda t: F.try_element_at(table, t))))
+    return F.array_max(F.transform(F.filter(filed, lambda r: F.size(F.array_except(r["all"], F.col("tokens"))) == 0), lambda r: r["c"]))
+
+
+def _joined(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """df with the same number in the column hit, by a join of distinct token lists with the index."""
+    each = rules.select("a", "c", F.explode("a").alias("t"))
+    counts = each.groupBy("t").agg(F.count("*").alias("n"))
+    index = each.join(counts, "t").groupBy("a", "c").agg(F.min(F.struct("n", "t"))["t"].alias("t"))
+    lists = df.where("_v is null").select("tokens").distinct()
+    met = lists.select("tokens", F.explode("tokens").alias("t")).join(index, "t").where(F.size(F.array_except("a", "tokens")) == 0)
+    return df.join(met.groupBy("tokens").agg(F.max("c").alias("hit")), "tokens", "left")
+
+
 def judge(pages: DataFrame, rules=RULES, support: float = 0.002, confidence: float = 0.8) -> DataFrame:
     """page_id, host, path, rule, verdict, confidence (of the mined rule that blocks; else null)."""
+    session(pages.sparkSession)
     host, path = parts(F.col("url"))
     df = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = decide(F.col("host"), F.col("path"), rules)
     df = df.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_v"), tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
     mined = mine(df.where("_v is not null").select("tokens", (F.col("_v") == "block").alias("blocked")), support, confidence)
-    # the inverted index: each rule under its rarest token among rules; at most 1000 rules, so a literal
-    counts: dict[str, int] = {}
-    for a, _ in mined:
-        for t in a:
-            counts[t] = counts.get(t, 0) + 1
-    index: dict[str, list] = {}
-    for a, c in mined:
-        index.setdefault(min(a, key=lambda t: (counts[t], t)), []).append((a, c))
-    if not index:
-        hit = F.lit(None).cast("double")
-    else:
-        struct = lambda a, c: F.struct(F.lit(c).alias("c"), F.array(*map(F.lit, a)).alias("all"))
-        table = F.create_map(*(x for t, held in sorted(index.items()) for x in (F.lit(t), F.array(*(struct(a, c) for a, c in held)))))
-        filed = F.flatten(F.array_compact(F.transform("tokens", lambda t: F.try_element_at(table, t))))
-        hit = F.array_max(F.transform(F.filter(filed, lambda r: F.size(F.array_except(r["all"], F.col("tokens"))) == 0), lambda r: r["c"]))
+    few = mined.limit(LITERAL + 1).collect()
+    df = _joined(df, mined) if len(few) > LITERAL else df.withColumn("hit", _listed(shortest([(list(r.a), float(r.c)) for r in few])))
+    hit = F.col("hit")
     df = df.withColumn("confidence", F.when(F.col("_v").isNull(), hit))
     own = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return df.select("page_id", "host", "path", "rule", F.coalesce("_v", own).alias("verdict"), "confidence")
