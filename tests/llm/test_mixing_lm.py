@@ -56,3 +56,15 @@ def test_nothing_to_learn_from(spark):
     assert mixing_lm.score(empty, *mixing_lm.train(empty)).count() == 0
     out = mixing_lm.score(df, *mixing_lm.train(empty)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in out)
+
+
+def test_score_does_not_depend_on_the_head(spark):
+    rng = random.Random(4)
+    own = {"a": [f"a{i}" for i in range(80)], "b": [f"b{i}" for i in range(80)]}
+    rows = [(i, " ".join(rng.choice(own["ab"[i % 2]]) for _ in range(rng.randrange(40))) + " new" + "x" * (i % 3) + str(i), "ab"[i % 2]) for i in range(120)]
+    df = spark.createDataFrame([*rows, rows[7]], "doc_id long, text string, lang string")
+    learned = mixing_lm.train(df)
+    whole, part, none = (sorted(map(tuple, mixing_lm.score(df, *learned, most=most).select("doc_id", "n_known", "base_score", "score").collect())) for most in (10**6, 30, 0))
+    assert len(whole) == 121
+    for other in (part, none):
+        assert np.array(other, float) == pytest.approx(np.array(whole, float), rel=1e-9)

@@ -7,16 +7,16 @@ by weights that a gate selects by how much the longest contexts have seen; the m
 adaptive map from (bits of the byte so far, log odds) to what followed. The bits' log probabilities
 add up to the text's.
 
-A dictionary of frequent tokens, of bounded size, is mixed with the spelling, with a share learned from
-the corpus, and there is one such dictionary for each class of training texts (their lang, if there is
-such a column); a text's probability is the sum over classes, so scoring never reads lang.
+A dictionary of all training tokens is mixed with the spelling, with a share learned from the corpus,
+and there is one such dictionary for each class of training texts (their lang, if there is such a
+column); a text's probability is the sum over classes, so scoring never reads lang.
 
 Everything is learned from all training texts: token counts first, then, from those, the tables,
 then weights (online, one step a batch, every occurrence counted, each word seen as if it had
 occurred once less, so that trust in rare contexts is learned honestly) and the map. Partial sums of
 tables, weights and map are added up; none grows with the corpus but the token counts, which stay
-distributed. A text's score needs no join, since contexts don't leave the token; the unigram base
-score looks frequent tokens up in a bounded table and joins the others.
+distributed. Scoring looks frequent tokens up in a bounded table and joins the others, with the same
+result.
 
 Edge cases. Null and empty texts have the end only. Null doc_id counts as the text "" for the fold.
 Rows that repeat doc_id and text get the same result each. Words of any length are taken whole.
@@ -377,11 +377,15 @@ def score(docs: DataFrame, model: Model, vocab: DataFrame, total: int, distinct:
     shared = spark.sparkContext.broadcast((head_h, head_c, head_cost, head_k))
     floor, ln10 = float(np.log10(total + 0.5 * (distinct + 1))), float(np.log(10))
 
+    def mix(n, cost):
+        """Log probabilities in each class of tokens with so many occurrences there: its dictionary and the spelling share them."""
+        with np.errstate(divide="ignore"):
+            return np.logaddexp(np.log(share * n / np.maximum(size_k, 1)), (np.log1p(-share) + ln10 * cost)[:, None])
+
     def run(batches):
         hh, hc, cost, hk = shared.value
-        # a token's log probability in each class: its dictionary and the spelling share it
+        both = mix(hk, cost)
         with np.errstate(divide="ignore"):
-            both = np.logaddexp(np.log(share * hk / np.maximum(size_k, 1)), (np.log1p(-share) + ln10 * cost)[:, None])
             stop = np.logaddexp(np.log(share * docs_k / np.maximum(size_k, 1)), np.log1p(-share) + ln10 * end) + prior
             base_of = np.log10(hc + 0.5) - floor
         for batch in batches:
@@ -406,10 +410,11 @@ def score(docs: DataFrame, model: Model, vocab: DataFrame, total: int, distinct:
                 classes = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * len(size_k)), pa.array(by_class.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("th").take(take), pa.array(token, pa.binary()).cast(pa.string()), pa.array(np.concatenate([np.zeros(rows, np.int64), m])), pad(n + 1, pa.int64()), pad(np.bincount(d, minlength=rows) + (end_c > 0), pa.int64()), pad(base, pa.float64()), pad(size.astype(np.int64), pa.int64()), pa.concat_arrays([classes, pa.nulls(len(pair), classes.type)])], names=["doc_id", "th", "token", "m", "n_tokens", "n_known", "base", "size", "classes"])
 
+    tails = [f"t{i}" for i in range(len(ks))]
     model_of = spark.sparkContext.broadcast(model)
 
     def spell(batches):
-        """Costs of tokens that no training text has."""
+        """What tokens outside the head add to each class; the spelling of those that no training text has."""
         for batch in batches:
             cost, m = batch.column("cost").to_numpy(zero_copy_only=False).copy(), batch.column("m").to_numpy()
             lack = np.flatnonzero(np.isnan(cost) & (m > 0))
@@ -423,21 +428,25 @@ def score(docs: DataFrame, model: Model, vocab: DataFrame, total: int, distinct:
                         found.append(costs(model_of.value, words[a : i + 1]))
                         a, held = i + 1, 0
                 cost[lack] = np.concatenate(found)[inv]
-            yield batch.set_column(batch.schema.get_field_index("cost"), "cost", pa.array(np.where(m > 0, cost, 0.0)))
+            n = np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ks], 1)
+            by_class = m[:, None] * mix(n, np.where(m > 0, cost, 0.0))
+            held = [i for i, c in enumerate(batch.schema.names) if c not in (*ks, "cost")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in held), *map(pa.array, by_class.T)], names=[*(batch.schema.names[i] for i in held), *tails])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     told = docs.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, token string, m long, n_tokens long, n_known long, base double, size long, classes array<double>")
-    joined = told.join(vocab.select("token", "c", "cost"), "token", "left").mapInArrow(spell, f"token string, doc_id {kind}, th long, m long, n_tokens long, n_known long, base double, size long, classes array<double>, c long, cost double")
+    joined = told.join(vocab.select("token", "c", *ks, "cost"), "token", "left").mapInArrow(spell, f"token string, doc_id {kind}, th long, m long, n_tokens long, n_known long, base double, size long, classes array<double>, c long, " + ", ".join(f"{t} double" for t in tails))
     tail = F.col("m") > 0
     per = joined.groupBy("doc_id", "th").agg(
         F.count("n_tokens").alias("rows"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("sure"), F.max("base").alias("base"), F.max("size").alias("size"), F.max("classes").alias("classes"),
         F.sum(F.when(tail & F.col("c").isNotNull(), F.col("m")).otherwise(0)).alias("more"),
         F.sum(F.when(tail, F.col("m") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - floor)).otherwise(0.0)).alias("rest"),
-        F.sum(F.col("m") * (F.col("cost") + float(np.log10(1 - share)))).alias("spelt"),
+        *(F.sum(t).alias(t) for t in tails),
     )
+    per = per.withColumn("classes", F.zip_with("classes", F.array(*tails), lambda own, tail: own + tail / F.col("rows")))
     per = per.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).withColumn("top", F.array_max("classes"))
     # a text is of one class: the sum of their probabilities
-    mixed = (F.col("top") + F.log(F.aggregate("classes", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))) / ln10 + F.col("spelt") / F.col("rows")
+    mixed = (F.col("top") + F.log(F.aggregate("classes", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))) / ln10
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
     out = per.select("doc_id", "th", held.alias("held_out"), "n_tokens", (F.col("sure") + F.col("more") / F.col("rows")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("rest") / F.col("rows")).alias("base_score"), mixed.alias("score"), "size")
     return out.withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("size")).drop("size")
