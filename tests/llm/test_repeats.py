@@ -1,10 +1,12 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import documents, texts
-from tidewell.llm import substring_dedup, suffix_dedup
+from tidewell.llm import repeats, substring_dedup, suffix_dedup
 
 INF = float("inf")
 
@@ -74,3 +76,26 @@ def test_texts_are_shuffled_once(spark):
     out = substring_dedup.deduplicate(df)
     out.collect()
     assert out._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 2 or "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("half", ["s", "s2"])
+def test_equal_halves_of_segment_hashes(spark, monkeypatch, half):
+    """Different surroundings of a gram that agree in all but the lower half of one hash are told apart."""
+    anchors = repeats._anchors
+
+    def poor(*args):
+        at, g, s = anchors(*args)
+        cut = s["s" if half == "s2" else "s2"]
+        cut[:] = 0
+        s[half] &= np.uint64(0xFFFFFFFF)
+        return at, g, s
+
+    monkeypatch.setattr(repeats, "_anchors", poor)
+    kind = repeats.Kind(50, 16, False, False, None)
+    passage = " a passage of more than fifty bytes that both documents hold, "
+    text = ["The first has these words on its left side," + passage + "and these words on its right side, too.", "Another text begins in quite another manner:" + passage + "but it goes on with words of its own here."]
+    docs = pa.table({"doc_id": [1, 2], "th": [1, 2], "th2": [1, 2], "text": text})
+    cut = repeats._cut(kind, 1)([pa.scalar(0)], docs, docs.slice(0, 0))
+    ranges = cut.column("rng").to_pylist()
+    met = [row for r in sorted(set(ranges)) for row in repeats._meet(kind)([pa.scalar(r)], cut.filter(pa.array([x == r for x in ranges]))).to_pylist()]
+    assert not any(row["pos"] for row in met) and any(row["mask"] for row in met)  # nothing is covered, all is open

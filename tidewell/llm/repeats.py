@@ -4,8 +4,8 @@ Symbols are bytes or words. Of each window of `length` symbols the rightmost sma
 the window's anchor, so equal windows have their anchor at the same place. What follows is one
 chain of shuffles of compact blocks (one row holds many anchors), without loops or a driver step:
 
-1. documents, dealt into buckets, give each anchor's hash and a hash of its segment: all symbols of
-   the windows that can hold the anchor. Exact copies of an earlier text give none.
+1. documents, dealt into buckets, give each anchor's hash and two hashes of 64 bits of its segment:
+   all symbols of the windows that can hold the anchor. Exact copies of an earlier text give none.
 2. anchors meet by hash range. One whose segment stands earlier is covered with all its windows;
    those left over in groups with several segments are open.
 3. documents give the open anchors' segments, which meet again by hash range; there a method of the
@@ -31,6 +31,8 @@ from . import seqs
 from .common import nullable, session
 
 U = np.uint64
+#: A segment's two hashes, in a row's bytes and in memory.
+SEGMENT = np.dtype([("s", "<u8"), ("s2", "<u8")])
 LAST = (1 << 63) - 1  # the place in the order of a null doc_id
 ANCHORS, FULL, OPEN, DECIDED, COPY, MET = range(6)
 ROW = "rng int, bucket int, kind int, h binary, s binary, doc binary, idx binary, pos binary, mask binary"
@@ -58,6 +60,21 @@ def _array(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()] or [np.zeros(0, kind)])
 
 
+def _pack(x: np.ndarray, steps: bool) -> bytes:
+    """Numbers, or their steps, by planes of bytes, which the shuffle's compression makes small."""
+    x = x.view(f"<u{x.itemsize}")
+    return np.ascontiguousarray((np.diff(x, prepend=x.dtype.type(0)) if steps else x).view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+def _unpack(table: pa.Table, name: str, kind, steps: bool) -> np.ndarray:
+    """The numbers of all rows."""
+    size, whole = np.dtype(kind).itemsize, [np.zeros(0, kind)]
+    for b in table.column(name).to_pylist():
+        x = np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel()
+        whole.append((np.cumsum(x, dtype=x.dtype) if steps else x).view(kind))
+    return np.concatenate(whole)
+
+
 def _bucket_docs(table: pa.Table):
     """Rows of a bucket in a fixed order: their places in the table, and the number of each among distinct documents."""
     doc = table.column("doc_id").fill_null(LAST).to_numpy()
@@ -86,7 +103,7 @@ def _anchors(kind: Kind, sym, offs):
     """Places of anchors in a block's symbols, with gram hashes and segment hashes."""
     n, q = len(sym), kind.gram
     if n < kind.length:
-        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, SEGMENT)
     total, down = _hashes(sym)
     g = seqs.mix((total[q:] - total[:-q]) * down[: n - q + 1])
     v, p, size, span = g, np.arange(len(g), dtype=np.int32), 1, kind.reach + 1
@@ -100,7 +117,11 @@ def _anchors(kind: Kind, sym, offs):
     at = p[np.append(True, p[1:] != p[:-1])].astype(np.int64) if len(p) else p.astype(np.int64)
     row = np.searchsorted(offs, at, "right") - 1
     first, last = np.maximum(offs[row], at - kind.reach), np.minimum(offs[row + 1], at + kind.length)
-    s = seqs.mix((total[last] - total[first]) * down[first] + (at - first).astype(U) * U(0x9E3779B97F4A7C15) + (last - at).astype(U) * U(0xC2B2AE3D27D4EB4F))
+    place = (at - first).astype(U) * U(0x9E3779B97F4A7C15) + (last - at).astype(U) * U(0xC2B2AE3D27D4EB4F)
+    s = np.empty(len(at), SEGMENT)
+    s["s"] = seqs.mix((total[last] - total[first]) * down[first] + place)
+    total, down = _hashes(seqs.mix(sym.astype(U) ^ U(0xD6E8FEB86659FD93)))  # other values of the symbols, so another hash
+    s["s2"] = seqs.mix((total[last] - total[first]) * down[first] + place)
     return at, g[at], s
 
 
@@ -129,8 +150,8 @@ def _cut(kind: Kind, bits: int):
             o = np.argsort(rng, kind="stable")
             cuts = np.searchsorted(rng[o], np.arange((1 << bits) + 1))
             h = ((g >> U(32 - bits)) & U(0xFFFFFFFF)).astype("<u4")[o]
-            s, d, i, p = (x[o] for x in ((s >> U(32)).astype("<u4"), d.astype("<i8"), i.astype("<u4"), p.astype("<u4")))
-            rows += [{"rng": r, "bucket": bucket, "kind": ANCHORS, "h": h[a:b].tobytes(), "s": s[a:b].tobytes(), "doc": d[a:b].tobytes(), "idx": i[a:b].tobytes(), "pos": p[a:b].tobytes()} for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+            s, d, i, p = (x[o] for x in (s, d.astype("<i8"), i.astype("<u4"), p.astype("<u4")))
+            rows += [{"rng": r, "bucket": bucket, "kind": ANCHORS, "h": h[a:b].tobytes(), "s": s[a:b].tobytes(), "doc": _pack(d[a:b], True), "idx": _pack(i[a:b], True), "pos": _pack(p[a:b], False)} for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
         return _rows(rows)
 
     return run
@@ -159,16 +180,16 @@ def _meet(kind: Kind):
         rng = key[0].as_py()
         if rng < 0:
             return table.select(_SCHEMA.names)
-        bucket, h, s, doc, idx, pos = _gather(table, h="<u4", s="<u4", doc="<i8", idx="<u4", pos="<u4")
-        hs = h.astype(U) << U(32) | s
-        o = np.argsort(hs)
+        bucket, h, s = _gather(table, h="<u4", s=SEGMENT)
+        doc, idx, pos = _unpack(table, "doc", "<i8", True), _unpack(table, "idx", "<u4", True), _unpack(table, "pos", "<u4", False)
+        o = np.argsort(h)
         same = h[o][1:] == h[o][:-1]
         o = o[np.append(same, False) | np.append(False, same)]  # of hashes that come more than once
         if not len(o):
             return _rows([])
-        o = o[np.lexsort((pos[o], idx[o], bucket[o], doc[o], hs[o]))]
-        bucket, h, hs, doc, idx, pos = (x[o] for x in (bucket, h, hs, doc, idx, pos))
-        new = np.append(True, hs[1:] != hs[:-1])
+        o = o[np.lexsort((pos[o], idx[o], bucket[o], doc[o], s["s2"][o], s["s"][o], h[o]))]
+        bucket, h, s, doc, idx, pos = (x[o] for x in (bucket, h, s, doc, idx, pos))
+        new = np.append(True, (h[1:] != h[:-1]) | (s["s"][1:] != s["s"][:-1]) | (s["s2"][1:] != s["s2"][:-1]))
         first = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
         covered = ~new if kind.inside else doc > doc[first]
         group = np.cumsum(np.append(True, h[1:] != h[:-1])) - 1
