@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import graph, store
@@ -26,6 +27,12 @@ def test_components_partition_all_nodes(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "f": "f", "g": "g", "h": "h"}
 
 
+def test_components_that_still_change_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        graph.components(None, edges, rounds=1)
+
+
 def test_coauthors_skip_crowded_works_and_authors_without_id(spark):
     rows = [("w1", "b", "B"), ("w1", "a", "A"), ("w1", "a", "A2"), ("w1", None, "N"), ("w2", "a", "A0"), ("w2", "b", "B")] + [("w3", f"x{i:03}", "X") for i in range(101)]
     got = graph.coauthor_edges(spark.createDataFrame(rows, "work_id string, author_id string, author_name string")).collect()

@@ -36,6 +36,9 @@ def components(nodes: DataFrame | None, edges: DataFrame, rounds: int = 50) -> D
         met = labels.join(near, labels.node == near.a).join(further, labels.component == further.root)
         least = F.least("component", "near", "further")
         labels = _kept(met.select("node", least.alias("component"), (least != F.col("component")).alias("moved")))
+    else:
+        if not labels.where("moved").isEmpty():
+            raise RuntimeError(f"components still change after {rounds} rounds")
     labels = labels.drop("moved")
     if nodes is None:
         return labels
