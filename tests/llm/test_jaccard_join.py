@@ -6,6 +6,7 @@ import pytest
 from tests.llm.fixtures import documents, words
 from tidewell.llm import jaccard_join
 from tidewell.llm.components import components
+from tidewell.llm.jaccard_join import near_duplicates
 
 
 def brute(rows, k=5):
@@ -64,6 +65,22 @@ def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (5, 3)] + [(300, 300 + i) for i in range(1, 40)]
     rng = random.Random(1)
     edges = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges]
-    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long"))[0].collect()}
     assert all(got[i] == 0 for i in range(61)) and got[200] == got[150] == 100 and all(got[i] == 300 for i in range(300, 340))
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"))[0].count() == 0
+
+
+def test_hubs_are_dealt_over_tasks(spark):
+    edges = [(1, i) for i in range(2, 1800)] + [(i, 5000 + i) for i in range(2, 50)] + [(5002, 9000), (9001, 9000)]
+    label, hubs = components(spark.createDataFrame(edges, "a long, b long"))
+    assert hubs == [1]
+    assert {r.label for r in label.collect()} == {1}
+
+
+def test_hot_classes_and_families(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, base) for i in range(1500)] + [(2000 + i, base + f" end{i}") for i in range(1200)] + [(4000, "other words than those before here"), (None, base), (4001, None)]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    assert {c for (d, _), c in got.items() if d is None or d < 4000} == {0}
+    assert got[4000, 2] == 4000 and got[4001, 0] == 4001

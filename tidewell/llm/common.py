@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import pyarrow as pa
@@ -40,6 +41,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Between steps: what the driver no longer refers to goes, so that Spark's cleaner removes finished shuffles and broadcasts everywhere."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it in any case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def size_of(df: DataFrame) -> int:
+    """Catalyst's estimate of df's bytes; for files that is their size on disk."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqs
-from .common import materialize, session, text_key
-from .components import components
+from .common import materialize, session, text_key, tidy, unused
+from .components import LEAST, SHARE, components, spread_join
 
 SHINGLE, PERCENT, CELLS, FEW, FILTER = 5, 75, 22, 64, 23
 U = np.uint64
@@ -122,9 +122,8 @@ def _group_id(n: int, prefix: np.ndarray) -> int:
     return int(seqs.grams(np.array([(prefix * up[: len(prefix)]).sum(), n], U), 2, 77).view(np.int64)[0])
 
 
-def profile(docs: DataFrame, k: int, percent: int, rank) -> DataFrame:
-    """doc_id, th, n, s1, s2 (hash of the set), gid (group), bm (parity bitmap) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(rank)
+def profile(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
+    """doc_id, th, n, s1, s2 (hash of the set), gid (group), bm (parity bitmap) of every document; shared: the broadcast sketch."""
 
     def run(batches):
         rank = shared.value
@@ -143,9 +142,8 @@ def profile(docs: DataFrame, k: int, percent: int, rank) -> DataFrame:
     return docs.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, n long, s1 long, s2 long, gid long, bm binary")
 
 
-def _index(docs: DataFrame, k: int, percent: int, rank, bits: int) -> DataFrame:
+def _index(docs: DataFrame, k: int, percent: int, shared, bits: int) -> DataFrame:
     """Prefix shingles by hash range: a row holds runs (gid, n, how many) and their shingles with positions. A task tells each group once."""
-    shared = docs.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches):
         rank, told = shared.value, set()
@@ -249,7 +247,7 @@ def _meet(percent: int, most: int):
 def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar."""
     small = classes.select("cid", "n", "bm")
-    met = pairs.join(small.toDF("a", "na", "ba"), "a").where("ba is not null").join(small.toDF("b", "nb", "bb"), "b")
+    met = pairs.join(small.toDF("a", "na", "ba").hint("merge"), "a").where("ba is not null").join(small.toDF("b", "nb", "bb").hint("merge"), "b")
 
     def near(batches):
         for batch in batches:
@@ -258,33 +256,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(far * (100 + percent) <= (100 - percent) * n))
 
     left = met.select("a", "b", "na", "nb", "ba", "bb").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).mapInArrow(near, "a long, b long")
-    both = left.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+    both = left.join(sets.toDF("b", "sb").hint("merge"), "b").join(sets.toDF("a", "sa").hint("merge"), "a")
     both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
     return both.where(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, few: int = FEW) -> DataFrame:
-    """doc_id, th (key of the text), n_shingles, component_id (smallest doc_id reachable by links, itself included), label (of the component; null for empty sets). Shingles of at most `few` groups give all their pairs at once."""
-    spark = session(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    rank = sketch(docs, k)
-    seen = materialize(profile(docs, k, percent, rank), "profile")
-    key = ["n", "s1", "s2"]
-    classes = seen.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "th", "gid", "bm")).alias("x"), F.min("doc_id").alias("least"))
-    classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), *key, "least", F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th"), F.col("x.gid").alias("gid"), F.col("x.bm").alias("bm")), "classes")
-    groups = classes.groupBy("gid").agg(F.min("cid").alias("lead"), F.count("*").alias("size"))
-    bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    met = materialize(_index(docs, k, percent, rank, bits).groupBy("rng").applyInArrow(_meet(percent, few), "kind int, bucket long, a array<long>, b array<long>"), "met")
-    pairs = met.where("kind = 0").select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    big = met.where("kind = 1").select("bucket", F.explode(F.arrays_zip("a", "b")).alias("p")).groupBy("bucket", F.col("p.a").alias("gid")).agg(F.min("p.b").alias("pos"))
-    members = classes.join(groups, "gid").select("gid", "cid", "lead", "size", "n")
-    lead = groups.select("gid", "lead", "size")
-    by_group = pairs.join(lead.toDF("a", "la", "ka"), "a").join(lead.toDF("b", "lb", "kb"), "b")
-    inside = members.where("cid != lead").select(F.col("lead").alias("a"), F.col("cid").alias("b"))
-    first = materialize(by_group.select(F.col("la").alias("a"), F.col("lb").alias("b")).union(inside).distinct(), "pairs")
-    # sets of all classes that can be in a pair
-    touched = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).union(groups.where("size > 1").select("gid")).union(big.select("gid")).distinct()
-    needed = classes.join(touched, "gid", "left_semi").select("cid", F.col("doc_id").alias("_d"), F.col("th").alias("_th"))
+def _sets_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
+    """cid, s (sorted shingles) of the classes in needed (cid, _d, _th)."""
 
     def make(batches):
         for batch in batches:
@@ -298,32 +276,83 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, f
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["cid", "s"])
 
     own = docs.withColumn("_k", text_key())
-    texts = _maybe(own, needed).join(needed, (own["_k"] == needed["_th"]) & own["doc_id"].eqNullSafe(needed["_d"])).select("cid", "text")
-    sets = materialize(texts.mapInArrow(make, "cid long, s array<long>"), "sets").dropDuplicates(["cid"]) if _repeats(own) else materialize(texts.mapInArrow(make, "cid long, s array<long>"), "sets")
+    texts = _maybe(own, needed).join(needed.hint("merge"), (own["_k"] == needed["_th"]) & own["doc_id"].eqNullSafe(needed["_d"])).select("cid", "text")
+    sets = materialize(texts.mapInArrow(make, "cid long, s array<long>"), "sets")
+    return sets.dropDuplicates(["cid"]) if _repeats(own) else sets
+
+
+def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components in one bucket that pass the size and the position filter.
+
+    rows: bucket, cid, n, label, pos. Only classes in the same or the next band of sizes meet, and of
+    a bucket only rows that some other component of these bands faces.
+    """
+    wide = float(np.log(100 / percent))
+    band = F.floor(F.log(F.col("n").cast("double")) / wide + 1e-9).cast("int")
+    rows = rows.withColumn("band", band)
+    x = rows.toDF("bucket", "a", "na", "la", "pa", "band")
+    y = rows.toDF("bucket", "b", "nb", "lb", "pb", "own").withColumn("band", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)))
+    like = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    need = percent * (F.col("na") + F.col("nb"))
+    shared = ((100 + percent) * (F.col("na") - F.col("pa")) >= need) & ((100 + percent) * (F.col("nb") - F.col("pb")) >= need)
+    return x.join(y.drop("own").hint("merge"), ["bucket", "band"]).where((F.col("la") < F.col("lb")) & like & shared).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, few: int = FEW) -> DataFrame:
+    """doc_id, th (key of the text), n_shingles, component_id (smallest doc_id reachable by links, itself included), label (of the component; null for empty sets). Shingles of at most `few` groups give all their pairs at once.
+
+    The driver holds the sketch and plans of single steps only: every step is a written table, joins
+    are never broadcast, and what a step used is released before the next.
+    """
+    spark = session(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+    shared = spark.sparkContext.broadcast(sketch(docs, k))
+    seen = materialize(profile(docs, k, percent, shared), "profile")
+    key = ["n", "s1", "s2"]
+    classes = seen.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "th", "gid", "bm")).alias("x"), F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), *key, "least", "rows", F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th"), F.col("x.gid").alias("gid"), F.col("x.bm").alias("bm")), "classes")
+    bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    met = materialize(_index(docs, k, percent, shared, bits).groupBy("rng").applyInArrow(_meet(percent, few), "kind int, bucket long, a array<long>, b array<long>"), "met")
+    shared.unpersist()
+    tidy(spark)
+    groups = materialize(classes.groupBy("gid").agg(F.min("cid").alias("lead"), F.count("*").alias("size")), "groups")
+    pairs = met.where("kind = 0").select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    big = met.where("kind = 1").select("bucket", F.explode(F.arrays_zip("a", "b")).alias("p")).groupBy("bucket", F.col("p.a").alias("gid")).agg(F.min("p.b").alias("pos"))
+    lead = groups.select("gid", "lead", "size")
+    by_group = materialize(pairs.join(lead.toDF("a", "la", "ka").hint("merge"), "a").join(lead.toDF("b", "lb", "kb").hint("merge"), "b"), "pairs")
+    members = classes.join(groups.hint("merge"), "gid").select("gid", "cid", "lead", "size", "n")
+    inside = members.where("cid != lead").select(F.col("lead").alias("a"), F.col("cid").alias("b"))
+    first = by_group.select(F.col("la").alias("a"), F.col("lb").alias("b")).union(inside).distinct()
+    # sets of all classes that can be in a pair
+    touched = by_group.select(F.col("a").alias("gid")).union(by_group.select("b")).union(groups.where("size > 1").select("gid")).union(big.select("gid")).distinct()
+    needed = classes.join(touched.hint("merge"), "gid", "left_semi").select("cid", F.col("doc_id").alias("_d"), F.col("th").alias("_th"))
+    sets = _sets_of(docs, materialize(needed, "needed"), k)
+    tidy(spark)
     edges = materialize(_verified(first, classes, sets, percent), "links")
-    label = components(edges)
-    named = members.join(label.withColumnRenamed("node", "cid"), "cid", "left").select("gid", "cid", "n", "size", F.coalesce("label", "cid").alias("label"))
+    label, hubs = components(edges)
+    named = members.join(label.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("gid", "cid", "n", "size", F.coalesce("label", "cid").alias("label"))
+    named = materialize(named, "named")
     # what the first round left open: buckets, groups and pairs of groups with several components
-    rows = big.join(named, "gid").select("bucket", "cid", "n", "label", "pos").union(named.where("size > 1").select(F.col("gid").alias("bucket"), "cid", "n", "label", F.lit(0).cast("long")))
+    rows = big.join(named.hint("merge"), "gid").select("bucket", "cid", "n", "label", "pos").union(named.where("size > 1").select(F.col("gid").alias("bucket"), "cid", "n", "label", F.lit(0).cast("long")))
+    rows = materialize(rows, "buckets")
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
-    rows = rows.join(mixed, "bucket", "left_semi")
-    x, y = rows.toDF("bucket", "a", "na", "la", "pa"), rows.toDF("bucket", "b", "nb", "lb", "pb")
-    like = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    need = percent * (F.col("na") + F.col("nb"))
-    first_shared = ((100 + percent) * (F.col("na") - F.col("pa")) >= need) & ((100 + percent) * (F.col("nb") - F.col("pb")) >= need)
-    open_pairs = x.join(y, "bucket").where((F.col("la") < F.col("lb")) & like & first_shared).select("a", "b")
+    rows = materialize(rows.join(mixed.hint("merge"), "bucket", "left_semi"), "buckets")
     wide = by_group.where("ka > 1 or kb > 1").select("a", "b")
     m = named.select("gid", "cid", "n", "label")
-    wide = wide.join(m.toDF("a", "ca", "na", "la"), "a").join(m.toDF("b", "cb", "nb", "lb"), "b").where((F.col("la") != F.col("lb")) & like).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    both = open_pairs.union(wide).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    like = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    wide = wide.join(m.toDF("a", "ca", "na", "la").hint("merge"), "a").join(m.toDF("b", "cb", "nb", "lb").hint("merge"), "b").where((F.col("la") != F.col("lb")) & like).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    both = materialize(_open_pairs(rows, percent).union(wide).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    tidy(spark)
     more = materialize(_verified(both, classes, sets, percent), "links")
     if more.take(1):
-        label = components(label.where("node != label").toDF("a", "b").union(more))
+        label, hubs = components(label.where("node != label").toDF("a", "b").union(more))
     # the smallest doc_id of each component
-    root = classes.join(label.withColumnRenamed("node", "cid"), "cid", "left").select(*key, "least", F.coalesce("label", "cid").alias("label"))
+    root = classes.join(label.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("cid", *key, "least", F.coalesce("label", "cid").alias("label"))
+    root = materialize(root, "roots")
     best = root.groupBy("label").agg(F.min("least").alias("component_id"))
-    final = root.join(best, "label").select(*key, "component_id", "label")
-    out = seen.select("doc_id", "th", *key).join(final, key, "left")
+    final = spread_join(root, best, "label", "cid", hubs).select(*key, "component_id", "label")
+    hot = [r.s1 for r in classes.where(F.col("rows") > max(LEAST, seen.count() // SHARE)).select("s1").collect()]  # at most SHARE
+    out = spread_join(seen.select("doc_id", "th", *key), final, key, "doc_id", hot, "s1", "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 
 
@@ -344,11 +373,12 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     found = materialize(found.select("doc_id", "th", "label"), "components")
     first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("x"))
     stay = first.select(F.col("x.doc_id").alias("_d"), F.col("x.th").alias("_t")).union(found.where("label is null").select("doc_id", "th").distinct())
-    own = docs.withColumn("_k", text_key())
-    kept = own.join(stay, (own["_k"] == stay["_t"]) & own["doc_id"].eqNullSafe(stay["_d"]), "left_semi")
+    at, d, t = (unused(docs, name) for name in ("_at", "_d", "_t"))
+    own, stay = docs.withColumn(at, text_key()), stay.toDF(d, t)
+    kept = own.join(stay.hint("merge"), (F.col(at) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d)), "left_semi")
     if found.where("label is not null").groupBy("doc_id", "th").count().where("count > 1").take(1):
-        kept = kept.dropDuplicates(["doc_id", "_k"])
-    return kept.drop("_k")
+        kept = kept.dropDuplicates(["doc_id", at])
+    return kept.drop(at)
 
 
 def _repeats(own: DataFrame) -> bool:
