@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -71,6 +72,20 @@ def test_repeated_rows_and_ids(spark):
         assert op.deduplicate(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("inside", [True, False])
+def test_short_passage_with_many_surroundings(spark, inside):
+    """A passage shorter than a repeat that very many texts hold, all else random: nothing is removed."""
+    rng = random.Random(7)
+    letters, n = "abcdefghijklmnopqrstuvwxyz", 20_000
+    if inside:
+        make = lambda: " ".join("".join(rng.choices(letters, k=5)) for _ in range(14)) + " " + " ".join(f"same{i}" for i in range(12)) + " " + " ".join("".join(rng.choices(letters, k=5)) for _ in range(14))
+    else:
+        make = lambda: "".join(rng.choices(letters, k=40)) + "thirty bytes that all texts hold" + "".join(rng.choices(letters, k=40))
+    df = spark.createDataFrame(((i, make()) for i in range(n)), "doc_id long, text string").repartition(8)
+    op = substring_dedup if inside else suffix_dedup
+    assert op.digest(op.deduplicate(df)).where("n_removed > 0").count() == 0
+
+
 def test_texts_are_shuffled_once(spark):
     df, _ = documents(spark)
     out = substring_dedup.deduplicate(df)
@@ -84,11 +99,11 @@ def test_equal_halves_of_segment_hashes(spark, monkeypatch, half):
     anchors = repeats._anchors
 
     def poor(*args):
-        at, g, s = anchors(*args)
+        at, g, s, sides = anchors(*args)
         cut = s["s" if half == "s2" else "s2"]
         cut[:] = 0
         s[half] &= np.uint64(0xFFFFFFFF)
-        return at, g, s
+        return at, g, s, sides
 
     monkeypatch.setattr(repeats, "_anchors", poor)
     kind = repeats.Kind(50, 16, False, False, None)
@@ -99,3 +114,19 @@ def test_equal_halves_of_segment_hashes(spark, monkeypatch, half):
     ranges = cut.column("rng").to_pylist()
     met = [row for r in sorted(set(ranges)) for row in repeats._meet(kind)([pa.scalar(r)], cut.filter(pa.array([x == r for x in ranges]))).to_pylist()]
     assert not any(row["pos"] for row in met) and any(row["mask"] for row in met)  # nothing is covered, all is open
+
+
+def test_more_tasks_and_buckets_for_more_bytes(spark, monkeypatch, tmp_path):
+    """Counts from bytes, very long texts, and columns with the names of helpers change nothing."""
+    rng = random.Random(5)
+    long = " ".join(f"word{rng.randrange(3000)}" for _ in range(60_000))
+    df, rows = documents(spark, extra=[*EXTRA, (900, long), (901, "before " + long[: len(long) // 2] + " after")], seed=4, n=40)
+    df = df.selectExpr("*", "1 as _null", "2 as _k", "3 as rng", "4 as bucket")
+    df.write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    monkeypatch.setattr(repeats, "BUCKET", 4096)
+    key = lambda rs: sorted((INF if r[0] is None else r[0], *r[1:]) for r in map(tuple, rs))
+    assert key(suffix_dedup.digest(suffix_dedup.deduplicate(df)).collect()) == brute_bytes(rows)
+    assert key(substring_dedup.digest(substring_dedup.deduplicate(df)).collect()) == brute_words(rows)
+    out = substring_dedup.cleaned(df)
+    assert out.columns == df.columns and {(r._null, r._k) for r in out.collect()} == {(1, 2)}

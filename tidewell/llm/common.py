@@ -56,8 +56,10 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def size_of(df: DataFrame) -> int:
-    """Catalyst's estimate of df's bytes; for files that is their size on disk."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of df's sources as Catalyst knows them (of files: on disk); sources of unknown size count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

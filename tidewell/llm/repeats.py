@@ -7,13 +7,16 @@ chain of shuffles of compact blocks (one row holds many anchors), without loops
 1. documents, dealt into buckets, give each anchor's hash and two hashes of 64 bits of its segment:
    all symbols of the windows that can hold the anchor. Exact copies of an earlier text give none.
 2. anchors meet by hash range. One whose segment stands earlier is covered with all its windows;
-   those left over in groups with several segments are open.
+   those left over in groups with several segments are open if they share a half with another one
+   (a window that two anchors share takes in half of the reach on one side, so by 16 bits of these
+   halves' hashes none is missed, and a false match only costs work).
 3. documents give the open anchors' segments, which meet again by hash range; there a method of the
    caller (suffix order with backward extension, or seed extension) decides window by window.
 4. documents take the decisions and are rewritten.
 
-The texts are shuffled once; the exchange is reused by the steps that need them. Ranges and buckets
-grow with spark.sql.shuffle.partitions. Copies, however many, leave one representative before any
+The texts are shuffled once; the exchange is reused by the steps that need them. Ranges, buckets and
+tasks are counted from the bytes of the input (and are no fewer than spark.sql.shuffle.partitions
+asks for), so that what a Python worker holds at once doesn't grow with it. Copies, however many, leave one representative before any
 anchor is made. A passage that very many texts share is covered in step 2 at one row an anchor.
 """
 
@@ -28,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqs
-from .common import nullable, session
+from .common import nullable, session, size_of, unused
 
 U = np.uint64
 #: A segment's two hashes, in a row's bytes and in memory.
 SEGMENT = np.dtype([("s", "<u8"), ("s2", "<u8")])
 LAST = (1 << 63) - 1  # the place in the order of a null doc_id
+#: Bytes of files a bucket (about three times as much text), and the most tasks of a step.
+BUCKET, TASKS = 32 << 20, 20_000
 ANCHORS, FULL, OPEN, DECIDED, COPY, MET = range(6)
 ROW = "rng int, bucket int, kind int, h binary, s binary, doc binary, idx binary, pos binary, mask binary"
 _SCHEMA = pa.schema([(n, pa.int32()) for n in ("rng", "bucket", "kind")] + [(n, pa.binary()) for n in ("h", "s", "doc", "idx", "pos", "mask")])
@@ -100,10 +105,10 @@ def _hashes(sym):
 
 
 def _anchors(kind: Kind, sym, offs):
-    """Places of anchors in a block's symbols, with gram hashes and segment hashes."""
+    """Places of anchors in a block's symbols, with gram hashes, segment hashes and 16 bits for each half of the reach (0: it isn't there)."""
     n, q = len(sym), kind.gram
     if n < kind.length:
-        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, SEGMENT)
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, SEGMENT), np.zeros((0, 2), "<u2")
     total, down = _hashes(sym)
     g = seqs.mix((total[q:] - total[:-q]) * down[: n - q + 1])
     v, p, size, span = g, np.arange(len(g), dtype=np.int32), 1, kind.reach + 1
@@ -120,9 +125,16 @@ def _anchors(kind: Kind, sym, offs):
     place = (at - first).astype(U) * U(0x9E3779B97F4A7C15) + (last - at).astype(U) * U(0xC2B2AE3D27D4EB4F)
     s = np.empty(len(at), SEGMENT)
     s["s"] = seqs.mix((total[last] - total[first]) * down[first] + place)
+    # a window of the anchor takes at least half of the reach on one of its sides
+    half = -(-kind.reach // 2)
+    sides = np.zeros((len(at), 2), "<u2")
+    for side, (a, b) in enumerate(((at - half, at + q), (at, at + q + half))):
+        there = (a >= offs[row]) & (b <= offs[row + 1])
+        a, b = a[there], b[there]
+        sides[there, side] = 1 + seqs.mix((total[b] - total[a]) * down[a]) % U(65535)
     total, down = _hashes(seqs.mix(sym.astype(U) ^ U(0xD6E8FEB86659FD93)))  # other values of the symbols, so another hash
     s["s2"] = seqs.mix((total[last] - total[first]) * down[first] + place)
-    return at, g[at], s
+    return at, g[at], s, sides
 
 
 def _cut(kind: Kind, bits: int):
@@ -140,18 +152,18 @@ def _cut(kind: Kind, bits: int):
         found = []
         for lo, _, data, offs in seqs.blocks(texts):
             sym, offs, _ = _symbols(kind, data, offs)
-            at, g, s = _anchors(kind, sym, offs)
+            at, g, s, sides = _anchors(kind, sym, offs)
             row = np.searchsorted(offs, at, "right") - 1
-            found.append((g, s, doc[use][lo + row], number[use][lo + row], at - offs[row]))
+            found.append((g, s, sides, doc[use][lo + row], number[use][lo + row], at - offs[row]))
         rows = [{"rng": -1 - bucket, "bucket": bucket, "kind": COPY, "idx": number[is_copy].astype("<u4").tobytes()}] if is_copy.any() else []
         if found:
-            g, s, d, i, p = (np.concatenate(x) for x in zip(*found, strict=True))
+            g, s, sides, d, i, p = (np.concatenate(x) for x in zip(*found, strict=True))
             rng = (g >> U(64 - bits)).astype(np.int64)
             o = np.argsort(rng, kind="stable")
             cuts = np.searchsorted(rng[o], np.arange((1 << bits) + 1))
             h = ((g >> U(32 - bits)) & U(0xFFFFFFFF)).astype("<u4")[o]
-            s, d, i, p = (x[o] for x in (s, d.astype("<i8"), i.astype("<u4"), p.astype("<u4")))
-            rows += [{"rng": r, "bucket": bucket, "kind": ANCHORS, "h": h[a:b].tobytes(), "s": s[a:b].tobytes(), "doc": _pack(d[a:b], True), "idx": _pack(i[a:b], True), "pos": _pack(p[a:b], False)} for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+            s, sides, d, i, p = (x[o] for x in (s, sides, d.astype("<i8"), i.astype("<u4"), p.astype("<u4")))
+            rows += [{"rng": r, "bucket": bucket, "kind": ANCHORS, "h": h[a:b].tobytes(), "s": s[a:b].tobytes(), "doc": _pack(d[a:b], True), "idx": _pack(i[a:b], True), "pos": _pack(p[a:b], False), "mask": sides[a:b].tobytes()} for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
         return _rows(rows)
 
     return run
@@ -180,7 +192,7 @@ def _meet(kind: Kind):
         rng = key[0].as_py()
         if rng < 0:
             return table.select(_SCHEMA.names)
-        bucket, h, s = _gather(table, h="<u4", s=SEGMENT)
+        bucket, h, s, sides = _gather(table, h="<u4", s=SEGMENT, mask="<u4")
         doc, idx, pos = _unpack(table, "doc", "<i8", True), _unpack(table, "idx", "<u4", True), _unpack(table, "pos", "<u4", False)
         o = np.argsort(h)
         same = h[o][1:] == h[o][:-1]
@@ -188,7 +200,7 @@ def _meet(kind: Kind):
         if not len(o):
             return _rows([])
         o = o[np.lexsort((pos[o], idx[o], bucket[o], doc[o], s["s2"][o], s["s"][o], h[o]))]
-        bucket, h, s, doc, idx, pos = (x[o] for x in (bucket, h, s, doc, idx, pos))
+        bucket, h, s, sides, doc, idx, pos = (x[o] for x in (bucket, h, s, sides, doc, idx, pos))
         new = np.append(True, (h[1:] != h[:-1]) | (s["s"][1:] != s["s"][:-1]) | (s["s2"][1:] != s["s2"][:-1]))
         first = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
         covered = ~new if kind.inside else doc > doc[first]
@@ -197,7 +209,14 @@ def _meet(kind: Kind):
         at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         if not kind.inside:
             many &= np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
-        wait = ~covered & many[group]
+        wait = np.flatnonzero(~covered & many[group])
+        # whoever shares neither half with another one of its group shares no window with it
+        halves = sides[wait].view("<u2").reshape(-1, 2).astype(np.int64)
+        near = np.zeros(len(wait), bool)
+        for half in halves.T:
+            _, inv, count = np.unique(group[wait] << 16 | half, return_inverse=True, return_counts=True)
+            near |= (half > 0) & (count[inv] > 1)
+        wait = wait[near]
         full = U(rng) << U(32) | h.astype(U)
         pick = lambda m: {"idx": idx[m].astype("<u4"), "pos": pos[m].astype("<u4")}
         # a row for each bucket: covered places in idx and pos, open ones in h, s and mask
@@ -336,18 +355,19 @@ def covered(kind: Kind, texts: pa.Array, side: pa.Table):
 def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str, carry: bool = False) -> DataFrame:
     """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows; carry: they get row, the other columns of docs, too."""
     spark = session(docs.sparkSession)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (4 * parts - 1).bit_length())
+    parts, size = int(spark.conf.get("spark.sql.shuffle.partitions")), size_of(docs)
+    buckets, tasks = max(4 * parts, size // BUCKET), min(size // BUCKET, TASKS)
+    bits = max(4, (max(4 * parts, size // (2 * BUCKET)) - 1).bit_length())
     text = F.coalesce(F.col("text"), F.lit(""))
-    others = [F.struct(F.col("text").isNull().alias("_null"), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
+    others = [F.struct(F.col("text").isNull().alias(unused(docs, "_null")), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"), *others)
-    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(4 * parts)).cast("int").alias("bucket")
+    bucket = F.pmod(F.xxhash64("doc_id", "th", "th2"), F.lit(buckets)).cast("int").alias("bucket")
     dealt = keyed.select(bucket, "doc_id", "th", "th2", "text", *["row"] * carry)
     # copies of a text with a smaller doc_id
     ids = keyed.select("doc_id", "th", "th2").distinct()
     first = ids.groupBy("th", "th2").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     copies = ids.join(first, ["th", "th2"]).where(F.coalesce("doc_id", F.lit(LAST)) > F.col("_first")).select(bucket, *(F.col(c).alias(c) for c in ("doc_id", "th", "th2")))
-    by = lambda df, name: df.groupBy(name)
+    by = lambda df, name: (df.repartition(tasks, name) if tasks > parts else df).groupBy(name)
     cut = by(dealt, "bucket").cogroup(by(copies, "bucket")).applyInArrow(_cut(kind, bits), ROW)
     met = by(cut, "rng").applyInArrow(_meet(kind), ROW)
     shown = by(dealt, "bucket").cogroup(by(met, "bucket")).applyInArrow(_show(kind), ROW)

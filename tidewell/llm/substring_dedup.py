@@ -9,8 +9,8 @@ repeat over the threshold. Overlapping repeats are merged, which leaves maximal
 
 Edge cases. Null text has no words. A null doc_id comes after all others. Rows that repeat doc_id
 and text are one document and get the same result each; different texts with one doc_id are
-documents of their own, in a fixed order. Texts of any length are taken whole. Other columns are
-ignored.
+documents of their own, in a fixed order. doc_id is a whole number, or text that casts to one.
+Texts of any length are taken whole. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
+from .common import unused
 
 LENGTH, GRAM = 20, 8
 U = np.uint64
@@ -87,7 +88,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
     kind = repeats.Kind(length, gram, True, True, extend)
     out = repeats.chain(docs, kind, finish, "text string", carry=True)
-    text = F.when(~F.col("row._null"), F.col("text"))
+    text = F.when(~F.col(f"row.{unused(docs, '_null')}"), F.col("text"))
     cols = [text.alias(c) if c == "text" else F.coalesce(F.length(text), F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]
     return out.select(*cols)
 

@@ -10,7 +10,8 @@ prefixes under length - o. Intervals of one suffix are dropped, and the expansio
 
 Edge cases. Null text is empty. A null doc_id comes after all others. Rows that repeat doc_id and
 text get the same result each; other rows with the same doc_id aren't earlier than one another.
-Removed bytes may cut a character, so what is kept is binary. Other columns are ignored.
+doc_id is a whole number, or text that casts to one. Removed bytes may cut a character, so what is
+kept is binary. Texts of any length are taken whole. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
