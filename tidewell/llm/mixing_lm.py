@@ -1,423 +1,429 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-Texts are tokens (lower-case words, then one end), tokens are bytes and a closing mark, bytes are
-bits. Each bit is predicted from counts under several contexts inside the token (none, the last one
-to four bytes, and all bytes so far), kept in hashed tables. The predictions, as log odds, are mixed
-by weights that a gate selects by how much the longest contexts have seen; the mix is refined by an
-adaptive map from (bits of the byte so far, log odds) to what followed. The bits' log probabilities
-add up to the text's.
-
-A dictionary of all training tokens is mixed with the spelling, with a share learned from the corpus,
-and there is one such dictionary for each class of training texts (their lang, if there is such a
-column); a text's probability is the sum over classes, so scoring never reads lang.
-
-Everything is learned from all training texts: token counts first, then, from those, the tables,
-then weights (online, one step a batch, every occurrence counted, each word seen as if it had
-occurred once less, so that trust in rare contexts is learned honestly) and the map. Partial sums of
-tables, weights and map are added up; none grows with the corpus but the token counts, which stay
-distributed. Scoring looks frequent tokens up in a bounded table and joins the others, with the same
-result.
+Texts are tokens (lower-case words, then one end). A token is told in bits: the frequent tokens, the
+end and one mark for "any other" have a Huffman code. Each bit is predicted from counts under
+several contexts, kept in hashed tables: the code so far alone (which is the dictionary), with the
+last frequent word before, with the previous word, and with the two previous words. The
+predictions, as log odds, are mixed by weights that a gate selects by how much the contexts have
+seen, and the mix is refined by an adaptive map from (place in the code, what the gate saw, log odds)
+to what followed. A token behind the mark "any other" is told by its share of the training tokens
+behind that mark, mixed with its spelling, which bit predictors over bytes give (spelling.py). All
+bits' log probabilities add up to the text's.
+
+Everything is learned from all training texts: token counts first, then the tables, then weights
+(online, one step a chunk, each bit seen as if it had occurred once less, so that trust in rare
+contexts is learned honestly) and the map. Token counts stay distributed; the frequent tokens are at
+most HEAD, taken by a threshold on the count, and the tables grow with the number of training tokens
+up to 2 ** 22 slots a context. Partial sums of tables, weights and map are added up in blocks.
 
 Edge cases. Null and empty texts have the end only. Null doc_id counts as the text "" for the fold.
-Rows that repeat doc_id and text get the same result each. Words of any length are taken whole.
-Without training texts all counts are 0 and every bit costs one. Other columns are ignored.
+Rows that repeat doc_id and text get the same result each. Words and texts of any length are taken
+whole. Without training texts all counts are 0 and every bit of a spelling costs one. Other columns
+are ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import seqs
-from .common import materialize, session, text_key
+from . import seqs, spelling
+from .common import materialize, session, text_key, tidy
 from .toxicity import fold
 
 U = np.uint64
-#: Bits of the tables of contexts: none, 1, 2, 3, 4 bytes, the whole token so far.
-SIZES = (8, 16, 18, 19, 20, 20)
-OFFSETS = np.append(0, np.cumsum([1 << b for b in SIZES]))
-N, GATES, STEPS, HEAD, FLUSH, PIECE, CLASSES = len(SIZES), 64, 33, 500_000, 400_000, 1 << 15, 6
-END, STOP = b"\t", 32  # neither is in a word
+HEAD, FLUSH, CHUNK, BLOCKS, FREQUENT = 1 << 18, 400_000, 1 << 13, 64, 128
+LEVELS, DEPTHS, STEPS = 8, 16, 33
+GATES, ROWS = LEVELS * LEVELS, DEPTHS * LEVELS
+END = b"\t"  # in no word
+STOP, OTHER = 0, 1  # symbols before those of frequent tokens
+#: Contexts: none, last frequent word, previous word, two previous words.
+CONTEXTS = 4
 
 
 @dataclass
 class Model:
-    """While it learns, counts (zeros and ones seen in each slot); after that what they say: log odds and how much was seen."""
-
-    counts: np.ndarray | None  # (2, slots), float32
-    odds: np.ndarray | None = None  # (slots,), float16
-    level: np.ndarray | None = None  # (slots,), uint8
-    weights: np.ndarray | None = None  # (GATES, N + 1)
-    refined: np.ndarray | None = None  # (256 * STEPS)
-
-
-def _bytes_of(words: list[bytes]):
-    """Bytes with closing marks, the word of each byte, and for every context its hash base at each byte."""
-    data = np.frombuffer(b"".join([w + b" " for w in words]), np.uint8)
-    size = np.array([len(w) + 1 for w in words])
-    start = np.repeat(np.cumsum(size) - size, size)
-    word, at = np.repeat(np.arange(len(words)), size), np.arange(len(data))
-    wide = data.astype(U)
-    bases, h = [np.zeros(len(data), U)], np.zeros(len(data), U)
-    for k in range(1, 5):
-        before = np.zeros(len(data), U)
-        before[k:] = wide[:-k]
-        h = h << U(8) | np.where(at - k >= start, before + U(1), U(0))
-        bases.append(h.copy())
-    total = np.zeros(len(data) + 1, U)
-    up, down = seqs.powers(len(data) + 1)
-    np.cumsum((wide + U(1)) * up[: len(data)], out=total[1:])
-    bases.append((total[at] - total[start]) * down[start] + (at - start).astype(U))
-    return data, word, bases
-
-
-def _slots(data, bases, bit: int, part: slice):
-    """The slot of each table for a bit of each byte."""
-    node = (data[part].astype(np.int64) | 256) >> (8 - bit)
-    out = [node]
-    for k in range(1, N):
-        h = seqs.mix((bases[k][part] << U(8) | node.astype(U)) + U(k * 0x9E3779B97F4A7C15 % (1 << 64))) if k > 1 else None
-        out.append(((bases[1][part] & U(255)).astype(np.int64) << 8 | node) if k == 1 else (h >> U(64 - SIZES[k])).astype(np.int64))
-    return node, [s + int(OFFSETS[k]) for k, s in enumerate(out)]
-
-
-def _log_odds(zeros, ones):
-    return np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
-
-
-def _level(seen):
-    return np.minimum(7, np.log2(seen + 1)).astype(np.uint8)
-
-
-def _settle(model: Model) -> Model:
-    """The model as scoring needs it, in an eighth of the size."""
-    slots = model.counts.shape[1]
-    model.odds, model.level = np.empty(slots, np.float16), np.empty(slots, np.uint8)
-    for a in range(0, slots, 1 << 18):
-        part = slice(a, a + (1 << 18))
-        zeros, ones = model.counts[:, part]
-        model.odds[part], model.level[part] = _log_odds(zeros, ones), _level(zeros + ones)
-    model.counts = None
-    return model
-
-
-def _inputs(model, slots, bit=None):
-    """Log odds of every context (a last column of ones), and the gate; while learning, as if the bit had been seen once less."""
-    x, level = [], {}
-    for k, s in enumerate(slots):
-        if bit is None:
-            x.append(model.odds[s].astype(np.float32))
-            if k in (3, 5):
-                level[k] = model.level[s]
-        else:
-            zeros, ones = np.maximum(model.counts[0][s] - (bit == 0), 0), np.maximum(model.counts[1][s] - (bit == 1), 0)
-            x.append(_log_odds(zeros, ones))
-            if k in (3, 5):
-                level[k] = _level(zeros + ones)
-    x.append(np.full(len(x[0]), 0.3, np.float32))
-    return np.stack(x, 1), level[5].astype(np.int64) * 8 + level[3]
-
-
-def _place(node, z):
-    """Buckets around a log odds, and the share of the upper one."""
-    y = (np.clip(z, -8, 7.999) + 8) * 2
-    low = y.astype(np.int64)
-    return node * STEPS + low, y - low
-
-
-def _predict(model, node, x, gate):
-    z = np.einsum("ij,ij->i", x, model.weights[gate])
-    p = 1 / (1 + np.exp(-z))
-    at, up = _place(node, z)
-    fine = model.refined[at] * (1 - up) + model.refined[at + 1] * up
-    return z, np.clip(0.5 * p + 0.5 * fine, 1e-6, 1 - 1e-6)
-
-
-def costs(model: Model, words: list[bytes]) -> np.ndarray:
-    """log10 probability of each word with its closing mark."""
-    out = np.zeros(len(words))
-    data, word, bases = _bytes_of(words)
-    for a in range(0, len(data), PIECE):
-        part = slice(a, min(a + PIECE, len(data)))
-        total = np.zeros(part.stop - a)
-        for bit in range(8):
-            node, slots = _slots(data, bases, bit, part)
-            x, gate = _inputs(model, slots)
-            _, p = _predict(model, node, x, gate)
-            b = data[part] >> (7 - bit) & 1
-            total += np.log10(np.where(b == 1, p, 1 - p))
-        out += np.bincount(word[part], total, len(words))
+    names: np.ndarray  # hashes of the frequent tokens, sorted
+    counts: np.ndarray  # of all symbols
+    codes: np.ndarray
+    lengths: np.ndarray
+    frequent: np.ndarray  # whether a symbol is a frequent word
+    least: np.ndarray  # whether a symbol would be behind the mark, had it occurred once less
+    bits: tuple[int, ...]  # of the contexts' tables
+    tables: np.ndarray | None = None  # zeros << 8 | ones of every slot
+    weights: np.ndarray | None = None  # (CONTEXTS + 1, GATES)
+    refined: np.ndarray | None = None
+    rare: tuple[int, float] = (0, 0.0)  # training tokens behind the mark; the share of such tokens, each seen once less, that are no new ones
+    spelled: spelling.Model | None = None
+    at: np.ndarray = field(init=False)
+
+    def __post_init__(self):
+        self.at = np.append(0, np.cumsum([1 << b for b in self.bits]))
+
+
+def _lut():
+    """Log odds and level of every pair of counts."""
+    zeros, ones = np.divmod(np.arange(1 << 16), 256)
+    return np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32), np.minimum(LEVELS - 1, np.log2(zeros + ones + 1)).astype(np.uint8)
+
+
+ODDS, LEVEL = _lut()
+
+
+def code_lengths(counts: np.ndarray) -> np.ndarray:
+    """Of a Huffman code, by two queues."""
+    n = len(counts)
+    order = np.argsort(counts, kind="stable")
+    leaf, made, up = counts[order].tolist(), [], [0] * (2 * n - 1)
+    i = j = 0
+    for node in range(n, 2 * n - 1):
+        total = 0
+        for _ in range(2):
+            if j >= len(made) or (i < n and leaf[i] <= made[j]):
+                total, up[i], i = total + leaf[i], node, i + 1
+            else:
+                total, up[n + j], j = total + made[j], node, j + 1
+        made.append(total)
+    deep = [0] * (2 * n - 1)
+    for node in range(2 * n - 3, -1, -1):
+        deep[node] = deep[up[node]] + 1
+    out = np.empty(n, np.int64)
+    out[order] = deep[:n]
     return out
 
 
-def _batches(batch, size=1 << 14):
-    """Words and counts of a batch, in runs of about so many bytes."""
-    words = [w.encode() for w in batch.column("token").to_pylist()]
-    n = batch.column("c").to_numpy()
-    lo, held = 0, 0
-    for i, w in enumerate(words):
-        held += len(w) + 1
-        if held >= size:
-            yield words[lo : i + 1], n[lo : i + 1]
-            lo, held = i + 1, 0
-    if lo < len(words):
-        yield words[lo:], n[lo:]
-
-
-def classes_of(docs: DataFrame, most: int = CLASSES - 1) -> list[str]:
-    """The most frequent values of lang, if there is such a column."""
-    if "lang" not in docs.columns:
-        return []
-    rows = docs.groupBy(F.col("lang").cast("string").alias("lang")).count().where("lang is not null").orderBy(F.desc("count"), "lang").limit(most).collect()
-    return [r["lang"] for r in rows]
+def canonical(lengths: np.ndarray) -> np.ndarray:
+    """The codes of these lengths, short ones first."""
+    out, code, last = np.zeros(len(lengths), U), 0, 0
+    order = np.lexsort((np.arange(len(lengths)), lengths))
+    sizes, first = np.unique(lengths[order], return_index=True)
+    for size, a, b in zip(sizes.tolist(), first, np.append(first[1:], len(order)), strict=True):
+        code <<= size - last
+        out[order[a:b]] = U(code) + np.arange(b - a, dtype=U)
+        code, last = code + int(b - a), size
+    return out
 
 
-def vocabulary(docs: DataFrame, langs: list[str]) -> DataFrame:
-    """token, c: how often each token (the end is a tab) stands in docs; c0, c1, ...: in those of each class, the last one being any other."""
-    number = F.lit(len(langs))
-    for i, name in enumerate(langs):
-        number = F.when(F.col("lang").cast("string") == name, i).otherwise(number)
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """token, c: how often each token (the end is a tab) stands in docs."""
 
     def count(batches):
-        table, counts, size = seqs.LOWER.tobytes(), {}, 0
+        table, counts = seqs.LOWER.tobytes(), Counter()
 
         def told():
-            for k, c in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in c], pa.string()), pa.array([k] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], names=["token", "k", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["token", "c"])
             counts.clear()
 
         for batch in batches:
-            for text, k in zip(batch.column("text"), batch.column("k").to_pylist(), strict=True):
-                c = counts.setdefault(k, Counter())
-                c.update((text.as_py() or "").encode().translate(table).split())
-                c[END] += 1
-                if sum(map(len, counts.values())) > FLUSH:
+            for text in batch.column("text"):
+                counts.update((text.as_py() or "").encode().translate(table).split())
+                counts[END] += 1
+                if len(counts) > FLUSH:
                     yield from told()
         yield from told()
 
-    rows = docs.select("text", number.cast("int").alias("k")).mapInArrow(count, "token string, k int, c long")
-    return rows.groupBy("token").agg(F.sum("c").alias("c"), *(F.sum(F.when(F.col("k") == i, F.col("c")).otherwise(0)).alias(f"c{i}") for i in range(len(langs) + 1)))
+    return docs.select("text").mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-BLOCKS = 64
+def _token_hash(data, offs):
+    """The hash of whole tokens, the same as Words.hash gives them in a text."""
+    up, down = seqs.powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=U)
+    np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
+    return seqs.mix((total[offs[1:]] - total[offs[:-1]]) * down[offs[:-1]] + np.diff(offs).astype(U))
+
+
+def _head(vocab: DataFrame, most: int):
+    """Hashes and counts of the most frequent tokens with two occurrences or more, at most so many, by a threshold on the count; and that threshold."""
+    level = F.floor(F.log2("c") * 8).cast("int")  # 8 levels a doubling
+    words = vocab.where((F.col("token") != END.decode()) & (F.col("c") > 1))
+    least, held = None, 0
+    for r in sorted(words.groupBy(level.alias("l")).count().collect(), reverse=True):
+        if held + r["count"] > most:
+            break
+        least, held = r["l"], held + r["count"]
+    if least is None:
+        return np.zeros(0, U), np.zeros(0, np.int64), F.lit(False)
+
+    def name(batches):
+        for batch in batches:
+            for lo, hi, data, offs in seqs.blocks(batch.column("token")):
+                yield pa.RecordBatch.from_arrays([seqs.long(_token_hash(data, offs)), batch.column("c").slice(lo, hi - lo)], names=["h", "c"])
+
+    got = words.where(level >= least).select("token", "c").mapInArrow(name, "h long, c long").toArrow()
+    h, c = got.column("h").to_numpy().view(U), got.column("c").to_numpy()
+    o = np.argsort(h)
+    return h[o], c[o], (F.col("c") > 1) & (level >= least)
+
+
+class Sequence:
+    """The tokens of a block's texts, each text closed by its end: symbols, the text of each, and what each context knows before it."""
+
+    def __init__(self, model: Model, data, offs):
+        self.words = w = seqs.Words(data, offs, seqs.LOWER)
+        h = w.hash()
+        k = np.minimum(np.searchsorted(model.names, h), max(len(model.names) - 1, 0))
+        known = model.names[k] == h if len(model.names) else np.zeros(len(h), bool)
+        rows = len(offs) - 1
+        n = np.diff(w.offs)
+        self.text = np.repeat(np.arange(rows), n + 1)
+        self.first = np.cumsum(n + 1) - (n + 1)  # of each text
+        place = np.arange(len(h)) + np.repeat(np.arange(rows), n)  # of the words
+        self.symbol = np.full(len(self.text), STOP, np.int64)
+        self.symbol[place] = np.where(known, k + 2, OTHER)
+        self.word = np.full(len(self.text), -1)
+        self.word[place] = np.arange(len(h))
+        own = np.zeros(len(self.text) + 1, np.uint32)  # a short name of each token; the last one is that of none
+        own[place] = (h >> U(32)).astype(np.uint32) | np.uint32(1)
+        at = np.arange(len(self.text))
+        start = self.first[self.text]
+        one, two = np.where(at - 1 >= start, at - 1, -1), np.where(at - 2 >= start, at - 2, -1)
+        last = np.maximum.accumulate(np.where(model.frequent[self.symbol], at, -1))
+        last = np.append(-1, last[:-1])
+        last = np.where(last >= start, last, -1)
+        both = own[one] * np.uint32(0x9E3779B1) ^ own[two] * np.uint32(0x85EBCA77)
+        self.contexts = [None, own[last] * np.uint32(0xC2B2AE3D) + np.uint32(1), own[one] * np.uint32(0x27D4EB2F) + np.uint32(2), both * np.uint32(0x165667B1) + np.uint32(3)]
+
+
+def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
+    """Of the tokens a to b: the token, depth, and bit of each bit of their codes, and its slot in each table."""
+    symbol = seq.symbol[a:b] if symbol is None else symbol
+    size = model.lengths[symbol]
+    token = np.repeat(np.arange(b - a), size)
+    ends = np.cumsum(size)
+    depth = np.arange(len(token)) - np.repeat(ends - size, size)
+    rest = (size[token] - depth).astype(U)
+    code = model.codes[symbol][token]
+    node = U(1) << depth.astype(U) | code >> rest
+    bit = (code >> (rest - U(1)) & U(1)).astype(np.uint8)
+    node = (node * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32)
+    slots = []
+    for j, c in enumerate(seq.contexts):
+        h = node if c is None else (node ^ c[a:b][token]) * np.uint32(0x9E3779B1)
+        slots.append((h >> np.uint32(32 - model.bits[j])).astype(np.int64) + int(model.at[j]))
+    return token, ends, depth, bit, slots
+
+
+def _inputs(model: Model, slots, bit=None, counted=None):
+    """Log odds of every context and the gate; while learning, as if bits that were counted had been seen once less."""
+    x, level = [], []
+    for s in slots:
+        v = model.tables[s].astype(np.int64)
+        if bit is not None:
+            n = np.where(bit, v & 255, v >> 8)
+            v -= np.where(counted & (n > 0) & (n < 128), np.where(bit, 1, 256), 0)
+        x.append(ODDS[v])
+        level.append(LEVEL[v])
+    return x, level[3].astype(np.int64) * LEVELS + level[2], level[2]
+
+
+def _mixed(weights, x, gate):
+    z = weights[len(x)][gate] * np.float32(0.3)
+    for w, y in zip(weights, x, strict=False):
+        z += w[gate] * y
+    return np.clip(z, -12, 12)
+
+
+def _place(depth, level, z):
+    """Buckets around a log odds, and the share of the upper one."""
+    y = (np.clip(z, -8, 7.999) + 8) * 2
+    low = y.astype(np.int64)
+    return (np.minimum(depth, DEPTHS - 1) * LEVELS + level) * STEPS + low, y - low
+
+
+def _probability(model: Model, slots, depth):
+    """Of a one, for each bit."""
+    x, gate, level = _inputs(model, slots)
+    z = _mixed(model.weights, x, gate)
+    at, up = _place(depth, level, z)
+    fine = model.refined[at] * (1 - up) + model.refined[at + 1] * up
+    return np.clip(0.5 / (1 + np.exp(-z)) + 0.5 * fine, 1e-6, 1 - 1e-6)
 
 
-def _tables(vocab: DataFrame) -> np.ndarray:
-    """Counts of zeros and ones in every slot, from all tokens."""
-    slots = int(OFFSETS[-1])
-    width = -(-2 * slots // BLOCKS)
+def token_costs(model: Model, seq: Sequence) -> np.ndarray:
+    """log10 probability of each token's code after what came before it."""
+    out = []
+    for a in range(0, len(seq.symbol), CHUNK):
+        b = min(a + CHUNK, len(seq.symbol))
+        _, ends, depth, bit, slots = _events(model, seq, a, b)
+        p = _probability(model, slots, depth)
+        total = np.append(0.0, np.cumsum(np.log10(np.where(bit, p, 1 - p)), dtype=np.float64))
+        out.append(np.diff(total[np.append(0, ends)]))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def _packed(counts: np.ndarray) -> np.ndarray:
+    """zeros << 8 | ones of pairs of counts; large ones are scaled down together."""
+    most = counts.max(1)
+    small = np.round(counts / np.maximum(1, np.ceil(most / 255))[:, None]).astype(np.uint16)
+    return small[:, 0] << np.uint16(8) | small[:, 1]
+
+
+def _tables(docs: DataFrame, model: Model) -> np.ndarray:
+    """Counts of zeros and ones in every slot, from all texts."""
+    slots = int(model.at[-1])
+    width = -(-slots // BLOCKS)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def count(batches):
-        pairs = [np.zeros(2 << b, np.float64) for b in SIZES]
+        m, n = shared.value, np.zeros(2 * width * BLOCKS, np.uint32)
         for batch in batches:
-            for words, n in _batches(batch, 1 << 18):
-                data, word, bases = _bytes_of(words)
-                weight = n[word].astype(np.float64)
-                for a in range(0, len(data), PIECE * 4):
-                    part = slice(a, min(a + PIECE * 4, len(data)))
-                    for bit in range(8):
-                        _, at = _slots(data, bases, bit, part)
-                        one = (data[part] >> (7 - bit) & 1).astype(np.int64)
-                        for k, place in enumerate(at):
-                            own = 2 * (place - int(OFFSETS[k])) + one
-                            n_own = weight[part]
-                            if k == N - 1:  # tokens seen once would only crowd this table
-                                own, n_own = own[n_own > 1], n_own[n_own > 1]
-                            if k < 3:
-                                pairs[k] += np.bincount(own, n_own, len(pairs[k]))
-                            else:
-                                np.add.at(pairs[k], own, n_own)
-        total = np.concatenate([p.reshape(-1, 2) for p in pairs]).T.astype(np.float32)
-        flat = np.zeros(width * BLOCKS, np.float32)
-        flat[: 2 * slots] = total.ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([x.tobytes() for x in flat.reshape(BLOCKS, width)], pa.binary())], names=["block", "n"])
+            for _, _, data, offs in seqs.blocks(batch.column("text")):
+                seq = Sequence(m, data, offs)
+                for a in range(0, len(seq.symbol), CHUNK):
+                    _, _, _, bit, at = _events(m, seq, a, min(a + CHUNK, len(seq.symbol)))
+                    for s in at:
+                        np.add.at(n, 2 * s + bit, np.uint32(1))
+        # by planes of bytes, which the shuffle's compression makes small
+        planes = (np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in n.reshape(BLOCKS, -1))
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(list(planes), pa.binary())], names=["block", "n"])
+
+    def total(table):
+        out = np.zeros(2 * width, np.int64)
+        for x in table.column("n"):
+            out += np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+        return np.minimum(out, (1 << 32) - 1).astype("<u4")
 
     def add(key, table):
-        total = np.zeros(width, np.float64)
-        for x in table.column("n"):
-            total += np.frombuffer(x.as_buffer(), np.float32)
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "n"])
+        part = np.ascontiguousarray(total(table).view(np.uint8).reshape(-1, 4).T).tobytes()
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([part], pa.binary())], names=["block", "n"])
 
-    part = vocab.mapInArrow(count, "block int, n binary")
+    def settle(key, table):
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(total(table).reshape(-1, 2)).tobytes()], pa.binary())], names=["block", "n"])
+
+    kind = "block int, n binary"
     # first within salts, so that no task adds up what all tasks sent
-    some = part.withColumn("salt", (F.spark_partition_id() % 32)).groupBy("block", "salt").applyInArrow(add, "block int, n binary")
-    rows = some.groupBy("block").applyInArrow(add, "block int, n binary").collect()  # as many numbers as slots
-    out = np.zeros(width * BLOCKS, np.float32)
-    for r in rows:
-        out[r.block * width : (r.block + 1) * width] = np.frombuffer(r.n, np.float32)
-    return out[: 2 * slots].reshape(2, slots)
+    some = docs.select("text").mapInArrow(count, kind).withColumn("salt", F.spark_partition_id() % 8).groupBy("block", "salt").applyInArrow(add, kind)
+    out = np.zeros(width * BLOCKS, np.uint16)
+    for r in some.groupBy("block").applyInArrow(settle, kind).toLocalIterator():  # two bytes a slot in all
+        out[r.block * width : (r.block + 1) * width] = np.frombuffer(r.n, np.uint16)
+    shared.unpersist()
+    return out[:slots]
 
 
-def _fit(vocab: DataFrame, model: Model) -> None:
-    """Weights and map, learned online by every task over its tokens, then averaged by how many bits each has seen."""
-    spark = vocab.sparkSession
-    shared = spark.sparkContext.broadcast(model.counts)
+def _fit(docs: DataFrame, model: Model) -> None:
+    """Weights and map, learned online by every task over its texts, then averaged by how many bits each has seen."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shape = (CONTEXTS + 1, GATES)
+    start = np.full(shape, 0.3)
+    start[-1] = 0
 
     def learn(batches):
-        m = Model(shared.value)
-        w = np.full((GATES, N + 1), 0.3, np.float64)
-        w[:, -1] = 0
-        energy = np.full(w.shape, 1.0)
-        seen, ones = np.zeros(256 * STEPS + 1), np.zeros(256 * STEPS + 1)
-        used = np.zeros(GATES)
+        m = shared.value
+        w, energy, used = start.copy(), np.ones(shape), np.zeros(GATES)
+        seen, ones = np.zeros(ROWS * STEPS + 1), np.zeros(ROWS * STEPS + 1)
         for batch in batches:
-            for words, n in _batches(batch):
-                data, word, bases = _bytes_of(words)
-                weight = n[word].astype(float)
-                # every occurrence counts, but one step shouldn't be one word's
-                pull = np.sqrt(weight)
-                for a in range(0, len(data), PIECE):
-                    part = slice(a, min(a + PIECE, len(data)))
-                    for bit in range(8):
-                        node, slots = _slots(data, bases, bit, part)
-                        b = data[part] >> (7 - bit) & 1
-                        x, gate = _inputs(m, slots, b)
-                        z = np.einsum("ij,ij->i", x, w[gate])
-                        p = 1 / (1 + np.exp(-z))
-                        err = (b - p) * pull[part]
-                        for j in range(N + 1):
-                            g = np.bincount(gate, err * x[:, j], GATES)
-                            energy[:, j] += g * g
-                            w[:, j] += 0.1 * g / np.sqrt(energy[:, j])
-                        used += np.bincount(gate, weight[part], GATES)
-                        at, up = _place(node, z)
-                        for s, share in ((at, 1 - up), (at + 1, up)):
-                            seen += np.bincount(s, share * weight[part], len(seen))
-                            ones += np.bincount(s, share * weight[part] * b, len(ones))
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (w * used[:, None], used, seen, ones)], names=["w", "used", "seen", "ones"])
+            for _, _, data, offs in seqs.blocks(batch.column("text")):
+                seq = Sequence(m, data, offs)
+                for a in range(0, len(seq.symbol), CHUNK):
+                    own = seq.symbol[a : a + CHUNK]
+                    less = m.least[own]  # with one occurrence less they were behind the mark
+                    token, _, depth, bit, slots = _events(m, seq, a, a + len(own), np.where(less, OTHER, own))
+                    x, gate, level = _inputs(m, slots, bit, ~less[token])
+                    z = _mixed(w.astype(np.float32), x, gate)
+                    err = bit - 1 / (1 + np.exp(-z))
+                    for j in range(CONTEXTS + 1):
+                        g = np.bincount(gate, err * x[j] if j < CONTEXTS else err * np.float32(0.3), GATES)
+                        energy[j] += g * g
+                        w[j] += 0.1 * g / np.sqrt(energy[j])
+                    used += np.bincount(gate, minlength=GATES)
+                    at, up = _place(depth, level, z)
+                    for s, share in ((at, 1 - up), (at + 1, up)):
+                        seen += np.bincount(s, share, len(seen))
+                        ones += np.bincount(s, share * bit, len(ones))
+        yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (w * used, used, seen, ones)], names=["w", "used", "seen", "ones"])
 
     def add(key, table):
-        cols = [sum(np.frombuffer(x.as_buffer(), float) for x in table.column(c)) for c in ("w", "used", "seen", "ones")]
-        return pa.table([pa.array([x.tobytes()], pa.binary()) for x in cols], names=["w", "used", "seen", "ones"])
+        cols = [sum(np.frombuffer(y.as_buffer(), float) for y in table.column(c)) for c in ("w", "used", "seen", "ones")]
+        return pa.table([pa.array([y.tobytes()], pa.binary()) for y in cols], names=["w", "used", "seen", "ones"])
 
     kind = "w binary, used binary, seen binary, ones binary"
-    some = vocab.mapInArrow(learn, kind).groupBy((F.spark_partition_id() % 32).alias("salt")).applyInArrow(add, kind).collect()  # 32 rows at most
+    some = docs.select("text").mapInArrow(learn, kind).groupBy((F.spark_partition_id() % 32).alias("salt")).applyInArrow(add, kind).collect()  # 32 rows at most
     shared.unpersist()
     w, used, seen, ones = (sum((np.frombuffer(r[i], float) for r in some), np.zeros(1)) for i in range(4))
-    if not np.size(used) or used.sum() == 0:
-        model.weights, model.refined = np.zeros((GATES, N + 1), np.float32), np.full(256 * STEPS + 1, 0.5, np.float32)
-        return
-    w = w.reshape(GATES, N + 1)
-    start = np.append(np.full(N, 0.3), 0.0)
-    model.weights = ((w + start) / (used[:, None] + 1)).astype(np.float32)
-    centre = np.tile(1 / (1 + np.exp(-(np.arange(STEPS) / 2 - 8))), 256)
+    if np.size(used) == 1:
+        w, used, seen, ones = np.zeros(shape), np.zeros(GATES), np.zeros(ROWS * STEPS + 1), np.zeros(ROWS * STEPS + 1)
+    model.weights = ((w.reshape(shape) + start) / (used + 1)).astype(np.float32)
+    centre = np.tile(1 / (1 + np.exp(-(np.arange(STEPS) / 2 - 8))), ROWS)
     model.refined = ((ones + 4 * np.append(centre, 0.5)) / (seen + 4)).astype(np.float32)
 
 
-def train(docs: DataFrame, usable=None):
-    """(model, vocabulary, N, V) from the documents that usable accepts (by default those whose fold isn't 1)."""
-    session(docs.sparkSession)
+def train(docs: DataFrame, usable=None, most: int = HEAD):
+    """(model, vocabulary with the spelling's cost of each token behind the mark, N, V) from the documents that usable accepts (by default those whose fold isn't 1)."""
+    spark = session(docs.sparkSession)
     docs = docs.where((fold() != 1) if usable is None else usable)
-    vocab = materialize(vocabulary(docs, classes_of(docs)), "vocabulary")
-    total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    model = Model(_tables(vocab))
-    _fit(vocab, model)
-    model = _settle(model)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    vocab = materialize(vocabulary(docs), "vocabulary")
+    total, distinct = (int(x) for x in vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first())
+    names, counts, in_head = _head(vocab, most)
+    is_rare = ~in_head & (F.col("token") != END.decode())
+    ends, rare, again = (int(x or 0) for x in vocab.agg(F.sum(F.when(F.col("token") == END.decode(), F.col("c"))), F.sum(F.when(is_rare, F.col("c"))), F.sum(F.when(is_rare & (F.col("c") > 1), F.col("c")))).first())
+    counts = np.concatenate([[ends, rare], counts])
+    lengths = code_lengths(counts)
+    frequent = np.zeros(len(counts), bool)
+    frequent[2 + np.argsort(-counts[2:], kind="stable")[:FREQUENT]] = True
+    wide = int(np.clip(np.ceil(np.log2(max(total, 1))) + 4, 16, 22))
+    least = np.append([False, False], counts[2:] == counts[2:].min(initial=1 << 62))
+    held = int(counts[least].sum())
+    model = Model(names, counts, canonical(lengths), lengths, frequent, least, (wide, wide, wide, wide))
+    model.tables = _tables(docs, model)
+    tidy(spark)
+    _fit(docs, model)
+    model.rare = rare, (again + held + 0.5) / (rare + held + 1.0)
+    tidy(spark)
+    model.spelled = spelling.train(vocab)
+    shared = spark.sparkContext.broadcast(model.spelled)
 
     def spell(batches):
         for batch in batches:
-            cost = [costs(shared.value, words) for words, _ in _batches(batch, 1 << 18)]
+            cost = [spelling.costs(shared.value, words) for words, _ in spelling._batches(batch, 1 << 18)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(cost) if cost else np.zeros(0))], names=[*batch.schema.names, "cost"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vocab.schema)
-    return model, materialize(vocab.mapInArrow(spell, f"{kinds}, cost double"), "vocabulary"), int(total), int(distinct)
-
-
-def _head(vocab: DataFrame, most: int):
-    """Hashes and counts of the most frequent tokens, at most so many, by a threshold on the count."""
-    level = F.floor(F.log2("c") * 8).cast("int")
-    ks = [c for c in vocab.columns if c[1:].isdigit()]
-    rows = sorted(vocab.groupBy(level.alias("l")).count().collect(), reverse=True)  # 8 levels a doubling
-    least, held = None, 0
-    for r in rows:
-        if held + r["count"] > most:
-            break
-        least, held = r["l"], held + r["count"]
-    if least is None:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, len(ks)), np.uint32)
-
-    def name(batches):
-        for batch in batches:
-            words = batch.column("token")
-            for lo, hi, data, offs in seqs.blocks(words):
-                yield pa.RecordBatch.from_arrays([seqs.long(_token_hash(data, offs)), *(batch.column(c).slice(lo, hi - lo) for c in ("c", "cost", *ks))], names=["h", "c", "cost", *ks])
-
-    got = vocab.where(level >= least).select("token", "c", "cost", *ks).mapInArrow(name, "h long, c long, cost double" + "".join(f", {c} long" for c in ks)).toArrow()
-    h, c = got.column("h").to_numpy().view(U), got.column("c").to_numpy()
-    o = np.argsort(h)
-    return h[o], c[o], got.column("cost").to_numpy()[o], np.stack([got.column(x).to_numpy().astype(np.uint32)[o] for x in ks], 1)
+    spelled = vocab.where(is_rare).mapInArrow(spell, "token string, c long, cost double")
+    return model, materialize(spelled, "vocabulary"), total, distinct
 
 
-def _token_hash(data, offs):
-    """The hash of whole tokens, the same as Words.hash gives them in a text; the end's is that of its tab."""
-    up, down = seqs.powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=U)
-    np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
-    return seqs.mix((total[offs[1:]] - total[offs[:-1]]) * down[offs[:-1]] + np.diff(offs).astype(U))
-
-
-def score(docs: DataFrame, model: Model, vocab: DataFrame, total: int, distinct: int, most: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, model: Model, rare: DataFrame, total: int, distinct: int) -> DataFrame:
     """doc_id, th, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte (of the tokens with their marks)."""
     spark = session(docs.sparkSession)
-    head_h, head_c, head_cost, head_k = _head(vocab, most)
-    ks = [c for c in vocab.columns if c[1:].isdigit()]
-    sums = vocab.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ks), F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1).otherwise(0)), F.lit(0))).first()
-    size_k, again = np.array(sums[:-1], float), int(sums[-1])
-    ends = vocab.where(F.col("token") == END.decode()).select("c", *ks).first() or [0] * (len(ks) + 1)
-    end_c, docs_k = int(ends[0]), np.array(ends[1:], float)
-    prior = np.log((docs_k + 1e-3) / (docs_k + 1e-3).sum())  # of classes
-    share = (again + 0.5) / (total + 1.0)  # of tokens that the dictionary knows, had each occurred once less
-    end = float(costs(model, [END])[0])
-    shared = spark.sparkContext.broadcast((head_h, head_c, head_cost, head_k))
-    floor, ln10 = float(np.log10(total + 0.5 * (distinct + 1))), float(np.log(10))
-
-    def mix(n, cost):
-        """Log probabilities in each class of tokens with so many occurrences there: its dictionary and the spelling share them."""
-        with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(share * n / np.maximum(size_k, 1)), (np.log1p(-share) + ln10 * cost)[:, None])
+    shared = spark.sparkContext.broadcast(model)
+    floor = float(np.log10(total + 0.5 * (distinct + 1)))
 
     def run(batches):
-        hh, hc, cost, hk = shared.value
-        both = mix(hk, cost)
-        with np.errstate(divide="ignore"):
-            stop = np.logaddexp(np.log(share * docs_k / np.maximum(size_k, 1)), np.log1p(-share) + ln10 * end) + prior
-            base_of = np.log10(hc + 0.5) - floor
+        m = shared.value
+        base_of = np.log10(m.counts + 0.5) - floor
         for batch in batches:
             for lo, hi, data, offs in seqs.blocks(batch.column("text")):
-                w = seqs.Words(data, offs, seqs.LOWER)
-                u, at, inv = np.unique(w.hash(), return_index=True, return_inverse=True)
-                k = np.minimum(np.searchsorted(hh, u), max(len(hh) - 1, 0))
-                known = hh[k] == u if len(hh) else np.zeros(len(u), bool)
-                rows, n = hi - lo, np.diff(w.offs)
-                doc, sure = np.repeat(np.arange(rows), n), known[inv]
-                d, i = doc[sure], k[inv[sure]]
-                base = np.bincount(d, base_of[i], rows) + np.log10(end_c + 0.5) - floor
-                by_class = np.stack([np.bincount(d, both[i, j], rows) + stop[j] for j in range(len(size_k))], 1)
-                size = np.bincount(doc, w.ends - w.starts + 1, rows) + 2
-                # the tokens outside the head: one row for each text and token
-                pair, m = np.unique(doc[~sure] * len(u) + inv[~sure], return_counts=True)
-                raw, starts, ends = w.bytes.tobytes(), w.starts[at].tolist(), w.ends[at].tolist()
+                seq, rows = Sequence(m, data, offs), hi - lo
+                w, known = seq.words, seq.symbol != OTHER
+                base = np.bincount(seq.text[known], base_of[seq.symbol[known]], rows)
+                cost = np.bincount(seq.text, token_costs(m, seq), rows)
+                sure = np.bincount(seq.text[known & (seq.symbol != STOP)], minlength=rows) + (m.counts[STOP] > 0)
+                size = np.bincount(seq.text, minlength=rows) + np.bincount(seq.text[seq.word >= 0], (w.ends - w.starts)[seq.word[seq.word >= 0]], rows)
+                # tokens behind the mark: one row for each text and token
+                lack = np.flatnonzero(~known)
+                h = w.hash()[seq.word[lack]]
+                u, at, inv = np.unique(h, return_index=True, return_inverse=True)
+                pair, n = np.unique(seq.text[lack] * max(len(u), 1) + inv, return_counts=True)
+                raw, spot = w.bytes.tobytes(), seq.word[lack][at]
+                starts, ends = w.starts[spot].tolist(), w.ends[spot].tolist()
                 # rows that tell of a text carry a token that is nowhere, so they spread over tasks
                 token = [b"\t%d" % (lo + r) for r in range(rows)] + [raw[starts[x] : ends[x]] for x in (pair % max(len(u), 1)).tolist()]
                 pad = lambda x, kind: pa.concat_arrays([pa.array(x, kind), pa.nulls(len(pair), kind)])  # noqa: B023, E731
                 take = pa.array(np.concatenate([np.arange(rows), pair // max(len(u), 1)]) + lo)
-                classes = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * len(size_k)), pa.array(by_class.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("th").take(take), pa.array(token, pa.binary()).cast(pa.string()), pa.array(np.concatenate([np.zeros(rows, np.int64), m])), pad(n + 1, pa.int64()), pad(np.bincount(d, minlength=rows) + (end_c > 0), pa.int64()), pad(base, pa.float64()), pad(size.astype(np.int64), pa.int64()), pa.concat_arrays([classes, pa.nulls(len(pair), classes.type)])], names=["doc_id", "th", "token", "m", "n_tokens", "n_known", "base", "size", "classes"])
-
-    tails = [f"t{i}" for i in range(len(ks))]
-    model_of = spark.sparkContext.broadcast(model)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("th").take(take), pa.array(token, pa.binary()).cast(pa.string()), pa.array(np.concatenate([np.zeros(rows, np.int64), n])), pad(np.bincount(seq.text, minlength=rows), pa.int64()), pad(sure, pa.int64()), pad(base, pa.float64()), pad(size.astype(np.int64), pa.int64()), pad(cost, pa.float64())], names=["doc_id", "th", "token", "m", "n_tokens", "n_known", "base", "size", "cost"])
 
     def spell(batches):
-        """What tokens outside the head add to each class; the spelling of those that no training text has."""
+        """What tokens behind the mark cost after it; the spelling of those that no training text has."""
+        m = shared.value
+        known, share = m.rare
         for batch in batches:
-            cost, m = batch.column("cost").to_numpy(zero_copy_only=False).copy(), batch.column("m").to_numpy()
-            lack = np.flatnonzero(np.isnan(cost) & (m > 0))
+            own, n = batch.column("own").to_numpy(zero_copy_only=False).copy(), batch.column("m").to_numpy()
+            lack = np.flatnonzero(np.isnan(own) & (n > 0))
             if len(lack):
                 u, inv = np.unique(np.array(batch.column("token").take(pa.array(lack)).to_pylist(), object), return_inverse=True)
                 words, found = [x.encode() for x in u], []
@@ -425,28 +431,28 @@ def score(docs: DataFrame, model: Model, vocab: DataFrame, total: int, distinct:
                 for i, x in enumerate(words):
                     held += len(x) + 1
                     if held > 1 << 18 or i + 1 == len(words):
-                        found.append(costs(model_of.value, words[a : i + 1]))
+                        found.append(spelling.costs(m.spelled, words[a : i + 1]))
                         a, held = i + 1, 0
-                cost[lack] = np.concatenate(found)[inv]
-            n = np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ks], 1)
-            by_class = m[:, None] * mix(n, np.where(m > 0, cost, 0.0))
-            held = [i for i, c in enumerate(batch.schema.names) if c not in (*ks, "cost")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in held), *map(pa.array, by_class.T)], names=[*(batch.schema.names[i] for i in held), *tails])
+                own[lack] = np.concatenate(found)[inv]
+            c = batch.column("c").fill_null(0).to_numpy(zero_copy_only=False)
+            with np.errstate(divide="ignore"):
+                tail = np.logaddexp(np.log(share * c / max(known, 1)), np.log1p(-share) + np.log(10) * np.where(n > 0, own, 0.0)) / np.log(10)
+            held = [i for i, name in enumerate(batch.schema.names) if name != "own"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in held), pa.array(np.where(n > 0, n * tail, 0.0))], names=[*(batch.schema.names[i] for i in held), "tail"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    told = docs.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, token string, m long, n_tokens long, n_known long, base double, size long, classes array<double>")
-    joined = told.join(vocab.select("token", "c", *ks, "cost"), "token", "left").mapInArrow(spell, f"token string, doc_id {kind}, th long, m long, n_tokens long, n_known long, base double, size long, classes array<double>, c long, " + ", ".join(f"{t} double" for t in tails))
-    tail = F.col("m") > 0
+    fields = f"doc_id {kind}, th long, token string, m long, n_tokens long, n_known long, base double, size long, cost double"
+    told = docs.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, fields)
+    joined = told.join(rare.select("token", "c", F.col("cost").alias("own")), "token", "left").select(*told.columns, "c", "own").mapInArrow(spell, f"{fields}, c long, tail double")
+    known = F.col("c").isNotNull() & (F.col("m") > 0)
     per = joined.groupBy("doc_id", "th").agg(
-        F.count("n_tokens").alias("rows"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("sure"), F.max("base").alias("base"), F.max("size").alias("size"), F.max("classes").alias("classes"),
-        F.sum(F.when(tail & F.col("c").isNotNull(), F.col("m")).otherwise(0)).alias("more"),
-        F.sum(F.when(tail, F.col("m") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - floor)).otherwise(0.0)).alias("rest"),
-        *(F.sum(t).alias(t) for t in tails),
+        F.count("n_tokens").alias("rows"), *(F.max(c).alias(c) for c in ("n_tokens", "n_known", "base", "size", "cost")),
+        F.sum(F.when(known, F.col("m")).otherwise(0)).alias("more"),
+        F.sum(F.when(F.col("m") > 0, F.col("m") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - floor)).otherwise(0.0)).alias("rest"),
+        F.sum("tail").alias("tail"),
     )
-    per = per.withColumn("classes", F.zip_with("classes", F.array(*tails), lambda own, tail: own + tail / F.col("rows")))
-    per = per.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).withColumn("top", F.array_max("classes"))
-    # a text is of one class: the sum of their probabilities
-    mixed = (F.col("top") + F.log(F.aggregate("classes", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))) / ln10
+    per = per.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))  # rows that repeat doc_id and text
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
-    out = per.select("doc_id", "th", held.alias("held_out"), "n_tokens", (F.col("sure") + F.col("more") / F.col("rows")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("rest") / F.col("rows")).alias("base_score"), mixed.alias("score"), "size")
+    each = lambda c: F.col(c) / F.col("rows")
+    out = per.select("doc_id", "th", held.alias("held_out"), "n_tokens", (F.col("n_known") + each("more")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + each("rest")).alias("base_score"), (F.col("cost") + each("tail")).alias("score"), "size")
     return out.withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("size")).drop("size")

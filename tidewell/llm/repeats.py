@@ -158,6 +158,7 @@ def _cut(kind: Kind, bits: int):
         rows = [{"rng": -1 - bucket, "bucket": bucket, "kind": COPY, "idx": number[is_copy].astype("<u4").tobytes()}] if is_copy.any() else []
         if found:
             g, s, sides, d, i, p = (np.concatenate(x) for x in zip(*found, strict=True))
+            g = seqs.mix(g + U(0x9E3779B97F4A7C15))  # anchors are smallest hashes, so g itself would crowd the first ranges
             rng = (g >> U(64 - bits)).astype(np.int64)
             o = np.argsort(rng, kind="stable")
             cuts = np.searchsorted(rng[o], np.arange((1 << bits) + 1))

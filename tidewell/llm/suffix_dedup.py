@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import repeats
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 12
 U = np.uint64
 
 
