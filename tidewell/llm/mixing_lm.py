@@ -37,7 +37,7 @@ from .common import materialize, session, text_key, tidy
 from .toxicity import fold
 
 U = np.uint64
-HEAD, FLUSH, CHUNK, BLOCKS, FREQUENT = 1 << 18, 400_000, 1 << 13, 64, 128
+HEAD, FLUSH, CHUNK, BLOCKS, FREQUENT = 1 << 18, 400_000, 1 << 11, 64, 128
 LEVELS, DEPTHS, STEPS = 8, 16, 33
 GATES, ROWS = LEVELS * LEVELS, DEPTHS * LEVELS
 END = b"\t"  # in no word
@@ -194,17 +194,21 @@ def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
     """Of the tokens a to b: the token, depth, and bit of each bit of their codes, and its slot in each table."""
     symbol = seq.symbol[a:b] if symbol is None else symbol
     size = model.lengths[symbol]
-    token = np.repeat(np.arange(b - a), size)
+    token = np.repeat(np.arange(b - a, dtype=np.int32), size)
     ends = np.cumsum(size)
-    depth = np.arange(len(token)) - np.repeat(ends - size, size)
-    rest = (size[token] - depth).astype(U)
-    code = model.codes[symbol][token]
-    node = U(1) << depth.astype(U) | code >> rest
-    bit = (code >> (rest - U(1)) & U(1)).astype(np.uint8)
-    node = (node * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32)
+    depth = np.arange(len(token), dtype=np.int32)
+    depth -= np.repeat((ends - size).astype(np.int32), size)
+    kind = np.uint32 if model.lengths.max() < 31 else U
+    rest = (np.repeat(size.astype(kind), size)) - depth.astype(kind)
+    code = np.repeat(model.codes[symbol].astype(kind), size)
+    node = kind(1) << depth.astype(kind) | code >> rest
+    bit = (code >> (rest - kind(1)) & kind(1)).astype(np.uint8)
+    if kind is U:
+        node = node ^ node >> U(32)
+    node = node.astype(np.uint32) * np.uint32(0x9E3779B1)
     slots = []
     for j, c in enumerate(seq.contexts):
-        h = node if c is None else (node ^ c[a:b][token]) * np.uint32(0x9E3779B1)
+        h = node if c is None else (node ^ np.repeat(c[a:b], size)) * np.uint32(0x9E3779B1)
         slots.append((h >> np.uint32(32 - model.bits[j])).astype(np.int64) + int(model.at[j]))
     return token, ends, depth, bit, slots
 
@@ -212,14 +216,16 @@ def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
 def _inputs(model: Model, slots, bit=None, counted=None):
     """Log odds of every context and the gate; while learning, as if bits that were counted had been seen once less."""
     x, level = [], []
-    for s in slots:
-        v = model.tables[s].astype(np.int64)
+    one = None if bit is None else bit.astype(bool)
+    for j, s in enumerate(slots):
+        v = model.tables[s]
         if bit is not None:
-            n = np.where(bit, v & 255, v >> 8)
-            v -= np.where(counted & (n > 0) & (n < 128), np.where(bit, 1, 256), 0)
+            n = np.where(one, v & np.uint16(255), v >> np.uint16(8))
+            v -= np.where(one, np.uint16(1), np.uint16(256)) * (counted & (n > 0) & (n < 128))
         x.append(ODDS[v])
-        level.append(LEVEL[v])
-    return x, level[3].astype(np.int64) * LEVELS + level[2], level[2]
+        if j > 1:
+            level.append(LEVEL[v])
+    return x, level[1].astype(np.int64) * LEVELS + level[0], level[0]
 
 
 def _mixed(weights, x, gate):
@@ -367,9 +373,10 @@ def train(docs: DataFrame, usable=None, most: int = HEAD):
     frequent = np.zeros(len(counts), bool)
     frequent[2 + np.argsort(-counts[2:], kind="stable")[:FREQUENT]] = True
     wide = int(np.clip(np.ceil(np.log2(max(total, 1))) + 4, 16, 22))
+    codes = int(np.clip(np.ceil(np.log2(len(counts))) + 2, 10, 20))  # nodes are fewer than symbols
     least = np.append([False, False], counts[2:] == counts[2:].min(initial=1 << 62))
     held = int(counts[least].sum())
-    model = Model(names, counts, canonical(lengths), lengths, frequent, least, (wide, wide, wide, wide))
+    model = Model(names, counts, canonical(lengths), lengths, frequent, least, (codes, min(wide, codes + 2), wide, wide))
     model.tables = _tables(docs, model)
     tidy(spark)
     _fit(docs, model)

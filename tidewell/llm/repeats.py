@@ -8,7 +8,7 @@ chain of shuffles of compact blocks (one row holds many anchors), without loops
    all symbols of the windows that can hold the anchor. Exact copies of an earlier text give none.
 2. anchors meet by hash range. One whose segment stands earlier is covered with all its windows;
    those left over in groups with several segments are open if they share a half with another one
-   (a window that two anchors share takes in half of the reach on one side, so by 16 bits of these
+   (a window that two anchors share takes in half of the reach on one side, so by 12 bits of these
    halves' hashes none is missed, and a false match only costs work).
 3. documents give the open anchors' segments, which meet again by hash range; there a method of the
    caller (suffix order with backward extension, or seed extension) decides window by window.
@@ -90,6 +90,18 @@ def _bucket_docs(table: pa.Table):
     return order, np.cumsum(new) - 1, new
 
 
+def _three(x: np.ndarray) -> np.ndarray:
+    """The lowest three bytes of numbers."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3])
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    """The numbers of three bytes each."""
+    out = np.zeros((len(x) // 3, 8), np.uint8)
+    out[:, :3] = x.reshape(-1, 3)
+    return out.view("<u8").ravel()
+
+
 def _symbols(kind: Kind, data, offs):
     if kind.words:
         w = seqs.Words(data, offs, seqs.PLAIN)
@@ -105,10 +117,10 @@ def _hashes(sym):
 
 
 def _anchors(kind: Kind, sym, offs):
-    """Places of anchors in a block's symbols, with gram hashes, segment hashes and 16 bits for each half of the reach (0: it isn't there)."""
+    """Places of anchors in a block's symbols, with gram hashes, segment hashes and 12 bits for each half of the reach (0: it isn't there)."""
     n, q = len(sym), kind.gram
     if n < kind.length:
-        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, SEGMENT), np.zeros((0, 2), "<u2")
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, SEGMENT), np.zeros((0, 3), np.uint8)
     total, down = _hashes(sym)
     g = seqs.mix((total[q:] - total[:-q]) * down[: n - q + 1])
     v, p, size, span = g, np.arange(len(g), dtype=np.int32), 1, kind.reach + 1
@@ -127,14 +139,14 @@ def _anchors(kind: Kind, sym, offs):
     s["s"] = seqs.mix((total[last] - total[first]) * down[first] + place)
     # a window of the anchor takes at least half of the reach on one of its sides
     half = -(-kind.reach // 2)
-    sides = np.zeros((len(at), 2), "<u2")
+    sides = np.zeros(len(at), U)
     for side, (a, b) in enumerate(((at - half, at + q), (at, at + q + half))):
         there = (a >= offs[row]) & (b <= offs[row + 1])
         a, b = a[there], b[there]
-        sides[there, side] = 1 + seqs.mix((total[b] - total[a]) * down[a]) % U(65535)
+        sides[there] |= (U(1) + seqs.mix((total[b] - total[a]) * down[a]) % U(4095)) << U(12 * side)
     total, down = _hashes(seqs.mix(sym.astype(U) ^ U(0xD6E8FEB86659FD93)))  # other values of the symbols, so another hash
     s["s2"] = seqs.mix((total[last] - total[first]) * down[first] + place)
-    return at, g[at], s, sides
+    return at, g[at], s, _three(sides)
 
 
 def _cut(kind: Kind, bits: int):
@@ -162,7 +174,7 @@ def _cut(kind: Kind, bits: int):
             rng = (g >> U(64 - bits)).astype(np.int64)
             o = np.argsort(rng, kind="stable")
             cuts = np.searchsorted(rng[o], np.arange((1 << bits) + 1))
-            h = ((g >> U(32 - bits)) & U(0xFFFFFFFF)).astype("<u4")[o]
+            h = _three(g >> U(40 - bits))[o]
             s, sides, d, i, p = (x[o] for x in (s, sides, d.astype("<i8"), i.astype("<u4"), p.astype("<u4")))
             rows += [{"rng": r, "bucket": bucket, "kind": ANCHORS, "h": h[a:b].tobytes(), "s": s[a:b].tobytes(), "doc": _pack(d[a:b], True), "idx": _pack(i[a:b], True), "pos": _pack(p[a:b], False), "mask": sides[a:b].tobytes()} for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
         return _rows(rows)
@@ -193,7 +205,8 @@ def _meet(kind: Kind):
         rng = key[0].as_py()
         if rng < 0:
             return table.select(_SCHEMA.names)
-        bucket, h, s, sides = _gather(table, h="<u4", s=SEGMENT, mask="<u4")
+        bucket, h, s, sides = _gather(table, h="u1", s=SEGMENT, mask="u1")
+        h, sides = _whole(h), _whole(sides)
         doc, idx, pos = _unpack(table, "doc", "<i8", True), _unpack(table, "idx", "<u4", True), _unpack(table, "pos", "<u4", False)
         o = np.argsort(h)
         same = h[o][1:] == h[o][:-1]
@@ -212,13 +225,13 @@ def _meet(kind: Kind):
             many &= np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
         wait = np.flatnonzero(~covered & many[group])
         # whoever shares neither half with another one of its group shares no window with it
-        halves = sides[wait].view("<u2").reshape(-1, 2).astype(np.int64)
+        halves = np.stack([sides[wait] & U(4095), sides[wait] >> U(12)], 1).astype(np.int64)
         near = np.zeros(len(wait), bool)
         for half in halves.T:
-            _, inv, count = np.unique(group[wait] << 16 | half, return_inverse=True, return_counts=True)
+            _, inv, count = np.unique(group[wait] << 12 | half, return_inverse=True, return_counts=True)
             near |= (half > 0) & (count[inv] > 1)
         wait = wait[near]
-        full = U(rng) << U(32) | h.astype(U)
+        full = U(rng) << U(32) | h
         pick = lambda m: {"idx": idx[m].astype("<u4"), "pos": pos[m].astype("<u4")}
         # a row for each bucket: covered places in idx and pos, open ones in h, s and mask
         rows = {r["bucket"]: r for r in _deal(MET, bucket[covered], **pick(covered))}
@@ -357,8 +370,8 @@ def chain(docs: DataFrame, kind: Kind, finish: Callable, schema: str, carry: boo
     """docs through all steps; finish(kind, table of a bucket's rows, decisions) gives the result's rows; carry: they get row, the other columns of docs, too."""
     spark = session(docs.sparkSession)
     parts, size = int(spark.conf.get("spark.sql.shuffle.partitions")), size_of(docs)
-    buckets, tasks = max(4 * parts, size // BUCKET), min(size // BUCKET, TASKS)
-    bits = max(4, (max(4 * parts, size // (2 * BUCKET)) - 1).bit_length())
+    buckets, tasks = max(2 * parts, size // BUCKET), min(size // BUCKET, TASKS)
+    bits = max(4, (max(parts, size // (2 * BUCKET)) - 1).bit_length())
     text = F.coalesce(F.col("text"), F.lit(""))
     others = [F.struct(F.col("text").isNull().alias(unused(docs, "_null")), *(c for c in docs.columns if c != "text")).alias("row")] if carry else []
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(7), text).alias("th2"), text.alias("text"), *others)
