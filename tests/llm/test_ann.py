@@ -1,4 +1,7 @@
+import os
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.llm import ann
@@ -52,3 +55,32 @@ def test_few_and_none(spark):
     got = sorted(map(tuple, ann.search(df, F.col("vec_id") % 100 == 0).collect()))
     assert [(a, b, c) for a, b, c, _ in got] == [(0, 1, 3), (0, 2, 100), (100, 1, 3), (100, 2, 0)]
     assert ann.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_lonely_and_huge_vectors(spark):
+    """Queries far from everything, of rare lengths or with squares that overflow still get all they can."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in rng.standard_normal(8)]) for i in range(1, 300) if i % 100] + [(100, [1e6] * 8), (200, [-3e200] * 8), (300, [1.0, 2.0, 3.0]), (301, [1.0, 2.0, 4.0]), (300, [1.0, 2.0, 3.0]), (400, [1e-200] + [0.0] * 7)]
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert {q: len(x) for q, x in got.items()} == {100: 10, 200: 10, 300: 1, 400: 10}
+    assert abs(max(s for _, _, s in got[200]) / (3e200 * 8**0.5) - 1) < 1e-12
+    near = sorted((np.sqrt(((np.array(v) - 1e6) ** 2).sum()), i) for i, v in rows if len(v) == 8 and i != 100)[:10]
+    assert [i for _, i, _ in sorted(got[100])] == [i for _, i in near]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are not here")
+def test_recall_on_the_test_tables(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    data = df.toPandas()
+    x, ids = np.stack(data["embedding"]).astype(float), data["vec_id"].to_numpy()
+    hits = total = 0
+    got = ann.search(df, F.col("vec_id") % 100 == 0).toPandas()
+    for q, mine in got.groupby("query_id"):
+        far = np.sqrt(((x[ids == q][0] - x) ** 2).sum(1))
+        edge = np.sort(far[ids != q])[9]
+        hits += (mine["score"] <= edge + 1e-12).sum()
+        total += 10
+        assert len(mine) == 10
+    assert hits >= 0.9 * total

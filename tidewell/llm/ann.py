@@ -13,14 +13,17 @@ Equal vectors are one entry: the k + 1 smallest vec_ids of each are kept, which
 result can hold. Cells with more than `fill` entries are split, and queries visit all their parts.
 
 Edge cases. Vectors that are null, empty, zero, or hold null or non-finite components take no part,
-nor do rows without vec_id. Rows that repeat vec_id and vector count once. Vectors of different
-lengths never meet. With fewer than k others all are returned. Ties go to the smaller vec_id. Other
+nor do rows without vec_id. Of rows that repeat a vec_id one counts, that
+whose vector has the smallest hash. Vectors of different
+lengths never meet. Queries whose cells hold fewer than k others are searched exactly, so that k are
+returned, or all if there are fewer. Distances that are no finite doubles are infinite. Ties go to the smaller vec_id. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -57,14 +60,33 @@ def _by_length(column):
 
 def _nearest(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
     """For each query its k nearest of x: (query, place, exact distance), ties to the smaller id."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _nearest_of(q, x, ids, k)
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of rows; where squares overflow or vanish, of scaled differences."""
+    d = a - b
+    far = np.sqrt((d**2).sum(1))
+    odd = np.flatnonzero(~np.isfinite(far) | ((far < 1e-150) & (d != 0).any(1)))
+    if len(odd):
+        most = np.abs(a[odd] / 2 - b[odd] / 2).max(1)
+        most = np.where(most > 0, most, 1)
+        far[odd] = 2 * most * np.sqrt((((a[odd] / 2 - b[odd] / 2) / most[:, None]) ** 2).sum(1))
+    return far
+
+
+def _nearest_of(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
     near = (q * q).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * q @ x.T
+    odd = ~np.isfinite(near)  # of these the exact distance decides
+    near = np.where(odd, np.inf, near)
     scale = (q * q).sum(1)[:, None] + (x * x).sum(1).max()
     if x.shape[0] > k:
-        edge = np.partition(near, k - 1, axis=1)[:, k - 1 : k] + 1e-9 * scale
-        row, at = np.nonzero(near <= edge)
+        edge = np.partition(near, k - 1, axis=1)[:, k - 1 : k] + 1e-9 * np.where(np.isfinite(scale), scale, 0)
+        row, at = np.nonzero((near <= edge) | odd)
     else:
         row, at = (y.ravel() for y in np.indices(near.shape))
-    far = np.sqrt(((q[row] - x[at]) ** 2).sum(1))
+    far = _far(q[row], x[at])
     o = np.lexsort((ids[at], far, row))
     row, at, far = row[o], at[o], far[o]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -82,7 +104,8 @@ class Index:
         """Whole and fractional cell coordinates."""
         rng = np.random.default_rng([self.seed, table, x.shape[1]])
         a, b = rng.standard_normal((x.shape[1], self.functions)), rng.uniform(size=self.functions)
-        y = x @ a / self.width + b
+        with np.errstate(over="ignore", invalid="ignore"):
+            y = np.clip(np.nan_to_num(x @ a / self.width + b), -(2.0**60), 2.0**60)  # far out, vectors share cells
         return np.floor(y).astype(np.int64), y - np.floor(y)
 
     def name(self, cell: np.ndarray) -> np.ndarray:
@@ -104,6 +127,50 @@ class Index:
         return self.name(self.ranks(x, table)[:, : self.probes])
 
 
+def scanned(entries: DataFrame, q: np.ndarray, k: int) -> DataFrame:
+    """q (place in q), vec_id, far, v: of each block of rows the k + 1 nearest entries of every vector in q, which are few and of one length."""
+    shared = entries.sparkSession.sparkContext.broadcast(q)
+
+    def scan(batches):
+        q = shared.value
+        for batch in batches:
+            ids = batch.column("vec_id").to_numpy()
+            for size, at, x in _by_length(batch.column("v")):
+                if size == q.shape[1]:
+                    row, place, far = _nearest(q, x, ids[at], k + 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(ids[at][place]), pa.array(far), batch.column("v").take(pa.array(at[place]))], names=["q", "vec_id", "far", "v"])
+
+    kind = entries.schema["v"].dataType.simpleString()
+    return entries.select("vec_id", "v").mapInArrow(scan, f"q long, vec_id long, far double, v {kind}")
+
+
+def completed(best: DataFrame, queries: DataFrame, entries: DataFrame, k: int, block: int = 1024) -> DataFrame:
+    """best, with an exact search, in blocks of queries against all rows, for those that have fewer entries than there are to find."""
+    spark = best.sparkSession
+    size = F.size("v").alias("d")
+    there = {r.d: r["count"] for r in entries.groupBy(size).count().collect()}  # a row for each length of vectors
+    many = F.create_map(*(F.lit(x) for d, n in there.items() for x in (d, min(k + 1, n)))) if there else F.lit(None)
+    found = best.groupBy("h1", "h2").agg(F.countDistinct("vec_id").alias("n"))
+    lack = queries.join(found, ["h1", "h2"], "left").where(F.coalesce("n", F.lit(0)) < F.element_at(many, F.size("v"))) if there else queries.limit(0)
+    lack = materialize(lack.select("h1", "h2", "v"), "unfinished")
+    total = lack.count()
+    if not total:
+        return best
+    more, parts = [], -(-total // block)
+    for p in range(parts):
+        rows = lack.where(F.pmod(F.xxhash64("h1"), F.lit(parts)) == p).collect()
+        for d in sorted({len(r.v) for r in rows}):
+            own = [r for r in rows if len(r.v) == d]
+            got = scanned(entries, np.array([r.v for r in own], float), k)
+            names = spark.createDataFrame([(i, r.h1, r.h2) for i, r in enumerate(own)], "q long, h1 long, h2 long")
+            got = got.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy("far", "vec_id"))).where(F.col("n") <= k + 1)
+            more.append(materialize(got.join(names, "q").select("h1", "h2", "vec_id", "far"), "exact"))
+    out = best.join(lack.select("h1", "h2"), ["h1", "h2"], "left_anti").select("h1", "h2", "vec_id", "far")
+    for m in more:
+        out = out.union(m)
+    return out
+
+
 def fit(entries: DataFrame, k: int = K, tables: int = TABLES, functions: int = FUNCTIONS, sample: int = SAMPLE, target: float = TARGET, seed: int = 11) -> Index:
     """entries: vec_id, v of distinct vectors."""
     spark = entries.sparkSession
@@ -115,19 +182,7 @@ def fit(entries: DataFrame, k: int = K, tables: int = TABLES, functions: int = F
     d = max(set(sizes), key=sizes.count)
     own = [r.vec_id for r in chosen if len(r.v) == d]
     q = np.array([r.v for r in chosen if len(r.v) == d], float)
-    shared = spark.sparkContext.broadcast((q, np.array(own)))
-
-    def scan(batches):
-        q, own = shared.value
-        for batch in batches:
-            ids = batch.column("vec_id").to_numpy()
-            for size, at, x in _by_length(batch.column("v")):
-                if size == q.shape[1]:
-                    row, place, far = _nearest(q, x, ids[at], k + 1)
-                    yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(ids[at][place]), pa.array(far), batch.column("v").take(pa.array(at[place]))], names=["q", "vec_id", "far", "v"])
-
-    kind = entries.schema["v"].dataType.simpleString()
-    found = entries.select("vec_id", "v").mapInArrow(scan, f"q long, vec_id long, far double, v {kind}")
+    found = scanned(entries, q, k)
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy("far", "vec_id"))).where(F.col("n") <= k + 1).collect()
     best = [r for r in best if r.vec_id != own[r.q]]
     if not best:
@@ -145,6 +200,7 @@ def fit(entries: DataFrame, k: int = K, tables: int = TABLES, functions: int = F
         if need < len(index.steps):
             index.probes = need + 1
             return index
+    warnings.warn(f"{target:.0%} of the sampled neighbours aren't found with any width tried", stacklevel=2)
     index.probes = len(index.steps)
     return index
 
@@ -154,11 +210,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, fill: int = FILL, *
     spark = session(vectors.sparkSession)
     rows = usable(vectors)
     order = Window.partitionBy("h1", "h2").orderBy("vec_id")
-    # rows that repeat a vec_id and its vector would take two of the places
-    kept = rows.dropDuplicates(["vec_id", "h1", "h2"]).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    # of rows that share a vec_id one takes part
+    one = rows.groupBy("vec_id").agg(F.min(F.struct("h1", "h2", "v")).alias("x")).select("vec_id", "x.*")
+    kept = one.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     kept = materialize(kept, "vectors")
     entries = kept.where("n = 1").drop("n")
-    asking = rows.where(is_query).select("vec_id", "h1", "h2").distinct()
+    asking = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("h1", "h2")).alias("x")).select("vec_id", "x.*")
     queries = asking.select("h1", "h2").distinct().join(entries, ["h1", "h2"])
     index = fit(entries, k, **how)
     kind = entries.schema["v"].dataType.simpleString()
@@ -222,6 +279,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, fill: int = FILL, *
     met = there.groupBy("g").cogroup(visits.groupBy("g")).applyInArrow(rank, "h1 long, h2 long, vec_id long, far double")
     per_query = Window.partitionBy("h1", "h2").orderBy("far", "vec_id")
     best = met.distinct().withColumn("n", F.row_number().over(per_query)).where(F.col("n") <= k + 1).drop("n")
+    best = completed(materialize(best, "found"), queries, entries, k)
     # vectors back to their rows
     named = entries.select(F.col("vec_id").alias("e"), F.col("h1").alias("e1"), F.col("h2").alias("e2"))
     held = kept.select(F.col("h1").alias("m1"), F.col("h2").alias("m2"), F.col("vec_id").alias("m"))

@@ -2,8 +2,8 @@
 
 Training texts and benchmark items are cut into word k-grams; of every window of words the
 smallest k-gram hash is its fingerprint, so each shared span of a window's length shares a
-fingerprint. Training fingerprints pass a bitmap of the benchmark's (of fixed size, so its
-broadcast never grows; it only saves work, the join decides), hits are extended to their whole
+fingerprint. Training fingerprints pass a bitmap of the benchmark's (sized by it, 8 MB at
+most; it only saves work, the join decides), hits are extended to their whole
 window, and windows are joined on fingerprint, length and a 128-bit hash of all their words.
 Whether that join is broadcast is left to Spark's check of the benchmark side's size.
 
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqs
-from .common import session, text_key
+from .common import materialize, session, text_key
 
-GRAM, WINDOW, BITS = 5, 13, 22
+GRAM, WINDOW, BITS, MOST = 5, 13, 22, 26
 _RAW = "doc_id {id}, th long, n_words long, pos int, len int, fp long, w1 long, w2 long"
 
 
@@ -68,24 +68,30 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     """doc_id, th (key of the text), n_words, spans (array of start, length in words), n_hit, items, contaminated (n_hit > 0 and share * n_hit >= n_words)."""
     spark = session(docs.sparkSession)
     test = benchmark_windows(items, window, gram)
-    # at most 2 ** BITS places and window - 1 lengths, however large the benchmark is
-    places = test.select((F.shiftrightunsigned("fp", 64 - BITS)).alias("p"), F.when(F.col("len") < window, F.col("len")).otherwise(0).alias("s")).distinct()
-    found = places.toPandas()
-    short = sorted({int(x) for x in found["s"].unique() if x})
-    bitmap = np.zeros(1 << BITS, bool)
-    bitmap[found["p"].to_numpy(np.int64)] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap).tobytes())
+    test = materialize(test, "benchmark_windows")
+    # eight bits a window or more, as long as the bitmap stays under 2 ** MOST bits (8 MB)
+    bits_of = int(min(MOST, max(BITS, test.count().bit_length() + 3)))
+    place = F.shiftrightunsigned("fp", 64 - bits_of)
+    parts = test.select(F.shiftright(place, 15).alias("part"), place.bitwiseAND(F.lit(32767)).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    short = sorted(r[0] for r in test.where(F.col("len") < window).select("len").distinct().collect())  # at most window - 1
+    bitmap = np.zeros((1 << bits_of) // 8, np.uint8)
+    for r in parts:
+        bitmap[r["part"] * 4096 : (r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(bitmap.tobytes())
 
     def scan(batches):
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
         for batch in batches:
             for lo, hi, data, offs in seqs.blocks(batch.column("text")):
-                n_words, (row, pos, size, *hashes) = _windows(data, offs, window, gram, short, lambda fp, size: bits[fp >> seqs.U(64 - BITS)])
+                n_words, (row, pos, size, *hashes) = _windows(data, offs, window, gram, short, lambda fp, size: bits[fp >> seqs.U(64 - bits_of)])
                 rows = np.arange(hi - lo)
                 at = pa.array(np.concatenate([rows, row]) + lo)
                 none = pa.nulls(hi - lo, pa.int32())
+                # rows that tell of a text, not of a hit, have a length that no window has, and hashes that spread them over tasks
+                apart = seqs.mix(batch.column("th").slice(lo, hi - lo).to_numpy().view(seqs.U) + rows.astype(seqs.U))
+                keys = [pa.array(np.append(np.zeros(hi - lo, np.int32), size.astype(np.int32))), *(seqs.long(np.append(apart, x)) for x in hashes)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(n_words[np.concatenate([rows, row])].astype(np.int64)), *(pa.concat_arrays([none, pa.array(x.astype(np.int32))]) for x in (pos, size)), *(pa.concat_arrays([none.cast(pa.int64()), seqs.long(x)]) for x in hashes)],
+                    [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(n_words[np.concatenate([rows, row])].astype(np.int64)), pa.concat_arrays([none, pa.array(pos.astype(np.int32))]), *keys],
                     names=["doc_id", "th", "n_words", "pos", "len", "fp", "w1", "w2"],
                 )
 

@@ -30,33 +30,42 @@ apache-1.0|apache|90|apache (?:software )?license (?:version )?1 0
 apache|apache license|80|apache (?:software )?license
 apache|asf|60|licensed to the apache software foundation asf
 gpl-3|general public license|90|gnu general public license (?:as published by the free software foundation )?(?:either )?(?:version |v ?)?3(?: 0)?
-gpl-3|gpl|50|(?:gnu )?gpl ?v? ?3(?: 0)?(?: only| or later)?
-gpl-3|gplv3|50|gplv3
+gpl-3|gpl|50|(?:gnu )?gpl (?:v ?)?3(?: 0)?(?: only| or later)?
+gpl-3|gplv3|50|(?:gnu )?gplv3(?: 0)?(?: only| or later)?
+gpl-3|gpl3|50|(?:gnu )?gpl3(?: 0)?(?: only| or later)?
 gpl-3|spdx|60|spdx license identifier gpl 3 0(?: only| or later)?
 gpl-2|general public license|90|gnu general public license (?:as published by the free software foundation )?(?:either )?(?:version |v ?)?2(?: 0)?
-gpl-2|gpl|50|(?:gnu )?gpl ?v? ?2(?: 0)?(?: only| or later)?
-gpl-2|gplv2|50|gplv2
+gpl-2|gpl|50|(?:gnu )?gpl (?:v ?)?2(?: 0)?(?: only| or later)?
+gpl-2|gplv2|50|(?:gnu )?gplv2(?: 0)?(?: only| or later)?
+gpl-2|gpl2|50|(?:gnu )?gpl2(?: 0)?(?: only| or later)?
 gpl-2|spdx|60|spdx license identifier gpl 2 0(?: only| or later)?
 gpl-1|general public license|90|gnu general public license (?:version |v ?)?1(?: 0)?
-gpl-1|gpl|50|(?:gnu )?gpl ?v? ?1(?: 0)?
+gpl-1|gpl|50|(?:gnu )?gpl (?:v ?)?1(?: 0)?
+gpl-1|gplv1|50|(?:gnu )?gplv1(?: 0)?
+gpl-1|gpl1|50|(?:gnu )?gpl1(?: 0)?
 gpl|general public license|80|gnu general public license
 gpl|gpl|60|(?:licensed|released|distributed) under (?:the )?(?:terms of the )?(?:gnu )?gpl
 gpl|free software|70|this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
 gpl|hope that it will be useful|70|distributed in the hope that it will be useful but without any warranty
 lgpl-3|lesser general public|90|gnu lesser general public license (?:version |v ?)?3(?: 0)?
-lgpl-3|lgpl|50|lgpl ?v? ?3(?: 0)?
-lgpl-3|lgplv3|50|lgplv3
+lgpl-3|lgpl|50|lgpl (?:v ?)?3(?: 0)?
+lgpl-3|lgplv3|50|lgplv3(?: 0)?
+lgpl-3|lgpl3|50|lgpl3(?: 0)?
 lgpl-2.1|lesser general public|90|gnu lesser general public license (?:version |v ?)?2 1
-lgpl-2.1|lgpl|50|lgpl ?v? ?2 1
+lgpl-2.1|lgpl|50|lgpl (?:v ?)?2 1
+lgpl-2.1|lgpl2|50|lgpl2 1
 lgpl-2.1|lgplv2|50|lgplv2 1
 lgpl-2|library general public|90|gnu library general public license (?:version |v ?)?2(?: 0)?
-lgpl-2|lgpl|50|lgpl ?v? ?2(?: 0)?
+lgpl-2|lgpl|50|lgpl (?:v ?)?2(?: 0)?
+lgpl-2|lgplv2|50|lgplv2(?: 0)?
+lgpl-2|lgpl2|50|lgpl2(?: 0)?
 lgpl|lesser general public|80|(?:gnu )?lesser general public license
 lgpl|library general public|80|(?:gnu )?library general public license
 lgpl|lgpl|60|under (?:the )?(?:gnu )?lgpl
 agpl-3|affero|90|gnu affero general public license (?:version |v ?)?3(?: 0)?
-agpl-3|agpl|50|agpl ?v? ?3(?: 0)?
-agpl-3|agplv3|50|agplv3
+agpl-3|agpl|50|agpl (?:v ?)?3(?: 0)?
+agpl-3|agplv3|50|agplv3(?: 0)?
+agpl-3|agpl3|50|agpl3(?: 0)?
 agpl-1|affero|90|affero general public license (?:version |v ?)?1(?: 0)?
 agpl|affero|80|(?:gnu )?affero general public license
 agpl|agpl|60|under (?:the )?(?:gnu )?agpl
@@ -84,7 +93,8 @@ bsd-2|spdx|60|spdx license identifier bsd 2 clause
 bsd-4|4 clause|90|(?:bsd 4 clause|4 clause bsd)(?: license)?
 bsd-4|original bsd|80|original bsd license
 bsd-4|advertising materials|70|all advertising materials mentioning features or use of this software must display
-bsd-0|0 clause|90|bsd zero clause license|0 clause bsd(?: license)?
+bsd-0|zero clause|90|bsd zero clause license
+bsd-0|0 clause|90|0 clause bsd(?: license)?
 bsd-0|0bsd|50|0bsd
 bsd-0|zero clause|90|zero clause bsd(?: license)?
 bsd|bsd license|80|(?:the )?bsd license
@@ -94,9 +104,13 @@ isc|isc license|80|isc license
 isc|permission to use copy|70|permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 isc|spdx|60|spdx license identifier isc
 mpl-2|mozilla public|90|mozilla public license (?:version |v ?)?2(?: 0)?
-mpl-2|mpl|50|mpl ?v? ?2(?: 0)?
+mpl-2|mpl|50|mpl (?:v ?)?2(?: 0)?
+mpl-2|mplv2|50|mplv2(?: 0)?
+mpl-2|mpl2|50|mpl2(?: 0)?
 mpl-1.1|mozilla public|90|mozilla public license (?:version |v ?)?1 1
-mpl-1.1|mpl|50|mpl ?v? ?1 1
+mpl-1.1|mpl|50|mpl (?:v ?)?1 1
+mpl-1.1|mplv1|50|mplv1 1
+mpl-1.1|mpl1|50|mpl1 1
 mpl-1.0|mozilla public|90|mozilla public license (?:version |v ?)?1 0
 mpl|mozilla public|80|mozilla public license
 mpl|mpl|60|under (?:the )?mpl
@@ -167,7 +181,8 @@ odc-by|odc by|50|odc by(?: 1 0)?
 pddl|public domain dedication and license|80|open data commons public domain dedication and license
 pddl|pddl|50|pddl(?: 1 0)?
 ogl|open government|80|open government licen[cs]e(?: v?[123] 0)?
-etalab|etalab|80|licence ouverte|etalab(?: 2 0)?
+etalab|licence ouverte|80|licence ouverte
+etalab|etalab|80|etalab(?: 2 0)?
 dl-de|datenlizenz|80|datenlizenz deutschland
 ofl-1.1|open font|90|(?:sil )?open font license (?:version |v ?)?1 1
 ofl|open font|80|(?:sil )?open font license
@@ -222,13 +237,14 @@ llama|llama|80|llama [23]? ?(?:1 )?community license
 fair|fair license|80|fair license
 eiffel|eiffel forum|80|eiffel forum license
 intel|intel open source|80|intel open source license
-naist|naist|80|nara institute of science and technology license
+naist|nara institute|80|nara institute of science and technology license
 proprietary|all rights reserved|30|all rights reserved
 proprietary|confidential and proprietary|60|confidential and proprietary
-proprietary|proprietary license|60|proprietary licen[cs]e
-proprietary|end user license|60|end user licen[cs]e agreement
+proprietary|proprietary|60|proprietary licen[cs]e
+proprietary|end user|60|end user licen[cs]e agreement
 proprietary|eula|50|eula
-no-commercial|non commercial use only|60|(?:for )?non ?commercial use only
+no-commercial|non commercial use only|60|(?:for )?non commercial use only
+no-commercial|noncommercial use only|60|(?:for )?noncommercial use only
 no-commercial|personal use only|60|(?:for )?personal use only
 research-only|research purposes only|60|(?:for )?(?:academic )?research purposes only
 no-derivatives|may not be modified|60|may not be modified or redistributed

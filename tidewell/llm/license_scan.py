@@ -4,7 +4,7 @@ A text is reduced to lower-case words joined by blanks. An index
 from the first words of keywords gates the rules; those whose whole keyword occurs are run, each
 giving spans; a span inside
 another of higher priority (or as high and longer, or the same and earlier in the list) is
-suppressed. Everything is a projection of one row, so nothing is shuffled and no row's cost
+suppressed, in one sweep over sorted spans. Everything is a projection of one row, so nothing is shuffled and no row's cost
 depends on another's.
 
 Edge cases. Null text is empty: no words, no places, empty labels, score 0. Repeated rows are
@@ -21,6 +21,9 @@ from .license_rules import rules
 #: Phrases (words by one blank) and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def let(value: Column, body) -> Column:
     """body of value, which is worked out once a row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -28,7 +31,7 @@ def let(value: Column, body) -> Column:
 
 def words_text(text: Column) -> Column:
     """Lower-case words, each after one blank, and a closing blank; a text without words is one blank."""
-    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    words = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     return F.concat(F.lit(" "), F.when(F.trim(words) == "", F.lit("")).otherwise(F.concat(F.trim(words), F.lit(" "))))
 
 
@@ -46,24 +49,40 @@ def _spans(text: Column, r: Column) -> Column:
     def step(acc, x):
         end = acc["at"] + F.length(x["whole"])
         span = F.struct((end - F.length(x["hit"])).alias("start"), end.alias("end"), r["priority"].alias("priority"), r["order"].alias("order"), r["label"].alias("label"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out")).cast(kind)
+        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
     return F.aggregate(F.arrays_zip(whole.alias("whole"), hit.alias("hit")), none, step, lambda acc: acc["out"])
 
 
-def _beats(e: Column, d: Column) -> Column:
-    longer, same = (e["end"] - e["start"]) > (d["end"] - d["start"]), (e["end"] - e["start"]) == (d["end"] - d["start"])
-    stronger = (e["priority"] > d["priority"]) | ((e["priority"] == d["priority"]) & (longer | (same & (e["order"] < d["order"]))))
-    return stronger & (e["start"] <= d["start"]) & (e["end"] >= d["end"])
+def _unsuppressed(spans: Column, levels: list[int]) -> Column:
+    """The spans that no stronger one contains, in one sweep.
+
+    In the order of start, longer first, then priority, then place in the list, all spans that
+    contain one and could beat it come before it; so for each priority the farthest end so far
+    tells whether one does.
+    """
+    keyed = F.transform(spans, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("low"), d["order"].alias("order"), d["label"].alias("label")))
+    kind = "struct<ends:array<int>,out:array<struct<start:int,end:int,priority:int,order:int,label:string>>>"
+    none = F.struct(F.array(*[F.lit(-1)] * len(levels)).alias("ends"), F.array().alias("out")).cast(kind)
+    listed = F.array(*(F.lit(-x) for x in levels))
+
+    def step(acc, d):
+        at, end = F.array_position(listed, d["low"]).cast("int"), -d["back"]
+        beaten = F.exists(F.slice(acc["ends"], F.lit(1), at), lambda e: e >= end)
+        ends = F.transform(acc["ends"], lambda e, i: F.when(i + 1 == at, F.greatest(e, end)).otherwise(e))
+        own = F.struct(d["start"].alias("start"), end.alias("end"), (-d["low"]).alias("priority"), d["order"].alias("order"), d["label"].alias("label"))
+        return F.struct(ends.alias("ends"), F.when(beaten, acc["out"]).otherwise(F.array_append(acc["out"], own)).alias("out"))
+
+    return F.aggregate(F.array_sort(keyed), none, step, lambda acc: acc["out"])
 
 
-def _detect(t: Column, listed: Column, firsts: list[str]) -> Column:
+def _detect(t: Column, listed: Column, firsts: list[str], levels: list[int]) -> Column:
     """Unsuppressed spans in a words text: first words of keywords, then keywords, then patterns."""
 
     def run(found):
         there = F.filter(listed, lambda r: F.array_contains(found, r["first"]) & F.contains(t, r["keyword"]))
         spans = F.flatten(F.transform(there, lambda r: _spans(t, r)))
-        return let(spans, lambda every: F.filter(every, lambda d: ~F.exists(every, lambda e: _beats(e, d))))
+        return _unsuppressed(spans, levels)
 
     gate = F.array_intersect(F.split(t, " "), F.array(*map(F.lit, firsts)))
     return let(gate, lambda found: F.when(F.size(found) > 0, run(found)))
@@ -78,13 +97,14 @@ def _base(t: Column, n_words: Column, phrase: str, label: str) -> Column:
 def scan(docs: DataFrame, signatures=None, base=BASE) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections (array of first word, word after the last, priority, label)."""
     signatures = signatures or rules()
+    levels = sorted({priority for _, _, priority, _ in signatures}, reverse=True)
     firsts = sorted({k.split()[0] for _, k, _, _ in signatures})
     listed = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(keyword.split()[0]).alias("first"), F.lit(f" {keyword}").alias("keyword"), F.lit(priority).alias("priority"), F.lit(pattern).alias("pattern"), F.lit(i).alias("order")) for i, (label, keyword, priority, pattern) in enumerate(signatures)))
 
     def all_of(t):
         n = (_blanks(t) - 1).cast("long")
         word = lambda at: (_blanks(F.substring(t, F.lit(1), at)) - 1).cast("long")
-        kept = let(_detect(t, listed, firsts), lambda kept: F.transform(kept, lambda d: F.struct(word(d["start"]).alias("first"), (word(d["end"]) + 1).alias("last"), d["priority"].alias("priority"), d["label"].alias("label"))))
+        kept = let(_detect(t, listed, firsts, levels), lambda kept: F.transform(kept, lambda d: F.struct(word(d["start"]).alias("first"), (word(d["end"]) + 1).alias("last"), d["priority"].alias("priority"), d["label"].alias("label"))))
         return F.struct(n.alias("n_words"), F.array_compact(F.array(*(_base(t, n, *b) for b in base))).alias("base"), F.coalesce(kept, F.array()).alias("detections"))
 
     df = docs.select("doc_id", let(words_text(F.col("text")), all_of).alias("_r")).select("doc_id", "_r.*")

@@ -9,8 +9,9 @@ left, and the tightest kind is filled first. A plan row says which pieces of a l
 rank, get which place; pieces find their rank in salted groups, so a length that a third of all
 pieces share is dealt over many tasks.
 
-Edge cases. Null text is empty: one piece that holds only the end id. Repeated rows are
-documents of their own. doc_id may be null. Other columns are ignored. Empty tables give none.
+Edge cases. Null text is empty: one piece that holds only the end id. Texts of any length are taken
+whole and cut into pieces. Repeated rows are documents of their own; pieces that tie in every column
+get places in any order. doc_id may be null. Other columns are ignored. Empty tables give none.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, session
 
-MAX_TOKENS, SALTS, CACHE = 2048, 256, 1_000_000
+#: SALTS groups a length at least, more beyond PER_SALT pieces a group.
+MAX_TOKENS, SALTS, PER_SALT, CACHE = 2048, 256, 500_000, 1_000_000
 _tokenizers: dict = {}
 
 
@@ -173,7 +175,8 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, max_docs
     """
     spark = docs.sparkSession
     cut = materialize(pieces(docs, tokenizer, max_tokens, keep_ids), "pieces")
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, cut.count() // PER_SALT)
+    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     groups = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     counts = {int(r[0]): int(r[1]) for r in groups.groupBy("length").agg(F.sum("_n")).collect()}  # at most max_tokens rows
     tried = [plan(counts, max_tokens, max_docs, max_attention, weights, m) for m in ("norm", "dot")]
