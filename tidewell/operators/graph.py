@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _kept(df: DataFrame) -> DataFrame:
-    """Written to the folder that driver and executors share, and read again."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "/tmp/checkpoints/tidewell"
-    path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tidewell.operators.kept import kept
 
 
 def components(nodes: DataFrame | None, edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component (its smallest node), by neighbour minima and pointer jumping; all of nodes are listed, or those of edges."""
     own = edges.where("a != b")
     pairs = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    both = _kept(own.select(pairs.alias("p")).select("p.a", "p.b").distinct())  # one pass over the edges
+    both = kept(own.select(pairs.alias("p")).select("p.a", "p.b").distinct())  # one pass over the edges
     linked = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
-    labels = _kept(linked.withColumn("moved", F.lit(True)))
+    labels = kept(linked.withColumn("moved", F.lit(True)))
     for _ in range(rounds):
         if labels.where("moved").isEmpty():
             break
@@ -35,7 +22,7 @@ def components(nodes: DataFrame | None, edges: DataFrame, rounds: int = 50) -> D
         further = labels.select(F.col("node").alias("root"), F.col("component").alias("further"))
         met = labels.join(near, labels.node == near.a).join(further, labels.component == further.root)
         least = F.least("component", "near", "further")
-        labels = _kept(met.select("node", least.alias("component"), (least != F.col("component")).alias("moved")))
+        labels = kept(met.select("node", least.alias("component"), (least != F.col("component")).alias("moved")))
     else:
         if not labels.where("moved").isEmpty():
             raise RuntimeError(f"components still change after {rounds} rounds")
@@ -52,4 +39,6 @@ def coauthor_edges(authorships: DataFrame, most_authors: int = 100, sample: int
     people = people.withColumn("_n", F.count("*").over(Window.partitionBy("work_id"))).where(F.col("_n") <= most_authors)
     a, b = people.select("work_id", F.col("author_id").alias("author_id_a"), F.col("name").alias("name_a")), people.select("work_id", F.col("author_id").alias("author_id_b"), F.col("name").alias("name_b"))
     pairs = a.join(b, "work_id").where("author_id_a < author_id_b")
-    return pairs.groupBy("author_id_a", "author_id_b").agg(F.min_by("name_a", "work_id").alias("name_a"), F.min_by("name_b", "work_id").alias("name_b"), F.count("*").alias("shared_work_count"), F.array_join(F.slice(F.sort_array(F.collect_list("work_id")), 1, sample), "; ").alias("sample_work_ids"))
+    # only the works of the sample are collected, however many two people share
+    pairs = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("author_id_a", "author_id_b").orderBy("work_id")))
+    return pairs.groupBy("author_id_a", "author_id_b").agg(F.min_by("name_a", "work_id").alias("name_a"), F.min_by("name_b", "work_id").alias("name_b"), F.count("*").alias("shared_work_count"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("_r") <= sample, F.col("work_id")))), "; ").alias("sample_work_ids"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import ladders, text
 from tidewell.operators.graph import components
+from tidewell.operators.kept import numbered
 
 #: Block sizes and scores.
 NAME_BLOCK, INITIALS_BLOCK = (2, 50), (2, 20)
@@ -50,9 +51,7 @@ def canonical(people: DataFrame, pairs: DataFrame) -> DataFrame:
     member = components(people.select(F.col("author_id").alias("node")), edges)
     best = F.max(F.struct("works", "citations", F.col("orcid").isNotNull().alias("has"), "author_id"))
     strong = people.join(member, people.author_id == member.node).groupBy("component").agg(best.alias("best"), F.count("*").alias("members"))
-    # one row a component; numbered without a single-task sort of the members
-    numbered = strong.withColumn("_n", F.row_number().over(Window.orderBy("component")))
-    out = member.join(numbered, "component")
+    out = member.join(numbered(strong, "component"), "component")
     status = F.when(F.col("members") > 1, F.lit("auto_merged_very_high")).otherwise(F.lit("singleton"))
     return out.select(F.col("node").alias("author_id"), text.surrogate("CR", 8, F.col("_n")).alias("canonical_id"), F.col("best.author_id").alias("canonical_author_id"), F.col("members").alias("member_count"), status.alias("merge_status"), F.when(F.col("node") == F.col("best.author_id"), F.lit("canonical_self")).otherwise(F.lit("mapped_to_canonical")).alias("map_status"))
 

@@ -191,10 +191,10 @@ ORACLES = {
     "work_identifier_claims": _OUT + """, d AS (SELECT work_id, lower(regexp_replace(regexp_replace(trim(doi), '^https?://(dx\\.)?doi\\.org/', '', 'i'), '^doi:', '', 'i')) AS n FROM works_flat WHERE doi IS NOT NULL AND doi <> '')
         SELECT 'idclaim_openalex_' || sha1(work_id) AS claim_id, work_id, 'openalex' AS identifier_type, work_id AS identifier FROM works_flat UNION ALL SELECT 'idclaim_openalex_doi_' || sha1(work_id || n), work_id, 'doi', n FROM d""",
     "discovery_summary": _LOG + "SELECT run_id, status, event_id <> f AS already_present, count(*) AS sightings, count(DISTINCT record_id) AS records FROM (SELECT *, min(event_id) OVER (PARTITION BY record_id) AS f FROM harvest_log) GROUP BY ALL",
-    "upsert_last_wins": _LOG + """, n AS (SELECT record_id, event_id, status, value FROM harvest_log WHERE event_id BETWEEN 300 AND 899 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY event_id DESC) = 1)
-        SELECT record_id, event_id, status, value FROM harvest_log WHERE event_id < 300 AND record_id NOT IN (SELECT record_id FROM n) UNION ALL SELECT * FROM n""",
+    "upsert_last_wins": _LOG + """, n AS (SELECT record_id, event_id, status, value FROM harvest_log WHERE run_id IN ('run1', 'run3') QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY event_id DESC) = 1)
+        SELECT record_id, event_id, status, value FROM harvest_log WHERE run_id NOT IN ('run1', 'run3') AND record_id NOT IN (SELECT record_id FROM n) UNION ALL SELECT * FROM n""",
     "insert_ignore": _LOG + "SELECT record_id, event_id, status, value FROM harvest_log QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY event_id) = 1",
-    "replace_children": _LOG + "SELECT record_id, event_id, status, value FROM harvest_log WHERE (event_id < 500 AND record_id NOT IN (SELECT record_id FROM harvest_log WHERE event_id BETWEEN 900 AND 1099)) OR event_id BETWEEN 900 AND 999",
+    "replace_children": _LOG + "SELECT record_id, event_id, status, value FROM harvest_log WHERE record_id NOT IN (SELECT record_id FROM harvest_log WHERE run_id = 'run1') OR (run_id = 'run1' AND event_id % 2 = 1)",
     "seen_counter_upsert": _LOG + "SELECT record_id, run_id, min(event_id) AS first_seen, max(event_id) AS latest_seen, count(*) AS seen_count FROM harvest_log GROUP BY ALL",
-    "json_flatten_events": _LOG + "SELECT event_id, CAST(json_extract(raw_json, '$.k') AS INT) AS k, true AS is_missing, sha1(raw_json) AS content_hash FROM harvest_log",
+    "json_flatten_events": _LOG + "SELECT event_id, CAST(json_extract(raw_json, '$.k') AS INT) AS k, json_extract(raw_json, '$.missing') IS NULL AS is_missing, sha1(raw_json) AS content_hash FROM harvest_log",
 }

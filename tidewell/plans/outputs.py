@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import ladders, text
+from tidewell.operators.kept import numbered
 
 
 def text_cleaning_review(rows: DataFrame, key: str, column: str, normalise: bool = True) -> DataFrame:
@@ -25,7 +26,7 @@ def canonical_sources(sources: DataFrame) -> DataFrame:
     rows = sources.withColumn("source_key", source_key(F.col("source_id"), F.col("issn_l"), F.col("source_name")))
     one = rows.groupBy("source_key").agg(F.min("source_name").alias("source_name"), F.min("source_type").alias("source_type"), F.min("publisher").alias("publisher"), F.count_distinct("work_id").alias("works"), text.sorted_list(F.col("source_name")).alias("name_variants"), text.sorted_list(F.col("issn")).alias("issn_variants"))
     name, kind = F.col("source_name"), F.col("source_type")
-    out = one.withColumn("canonical_source_id", text.surrogate("CS", 8, F.row_number().over(Window.orderBy("source_key")))).withColumn("derived_source_class", ladders.source_class(name, kind))
+    out = numbered(one, "source_key").withColumn("canonical_source_id", text.surrogate("CS", 8, F.col("_n"))).drop("_n").withColumn("derived_source_class", ladders.source_class(name, kind))
     return out.withColumns({"is_journal_like": ladders.flag(kind == "journal"), "is_repository_like": ladders.flag(kind == "repository"), "is_book_like": ladders.flag(kind.isin("ebook platform", "book series")), "is_missing_source": name.isNull()})
 
 

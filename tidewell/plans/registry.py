@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import text
 from tidewell.operators import graph, store
+from tidewell.operators.kept import kept
 from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers, ror
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
@@ -16,10 +17,21 @@ from tidewell.sources import flatten
 
 
 class Tables:
-    """Views and derived layers of a folder of test tables, made when asked for."""
+    """Views and derived layers of a folder of test tables, made when asked for; with keep, layers that a plan reads several times are written once."""
 
-    def __init__(self, spark, sf_dir):
-        self.spark, self.dir = ship(spark), sf_dir
+    #: Layers that others read more than once.
+    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "institution_map", "tags")
+
+    def __init__(self, spark, sf_dir, keep=False):
+        self.spark, self.dir, self._keep, self._made = ship(spark), sf_dir, keep, {}
+
+    def __getattribute__(self, name):
+        get = super().__getattribute__
+        if name not in Tables.KEPT or not self._keep:
+            return get(name)
+        if name not in self._made:
+            self._made[name] = kept(get(name), name)
+        return self._made[name]
 
     def __getattr__(self, name):
         return view(self.spark, self.dir, name)
@@ -104,8 +116,10 @@ def _components(t):
 
 
 def _upsert(t):
-    rows = t.record_rows
-    return store.upsert(rows.where("event_id < 300"), rows.where("event_id >= 300 AND event_id < 900"), ["record_id"], [F.desc("event_id")])
+    """Of all sightings, those of every second run are in the table, the others come in."""
+    rows = t.harvest_log.select("record_id", "event_id", "status", "value", "run_id")
+    new = F.col("run_id").isin("run1", "run3")
+    return store.upsert(rows.where(~new), rows.where(new), ["record_id"], [F.desc("event_id")]).drop("run_id")
 
 
 def _insert_absent(t):
@@ -115,8 +129,11 @@ def _insert_absent(t):
 
 
 def _replace_children(t):
-    rows = t.record_rows
-    return store.replace_children(rows.where("event_id < 500"), rows.where("event_id >= 900 AND event_id < 1000"), rows.where("event_id >= 900 AND event_id < 1100").select("record_id").distinct(), ["record_id"])
+    """The later half of run1's sightings replaces all children of that run's records; all other rows are in the table."""
+    rows = t.harvest_log.select("record_id", "event_id", "status", "value", "run_id")
+    new = (F.col("run_id") == "run1") & (F.col("event_id") % 2 == 1)
+    parents = rows.where("run_id = 'run1'").select("record_id").distinct()
+    return store.replace_children(rows.where(~new), rows.where(new), parents, ["record_id"]).drop("run_id")
 
 
 def _count_seen(t):
@@ -166,7 +183,7 @@ PLANS = {
     "crossref_scope_v1": lambda t: outputs.scope_books_and_missing(t.tags),
     "crossref_scope_all": lambda t: outputs.scope_all(t.tags),
     "crossref_scope_delta": lambda t: outputs.scope_delta(t.tags, t.fetched),
-    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags, t.fetched.limit(0)).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
+    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags, t.fetched.where(F.lit(False))).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
     "journal_registry": lambda t: t.reg,
     "registry_identifiers": lambda t: outputs.registry_identifiers(t.reg),
     "registry_coverage": lambda t: t.coverage,
@@ -202,12 +219,16 @@ PLANS = {
 }
 
 
-def _run(plan, spark, sf_dir):
-    return plan(Tables(spark, sf_dir))
+#: Plans that read a layer several times.
+LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers")
+
+
+def _run(plan, keep, spark, sf_dir):
+    return plan(Tables(spark, sf_dir, keep))
 
 
 def queries() -> dict:
-    return {name: partial(_run, plan) for name, plan in PLANS.items()}
+    return {name: partial(_run, plan, name in LAYERED) for name, plan in PLANS.items()}
 
 
 def oracle_sql() -> dict:
