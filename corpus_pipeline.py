@@ -2,7 +2,7 @@
 passages are cut, contaminated documents go, and what is left is packed into sequences.
 
 Each stage takes the documents that its predecessor kept. Null and empty texts pass every stage:
-they are clean, linked with nothing, and packed as their end id. Labels and benchmark items are read
+they are clean, linked with nothing, and packed as their end id. Columns of any name pass unchanged. Labels and benchmark items are read
 from the folder of the tables.
 """
 
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, jaccard_join, packing, substring_dedup, toxicity
-from tidewell.llm.common import materialize, text_key
+from tidewell.llm.common import materialize, text_key, unused
 
 
 def clean_toxic(spark, docs, sf_dir):
@@ -34,9 +34,10 @@ def cut_repeats(spark, docs, sf_dir):
 def drop_contaminated(spark, docs, sf_dir):
     """Documents of which less than a twentieth is benchmark text."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")), "contaminated")
-    own = docs.withColumn("_k", text_key())
-    return own.join(bad, (own["_k"] == bad["_t"]) & own["doc_id"].eqNullSafe(bad["_d"]), "left_anti").drop("_k")
+    at, d, t = (unused(docs, name) for name in ("_at", "_d", "_t"))
+    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias(d), F.col("th").alias(t)), "contaminated")
+    own = docs.withColumn(at, text_key())
+    return own.join(bad, (F.col(at) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d)), "left_anti").drop(at)
 
 
 def pack(spark, docs, sf_dir):
