@@ -24,7 +24,7 @@ def write(spark, folder):
             w[-1:] = ["edited"]
         rows.append((i, "\n".join([" ".join(w[:8]), " ".join(w[8:])])))
     rows += [(200, None), (201, ""), (202, rows[1][1]), (202, rows[1][1]), (None, rows[2][1]), (None, "a row without id")]
-    spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "7 as _k", "8 as _d", "9 as _t", "10 as _at", "11 as _null").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(d, 1, int("vile" in (t or ""))) for d, t in rows if d is not None and d < 100], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, " ".join(item)), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return rows
