@@ -14,7 +14,7 @@ Everything is learned from all training texts: token counts first, then the tabl
 (online, one step a chunk, each bit seen as if it had occurred once less, so that trust in rare
 contexts is learned honestly) and the map. Token counts stay distributed; the frequent tokens are at
 most HEAD, taken by a threshold on the count, and the tables grow with the number of training tokens
-up to 2 ** 22 slots a context. Partial sums of tables, weights and map are added up in blocks.
+up to 2 ** 21 slots a context. Partial sums of tables, weights and map are added up in blocks.
 
 Edge cases. Null and empty texts have the end only. Null doc_id counts as the text "" for the fold.
 Rows that repeat doc_id and text get the same result each. Words and texts of any length are taken
@@ -285,9 +285,10 @@ def _tables(docs: DataFrame, model: Model) -> np.ndarray:
                     _, _, _, bit, at = _events(m, seq, a, min(a + CHUNK, len(seq.symbol)))
                     for s in at:
                         np.add.at(n, 2 * s + bit, np.uint32(1))
-        # by planes of bytes, which the shuffle's compression makes small
-        planes = (np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in n.reshape(BLOCKS, -1))
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(list(planes), pa.binary())], names=["block", "n"])
+        # a block a batch, by planes of bytes, which the shuffle's compression makes small
+        for i, x in enumerate(n.reshape(BLOCKS, -1)):
+            planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([planes], pa.binary())], names=["block", "n"])
 
     def total(table):
         out = np.zeros(2 * width, np.int64)
@@ -372,7 +373,7 @@ def train(docs: DataFrame, usable=None, most: int = HEAD):
     lengths = code_lengths(counts)
     frequent = np.zeros(len(counts), bool)
     frequent[2 + np.argsort(-counts[2:], kind="stable")[:FREQUENT]] = True
-    wide = int(np.clip(np.ceil(np.log2(max(total, 1))) + 4, 16, 22))
+    wide = int(np.clip(np.ceil(np.log2(max(total, 1))) + 4, 16, 21))
     codes = int(np.clip(np.ceil(np.log2(len(counts))) + 2, 10, 20))  # nodes are fewer than symbols
     least = np.append([False, False], counts[2:] == counts[2:].min(initial=1 << 62))
     held = int(counts[least].sum())
