@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import text
 from tidewell.operators import graph, store
 from tidewell.operators.kept import kept
-from tidewell.plans import identity, institutions, outputs, provenance, reports, researchers, ror
+from tidewell.plans import identity, institutions, outputs, provenance, records, reports, researchers, ror
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
 from tidewell.session import ship
@@ -217,6 +217,7 @@ PLANS = {
     "json_flatten_events": _json,
     "nfkc_clean": lambda t: outputs.text_cleaning_review(t.spark.read.parquet(f"{t.dir}/documents.parquet"), "doc_id", "text"),
 }
+PLANS |= records.PLANS
 
 
 #: Plans that read a layer several times.
@@ -232,7 +233,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLES)
+    return ORACLES | records.ORACLES
 
 
 def flagship(spark, sf_dir):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.plans.raw_views import RAW_VIEWS
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
 VIEWS = {
@@ -72,6 +74,7 @@ VIEWS = {
         SELECT event_id, 'run' || CAST(user_id % 4 AS STRING) AS run_id, 'w' || CAST(user_id AS STRING) AS record_id, event_type AS status, value, props AS raw_json, CAST(CAST(ts AS TIMESTAMP) AS STRING) AS seen_at
         FROM {events}""",
 }
+VIEWS |= RAW_VIEWS
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:

@@ -88,13 +88,31 @@ def work_sources(raw: DataFrame) -> DataFrame:
     return parse(raw, WORK).where("r.id is not null").select(F.col("r.id").alias("work_id"), F.col(f"{s}.id").alias("source_id"), F.col(f"{s}.display_name").alias("source_name"), F.col(f"{s}.type").alias("source_type"), F.col(f"{s}.publisher").alias("publisher"), F.col(f"{s}.issn_l").alias("issn_l"), F.coalesce(_joined(F.col(f"{s}.issn")), F.lit("")).alias("issn"), "r.primary_location.landing_page_url", "r.primary_location.pdf_url", "r.open_access.is_oa", "r.open_access.oa_status")
 
 
-def institutions(authors: DataFrame) -> DataFrame:
-    """Distinct institutions in authorships; of an id the first by work and place."""
+def _institution_rows(authors: DataFrame) -> DataFrame:
+    """Institutions with an id in authorships whose institutions_json is a list, with their place n."""
     kind = "array<struct<id:string,display_name:string,ror:string,country_code:string,type:string,lineage:array<string>>>"
     good = F.try_parse_json("institutions_json").isNotNull() & F.ltrim("institutions_json").startswith("[")
-    rows = authors.where(good).select("work_id", "author_order", F.posexplode(F.from_json("institutions_json", kind)).alias("n", "i")).where("i.id is not null")
+    return authors.where(good).select("*", F.posexplode(F.from_json("institutions_json", kind)).alias("n", "i")).where("i.id is not null")
+
+
+def institutions(authors: DataFrame) -> DataFrame:
+    """Distinct institutions in authorships; of an id the first by work and place."""
+    rows = _institution_rows(authors)
     first = rows.groupBy(F.col("i.id").alias("institution_id")).agg(F.min_by("i", F.struct("work_id", "author_order", "n")).alias("i"))
-    return first.select("institution_id", F.col("i.display_name").alias("institution_name"), F.col("i.ror").alias("ror"), F.col("i.country_code").alias("country_code"), F.col("i.type").alias("type"), F.to_json(F.coalesce("i.lineage", F.array())).alias("lineage_json"))
+    return first.select(
+        "institution_id", F.col("i.display_name").alias("institution_name"), F.col("i.ror").alias("ror"), F.col("i.country_code").alias("country_code"), F.col("i.type").alias("type"),
+        F.to_json(F.coalesce("i.lineage", F.array())).alias("lineage_json"),
+    )
+
+
+def researcher_institutions(authors: DataFrame) -> DataFrame:
+    """One row an author, institution and work; of several the first by place. Authorships without an author are left out."""
+    rows = _institution_rows(authors.where("author_id is not null"))
+    first = rows.groupBy("author_id", F.col("i.id").alias("institution_id"), "work_id").agg(F.min_by(F.struct("author_name", "i"), F.struct("author_order", "n")).alias("x"))
+    return first.select(
+        "author_id", "x.author_name", "institution_id", F.col("x.i.display_name").alias("institution_name"), F.col("x.i.ror").alias("institution_ror"),
+        F.col("x.i.country_code").alias("institution_country"), F.col("x.i.type").alias("institution_type"), "work_id",
+    )
 
 
 def _year(m: str) -> Column:
