@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import ladders, text
 from tidewell.operators.graph import components
-from tidewell.operators.kept import numbered
+from tidewell.operators.kept import kept, numbered
+from tidewell.plans import researchers
 
 #: Block sizes and scores.
 NAME_BLOCK, INITIALS_BLOCK = (2, 50), (2, 20)
@@ -56,9 +57,48 @@ def canonical(people: DataFrame, pairs: DataFrame) -> DataFrame:
     return out.select(F.col("node").alias("author_id"), text.surrogate("CR", 8, F.col("_n")).alias("canonical_id"), F.col("best.author_id").alias("canonical_author_id"), F.col("members").alias("member_count"), status.alias("merge_status"), F.when(F.col("node") == F.col("best.author_id"), F.lit("canonical_self")).otherwise(F.lit("mapped_to_canonical")).alias("map_status"))
 
 
-def canonical_metrics(mapping: DataFrame, rw: DataFrame, rt: DataFrame) -> DataFrame:
-    works = rw.join(mapping, "author_id").select("canonical_id", "work_id", "work_type", "publication_year", "cited_by_count").distinct()
-    basic = works.groupBy("canonical_id").agg(F.count_distinct("work_id").alias("works"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("citations"), F.min("publication_year").alias("first_year"), F.max("publication_year").alias("last_year"), F.count_distinct(F.when(F.col("work_type").isin("article", "review", "book", "book-chapter"), F.col("work_id"))).alias("formal_publications"))
-    topic = rt.join(mapping, "author_id").groupBy("canonical_id").agg(F.count_distinct(F.when(F.col("education_relevance_tier") == "core", F.col("topic_id"))).alias("core_topics"), F.count_distinct(F.when(F.col("education_relevance_tier") == "adjacent", F.col("topic_id"))).alias("adjacent_topics"))
-    out = basic.join(topic, "canonical_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("core_topics", "adjacent_topics")})
-    return out.withColumn("education_topic_profile", ladders.topic_profile(F.col("core_topics"), F.col("adjacent_topics")))
+def groups(people: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Authors that pairs of medium or better confidence connect, by group; groups are numbered by their smallest author."""
+    edges = pairs.where("confidence IN ('very_high', 'high', 'medium')").select(F.col("author_id_a").alias("a"), F.col("author_id_b").alias("b"))
+    member = kept(components(None, edges), "groups")
+    sized = numbered(member.groupBy("component").agg(F.count("*").alias("group_size")), "component")
+    return member.join(sized, "component").join(people, F.col("node") == F.col("author_id")).select(
+        text.surrogate("ICG", 7, F.col("_n")).alias("candidate_group_id"), "author_id", "author_name", "orcid", "works", "citations", F.col("main_institution_name").alias("main_institution"), "group_size"
+    )
+
+
+def candidate_authors(candidates: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Every candidate, with its group if it may be someone's duplicate."""
+    found = grouped.select("author_id", "candidate_group_id", "group_size")
+    return candidates.join(found, "author_id", "left").withColumn("possible_identity_duplicate", F.col("candidate_group_id").isNotNull())
+
+
+def canonical_metrics(mapping: DataFrame, people: DataFrame, rw: DataFrame, rt: DataFrame, home: DataFrame) -> DataFrame:
+    """Works, topics and institutions of each canonical researcher over all its authors; home: an author's institutions by work.
+
+    A work counts once in works, and once for each of the researcher's authors in citations and in the
+    counts by type. Of several main institutions with the same works the first by name stands.
+    """
+    own = mapping.select("author_id", "canonical_id")
+    works = rw.join(own, "author_id").select("canonical_id", "author_id", "work_id", "work_type", "publication_year", "cited_by_count", "is_au_nz_affiliated").distinct()
+    kind = lambda *names: F.count_if(F.col("work_type").isin(*names))
+    basic = works.groupBy("canonical_id").agg(
+        F.count_distinct("author_id").alias("source_authors"), F.count_distinct("work_id").alias("works"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("citations"),
+        F.min("publication_year").alias("first_year"), F.max("publication_year").alias("last_year"), F.count_distinct("publication_year").alias("active_years"),
+        F.count_if("is_au_nz_affiliated").alias("au_nz_affiliated_authorships"),
+        kind("article").alias("articles"), kind("review").alias("reviews"), kind("book").alias("books"), kind("book-chapter").alias("chapters"), kind("preprint").alias("preprints"),
+        kind("dataset", "erratum", "retraction", "peer-review").alias("low_relevance"),
+    ).withColumn("formal_publications", F.expr("articles + reviews + books + chapters"))
+    tier = lambda name, x: F.when(F.col("education_relevance_tier") == name, x)
+    topic = rt.join(own, "author_id").groupBy("canonical_id").agg(
+        *(F.count_distinct(tier(n, F.col("topic_id"))).alias(f"{n}_topics") for n in ("core", "adjacent")),
+        *(F.sum(tier(n, F.col("works"))).alias(f"{n}_topic_work_links") for n in ("core", "adjacent")),
+    )
+    counts = kept(researchers.institution_counts(home.join(own, "author_id").drop("author_id").withColumnRenamed("canonical_id", "author_id")), "canonical_home")
+    places = counts.groupBy("author_id").agg(text.sorted_list(F.col("institution_name")).alias("institution_variants"), text.sorted_list(F.nullif("institution_ror", F.lit(""))).alias("rors"), text.sorted_list(F.col("institution_country")).alias("countries"))
+    places = researchers.main_institution(counts).join(places, "author_id").withColumnRenamed("author_id", "canonical_id")
+    who = mapping.where("map_status = 'canonical_self'").join(people.select("author_id", F.col("author_name").alias("canonical_name"), F.col("orcid").alias("canonical_orcid")), "author_id")
+    who = who.select("canonical_id", "canonical_author_id", "canonical_name", "canonical_orcid", "merge_status", F.when(F.col("member_count") > 1, F.lit("very_high")).otherwise(F.lit("none")).alias("merge_confidence"))
+    out = basic.join(who, "canonical_id").join(topic, "canonical_id", "left").join(places, "canonical_id", "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in topic.columns if c != "canonical_id"})
+    return out.withColumn("education_topic_profile", ladders.topic_profile(F.col("core_topic_work_links"), F.col("adjacent_topic_work_links")))

@@ -113,6 +113,10 @@ cov AS (SELECT r.*, coalesce(works, 0) AS works, coalesce(journal_articles, 0) A
 
 _LOG = ctes("harvest_log")
 
+_GROUPS = """, e AS (SELECT author_id_a AS a, author_id_b AS b FROM pairs WHERE confidence IN ('very_high', 'high', 'medium')), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+    met(n, m) AS (SELECT DISTINCT a, a FROM s UNION SELECT r.n, s.b FROM met r JOIN s ON r.m = s.a), part AS (SELECT n AS author_id, min(m) AS component FROM met GROUP BY n),
+    grp AS (SELECT author_id, 'ICG' || lpad(CAST(dense_rank() OVER (ORDER BY component) AS VARCHAR), 7, '0') AS candidate_group_id, count(*) OVER (PARTITION BY component) AS group_size FROM part)"""
+
 ORACLES = {
     "researcher_works": _AUTHOR + "SELECT * FROM rw",
     "researchers_raw": _AUTHOR + "SELECT * FROM authors",
@@ -135,10 +139,25 @@ ORACLES = {
     "identity_components": _IDENTITY + """, e AS (SELECT author_id_a AS a, author_id_b AS b FROM pairs WHERE confidence IN ('very_high', 'high', 'medium')), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
         reach(n, m) AS (SELECT DISTINCT a, a FROM s UNION SELECT r.n, s.b FROM reach r JOIN s ON r.m = s.a) SELECT n AS author_id, min(m) AS component FROM reach GROUP BY n""",
     "canonical_researchers": _MAP + "SELECT * FROM cmap",
-    "canonical_metrics": _MAP + """, w AS (SELECT DISTINCT canonical_id, work_id, work_type, publication_year, cited_by_count FROM rw JOIN cmap ON rw.author_id = cmap.author_id),
-        b AS (SELECT canonical_id, count(DISTINCT work_id) AS works, CAST(sum(coalesce(cited_by_count, 0)) AS BIGINT) AS citations, min(publication_year) AS first_year, max(publication_year) AS last_year, count(DISTINCT work_id) FILTER (WHERE work_type IN ('article', 'review', 'book', 'book-chapter')) AS formal_publications FROM w GROUP BY 1),
-        t AS (SELECT canonical_id, count(DISTINCT topic_id) FILTER (WHERE education_relevance_tier = 'core') AS c, count(DISTINCT topic_id) FILTER (WHERE education_relevance_tier = 'adjacent') AS d FROM rt JOIN cmap ON rt.author_id = cmap.author_id GROUP BY 1)
-        SELECT b.*, coalesce(c, 0) AS core_topics, coalesce(d, 0) AS adjacent_topics, CASE WHEN coalesce(c, 0) > 0 AND coalesce(d, 0) > 0 THEN 'core_and_adjacent' WHEN coalesce(c, 0) > 0 THEN 'core_only' WHEN coalesce(d, 0) > 0 THEN 'adjacent_only' ELSE 'unclassified' END AS education_topic_profile FROM b LEFT JOIN t ON b.canonical_id = t.canonical_id""",
+    "canonical_metrics": _MAP + """,
+        w AS (SELECT DISTINCT canonical_id, rw.author_id, work_id, work_type, publication_year, cited_by_count, is_au_nz_affiliated FROM rw JOIN cmap ON rw.author_id = cmap.author_id),
+        b AS (SELECT canonical_id, count(DISTINCT author_id) AS source_authors, count(DISTINCT work_id) AS works, CAST(sum(coalesce(cited_by_count, 0)) AS BIGINT) AS citations, min(publication_year) AS first_year, max(publication_year) AS last_year,
+              count(DISTINCT publication_year) AS active_years, count(*) FILTER (WHERE is_au_nz_affiliated) AS au_nz_affiliated_authorships, count(*) FILTER (WHERE work_type = 'article') AS articles, count(*) FILTER (WHERE work_type = 'review') AS reviews,
+              count(*) FILTER (WHERE work_type = 'book') AS books, count(*) FILTER (WHERE work_type = 'book-chapter') AS chapters, count(*) FILTER (WHERE work_type = 'preprint') AS preprints,
+              count(*) FILTER (WHERE work_type IN ('dataset', 'erratum', 'retraction', 'peer-review')) AS low_relevance, count(*) FILTER (WHERE work_type IN ('article', 'review', 'book', 'book-chapter')) AS formal_publications FROM w GROUP BY 1),
+        t AS (SELECT canonical_id, count(DISTINCT topic_id) FILTER (WHERE education_relevance_tier = 'core') AS c, count(DISTINCT topic_id) FILTER (WHERE education_relevance_tier = 'adjacent') AS d,
+              CAST(sum(works) FILTER (WHERE education_relevance_tier = 'core') AS BIGINT) AS cl, CAST(sum(works) FILTER (WHERE education_relevance_tier = 'adjacent') AS BIGINT) AS dl FROM rt JOIN cmap ON rt.author_id = cmap.author_id GROUP BY 1),
+        hc AS (SELECT canonical_id, institution_id, institution_name, coalesce(institution_ror, '') AS ror, institution_country, count(DISTINCT work_id) AS works FROM researcher_institutions h JOIN cmap ON h.author_id = cmap.author_id WHERE institution_country IN ('AU', 'NZ') GROUP BY ALL),
+        hm AS (SELECT canonical_id, institution_id AS main_institution_id, institution_name AS main_institution_name, ror AS main_ror, institution_country AS main_country FROM hc
+               QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY works DESC, institution_name NULLS LAST, institution_id) = 1),
+        hs AS (SELECT canonical_id, string_agg(DISTINCT institution_name, '; ' ORDER BY institution_name) AS institution_variants, string_agg(DISTINCT nullif(ror, ''), '; ' ORDER BY nullif(ror, '')) AS rors,
+               string_agg(DISTINCT institution_country, '; ' ORDER BY institution_country) AS countries FROM hc GROUP BY 1)
+        SELECT b.*, m.canonical_author_id, a.author_name AS canonical_name, a.orcid AS canonical_orcid, m.merge_status, CASE WHEN m.member_count > 1 THEN 'very_high' ELSE 'none' END AS merge_confidence,
+               coalesce(c, 0) AS core_topics, coalesce(d, 0) AS adjacent_topics, coalesce(cl, 0) AS core_topic_work_links, coalesce(dl, 0) AS adjacent_topic_work_links,
+               main_institution_id, main_institution_name, main_ror, main_country, institution_variants, rors, countries,
+               CASE WHEN coalesce(cl, 0) > 0 AND coalesce(dl, 0) > 0 THEN 'core_and_adjacent' WHEN coalesce(cl, 0) > 0 THEN 'core_only' WHEN coalesce(dl, 0) > 0 THEN 'adjacent_only' ELSE 'unclassified' END AS education_topic_profile
+        FROM b JOIN (SELECT DISTINCT canonical_id, canonical_author_id, merge_status, member_count FROM cmap) m ON b.canonical_id = m.canonical_id JOIN authors a ON m.canonical_author_id = a.author_id
+        LEFT JOIN t ON b.canonical_id = t.canonical_id LEFT JOIN hm ON b.canonical_id = hm.canonical_id LEFT JOIN hs ON b.canonical_id = hs.canonical_id""",
     "institution_identity_map": _INST + "SELECT * FROM imap",
     "canonical_institutions": _INST + "SELECT * FROM canon",
     "canonical_researcher_institutions": _INST + "SELECT * FROM links",
@@ -198,3 +217,8 @@ ORACLES = {
     "seen_counter_upsert": _LOG + "SELECT record_id, run_id, min(event_id) AS first_seen, max(event_id) AS latest_seen, count(*) AS seen_count FROM harvest_log GROUP BY ALL",
     "json_flatten_events": _LOG + "SELECT event_id, CAST(json_extract(raw_json, '$.k') AS INT) AS k, json_extract(raw_json, '$.missing') IS NULL AS is_missing, sha1(raw_json) AS content_hash FROM harvest_log",
 }
+_CANDIDATES = ORACLES["candidate_researchers"].removeprefix(_AUTHOR)
+ORACLES |= {
+    "identity_groups": _IDENTITY + _GROUPS + """SELECT candidate_group_id, g.author_id, author_name, orcid, works, citations, main_institution_name AS main_institution, group_size FROM grp g JOIN people p ON g.author_id = p.author_id""",
+    "identity_candidate_authors": _IDENTITY + _GROUPS + ", cand_r AS (" + _CANDIDATES + ") SELECT r.*, candidate_group_id, group_size, candidate_group_id IS NOT NULL AS possible_identity_duplicate FROM cand_r r LEFT JOIN grp g ON r.author_id = g.author_id",
+}

@@ -20,7 +20,7 @@ class Tables:
     """Views and derived layers of a folder of test tables, made when asked for; with keep, layers that a plan reads several times are written once."""
 
     #: Layers that others read more than once.
-    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "institution_map", "tags")
+    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "identity_map", "institution_map", "tags")
 
     def __init__(self, spark, sf_dir, keep=False):
         self.spark, self.dir, self._keep, self._made = ship(spark), sf_dir, keep, {}
@@ -164,7 +164,9 @@ PLANS = {
     "identity_confidence_counts": lambda t: t.pairs.groupBy("confidence").agg(F.count("*").alias("n")),
     "identity_components": _components,
     "canonical_researchers": lambda t: t.identity_map,
-    "canonical_metrics": lambda t: identity.canonical_metrics(t.identity_map, t.rw, t.rt),
+    "canonical_metrics": lambda t: identity.canonical_metrics(t.identity_map, t.people, t.rw, t.rt, t.researcher_institutions),
+    "identity_groups": lambda t: identity.groups(t.people, t.pairs),
+    "identity_candidate_authors": lambda t: identity.candidate_authors(_candidates(t), identity.groups(t.people, t.pairs)),
     "institution_identity_map": lambda t: t.institution_map,
     "canonical_institutions": lambda t: institutions.canonical(t.institution_map),
     "canonical_researcher_institutions": lambda t: institutions.researcher_links(t.researcher_institutions, t.institution_map),
@@ -221,7 +223,7 @@ PLANS |= records.PLANS
 
 
 #: Plans that read a layer several times.
-LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers")
+LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "identity_groups", "identity_candidate_authors", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers")
 
 
 def _run(plan, keep, spark, sf_dir):
