@@ -222,3 +222,5 @@ ORACLES |= {
     "identity_groups": _IDENTITY + _GROUPS + """SELECT candidate_group_id, g.author_id, author_name, orcid, works, citations, main_institution_name AS main_institution, group_size FROM grp g JOIN people p ON g.author_id = p.author_id""",
     "identity_candidate_authors": _IDENTITY + _GROUPS + ", cand_r AS (" + _CANDIDATES + ") SELECT r.*, candidate_group_id, group_size, candidate_group_id IS NOT NULL AS possible_identity_duplicate FROM cand_r r LEFT JOIN grp g ON r.author_id = g.author_id",
 }
+#: Layers that other modules build on.
+OUTPUT_LAYER, SIGHTINGS = _OUT, _LOG

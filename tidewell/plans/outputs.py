@@ -77,14 +77,16 @@ def scope_all(tags: DataFrame) -> DataFrame:
     return _first_a_doi(rows, [F.desc("is_missing_source"), F.desc("is_book_or_chapter_like")])
 
 
-def scope_delta(tags: DataFrame, fetched: DataFrame) -> DataFrame:
-    """One row a DOI that hasn't been fetched with success; fetched: doi_clean, response_status."""
+def scope_delta(tags: DataFrame, fetched: DataFrame | None = None) -> DataFrame:
+    """One row a DOI that hasn't been fetched with success; fetched: doi_clean, response_status, or nothing for the whole scope."""
     family = F.col("broad_output_family")
     named = [("core_scholarly",) * 2, ("book_based_scholarly",) * 2, ("repository_or_open_output",) * 2, ("grey_literature",) * 2, ("scholarly_service_or_minor_output", "minor_or_service_output")]
     reason = ladders.ladder([(family == f, f"crossref_delta_{label}") for f, label in named] + [(F.col("is_missing_source"), "crossref_delta_missing_source")], "crossref_delta_other")
     rows = _doi_rows(tags).withColumns({"doi_clean": text.normalize_doi(F.col("doi")), "scope_reason": reason})
-    done = fetched.where("response_status = 200").select(text.normalize_doi(F.col("doi_clean")).alias("doi_clean")).distinct()
     first = _first_a_doi(rows.withColumn("_core", family == "core_scholarly"), [F.desc("_core"), F.desc("is_missing_source")])
+    if fetched is None:
+        return first
+    done = fetched.where("response_status = 200").select(text.normalize_doi(F.col("doi_clean")).alias("doi_clean")).distinct()
     return first.join(done, "doi_clean", "left_anti")
 
 

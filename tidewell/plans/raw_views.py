@@ -86,4 +86,9 @@ RAW_VIEWS = {
         FROM {{customer}}""",
     "organisations_raw": f"""
         SELECT 'R' || CAST(s_suppkey AS STRING) AS ror_id, {_ORGANISATION} AS raw_json FROM {{supplier}}""",
+    "journal_targets_raw": """
+        SELECT ' ' || c_name || ' ' AS canonical_title, CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN '' ELSE 'fam' || CAST(c_custkey AS STRING) END AS family_id,
+               CASE WHEN c_custkey % 4 = 0 THEN 'none' ELSE ' 1234' || lpad(CAST(c_custkey % 900 AS STRING), 3, '0') || 'x' END AS print_ISSN, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '5678-' || lpad(CAST(c_custkey % 900 AS STRING), 4, '0') END AS electronic_ISSN,
+               CASE c_custkey % 6 WHEN 0 THEN 'low' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' WHEN 3 THEN 'highest' WHEN 4 THEN NULL ELSE 'other' END AS acquisition_priority
+        FROM {customer} WHERE c_custkey % 5 <> 1""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import text
 from tidewell.operators import graph, store
 from tidewell.operators.kept import kept
-from tidewell.plans import identity, institutions, outputs, provenance, records, reports, researchers, ror
+from tidewell.plans import identity, institutions, ledger_queries, outputs, provenance, records, reports, researchers, ror
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
 from tidewell.session import ship
@@ -185,7 +185,7 @@ PLANS = {
     "crossref_scope_v1": lambda t: outputs.scope_books_and_missing(t.tags),
     "crossref_scope_all": lambda t: outputs.scope_all(t.tags),
     "crossref_scope_delta": lambda t: outputs.scope_delta(t.tags, t.fetched),
-    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags, t.fetched.where(F.lit(False))).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
+    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
     "journal_registry": lambda t: t.reg,
     "registry_identifiers": lambda t: outputs.registry_identifiers(t.reg),
     "registry_coverage": lambda t: t.coverage,
@@ -219,7 +219,7 @@ PLANS = {
     "json_flatten_events": _json,
     "nfkc_clean": lambda t: outputs.text_cleaning_review(t.spark.read.parquet(f"{t.dir}/documents.parquet"), "doc_id", "text"),
 }
-PLANS |= records.PLANS
+PLANS |= records.PLANS | ledger_queries.PLANS
 
 
 #: Plans that read a layer several times.
@@ -235,7 +235,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return ORACLES | records.ORACLES
+    return ORACLES | records.ORACLES | ledger_queries.ORACLES
 
 
 def flagship(spark, sf_dir):

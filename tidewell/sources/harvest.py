@@ -16,10 +16,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewell.functions import text
 from tidewell.operators import store
+from tidewell.operators.kept import numbered
 from tidewell.session import ship
 
 #: What counts as a yes, and tiers that are taken without one.
 YES, TIERS = ("y", "yes", "include", "included", "true", "1"), ("core", "adjacent", "strong_adjacent")
+#: Acquisition priorities, most urgent first.
+PRIORITIES = ("highest", "high", "medium", "low")
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -50,6 +53,37 @@ def journal_targets(rows: DataFrame) -> DataFrame:
     return rows.select(key.alias("target_id"), text.clean(F.col("canonical_title")).alias("title"), p.alias("print_issn"), e.alias("electronic_issn"), "acquisition_priority")
 
 
+def in_priority(targets: DataFrame) -> DataFrame:
+    """Targets with the rank of their priority and their place in the scan: by rank, then title."""
+    rank = F.lit(len(PRIORITIES) + 1)
+    for n, name in enumerate(PRIORITIES, 1):
+        rank = F.when(F.col("acquisition_priority") == name, n).otherwise(rank)
+    return numbered(targets.withColumn("priority_rank", rank), "priority_rank", F.asc_nulls_last("title"), "target_id", name="scan_position")
+
+
+def topic_filters(topics: DataFrame, countries: tuple[str, ...], first_year: int) -> DataFrame:
+    """What a scan of topics asks for: one filter a topic, for pages()."""
+    where = f",authorships.institutions.country_code:{'|'.join(countries)},from_publication_date:{first_year}-01-01"
+    return topics.select(F.col("topic_id").alias("source_identifier"), F.col("topic_name").alias("source_display_name"), F.lit("topic").alias("source_type"), "education_relevance_tier", F.concat(F.lit("topics.id:"), "topic_id", F.lit(where)).alias("filter"))
+
+
+def journal_filters(targets: DataFrame, resolved: DataFrame, first_year: int) -> DataFrame:
+    """One filter a resolved source of a journal; targets without a source are listed with none."""
+    asked = F.concat(F.lit("primary_location.source.id:"), "source_id", F.lit(f",from_publication_date:{first_year}-01-01"))
+    return targets.join(resolved.select("target_id", "source_id"), "target_id", "left").select("target_id", F.col("source_id").alias("source_identifier"), F.col("title").alias("source_display_name"), F.lit("journal").alias("source_type"), asked.alias("filter"), F.when(F.col("source_id").isNull(), F.lit("NO_SOURCE_RESOLVED")).alias("status"))
+
+
+def authorised(token: Callable[[], str], call: Callable[[str, str], tuple[int, str]]) -> Callable[[str], tuple[int, str]]:
+    """call(key, token) for lookup(), with a token that the driver fetches once."""
+    fetched = token()
+    return lambda key: call(key, fetched)
+
+
+def log_rows(pages_read: DataFrame) -> DataFrame:
+    """The harvest log of pages read: the cursor is kept as its hash, page and count as they are."""
+    return pages_read.select("timestamp", "topic_id", "topic_display_name", "topic_tier", "page", "works_returned", F.sha2(F.col("cursor").cast("string"), 256).alias("cursor_hash"), "status", "message")
+
+
 def target_identifiers(targets: DataFrame) -> DataFrame:
     """ISSNs of targets; the electronic one only if it differs."""
     rows = targets.select("target_id", "print_issn", F.expr("stack(2, 'print', print_issn, 'electronic', electronic_issn) AS (kind, issn)"))
