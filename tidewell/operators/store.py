@@ -54,6 +54,14 @@ def add_missing_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 
 
+def create_absent(spark: SparkSession, path: str, schema: str) -> bool:
+    """An empty Parquet table at path, unless there is one; tells whether it was made."""
+    if _folder(spark, path):
+        return False
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return True
+
+
 def append_absent(df: DataFrame, path: str, keys: list[str], order: list[Column]) -> None:
     """Appends to the Parquet table at path the rows whose key isn't in it, one a key."""
     spark, new = df.sparkSession, latest(df, keys, order)

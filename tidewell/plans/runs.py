@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +28,39 @@ def current(log: DataFrame) -> DataFrame:
     return last.drop("parameters_json", "notes").join(kept, "run_id")
 
 
+@contextmanager
+def tracked(spark: SparkSession, log: str, run_id: str, parameters: dict | None = None, flush: Callable[[], None] = lambda: None) -> Iterator[None]:
+    """A run whose statuses are appended to the table at log: running, then complete, or partial (interrupted) or failed.
+
+    However the run ends, flush writes what was fetched but not yet written; errors are raised again.
+    """
+
+    def note(state: str, given: dict | None = None, notes: str | None = None) -> None:
+        now = datetime.now(UTC).isoformat(timespec="seconds")
+        status(spark, run_id, state, now, time.time_ns(), given, notes).coalesce(1).write.mode("append").parquet(log)
+
+    note("running", parameters)
+    try:
+        try:
+            yield
+        finally:
+            flush()
+    except KeyboardInterrupt:
+        note("partial", notes="interrupted")
+        raise
+    except BaseException as e:
+        note("failed", notes=str(e)[:2000])
+        raise
+    note("complete")
+
+
+def progress(done: int, total: int, seconds: float) -> str:
+    """One line: how far, how fast, how long still."""
+    rate = done / seconds if seconds else 0.0
+    left = f"{(total - done) / rate / 3600:.2f}" if rate else "?"
+    return f"[{done}/{total}] {rate:.2f} a second, {left} hours left"
+
+
 def require(spark: SparkSession, tables: list[str]) -> None:
     """Fail at once if a table is missing, naming all that are."""
     missing = [t for t in tables if not spark.catalog.tableExists(t)]

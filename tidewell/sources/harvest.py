@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,12 +37,15 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", "array<string>")).alias("raw_json"))
 
 
-def curated_topics(rows: DataFrame, decision: str = "include_decision", tiers=TIERS) -> DataFrame:
-    """Topics to harvest; of a repeated id the first by name. rows: topic_id, topic_name, education_relevance_tier and the decision column."""
+def curated_topics(rows: DataFrame, decision: str = "include_decision", tiers=TIERS, first: Column | None = None) -> DataFrame:
+    """Topics to harvest; of a repeated id the first by the order given (as a line number), or else by name.
+
+    rows: topic_id, topic_name, education_relevance_tier and the decision column.
+    """
     yes = F.lower(F.trim(F.coalesce(decision, F.lit("")))).isin(*YES)
     tier = F.lower(F.trim(F.coalesce("education_relevance_tier", F.lit(""))))
     kept = rows.where(yes | tier.isin(*tiers)).withColumn("topic_id", text.short_id(F.col("topic_id"), "T")).where("topic_id != ''")
-    return store.latest(kept, ["topic_id"], [F.asc_nulls_last("topic_name"), F.asc_nulls_last("education_relevance_tier")])
+    return store.latest(kept, ["topic_id"], [*([] if first is None else [first]), F.asc_nulls_last("topic_name"), F.asc_nulls_last("education_relevance_tier")])
 
 
 def journal_targets(rows: DataFrame) -> DataFrame:
