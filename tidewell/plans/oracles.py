@@ -223,4 +223,4 @@ ORACLES |= {
     "identity_candidate_authors": _IDENTITY + _GROUPS + ", cand_r AS (" + _CANDIDATES + ") SELECT r.*, candidate_group_id, group_size, candidate_group_id IS NOT NULL AS possible_identity_duplicate FROM cand_r r LEFT JOIN grp g ON r.author_id = g.author_id",
 }
 #: Layers that other modules build on.
-OUTPUT_LAYER, SIGHTINGS = _OUT, _LOG
+OUTPUT_LAYER, SIGHTINGS, IDENTITY_LAYER, INSTITUTION_LAYER = _OUT, _LOG, _MAP, _INST

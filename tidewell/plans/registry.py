@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import text
 from tidewell.operators import graph, store
 from tidewell.operators.kept import kept
-from tidewell.plans import identity, institutions, ledger_queries, outputs, provenance, records, reports, researchers, ror
+from tidewell.plans import identity, institutions, ledger_queries, outputs, provenance, records, reports, researchers, ror, summaries
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
 from tidewell.session import ship
@@ -20,7 +20,7 @@ class Tables:
     """Views and derived layers of a folder of test tables, made when asked for; with keep, layers that a plan reads several times are written once."""
 
     #: Layers that others read more than once.
-    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "identity_map", "institution_map", "tags")
+    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "identity_map", "institution_map", "canonical", "tags")
 
     def __init__(self, spark, sf_dir, keep=False):
         self.spark, self.dir, self._keep, self._made = ship(spark), sf_dir, keep, {}
@@ -219,11 +219,11 @@ PLANS = {
     "json_flatten_events": _json,
     "nfkc_clean": lambda t: outputs.text_cleaning_review(t.spark.read.parquet(f"{t.dir}/documents.parquet"), "doc_id", "text"),
 }
-PLANS |= records.PLANS | ledger_queries.PLANS
+PLANS |= records.PLANS | ledger_queries.PLANS | summaries.PLANS
 
 
 #: Plans that read a layer several times.
-LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "identity_groups", "identity_candidate_authors", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers")
+LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "identity_groups", "identity_candidate_authors", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers", "ledger_work_claims", "ledger_output_counts", "breakdown_merge_status", "institution_places")
 
 
 def _run(plan, keep, spark, sf_dir):
@@ -235,7 +235,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return ORACLES | records.ORACLES | ledger_queries.ORACLES
+    return ORACLES | records.ORACLES | ledger_queries.ORACLES | summaries.ORACLES
 
 
 def flagship(spark, sf_dir):
