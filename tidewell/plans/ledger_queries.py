@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewell.operators import store
-from tidewell.plans import ledgers, outputs
+from tidewell.plans import ledgers, outputs, runs
 from tidewell.plans.oracles import OUTPUT_LAYER, SIGHTINGS
 from tidewell.plans.records import ORACLES as FLAT
 from tidewell.plans.views import ctes
@@ -30,6 +30,12 @@ def _raw(t):
     return ledgers.raw_records({"openalex": (t.works_raw, "work_id"), "crossref": (t.lookups_raw, "doi_clean"), "orcid": (t.profiles_raw, "orcid"), "ror": (t.organisations_raw, "ror_id")})
 
 
+def _retrievals(t):
+    """All works as one run brought them; those with a source were there before."""
+    rows = t.works_raw.join(_works(t).select("work_id", "doi"), "work_id").select(F.lit("r1").alias("run_id"), F.lit("hs_openalex_api").alias("source_id"), "work_id", "doi", "raw_json")
+    return runs.retrievals(rows, t.work_sources.where("source_id is not null"))
+
+
 def _counts(t):
     return ledgers.output_counts({
         "pr_publication_output_layer": {"canonical_sources": t.canonical, "work_output_tags": t.tags, "source_metrics": outputs.source_metrics(t.tags), "output_type_metrics": outputs.output_type_metrics(t.tags)},
@@ -44,6 +50,7 @@ PLANS = {
     "ledger_work_claims": lambda t: ledgers.work_claims(_works(t), _tagged(t), _lookups(t)),
     "ledger_identifier_claims": lambda t: ledgers.identifier_claims(_works(t), _lookups(t)),
     "ledger_output_counts": _counts,
+    "ledger_retrievals": _retrievals,
     "delta_status_counts": lambda t: t.fetched.join(outputs.scope_delta(t.tags), "doi_clean", "left_semi").groupBy("response_status").agg(F.count("*").alias("n")),
     "delete_by_predicate": lambda t: store.delete_where(t.harvest_log, (F.col("run_id") == "run2") | F.col("status").isin("view", "signup")).select("event_id", "run_id", "status"),
     "journal_scan_order": lambda t: harvest.in_priority(harvest.journal_targets(t.journal_targets_raw)),
@@ -81,6 +88,10 @@ ORACLES = {
         UNION ALL SELECT 'pr_publication_output_layer', 'output_type_metrics', count(*) FROM (SELECT DISTINCT work_type, type_crossref, source_type, derived_output_class, broad_output_family FROM tags)
         UNION ALL SELECT 'pr_journal_registry_ingest', 'journal_registry', count(*) FROM reg UNION ALL SELECT 'pr_journal_registry_ingest', 'journal_registry_identifiers', count(*) FROM ids
         UNION ALL SELECT 'pr_journal_registry_ingest', 'journal_registry_current_coverage', count(*) FROM cov""",
+    "ledger_retrievals": ctes("work_sources", "works_raw") + f""", k AS (SELECT w.work_id, doi, raw_json, sha1('r1|hs_openalex_api|' || w.work_id)[1:16] AS h, w.work_id IN (SELECT work_id FROM work_sources WHERE source_id IS NOT NULL) AS already_present
+        FROM works_raw w JOIN ({FLAT['flat_works']}) f ON w.work_id = f.work_id)
+        SELECT 'disc_' || h AS event_id, 'oahr_' || h AS harvest_record_id, 'raw_openalex_retrieval_' || h AS raw_record_id, 'claim_openalex_retrieval_' || h AS claim_id, 'r1' AS run_id, 'hs_openalex_api' AS source_id, work_id,
+               lower(regexp_replace(doi, '^https?://(dx\\.)?doi\\.org/', '', 'i')) AS doi, sha1(raw_json) AS content_hash, already_present FROM k""",
     "delta_status_counts": OUTPUT_LAYER + """, f AS (SELECT DISTINCT normal AS doi_clean, CASE WHEN CAST(right(normal, 1) AS INT) % 2 = 0 THEN 200 ELSE 404 END AS response_status FROM dois WHERE CAST(right(normal, 1) AS INT) % 3 = 0)
         SELECT response_status, count(*) AS n FROM f WHERE doi_clean IN (SELECT doi_clean FROM delta) GROUP BY 1""",
     "delete_by_predicate": SIGHTINGS + "SELECT event_id, run_id, status FROM harvest_log WHERE NOT coalesce(run_id = 'run2' OR status IN ('view', 'signup'), false)",
