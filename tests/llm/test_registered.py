@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_jaccard_join": "doc_id n_shingles component_id",
     "op9_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op13_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 
 
@@ -27,7 +28,7 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     got = queries.QUERIES[name](spark, FOLDER).toPandas()
     assert list(got.columns)[: len(COLUMNS[name].split())] == COLUMNS[name].split()
-    table = {"op5_url_filters": ("pages", "page_id"), "op7_multiprobe_neighbours": None, "op1_best_fit_packing": None}.get(name, ("documents", "doc_id"))
+    table = {"op5_url_filters": ("pages", "page_id"), "op7_multiprobe_neighbours": None, "op1_best_fit_packing": None, "op13_filter_audit": None}.get(name, ("documents", "doc_id"))
     if table:
         ids = spark.read.parquet(f"{FOLDER}/{table[0]}.parquet").select(table[1]).toPandas()[table[1]]
         assert sorted(got[table[1]]) == sorted(ids)

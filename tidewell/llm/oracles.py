@@ -47,3 +47,25 @@ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM late),
 n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1),
 kept AS (SELECT b.doc_id, string_agg(w[b.p], ' ' ORDER BY b.p) AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) b ANTI JOIN gone g ON b.doc_id = g.doc_id AND b.p = g.p GROUP BY 1)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+OP13 = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS least FROM d GROUP BY 1),
+told AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels GROUP BY 1),
+f AS (SELECT part, CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT) + 4 * CAST(100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 5 * length(d.t) AS INT)
+             + 8 * CAST(regexp_matches(d.t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(least < d.doc_id, false) AS INT) AS mask, coalesce(good, false) AS good, coalesce(bad, false) AS bad
+      FROM d JOIN first ON d.t = first.t LEFT JOIN told ON d.doc_id = told.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad FROM f GROUP BY 1, 2),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(x, bit)),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0) AS before FROM o, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)),
+r AS (SELECT part, filter_order, step, s.bit,
+             coalesce(sum(n) FILTER (WHERE (mask & (bit | CAST(before AS INT))) = 0), 0) AS kept,
+             coalesce(sum(n) FILTER (WHERE (mask & bit) > 0 AND (mask & CAST(before AS INT)) = 0), 0) AS removed,
+             coalesce(sum(n) FILTER (WHERE (mask & bit) > 0 AND (mask & CAST(before AS INT)) > 0), 0) AS redundant,
+             coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (WHERE (mask & bit) > 0 AND (mask & CAST(before AS INT)) = 0), 0) AS good_lost,
+             coalesce(sum(bad) FILTER (WHERE (mask & bit) > 0 AND (mask & CAST(before AS INT)) = 0), 0) AS toxic_lost
+      FROM c, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r"""

@@ -72,6 +72,33 @@ def op10_substring_dedup(spark, sf_dir):
     return digest(deduplicate(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_benchmark_decontamination, op4_mixing_lm, op5_url_filters, op6_license_scan, op7_multiprobe_neighbours, op8_jaccard_join, op9_suffix_dedup, op10_substring_dedup)}
+def op13_filter_audit(spark, sf_dir):
+    from .filter_audit import audit
+
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_toxicity,
+        op3_benchmark_decontamination,
+        op4_mixing_lm,
+        op5_url_filters,
+        op6_license_scan,
+        op7_multiprobe_neighbours,
+        op8_jaccard_join,
+        op9_suffix_dedup,
+        op10_substring_dedup,
+        op13_filter_audit,
+    )
+}
 #: The others are trained, mined, approximate or of a free choice of numbers; tests hold them against brute force.
-ORACLE_SQL = {"op3_benchmark_decontamination": oracles.OP3, "op8_jaccard_join": oracles.OP8, "op9_suffix_dedup": oracles.OP9, "op10_substring_dedup": oracles.OP10}
+ORACLE_SQL = {
+    "op3_benchmark_decontamination": oracles.OP3,
+    "op8_jaccard_join": oracles.OP8,
+    "op9_suffix_dedup": oracles.OP9,
+    "op10_substring_dedup": oracles.OP10,
+    "op13_filter_audit": oracles.OP13,
+}
