@@ -20,6 +20,8 @@ COLUMNS = {
     "op8_jaccard_join": "doc_id n_shingles component_id",
     "op9_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op11_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op13_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 

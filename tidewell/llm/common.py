@@ -33,11 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: cuts lineage, survives lost executors, runs its plan once."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

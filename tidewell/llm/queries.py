@@ -72,6 +72,22 @@ def op10_substring_dedup(spark, sf_dir):
     return digest(deduplicate(documents(spark, sf_dir)))
 
 
+def op11_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from .token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    from .alignment import alignment
+
+    return alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_filter_audit(spark, sf_dir):
     from .filter_audit import audit
 
@@ -91,6 +107,8 @@ QUERIES = {
         op8_jaccard_join,
         op9_suffix_dedup,
         op10_substring_dedup,
+        op11_token_counts,
+        op12_token_alignment,
         op13_filter_audit,
     )
 }
