@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidewell.operators import store
+from tidewell.operators.kept import kept_once
 from tidewell.sources import flatten, harvest
 from tidewell.streaming import ingest
 
@@ -31,6 +32,34 @@ def test_works(spark):
     assert set(i) == {"I1", "I2"} and json.loads(i["I1"].lineage_json) == ["I1", "I0"]
 
 
+def test_works_of_odd_kinds(spark):
+    """Numbers as text are read, what has the wrong kind is null, lists that are objects have no elements."""
+    odd = {"id": "W3", "publication_year": "1999", "fwci": "x", "cited_by_count": None, "authorships": {"author": {"id": "A"}}, "topics": "t", "keywords": [None, {"id": "k", "score": "0.5"}, 3], "primary_location": {"source": "s"}, "open_access": []}
+    df = raw(spark, odd, {"id": None, "title": "no id"}, '{"id":"W4","id":"W5"}', " {")
+    w = flatten.works(df).collect()
+    assert [(r.work_id, r.publication_year, r.fwci, r.cited_by_count) for r in w] == [("W3", 1999, None, None)]
+    assert flatten.authorships(df).count() == flatten.topics(df).count() == 0
+    assert sorted((r.keyword_id or "", r.score) for r in flatten.keywords(df).collect()) == [("", None), ("", None), ("k", 0.5)]
+    assert [(r.source_id, r.issn, r.is_oa) for r in flatten.work_sources(df).collect()] == [(None, "", None)]
+
+
+def test_works_are_parsed_once(spark, tmp_path):
+    """Seven flatteners read a kept table of variants; none of their plans parses text, and a changed file is parsed anew."""
+    path = str(tmp_path / "raw")
+    raw(spark, WORK).write.parquet(path)
+    source = lambda: spark.read.parquet(path)
+    table = lambda: kept_once("test_parsed", [source()], lambda: flatten.parsed(source()))
+    assert table().schema["v"].dataType.simpleString() == "variant"
+    first = table().inputFiles()
+    assert table().inputFiles() == first
+    for flat in (flatten.works, flatten.authorships, flatten.topics, flatten.keywords, flatten.funders, flatten.awards, flatten.work_sources):
+        plan = flat(table())._jdf.queryExecution().optimizedPlan().toString()
+        assert "parse_json" not in plan and "from_json" not in plan
+        assert sorted(map(str, flat(table()).collect())) == sorted(map(str, flat(source()).collect()))
+    raw(spark, {"id": "W9"}).write.mode("append").parquet(path)
+    assert table().inputFiles() != first and flatten.works(table()).count() == 2
+
+
 def test_lookups(spark):
     message = {"message": {"type": "book", "title": ["T", "U"], "published-print": {"date-parts": [[None]]}, "issued": {"date-parts": [[2001, 5]]}, "ISBN": ["1", "2"], "author": [{"given": "A", "family": "B"}], "editor": [{"name": "E"}], "license": [{"u": 1}], "subject": ["s1", "s2"]}}
     df = spark.createDataFrame([("10.1/a", 200, json.dumps(message)), ("10.1/b", 404, "error"), ("10.1/c", -1, None), ("10.1/d", 200, json.dumps({"message": {}}))], "doi_clean string, response_status int, raw_json string")

@@ -6,15 +6,15 @@ from tidewell.plans.views import ctes
 from tidewell.sources import flatten
 
 PLANS = {
-    "flat_works": lambda t: flatten.works(t.works_raw),
-    "flat_authorships": lambda t: flatten.authorships(t.works_raw),
-    "flat_work_topics": lambda t: flatten.topics(t.works_raw),
-    "flat_work_keywords": lambda t: flatten.keywords(t.works_raw),
-    "flat_work_funders": lambda t: flatten.funders(t.works_raw),
-    "flat_work_awards": lambda t: flatten.awards(t.works_raw),
-    "flat_work_sources": lambda t: flatten.work_sources(t.works_raw),
-    "flat_institutions": lambda t: flatten.institutions(flatten.authorships(t.works_raw)),
-    "flat_researcher_institutions": lambda t: flatten.researcher_institutions(flatten.authorships(t.works_raw)),
+    "flat_works": lambda t: flatten.works(t.works_parsed),
+    "flat_authorships": lambda t: flatten.authorships(t.works_parsed),
+    "flat_work_topics": lambda t: flatten.topics(t.works_parsed),
+    "flat_work_keywords": lambda t: flatten.keywords(t.works_parsed),
+    "flat_work_funders": lambda t: flatten.funders(t.works_parsed),
+    "flat_work_awards": lambda t: flatten.awards(t.works_parsed),
+    "flat_work_sources": lambda t: flatten.work_sources(t.works_parsed),
+    "flat_institutions": lambda t: flatten.institutions(flatten.authorships(t.works_parsed)),
+    "flat_researcher_institutions": lambda t: flatten.researcher_institutions(flatten.authorships(t.works_parsed)),
     "flat_lookups": lambda t: flatten.crossref(t.lookups_raw),
     "flat_lookup_contributors": lambda t: flatten.crossref_contributors(t.lookups_raw),
     "flat_lookup_subjects": lambda t: flatten.crossref_subjects(t.lookups_raw),

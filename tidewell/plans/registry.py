@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import text
 from tidewell.operators import graph, store
-from tidewell.operators.kept import kept
+from tidewell.operators.kept import kept, kept_once
 from tidewell.plans import identity, institutions, ledger_queries, outputs, provenance, records, reports, researchers, ror, summaries
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
@@ -36,6 +36,11 @@ class Tables:
     def __getattr__(self, name):
         return view(self.spark, self.dir, name)
 
+    @property
+    def works_parsed(self):
+        """The raw works, parsed once for all queries of an application."""
+        return kept_once("works_parsed", [self.works_raw], lambda: flatten.parsed(self.works_raw))
+
     @property
     def rw(self):
         return researchers.researcher_works(self.authorships, self.works_flat)

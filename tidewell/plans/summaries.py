@@ -43,7 +43,7 @@ PLANS = {name: _counted(rows, by) for name, (rows, by, _) in BREAKDOWNS.items()}
     "institution_places": _places,
     "top_canonical_sources": lambda t: reports.top_rows(outputs.source_metrics(t.tags).select("source_key", "works", "citations"), [F.desc("works"), F.desc("citations"), F.asc("source_key")], 50),
     "top_institutions": lambda t: reports.top_rows(institutions.canonical(t.institution_map).select("canonical_institution_id", "canonical_name", "variant_works"), [F.desc("variant_works"), F.asc("canonical_institution_id")], 30),
-    "top_keywords": lambda t: reports.top_rows(flatten.keywords(t.works_raw).groupBy("keyword_id").agg(F.count("*").alias("n")), [F.desc("n"), F.asc("keyword_id")], 20),
+    "top_keywords": lambda t: reports.top_rows(flatten.keywords(t.works_parsed).groupBy("keyword_id").agg(F.count("*").alias("n")), [F.desc("n"), F.asc("keyword_id")], 20),
 }
 
 ORACLES = {name: f"SELECT {', '.join(by)}, count(*) AS n FROM ({sql}) GROUP BY ALL" for name, (_, by, sql) in BREAKDOWNS.items()} | {

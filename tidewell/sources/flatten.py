@@ -9,15 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NAMED = "struct<id:string,display_name:string>"
-WORK = (
-    "id string, doi string, display_name string, title string, publication_year int, publication_date string, type string, type_crossref string, cited_by_count int, fwci double, language string, updated_date string, "
-    "citation_normalized_percentile struct<value:double,is_in_top_1_percent:boolean,is_in_top_10_percent:boolean>, "
-    f"authorships array<struct<author_position:string,author:struct<id:string,display_name:string,orcid:string>,is_corresponding:boolean,institutions:array<struct<id:string,display_name:string,ror:string,country_code:string,type:string,lineage:array<string>>>>>, "
-    f"topics array<struct<id:string,display_name:string,score:double,subfield:{_NAMED},field:{_NAMED},domain:{_NAMED}>>, keywords array<struct<id:string,display_name:string,score:double>>, "
-    "primary_location struct<source:struct<id:string,display_name:string,type:string,publisher:string,issn_l:string,issn:array<string>>,landing_page_url:string,pdf_url:string>, open_access struct<is_oa:boolean,oa_status:string>, "
-    f"funders array<{_NAMED}>, awards array<struct<id:string,funder:{_NAMED}>>"
-)
+INSTITUTIONS = "array<struct<id:string,display_name:string,ror:string,country_code:string,type:string,lineage:array<string>>>"
 _DATE = "struct<`date-parts`:array<array<int>>>"
 _PERSON = "array<struct<sequence:string,given:string,family:string,name:string,ORCID:string,affiliation:array<struct<name:string>>>>"
 CROSSREF = (
@@ -48,26 +40,63 @@ def _joined(array: Column) -> Column:
     return F.array_join(array, "; ")
 
 
+def parsed(raw: DataFrame, json: str = "raw_json") -> DataFrame:
+    """work_id and v, the record as a variant: rows that are JSON objects with an id.
+
+    Write it once (a variant is a Parquet type) and hand it to the flatteners of works in place of raw:
+    none of them parses text again.
+    """
+    rows = raw.where(F.ltrim(json).startswith("{")).select(F.try_parse_json(json).alias("v"))
+    return rows.select(_at("v", "id").alias("work_id"), "v").where("work_id is not null")
+
+
+def _parsed(raw: DataFrame) -> DataFrame:
+    return raw if "v" in raw.columns else parsed(raw)
+
+
+def _at(v: str, path: str, kind: str = "string") -> Column:
+    """A field of a variant, or null where it is missing, null or of another kind."""
+    return F.try_variant_get(v, f"$.{path}", kind)
+
+
+def _elements(raw: DataFrame, path: str) -> DataFrame:
+    """work_id, n (place from 0) and x of every element of a list; what isn't a list has none."""
+    spark, rows = raw.sparkSession, _parsed(raw)
+    return spark.sql(f"SELECT work_id, e.pos AS n, e.value AS x FROM {{rows}}, LATERAL variant_explode(try_variant_get(v, '$.{path}', 'variant')) AS e WHERE e.key IS NULL", rows=rows)
+
+
 def works(raw: DataFrame) -> DataFrame:
-    r = parse(raw, WORK).where("r.id is not null")
-    top = F.col("r.citation_normalized_percentile")
-    return r.select(F.col("r.id").alias("work_id"), "r.doi", F.coalesce("r.display_name", "r.title").alias("title"), "r.publication_year", "r.publication_date", F.col("r.type").alias("work_type"), "r.type_crossref", "r.cited_by_count", "r.fwci", top["value"].alias("citation_percentile"), top["is_in_top_1_percent"].alias("is_in_top_1_percent"), top["is_in_top_10_percent"].alias("is_in_top_10_percent"), "r.language")
+    top = "citation_normalized_percentile"
+    return _parsed(raw).select(
+        "work_id", _at("v", "doi").alias("doi"), F.coalesce(_at("v", "display_name"), _at("v", "title")).alias("title"),
+        _at("v", "publication_year", "int").alias("publication_year"), _at("v", "publication_date").alias("publication_date"),
+        _at("v", "type").alias("work_type"), _at("v", "type_crossref").alias("type_crossref"),
+        _at("v", "cited_by_count", "int").alias("cited_by_count"), _at("v", "fwci", "double").alias("fwci"),
+        _at("v", f"{top}.value", "double").alias("citation_percentile"),
+        *(_at("v", f"{top}.{f}", "boolean").alias(f) for f in ("is_in_top_1_percent", "is_in_top_10_percent")),
+        _at("v", "language").alias("language"),
+    )
 
 
 def authorships(raw: DataFrame, home=("AU", "NZ")) -> DataFrame:
     """One row an authorship, in order from 1."""
-    rows = parse(raw, WORK).where("r.id is not null").select(F.col("r.id").alias("work_id"), F.posexplode("r.authorships").alias("n", "a"))
-    codes = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce("a.institutions", F.array()), lambda i: i["country_code"]), lambda c: c.isNotNull() & (c != ""))))
-    return rows.select("work_id", (F.col("n") + 1).alias("author_order"), F.col("a.author.id").alias("author_id"), F.col("a.author.display_name").alias("author_name"), F.col("a.author.orcid").alias("orcid"), F.col("a.author_position").alias("author_position"), F.col("a.is_corresponding").alias("is_corresponding"), F.to_json(F.coalesce("a.institutions", F.array())).alias("institutions_json"), _joined(codes).alias("countries"), F.arrays_overlap(codes, F.array(*map(F.lit, home))).alias("is_au_nz_affiliated"))
+    rows = _elements(raw, "authorships").withColumn("i", F.coalesce(_at("x", "institutions", INSTITUTIONS), F.array()))
+    codes = F.array_sort(F.array_distinct(F.filter(F.transform("i", lambda i: i["country_code"]), lambda c: c.isNotNull() & (c != ""))))
+    return rows.select(
+        "work_id", (F.col("n") + 1).alias("author_order"), _at("x", "author.id").alias("author_id"), _at("x", "author.display_name").alias("author_name"),
+        _at("x", "author.orcid").alias("orcid"), _at("x", "author_position").alias("author_position"), _at("x", "is_corresponding", "boolean").alias("is_corresponding"),
+        F.to_json("i").alias("institutions_json"), _joined(codes).alias("countries"), F.arrays_overlap(codes, F.array(*map(F.lit, home))).alias("is_au_nz_affiliated"),
+    )
 
 
 def _children(raw: DataFrame, column: str, **fields: str) -> DataFrame:
-    rows = parse(raw, WORK).where("r.id is not null").select(F.col("r.id").alias("work_id"), F.explode(f"r.{column}").alias("x"))
-    return rows.select("work_id", *(F.col(f"x.{path}").alias(name) for name, path in fields.items()))
+    rows = _elements(raw, column)
+    return rows.select("work_id", *(_at("x", path, "double" if path == "score" else "string").alias(name) for name, path in fields.items()))
 
 
 def topics(raw: DataFrame) -> DataFrame:
-    return _children(raw, "topics", topic_id="id", topic_name="display_name", topic_score="score", subfield_id="subfield.id", subfield_name="subfield.display_name", field_id="field.id", field_name="field.display_name", domain_id="domain.id", domain_name="domain.display_name")
+    places = {f"{part}_{f}": f"{part}.{g}" for part in ("subfield", "field", "domain") for f, g in (("id", "id"), ("name", "display_name"))}
+    return _children(raw, "topics", topic_id="id", topic_name="display_name", topic_score="score", **places)
 
 
 def keywords(raw: DataFrame) -> DataFrame:
@@ -84,15 +113,20 @@ def awards(raw: DataFrame) -> DataFrame:
 
 def work_sources(raw: DataFrame) -> DataFrame:
     """Always one row a work; issn is empty, not null, if there is none."""
-    s = "r.primary_location.source"
-    return parse(raw, WORK).where("r.id is not null").select(F.col("r.id").alias("work_id"), F.col(f"{s}.id").alias("source_id"), F.col(f"{s}.display_name").alias("source_name"), F.col(f"{s}.type").alias("source_type"), F.col(f"{s}.publisher").alias("publisher"), F.col(f"{s}.issn_l").alias("issn_l"), F.coalesce(_joined(F.col(f"{s}.issn")), F.lit("")).alias("issn"), "r.primary_location.landing_page_url", "r.primary_location.pdf_url", "r.open_access.is_oa", "r.open_access.oa_status")
+    place, source = "primary_location", "primary_location.source"
+    return _parsed(raw).select(
+        "work_id", _at("v", f"{source}.id").alias("source_id"), _at("v", f"{source}.display_name").alias("source_name"), _at("v", f"{source}.type").alias("source_type"),
+        _at("v", f"{source}.publisher").alias("publisher"), _at("v", f"{source}.issn_l").alias("issn_l"),
+        F.coalesce(_joined(_at("v", f"{source}.issn", "array<string>")), F.lit("")).alias("issn"),
+        _at("v", f"{place}.landing_page_url").alias("landing_page_url"), _at("v", f"{place}.pdf_url").alias("pdf_url"),
+        _at("v", "open_access.is_oa", "boolean").alias("is_oa"), _at("v", "open_access.oa_status").alias("oa_status"),
+    )
 
 
 def _institution_rows(authors: DataFrame) -> DataFrame:
     """Institutions with an id in authorships whose institutions_json is a list, with their place n."""
-    kind = "array<struct<id:string,display_name:string,ror:string,country_code:string,type:string,lineage:array<string>>>"
     good = F.try_parse_json("institutions_json").isNotNull() & F.ltrim("institutions_json").startswith("[")
-    return authors.where(good).select("*", F.posexplode(F.from_json("institutions_json", kind)).alias("n", "i")).where("i.id is not null")
+    return authors.where(good).select("*", F.posexplode(F.from_json("institutions_json", INSTITUTIONS)).alias("n", "i")).where("i.id is not null")
 
 
 def institutions(authors: DataFrame) -> DataFrame:
