@@ -111,7 +111,7 @@ def test_equals_whole_texts(spark, monkeypatch, characters):
     monkeypatch.setattr(tallies, "SPREAD", 2 if characters == 500 else tallies.SPREAD)
     monkeypatch.setattr(tallies, "RUN", 300)
     monkeypatch.setattr(vocabularies, "SLICE", 700)
-    long = " ".join(f"word{i} <|endoftext|>x" for i in range(800))
+    long = " ".join(f"word{i} <|endoftext|>x" for i in range(150))
     df, rows = documents(spark, extra=[(600, long), (600, long), (601, "a" * 3000), (602, "日本語" * 300), (603, "Ünï códe\u0301 <s> \x00 \u2028 it's 12"), (604, "a ▁ b c"), (605, "  two  blanks "), (606, "a▁ b")])
     got = sorted((r.doc_id if r.doc_id is not None else -1, *r[1:]) for r in alignment.alignment(df, A, B).collect())
     assert got == sorted((-1 if d is None else d, *x) for (d, _), x in zip(rows, expected([t for _, t in rows]), strict=True))

@@ -53,3 +53,4 @@ def test_empty_tables(spark):
 
 def test_places_survive_packing():
     assert tallies.of_planes(tallies.planes([0, 1, 255, 256, 2**31, 2**32 - 1])).tolist() == [0, 1, 255, 256, 2**31, 2**32 - 1]
+    assert tallies.of_planes(tallies.planes([3, 2**40], 8), 8).tolist() == [3, 2**40]

@@ -3,9 +3,10 @@
 Documents are dealt into blocks: a block is a run of documents of one task, of BLOCK characters or
 one document. It is one row, with the list of its distinct keys and, for each document, which of
 these it holds and how often (a sparse matrix: `held` numbers of keys a document, `at` their places,
-`n` how often). Blocks are written once. Only (block, place, key) is shuffled to meet what is told of
-the key; values come back as (block, place, value) and meet the block's matrix, so that no row per
-document and key ever exists.
+`n` how often). Blocks are written once. Only (spot, key) is shuffled to meet what is told of the key,
+where a spot is a block and a place in its list; values come back as a few rows a block and task, with
+their places and values side by side, and meet the block's matrix, so that no row per document and key
+ever exists.
 
 A key that every block holds is dealt over up to 64 salts, one more for each SPREAD blocks.
 """
@@ -23,17 +24,19 @@ from pyspark.sql import functions as F
 
 from .common import materialize, session
 
-#: Characters of a block, documents of a block, characters of texts that are cut at a time, blocks a salt.
-BLOCK, DOCUMENTS, RUN, SPREAD = 1 << 23, 1 << 16, 1 << 19, 4096
+#: Characters of a block, documents of a block, characters of texts that are cut at a time, blocks a salt, values that a task gathers.
+BLOCK, DOCUMENTS, RUN, SPREAD, GATHERED = 1 << 23, 1 << 16, 1 << 19, 4096, 1 << 19
+#: Bits of a place in a block (a block closes before it has so many keys), and of a block's number in its task.
+PLACE, NUMBER = 28, 14
 
 
-def planes(numbers) -> bytes:
-    """Unsigned 32-bit numbers, all lowest bytes first: small numbers compress well."""
-    return np.ascontiguousarray(np.asarray(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(numbers, width: int = 4) -> bytes:
+    """Unsigned numbers of so many bytes, all lowest bytes first: small numbers compress well."""
+    return np.ascontiguousarray(np.asarray(numbers).astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
 
-def of_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def of_planes(raw: bytes, width: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def numbered(items) -> tuple[np.ndarray, list]:
@@ -120,7 +123,7 @@ def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker) -> DataFram
 
     def make(batches):
         read, spread = maker()
-        block, number = Block(), TaskContext.get().partitionId() << 32
+        block, number = Block(), TaskContext.get().partitionId() << NUMBER
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, texts in runs(batch.column("text")):
@@ -139,14 +142,49 @@ def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker) -> DataFram
 
 
 def looked_up(blocks: DataFrame, tell, *values: str) -> DataFrame:
-    """of (block), place and the values that tell gives for the key there; tell gets and gives one row a distinct key: key, total, salts, and the values."""
+    """of (block), places and the values that tell gives for the keys there, packed by `planes`.
+
+    tell gets and gives one row a distinct key: key, total (how often the corpus holds it), salts, and the values.
+    """
     salts = min(64, 1 + blocks.count() // SPREAD)
     rows = blocks.select("block", F.posexplode(F.arrays_zip("keys", "totals")).alias("place", "x"))
-    rows = rows.select("block", "place", F.col("x.keys").alias("key"), F.col("x.totals").alias("total"), F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"))
-    distinct = rows.groupBy("key").agg(F.sum("total").alias("total"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
+    salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")
+    spot = (F.shiftleft("block", PLACE) + F.col("place")).alias("spot")
+    distinct = rows.select(F.col("x.keys").alias("key"), F.col("x.totals").alias("total"), salt)
+    distinct = distinct.groupBy("key").agg(F.sum("total").alias("total"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
     where = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.getbit("salts", s) == 1)
     told = tell(distinct).select("key", *values, F.explode(where).alias("salt"))
-    return rows.drop("total").join(told, ["key", "salt"]).select(F.col("block").alias("of"), "place", *values)
+    by = ["key", "salt"][: 1 + (salts > 1)]
+    found = rows.select(F.col("x.keys").alias("key"), *[salt][: salts > 1], spot).join(told, by).select("spot", *values)
+
+    def gather(batches):
+        held, n = [], 0
+
+        def packed():
+            whole = pa.Table.from_batches(held)
+            spots = whole.column("spot").to_numpy()
+            order = spots.argsort()
+            of, place = spots[order] >> PLACE, spots[order] & (1 << PLACE) - 1
+            cuts = np.flatnonzero(np.diff(of, prepend=-1))
+            ends = np.append(cuts[1:], len(of))
+            runs = list(zip(cuts, ends, strict=True))
+            columns = [pa.array([planes(np.diff(place[i:j], prepend=0)) for i, j in runs], pa.binary())]
+            for v in values:
+                value = whole.column(v).to_numpy()[order]
+                columns.append(pa.array([planes(value[i:j], 8) for i, j in runs], pa.binary()))
+            return pa.RecordBatch.from_arrays([pa.array(of[cuts]), *columns], names=["of", "place", *values])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= GATHERED:
+                yield packed()
+                held, n = [], 0
+        if held:
+            yield packed()
+
+    return found.mapInArrow(gather, "of long, place binary, " + ", ".join(f"{v} binary" for v in values))
 
 
 def summed(blocks: DataFrame, told: DataFrame, names: dict[str, str], *values: str) -> DataFrame:
@@ -156,7 +194,8 @@ def summed(blocks: DataFrame, told: DataFrame, names: dict[str, str], *values: s
 
     def add(block: pa.Table, told: pa.Table) -> pa.Table:
         out = []
-        place = told.column("place").to_numpy()
+        gathered = lambda name, width: [of_planes(x, width) for x in told.column(name).to_pylist()]
+        place = np.concatenate([np.zeros(0, np.int64), *(x.cumsum() for x in gathered("place", 4))])
         for r in range(block.num_rows):
             held, step, often = (of_planes(block.column(c)[r].as_py()) for c in ("held", "at", "n"))
             at = step.cumsum()
@@ -167,7 +206,7 @@ def summed(blocks: DataFrame, told: DataFrame, names: dict[str, str], *values: s
             sums = []
             for v in values:
                 value = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
-                value[place] = told.column(v).to_numpy()
+                value[place] = np.concatenate([np.zeros(0, np.int64), *gathered(v, 8)])
                 upto = np.concatenate([[0], (often * value[at]).cumsum()])
                 sums.append(upto[ends] - upto[ends - held])
             own = [block.column(n)[r].values for n in ("doc_id", *names)]
