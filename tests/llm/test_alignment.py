@@ -105,9 +105,9 @@ def test_bisection_lists_overlaps_and_unspanned_gaps(a, data):
         assert ends[i] == (lo in cuts)
 
 
-@pytest.mark.parametrize("characters", [tallies.BLOCK, 500])
+@pytest.mark.parametrize("characters", [alignment.CHARACTERS, 500])
 def test_equals_whole_texts(spark, monkeypatch, characters):
-    monkeypatch.setattr(tallies, "BLOCK", characters)
+    monkeypatch.setattr(alignment, "CHARACTERS", characters)
     monkeypatch.setattr(tallies, "SPREAD", 2 if characters == 500 else tallies.SPREAD)
     monkeypatch.setattr(tallies, "RUN", 300)
     monkeypatch.setattr(vocabularies, "SLICE", 700)

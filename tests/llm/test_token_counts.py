@@ -31,10 +31,10 @@ def test_slices_of_long_texts(monkeypatch):
     assert sum(sum(WORDS.count(WORDS.pretokens(c))) for chunks in WORDS.chunks(text) for c in chunks) == whole(text)
 
 
-@pytest.mark.parametrize("characters", [tallies.BLOCK, 500])
+@pytest.mark.parametrize("characters", [token_counts.CHARACTERS, 500])
 def test_equals_the_library(spark, monkeypatch, characters):
     """Also with many blocks and salts."""
-    monkeypatch.setattr(tallies, "BLOCK", characters)
+    monkeypatch.setattr(token_counts, "CHARACTERS", characters)
     monkeypatch.setattr(tallies, "SPREAD", 2 if characters == 500 else tallies.SPREAD)
     monkeypatch.setattr(tallies, "RUN", 300)
     long = " ".join(f"word{i} <|endoftext|>x" for i in range(3000))

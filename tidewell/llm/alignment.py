@@ -35,6 +35,8 @@ from .vocabularies import Bytes, Pieces, spaced
 
 #: Aligned chunks that a worker keeps; longer ones than LONGEST characters are aligned anew in each block.
 CACHE, LONGEST = 150_000, 32
+#: Characters of a block.
+CHARACTERS = 1 << 23
 OWN = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string"}
 _loaded: dict = {}
 
@@ -124,7 +126,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
         return read, spread
 
-    return blocks(docs, OWN, "bigint", maker)
+    return blocks(docs, OWN, "bigint", maker, CHARACTERS)
 
 
 def pair_counts(distinct: DataFrame) -> DataFrame:

@@ -66,25 +66,28 @@ class Block:
             self.held.append(tuple(np.concatenate([t[i] for t in tallied] or [np.zeros(0, np.int64)]) for i in (0, 1)))
         self.chars += chars
 
-    def full(self) -> bool:
-        return self.chars >= BLOCK or len(self.ids) >= DOCUMENTS
+    def full(self, chars: int) -> bool:
+        return self.chars >= chars or len(self.ids) >= DOCUMENTS
 
     def closed(self, number: int, names: list[str], spread, kind: pa.DataType) -> pa.RecordBatch:
         """The block as one row. spread(chunks) gives how many keys each chunk has, the keys' numbers and the distinct keys."""
         many, key, keys = spread(list(self.place))
-        chunk, often = (np.concatenate([h[i] for h in self.held]).astype(np.int64) for i in (0, 1))
-        doc = np.repeat(np.arange(len(self.held)), [len(h[0]) for h in self.held])
-        first = np.concatenate([[0], np.cumsum(many)])[:-1]
-        length = many[chunk]
-        each = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(first[chunk], length)
+        chunk, often = (np.concatenate([h[i] for h in self.held]).astype(np.int32) for i in (0, 1))
+        doc = np.repeat(np.arange(len(self.held), dtype=np.int32), [len(h[0]) for h in self.held])
+        length, first = many[chunk], (np.cumsum(many) - many)[chunk]
+        # the keys of a document's chunks, one after another
+        each = np.arange(length.sum()) + np.repeat(first - (np.cumsum(length) - length), length)
         doc, often, key = np.repeat(doc, length), np.repeat(often, length), key[each]
+        del each, chunk, first
         # frequent keys first, for small differences between the places of a document
         rank = np.bincount(key, minlength=len(keys)).argsort(kind="stable")[::-1]
         place = np.empty(len(keys), np.int64)
         place[rank] = np.arange(len(keys))
-        code = doc * max(1, len(keys)) + place[key]
+        code = doc * np.int64(max(1, len(keys))) + place[key]
+        del doc, key
         order = code.argsort(kind="stable")
-        code, often = code[order], often[order]
+        code, often = code[order], often[order].astype(np.int64)
+        del order
         new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[: len(code)])
         often, code = (np.add.reduceat(often, new) if len(new) else often), code[new]
         doc, at = np.divmod(code, max(1, len(keys)))
@@ -112,8 +115,8 @@ def runs(column, chars: int = RUN):
         yield lo, held
 
 
-def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker) -> DataFrame:
-    """The written blocks of docs. names: the documents' own columns and their Spark types; kind: the Spark type of keys.
+def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker, chars: int = BLOCK) -> DataFrame:
+    """The written blocks of docs, of so many characters. names: the documents' own columns and their Spark types; kind: the Spark type of keys.
 
     maker() gives, in a task, read(block, texts), which yields the own columns and the chunk numbers
     of each text, and the function spread of `Block.closed`.
@@ -129,7 +132,7 @@ def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker) -> DataFram
             for lo, texts in runs(batch.column("text")):
                 for i, (value, chunks) in enumerate(read(block, texts)):
                     block.add(ids.slice(lo + i, 1), value, chunks, len(texts[i]))
-                if block.full():
+                if block.full(chars):
                     yield block.closed(number, list(names), spread, key)
                     block, number = Block(), number + 1
         if block.ids:
@@ -141,17 +144,18 @@ def blocks(docs: DataFrame, names: dict[str, str], kind: str, maker) -> DataFram
     return materialize(made, "blocks", codec="zstd")
 
 
-def looked_up(blocks: DataFrame, tell, *values: str) -> DataFrame:
+def looked_up(blocks: DataFrame, tell, *values: str, totals: bool = True) -> DataFrame:
     """of (block), places and the values that tell gives for the keys there, packed by `planes`.
 
-    tell gets and gives one row a distinct key: key, total (how often the corpus holds it), salts, and the values.
+    tell gets and gives one row a distinct key: key, salts, with totals also total (how often the corpus holds it), and the values.
     """
     salts = min(64, 1 + blocks.count() // SPREAD)
     rows = blocks.select("block", F.posexplode(F.arrays_zip("keys", "totals")).alias("place", "x"))
     salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")
     spot = (F.shiftleft("block", PLACE) + F.col("place")).alias("spot")
     distinct = rows.select(F.col("x.keys").alias("key"), F.col("x.totals").alias("total"), salt)
-    distinct = distinct.groupBy("key").agg(F.sum("total").alias("total"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
+    every = F.bit_or(F.expr("shiftleft(1L, salt)")) if salts > 1 else F.lit(1).cast("long")
+    distinct = distinct.groupBy("key").agg(every.alias("salts"), *[F.sum("total").alias("total")][:totals])
     where = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.getbit("salts", s) == 1)
     told = tell(distinct).select("key", *values, F.explode(where).alias("salt"))
     by = ["key", "salt"][: 1 + (salts > 1)]

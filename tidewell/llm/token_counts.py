@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .tallies import blocks, looked_up, numbered, summed
 from .vocabularies import Words
 
-#: Pre-tokens of chunks that a worker keeps.
-CACHE = 200_000
+#: Pre-tokens of chunks that a worker keeps, characters of a block: the larger, the fewer lists hold a pre-token.
+CACHE, CHARACTERS = 200_000, 1 << 24
 _loaded: dict = {}
 _pretokens: dict = {}
 
@@ -58,7 +58,7 @@ def frequencies(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         return read, spread
 
-    return blocks(docs, {"n_bytes": "long"}, "string", maker)
+    return blocks(docs, {"n_bytes": "long"}, "string", maker, CHARACTERS)
 
 
 def piece_counts(distinct: DataFrame, tokenizer: str) -> DataFrame:
@@ -70,11 +70,11 @@ def piece_counts(distinct: DataFrame, tokenizer: str) -> DataFrame:
             pieces = pa.array(words.count(batch.column("key").to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, pieces], names=[*batch.schema.names, "n_tokens"])
 
-    return distinct.mapInArrow(count, "key string, total long, salts long, n_tokens long")
+    return distinct.mapInArrow(count, "key string, salts long, n_tokens long")
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (more than limit tokens) of every document."""
     held = frequencies(docs, tokenizer)
-    told = looked_up(held, lambda distinct: piece_counts(distinct, tokenizer), "n_tokens")
+    told = looked_up(held, lambda distinct: piece_counts(distinct, tokenizer), "n_tokens", totals=False)
     return summed(held, told, {"n_bytes": "long"}, "n_tokens").withColumn("over_limit", F.col("n_tokens") > limit)
