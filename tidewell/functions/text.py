@@ -1,15 +1,16 @@
 """Cleaning and key functions for bibliographic strings, as columns.
 
 Everything runs in the JVM but Unicode normalisation, which Spark lacks: nfkc() and nfc() are Arrow
-UDFs, and are only called where a column asks for them.
+UDFs, and normalised() sends only the rows through them that they can change.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
@@ -25,6 +26,16 @@ def nfc(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
+def normalised(rows: DataFrame, form, *columns: str) -> DataFrame:
+    """rows with these columns in the form given (nfc or nfkc).
+
+    Every form leaves ASCII as it is, so only rows with other characters go through Python; the rest
+    stays in the JVM. The order of rows isn't kept.
+    """
+    odd = reduce(lambda x, y: x | y, (F.coalesce(F.col(c).rlike(r"[^\x00-\x7F]"), F.lit(False)) for c in columns))
+    return rows.where(~odd).unionByName(rows.where(odd).withColumns({c: form(F.col(c)) for c in columns}))
+
+
 def clean(c: Column) -> Column:
     """Trimmed; null becomes empty."""
     return F.coalesce(F.trim(c), F.lit(""))

@@ -6,39 +6,78 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.kept import kept
+from tidewell.operators.skew import hot_keys, met
 
 
 def components(nodes: DataFrame | None, edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """node, component (its smallest node), by neighbour minima and pointer jumping; all of nodes are listed, or those of edges."""
-    own = edges.where("a != b")
-    pairs = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    both = kept(own.select(pairs.alias("p")).select("p.a", "p.b").distinct())  # one pass over the edges
-    linked = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
-    labels = kept(linked.withColumn("moved", F.lit(True)))
+    """node, component (its smallest node), by large and small stars; all of nodes are listed, or those of edges.
+
+    A large star ties every larger neighbour of a node to the smallest node that it sees, a small star
+    every smaller one; the edges that are left when nothing changes tie each node to its component's
+    smallest. A round is four aggregates with map-side combine and two joins; nodes with very many
+    neighbours, as the centre of a large component is one, are dealt over several tasks.
+    """
+    ends = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    stars = kept(edges.where("a != b").select(*ends).distinct(), "edges")
+    state = _state(stars)
     for _ in range(rounds):
-        if labels.where("moved").isEmpty():
+        if not state[0]:
+            break
+        stars = kept(_small_star(kept(_large_star(stars), "large_star")), "stars")
+        before, state = state, _state(stars)
+        if state == before:
             break
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        further = labels.select(F.col("node").alias("root"), F.col("component").alias("further"))
-        met = labels.join(near, labels.node == near.a).join(further, labels.component == further.root)
-        least = F.least("component", "near", "further")
-        labels = kept(met.select("node", least.alias("component"), (least != F.col("component")).alias("moved")))
     else:
-        if not labels.where("moved").isEmpty():
-            raise RuntimeError(f"components still change after {rounds} rounds")
-    labels = labels.drop("moved")
-    if nodes is None:
-        return labels
-    alone = nodes.select("node").distinct().join(linked.select("node"), "node", "left_anti")
-    return labels.unionByName(alone.withColumn("component", F.col("node")))
+        raise RuntimeError(f"components still change after {rounds} rounds")
+    labels = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    labels = labels.unionByName(labels.select(F.col("component").alias("node"), "component").distinct())
+    loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component")) if nodes is None else nodes.select("node", F.col("node").alias("component"))
+    return labels.unionByName(loops.distinct().join(labels.select("node"), "node", "left_anti"))
 
 
-def coauthor_edges(authorships: DataFrame, most_authors: int = 100, sample: int = 50) -> DataFrame:
-    """author_id_a < author_id_b, their shared works (count, first ones), and names; works with more authors are left out."""
+def _state(stars: DataFrame) -> tuple:
+    """Tells a set of edges from another one."""
+    return tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """edges: a > b. Of each node's larger neighbours, the edge to the smallest node around it."""
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    least = edges.select(both.alias("e")).groupBy(F.col("e.a").alias("b")).agg(F.least(F.col("e.a"), F.min("e.b")).alias("least"))
+    return met(edges, least, "b", hot_keys(edges, "b")).select("a", F.col("least").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """edges: a > b. The edges of each node and its smaller neighbours to the smallest of these."""
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    around = met(edges, least, "a", hot_keys(edges, "a"))
+    tied = F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b"))))
+    return around.select(tied.alias("e")).select("e.a", "e.b").where("a != b").distinct()
+
+
+def _coauthors(authorships: DataFrame, most_authors: int) -> DataFrame:
+    """work_id and two of its authors, a < b, with their names there; works with more authors are left out."""
     people = authorships.where("author_id is not null").groupBy("work_id", "author_id").agg(F.min("author_name").alias("name"))
     people = people.withColumn("_n", F.count("*").over(Window.partitionBy("work_id"))).where(F.col("_n") <= most_authors)
-    a, b = people.select("work_id", F.col("author_id").alias("author_id_a"), F.col("name").alias("name_a")), people.select("work_id", F.col("author_id").alias("author_id_b"), F.col("name").alias("name_b"))
-    pairs = a.join(b, "work_id").where("author_id_a < author_id_b")
-    # only the works of the sample are collected, however many two people share
-    pairs = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("author_id_a", "author_id_b").orderBy("work_id")))
-    return pairs.groupBy("author_id_a", "author_id_b").agg(F.min_by("name_a", "work_id").alias("name_a"), F.min_by("name_b", "work_id").alias("name_b"), F.count("*").alias("shared_work_count"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("_r") <= sample, F.col("work_id")))), "; ").alias("sample_work_ids"))
+    a, b = (people.select("work_id", F.col("author_id").alias(f"author_id_{s}"), F.col("name").alias(f"name_{s}")) for s in "ab")
+    return a.join(b, "work_id").where("author_id_a < author_id_b")
+
+
+def shared_works(authorships: DataFrame, most_authors: int = 100) -> DataFrame:
+    """author_id_a < author_id_b and the number of their shared works: what identity resolution needs of coauthors."""
+    return _coauthors(authorships, most_authors).groupBy("author_id_a", "author_id_b").agg(F.count("*").alias("shared_work_count"))
+
+
+def coauthor_edges(authorships: DataFrame, most_authors: int = 100, sample: int = 50) -> DataFrame:
+    """author_id_a < author_id_b, their shared works (count, first ones), and their names in the first.
+
+    Only the works of the sample are sorted and sent, at most sample a pair and task, however many two
+    people share; the count is an aggregate of its own.
+    """
+    pairs, two = _coauthors(authorships, most_authors), ["author_id_a", "author_id_b"]
+    first = pairs.withColumn("_r", F.row_number().over(Window.partitionBy(*two).orderBy("work_id"))).where(F.col("_r") <= sample)
+    listed = first.groupBy(*two).agg(
+        F.min_by("name_a", "work_id").alias("name_a"), F.min_by("name_b", "work_id").alias("name_b"),
+        F.array_join(F.sort_array(F.collect_list("work_id")), "; ").alias("sample_work_ids"),
+    )
+    return listed.join(shared_works(authorships, most_authors), two).select(*two, "name_a", "name_b", "shared_work_count", "sample_work_ids")

@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def kept(df: DataFrame, name: str = "kept") -> DataFrame:
-    """Written to the folder that driver and executors share, and read again: the plan runs once, and a lost executor costs this step at most."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and there is one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "/tmp/checkpoints/tidewell"
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Written to the folder that driver and executors share, and read again: the plan runs once, and a lost executor costs this step at most."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,16 +47,15 @@ def kept_once(name: str, sources: list[DataFrame], make) -> DataFrame:
 
 
 def numbered(df: DataFrame, *order: Column | str, name: str = "_n") -> DataFrame:
-    """df with a number from 1 by the order given, which has to be total.
+    """df with a number from 1 by the order given, which has to be total. Give it keys rather than whole rows, and join back.
 
-    The sort is by ranges; each row gets its place in its range, and the ranges' sizes, one number a
-    task, give what comes before.
+    The sort is by ranges; each row gets its place in its range, and a prefix sum over the ranges' sizes
+    gives what comes before a range. That sum has a row a range, so a table of ranges is broadcast,
+    never one of rows. Ranges are read from the written sort, so both sides see the same ones.
     """
     placed = df.orderBy(*order).withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     placed = kept(placed, "numbered")
-    before, offsets = 0, []
-    for r in placed.groupBy("_range").count().orderBy("_range").collect():
-        offsets += [F.lit(r["_range"]), F.lit(before)]
-        before += r["count"]
-    first = F.element_at(F.create_map(*offsets), F.col("_range")) if offsets else F.lit(0)
-    return placed.withColumn(name, (first + F.col("_place") + 1).cast("long")).drop("_range", "_place")
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
+    return placed.join(F.broadcast(first), "_range").withColumn(name, (F.col("_first") + F.col("_place") + 1).cast("long")).drop("_range", "_place", "_first")

@@ -2,29 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import ladders, text
 from tidewell.operators.graph import components
 from tidewell.operators.kept import kept, numbered
+from tidewell.operators.skew import hot_keys, without
 from tidewell.plans import researchers
 
 #: Block sizes and scores.
 NAME_BLOCK, INITIALS_BLOCK = (2, 50), (2, 20)
 
 
-def _block(people: DataFrame, key: str, sizes: tuple[int, int], basis: str, score: int) -> DataFrame:
-    """Pairs inside blocks of a permitted size; larger blocks carry no evidence, so the join stays small."""
-    sized = people.where(F.col(key).isNotNull() & (F.col(key) != "")).withColumn("_n", F.count("*").over(Window.partitionBy(key))).where(F.col("_n").between(*sizes)).select(key, "author_id")
+#: The ways in which two people come to be compared: basis, key, sizes of blocks, score.
+BASES = (("same_normalised_name", "name_key", NAME_BLOCK, 30), ("same_surname_initials", "initials_key", INITIALS_BLOCK, 10))
+
+
+def with_keys(people: DataFrame, normalise: bool = True) -> DataFrame:
+    """people with the keys of their blocks; only names that aren't ASCII go through Unicode normalisation."""
+    people = text.normalised(people.withColumn("name_key", F.col("author_name")), text.nfc, "name_key") if normalise else people.withColumn("name_key", F.col("author_name"))
+    return people.withColumn("name_key", text.person_name(F.col("name_key"), False)).withColumn("initials_key", text.initials_key(F.col("name_key")))
+
+
+def census(people: DataFrame, key: str) -> DataFrame:
+    """key, members: how many people each block has; a map-side combined count, whatever their sizes."""
+    return people.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(key).agg(F.count("*").alias("members"))
+
+
+def dropped_blocks(people: DataFrame) -> DataFrame:
+    """basis, block_key, members of the blocks that are too large to tell anything; people with their keys."""
+    large = [census(people, key).where(F.col("members") > sizes[1]).select(F.lit(basis).alias("basis"), F.col(key).alias("block_key"), "members") for basis, key, sizes, _ in BASES]
+    return large[0].unionByName(large[1])
+
+
+def _block(people: DataFrame, basis: str, key: str, sizes: tuple[int, int], score: int) -> DataFrame:
+    """Pairs inside blocks of a permitted size. The people of a name that very many have go before the shuffle, those of other large blocks before the join."""
+    rows = without(people.select(key, "author_id"), key, hot_keys(people, key))
+    sized = rows.join(census(rows, key).where(F.col("members").between(*sizes)), key, "left_semi")
     return sized.toDF(key, "a").join(sized.toDF(key, "b"), key).where("a < b").select("a", "b", F.lit(score).alias("score"), F.lit(basis).alias("basis"))
 
 
-def candidate_pairs(people: DataFrame, edges: DataFrame, normalise: bool = False) -> DataFrame:
-    """Scored pairs; people: author_id, author_name, orcid, works, main_ror, main_institution_name, top_topics."""
-    name = text.person_name(F.col("author_name"), normalise)
-    people = people.withColumn("name_key", name).withColumn("initials_key", text.initials_key(F.col("name_key")))
-    blocks = _block(people, "name_key", NAME_BLOCK, "same_normalised_name", 30).unionByName(_block(people, "initials_key", INITIALS_BLOCK, "same_surname_initials", 10))
+def candidate_pairs(people: DataFrame, edges: DataFrame) -> DataFrame:
+    """Scored pairs; people: author_id, author_name, orcid, works, main_ror, main_institution_name, top_topics, and the keys of with_keys; edges: shared works of two authors."""
+    blocks = reduce(DataFrame.unionByName, (_block(people, *basis) for basis in BASES))
     pairs = blocks.groupBy("a", "b").agg(F.sum("score").alias("block_score"), F.collect_set("basis").alias("basis"))
     side = people.select("author_id", F.nullif("orcid", F.lit("")).alias("orcid"), "works", F.nullif("main_ror", F.lit("")).alias("ror"), F.nullif(text.institution_name(F.col("main_institution_name"), False), F.lit("")).alias("inst"), text.topic_tokens(F.col("top_topics")).alias("topics"))
     x, y = (side.toDF(*(f"{c}_{s}" if c != "author_id" else s for c in side.columns)) for s in "ab")
@@ -52,7 +75,8 @@ def canonical(people: DataFrame, pairs: DataFrame) -> DataFrame:
     member = components(people.select(F.col("author_id").alias("node")), edges)
     best = F.max(F.struct("works", "citations", F.col("orcid").isNotNull().alias("has"), "author_id"))
     strong = people.join(member, people.author_id == member.node).groupBy("component").agg(best.alias("best"), F.count("*").alias("members"))
-    out = member.join(numbered(strong, "component"), "component")
+    strong = kept(strong, "strongest")
+    out = member.join(strong, "component").join(numbered(strong.select("component"), "component"), "component")
     status = F.when(F.col("members") > 1, F.lit("auto_merged_very_high")).otherwise(F.lit("singleton"))
     return out.select(F.col("node").alias("author_id"), text.surrogate("CR", 8, F.col("_n")).alias("canonical_id"), F.col("best.author_id").alias("canonical_author_id"), F.col("members").alias("member_count"), status.alias("merge_status"), F.when(F.col("node") == F.col("best.author_id"), F.lit("canonical_self")).otherwise(F.lit("mapped_to_canonical")).alias("map_status"))
 

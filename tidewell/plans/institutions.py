@@ -16,9 +16,12 @@ def identity_map(ri: DataFrame, normalise: bool = True) -> DataFrame:
     variants = ri.groupBy(*keys).agg(F.count("*").alias("links"), F.count_distinct("work_id").alias("works")).withColumn("group_key", F.coalesce(F.concat(F.lit("ROR:"), ror), F.concat(F.lit("OA:"), F.col("institution_id")))).where("group_key is not null")
     best = Window.partitionBy("group_key").orderBy(F.desc("works"), F.desc(F.when(ror.isNotNull(), 1).otherwise(0)), F.desc(F.length("institution_name")), F.asc_nulls_last("institution_name"), F.asc_nulls_last("institution_id"), F.asc_nulls_last("institution_country"))
     chosen = variants.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("group_key", F.col("institution_name").alias("canonical_name"), ror.alias("canonical_ror"), F.col("institution_country").alias("canonical_country"))
-    chosen = numbered(chosen, "group_key").withColumn("canonical_institution_id", text.surrogate("CI", 8, F.col("_n"))).drop("_n")
+    ids = numbered(variants.select("group_key").distinct(), "group_key").select("group_key", text.surrogate("CI", 8, F.col("_n")).alias("canonical_institution_id"))
+    chosen = chosen.join(ids, "group_key")
+    variants = variants.withColumn("normalised_name", F.col("institution_name"))
+    variants = text.normalised(variants, text.nfkc, "normalised_name") if normalise else variants
     basis = F.when(ror.isNotNull(), F.lit("ror")).otherwise(F.lit("openalex_id"))
-    return variants.join(chosen, "group_key").select("canonical_institution_id", "canonical_name", "canonical_ror", "canonical_country", *keys, "works", basis.alias("canonicalisation_basis"), text.institution_name(F.col("institution_name"), normalise).alias("normalised_name"))
+    return variants.join(chosen, "group_key").select("canonical_institution_id", "canonical_name", "canonical_ror", "canonical_country", *keys, "works", basis.alias("canonicalisation_basis"), text.institution_name(F.col("normalised_name"), False).alias("normalised_name"))
 
 
 def canonical(mapping: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ PLANS = {
     "ledger_identifier_claims": lambda t: ledgers.identifier_claims(_works(t), _lookups(t)),
     "ledger_output_counts": _counts,
     "ledger_retrievals": _retrievals,
-    "delta_status_counts": lambda t: t.fetched.join(outputs.scope_delta(t.tags), "doi_clean", "left_semi").groupBy("response_status").agg(F.count("*").alias("n")),
+    "delta_status_counts": lambda t: t.fetched.join(outputs.scope_delta(t.plain_tags), "doi_clean", "left_semi").groupBy("response_status").agg(F.count("*").alias("n")),
     "delete_by_predicate": lambda t: store.delete_where(t.harvest_log, (F.col("run_id") == "run2") | F.col("status").isin("view", "signup")).select("event_id", "run_id", "status"),
     "journal_scan_order": lambda t: harvest.in_priority(harvest.journal_targets(t.journal_targets_raw)),
     "topic_scan_plan": lambda t: harvest.topic_filters(t.curated_topics.where("education_relevance_tier is not null"), ("AU", "NZ"), 1990),

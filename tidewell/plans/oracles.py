@@ -135,6 +135,8 @@ ORACLES = {
         CASE WHEN coalesce(core_topics, 0) > 0 AND coalesce(adjacent_topics, 0) > 0 THEN 'core_and_adjacent' WHEN coalesce(core_topics, 0) > 0 THEN 'core_only' WHEN coalesce(adjacent_topics, 0) > 0 THEN 'adjacent_only' ELSE 'unclassified' END AS education_topic_profile
         FROM authors a LEFT JOIN ts ON a.author_id = ts.author_id LEFT JOIN tt ON a.author_id = tt.author_id LEFT JOIN mi ON a.author_id = mi.author_id LEFT JOIN isum ON a.author_id = isum.author_id LEFT JOIN tsrc ON a.author_id = tsrc.author_id LEFT JOIN cs ON a.author_id = cs.author_id LEFT JOIN pt ON a.author_id = pt.author_id WHERE is_au_nz_affiliated""",
     "identity_pairs": _IDENTITY + "SELECT * FROM pairs",
+    "identity_dropped_blocks": _IDENTITY + """SELECT 'same_normalised_name' AS basis, nk AS block_key, count(*) AS members FROM keyed WHERE nk <> '' GROUP BY nk HAVING count(*) > 50
+        UNION ALL SELECT 'same_surname_initials', ik, count(*) FROM keyed WHERE ik <> '' GROUP BY ik HAVING count(*) > 20""",
     "identity_confidence_counts": _IDENTITY + "SELECT confidence, count(*) AS n FROM pairs GROUP BY 1",
     "identity_components": _IDENTITY + """, e AS (SELECT author_id_a AS a, author_id_b AS b FROM pairs WHERE confidence IN ('very_high', 'high', 'medium')), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
         reach(n, m) AS (SELECT DISTINCT a, a FROM s UNION SELECT r.n, s.b FROM reach r JOIN s ON r.m = s.a) SELECT n AS author_id, min(m) AS component FROM reach GROUP BY n""",

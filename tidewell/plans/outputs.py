@@ -11,7 +11,8 @@ from tidewell.operators.kept import numbered
 
 def text_cleaning_review(rows: DataFrame, key: str, column: str, normalise: bool = True) -> DataFrame:
     """Rows whose cleaned text differs from what is stored, null-safely."""
-    out = rows.select(key, F.col(column).alias("before"), text.clean_text(F.col(column), normalise).alias("after"))
+    out = rows.select(key, F.col(column).alias("before"), F.col(column).alias("after"))
+    out = (text.normalised(out, text.nfkc, "after") if normalise else out).withColumn("after", text.clean_text(F.col("after"), False))
     return out.where(~F.col("before").eqNullSafe(F.col("after")))
 
 
@@ -21,19 +22,29 @@ def source_key(source_id: Column, issn_l: Column, name: Column) -> Column:
     return F.coalesce(full(source_id), F.concat(F.lit("ISSNL:"), full(issn_l)), F.concat(F.lit("NAME:"), text.alphanumeric_key(name)), F.lit("MISSING_SOURCE"))
 
 
-def canonical_sources(sources: DataFrame) -> DataFrame:
-    """One row a source, with a number by key order; only distinct keys are numbered."""
-    rows = sources.withColumn("source_key", source_key(F.col("source_id"), F.col("issn_l"), F.col("source_name")))
-    one = rows.groupBy("source_key").agg(F.min("source_name").alias("source_name"), F.min("source_type").alias("source_type"), F.min("publisher").alias("publisher"), F.count_distinct("work_id").alias("works"), text.sorted_list(F.col("source_name")).alias("name_variants"), text.sorted_list(F.col("issn")).alias("issn_variants"))
+def keyed_sources(sources: DataFrame) -> DataFrame:
+    return sources.withColumn("source_key", source_key(F.col("source_id"), F.col("issn_l"), F.col("source_name")))
+
+
+def source_ids(sources: DataFrame) -> DataFrame:
+    """source_key, canonical_source_id: the distinct keys, numbered in their order."""
+    keys = keyed_sources(sources).select("source_key").distinct()
+    return numbered(keys, "source_key").select("source_key", text.surrogate("CS", 8, F.col("_n")).alias("canonical_source_id"))
+
+
+def canonical_sources(sources: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """One row a source; ids: source_ids(sources), or none for the sources without their ids."""
+    one = keyed_sources(sources).groupBy("source_key").agg(F.min("source_name").alias("source_name"), F.min("source_type").alias("source_type"), F.min("publisher").alias("publisher"), F.count_distinct("work_id").alias("works"), text.sorted_list(F.col("source_name")).alias("name_variants"), text.sorted_list(F.col("issn")).alias("issn_variants"))
     name, kind = F.col("source_name"), F.col("source_type")
-    out = numbered(one, "source_key").withColumn("canonical_source_id", text.surrogate("CS", 8, F.col("_n"))).drop("_n").withColumn("derived_source_class", ladders.source_class(name, kind))
+    out = (one if ids is None else one.join(ids, "source_key")).withColumn("derived_source_class", ladders.source_class(name, kind))
     return out.withColumns({"is_journal_like": ladders.flag(kind == "journal"), "is_repository_like": ladders.flag(kind == "repository"), "is_book_like": ladders.flag(kind.isin("ebook platform", "book series")), "is_missing_source": name.isNull()})
 
 
-def work_output_tags(works: DataFrame, sources: DataFrame, canonical: DataFrame) -> DataFrame:
-    """Every work with its source and classes."""
-    side = sources.select("work_id", "source_name", "source_type", "issn_l", "issn", "is_oa", source_key(F.col("source_id"), F.col("issn_l"), F.col("source_name")).alias("source_key"))
-    df = works.join(side, "work_id", "left").withColumn("source_key", F.coalesce("source_key", F.lit("MISSING_SOURCE"))).join(canonical.select("source_key", "canonical_source_id"), "source_key", "left")
+def work_output_tags(works: DataFrame, sources: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Every work with its source and classes; with ids (source_ids) also with the canonical source's id."""
+    side = keyed_sources(sources).select("work_id", "source_name", "source_type", "issn_l", "issn", "is_oa", "source_key")
+    df = works.join(side, "work_id", "left").withColumn("source_key", F.coalesce("source_key", F.lit("MISSING_SOURCE")))
+    df = df if ids is None else df.join(ids.select("source_key", "canonical_source_id"), "source_key", "left")
     name, kind, work = F.col("source_name"), F.col("source_type"), F.col("work_type")
     df = df.withColumns(ladders.output_flags(name, kind, work))
     return df.withColumns({"derived_output_class": ladders.output_class(name, kind, work, F.col("type_crossref")), "broad_output_family": ladders.output_family(name, kind, work)})
@@ -42,7 +53,8 @@ def work_output_tags(works: DataFrame, sources: DataFrame, canonical: DataFrame)
 def source_metrics(tags: DataFrame) -> DataFrame:
     count = lambda c: F.sum(F.when(F.col(c), 1).otherwise(0))
     cites = F.col("cited_by_count")
-    return tags.groupBy("canonical_source_id", "source_key").agg(
+    by = [c for c in ("canonical_source_id", "source_key") if c in tags.columns]
+    return tags.groupBy(*by).agg(
         F.count_distinct("work_id").alias("works"), F.sum(F.coalesce(cites, F.lit(0))).alias("citations"), F.round(F.avg(cites), 6).alias("mean_citations"), F.median(cites).alias("median_citations"), F.max(cites).alias("max_citations"),
         F.min("publication_year").alias("first_year"), F.max("publication_year").alias("last_year"), count("is_journal_article_like").alias("journal_articles"), count("is_grey_literature_likely").alias("grey_literature"), count("is_oa").alias("open_access"), text.sorted_list(F.col("derived_output_class")).alias("output_classes"),
     )

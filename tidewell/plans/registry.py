@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import text
 from tidewell.operators import graph, store
 from tidewell.operators.kept import kept, kept_once
-from tidewell.plans import identity, institutions, ledger_queries, outputs, provenance, records, reports, researchers, ror, summaries
+from tidewell.plans import identity, institutions, ledger_queries, merges, outputs, provenance, records, reports, researchers, ror, summaries
 from tidewell.plans.oracles import ORACLES
 from tidewell.plans.views import view
 from tidewell.session import ship
@@ -17,20 +17,21 @@ from tidewell.sources import flatten
 
 
 class Tables:
-    """Views and derived layers of a folder of test tables, made when asked for; with keep, layers that a plan reads several times are written once."""
+    """Views and derived layers of a folder of test tables, made when asked for; layers named in keep are written once."""
 
-    #: Layers that others read more than once.
-    KEPT = ("authorships", "rw", "rt", "people", "edges", "pairs", "identity_map", "institution_map", "canonical", "tags")
-
-    def __init__(self, spark, sf_dir, keep=False):
+    def __init__(self, spark, sf_dir, keep=()):
         self.spark, self.dir, self._keep, self._made = ship(spark), sf_dir, keep, {}
 
     def __getattribute__(self, name):
         get = super().__getattribute__
-        if name not in Tables.KEPT or not self._keep:
+        if name.startswith("_") or name not in get("_keep"):
             return get(name)
         if name not in self._made:
-            self._made[name] = kept(get(name), name)
+            try:
+                layer = get(name)
+            except AttributeError:  # a view
+                layer = view(self.spark, self.dir, name)
+            self._made[name] = kept(layer, name)
         return self._made[name]
 
     def __getattr__(self, name):
@@ -57,15 +58,24 @@ class Tables:
     def edges(self):
         return graph.coauthor_edges(self.authorships)
 
+    @property
+    def shared(self):
+        """Numbers of works that two authors share."""
+        return graph.shared_works(self.authorships)
+
     @property
     def people(self):
         main = researchers.main_institution(self.home)
         top = researchers.top_topics(self.rt)
         return researchers.researchers(self.rw).join(main, "author_id", "left").join(top, "author_id", "left").select("author_id", "author_name", "orcid", "works", "citations", "main_ror", "main_institution_name", "top_topics")
 
+    @property
+    def keyed_people(self):
+        return identity.with_keys(self.people)
+
     @property
     def pairs(self):
-        return identity.candidate_pairs(self.people, self.edges)
+        return identity.candidate_pairs(self.keyed_people, self.shared)
 
     @property
     def identity_map(self):
@@ -73,7 +83,7 @@ class Tables:
 
     @property
     def institution_map(self):
-        return institutions.identity_map(self.researcher_institutions, normalise=False)
+        return institutions.identity_map(self.researcher_institutions)
 
     @property
     def enriched(self):
@@ -81,13 +91,29 @@ class Tables:
         none = flatten.organisation_lists(raw, "aliases")
         return ror.enriched(canon, flatten.organisations(raw), flatten.organisation_names(raw), none, flatten.organisation_locations(raw), flatten.organisation_relationships(raw), flatten.organisation_ids(raw), flatten.organisation_lists(raw, "links"))
 
+    @property
+    def source_ids(self):
+        """Numbers of the distinct source keys; only what shows a canonical id needs them."""
+        if "source_ids" not in self._made:
+            self._made["source_ids"] = kept(outputs.source_ids(self.work_sources), "source_ids")
+        return self._made["source_ids"]
+
     @property
     def canonical(self):
-        return outputs.canonical_sources(self.work_sources)
+        return outputs.canonical_sources(self.work_sources, self.source_ids)
 
     @property
     def tags(self):
-        return outputs.work_output_tags(self.works_flat, self.work_sources, self.canonical)
+        return outputs.work_output_tags(self.works_flat, self.work_sources, self.source_ids)
+
+    @property
+    def plain_canonical(self):
+        return outputs.canonical_sources(self.work_sources)
+
+    @property
+    def plain_tags(self):
+        """The output layer without canonical ids."""
+        return outputs.work_output_tags(self.works_flat, self.work_sources)
 
     @property
     def fetched(self):
@@ -102,7 +128,7 @@ class Tables:
 
     @property
     def coverage(self):
-        return outputs.registry_coverage(self.reg, outputs.registry_identifiers(self.reg), self.tags)
+        return outputs.registry_coverage(self.reg, outputs.registry_identifiers(self.reg), self.plain_tags)
 
     @property
     def record_rows(self):
@@ -166,6 +192,7 @@ PLANS = {
     "publication_type_summary": lambda t: researchers.publication_types(t.rw),
     "candidate_researchers": _candidates,
     "identity_pairs": lambda t: t.pairs,
+    "identity_dropped_blocks": lambda t: identity.dropped_blocks(t.keyed_people),
     "identity_confidence_counts": lambda t: t.pairs.groupBy("confidence").agg(F.count("*").alias("n")),
     "identity_components": _components,
     "canonical_researchers": lambda t: t.identity_map,
@@ -186,33 +213,33 @@ PLANS = {
     "canonical_sources": lambda t: t.canonical,
     "work_output_tags": lambda t: t.tags,
     "source_metrics": lambda t: outputs.source_metrics(t.tags),
-    "output_type_metrics": lambda t: outputs.output_type_metrics(t.tags),
-    "crossref_scope_v1": lambda t: outputs.scope_books_and_missing(t.tags),
-    "crossref_scope_all": lambda t: outputs.scope_all(t.tags),
-    "crossref_scope_delta": lambda t: outputs.scope_delta(t.tags, t.fetched),
-    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.tags).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
+    "output_type_metrics": lambda t: outputs.output_type_metrics(t.plain_tags),
+    "crossref_scope_v1": lambda t: outputs.scope_books_and_missing(t.plain_tags),
+    "crossref_scope_all": lambda t: outputs.scope_all(t.plain_tags),
+    "crossref_scope_delta": lambda t: outputs.scope_delta(t.plain_tags, t.fetched),
+    "crossref_remaining": lambda t: store.not_done(outputs.scope_delta(t.plain_tags).select("doi_clean", "scope_reason"), t.fetched.select("doi_clean"), ["doi_clean"]).groupBy("scope_reason").agg(F.count("*").alias("n")),
     "journal_registry": lambda t: t.reg,
     "registry_identifiers": lambda t: outputs.registry_identifiers(t.reg),
     "registry_coverage": lambda t: t.coverage,
     "registry_missing": lambda t: t.coverage.where("works = 0").select("registry_id", "title"),
     "registry_band_summary": lambda t: outputs.registry_bands(t.coverage),
-    "output_class_counts": lambda t: reports.counts(t.tags, "derived_output_class", "broad_output_family"),
-    "top_sources_by_class": lambda t: reports.top_sources_by_class(outputs.source_metrics(t.tags), t.canonical),
-    "control_char_names": lambda t: reports.odd_names(t.tags),
-    "source_name_variants": lambda t: reports.name_variants(t.tags),
-    "researcher_output_comparison": lambda t: reports.researcher_outputs(t.rw, t.tags),
-    "repository_heavy_researchers": lambda t: reports.repository_heavy(reports.researcher_outputs(t.rw, t.tags)),
-    "missing_source_works": lambda t: reports.missing_sources(t.tags),
+    "output_class_counts": lambda t: reports.counts(t.plain_tags, "derived_output_class", "broad_output_family"),
+    "top_sources_by_class": lambda t: reports.top_sources_by_class(outputs.source_metrics(t.plain_tags), t.plain_canonical),
+    "control_char_names": lambda t: reports.odd_names(t.plain_tags),
+    "source_name_variants": lambda t: reports.name_variants(t.plain_tags),
+    "researcher_output_comparison": lambda t: reports.researcher_outputs(t.rw, t.plain_tags),
+    "repository_heavy_researchers": lambda t: reports.repository_heavy(reports.researcher_outputs(t.rw, t.plain_tags)),
+    "missing_source_works": lambda t: reports.missing_sources(t.plain_tags),
     "repository_sources": lambda t: reports.sources_like(outputs.source_metrics(t.tags), t.canonical, "is_repository_like"),
     "book_sources": lambda t: reports.sources_like(outputs.source_metrics(t.tags), t.canonical, "is_book_like"),
     "collapsed_institution_variants": lambda t: reports.collapsed_variants(institutions.canonical(t.institution_map)),
     "home_institutions": lambda t: reports.home_institutions(institutions.canonical(t.institution_map), institutions.metrics(institutions.canonical(t.institution_map), institutions.researcher_links(t.researcher_institutions, t.institution_map), t.rw)),
     "fetch_status_counts": lambda t: t.fetched.groupBy("response_status").agg(F.count("*").alias("n")),
-    "snapshot_output_summary": lambda t: t.tags.groupBy("broad_output_family", "derived_output_class").agg(F.count("*").alias("works"), F.count_if(F.col("doi").isNotNull() & (F.col("doi") != "")).alias("with_doi"), F.count_if("is_oa").alias("open_access")),
+    "snapshot_output_summary": lambda t: t.plain_tags.groupBy("broad_output_family", "derived_output_class").agg(F.count("*").alias("works"), F.count_if(F.col("doi").isNotNull() & (F.col("doi") != "")).alias("with_doi"), F.count_if("is_oa").alias("open_access")),
     "top_researchers": lambda t: reports.top_rows(researchers.researchers(t.rw).select("author_id", "author_name", "works", "citations"), [F.desc("works"), F.desc("citations"), F.asc("author_id")], 20),
-    "sample_rows": lambda t: reports.sample_rows(reports.missing_sources(t.tags), "work_id", 100),
+    "sample_rows": lambda t: reports.sample_rows(reports.missing_sources(t.plain_tags), "work_id", 100),
     "snapshot_missingness": lambda t: reports.missingness(t.works_flat, t.work_sources),
-    "snapshot_by_year": lambda t: reports.by_year(t.tags),
+    "snapshot_by_year": lambda t: reports.by_year(t.plain_tags),
     "raw_source_records": lambda t: provenance.raw_records(t.harvest_log.withColumn("k", F.col("event_id").cast("string")), "k", "raw_json", "raw_openalex_work_", F.col("run_id")),
     "source_work_claims": lambda t: provenance.work_claims(t.works_flat, "claim_openalex_work_", "openalex"),
     "work_identifier_claims": lambda t: provenance.identifier_claims(t.works_flat),
@@ -224,11 +251,26 @@ PLANS = {
     "json_flatten_events": _json,
     "nfkc_clean": lambda t: outputs.text_cleaning_review(t.spark.read.parquet(f"{t.dir}/documents.parquet"), "doc_id", "text"),
 }
-PLANS |= records.PLANS | ledger_queries.PLANS | summaries.PLANS
-
-
-#: Plans that read a layer several times.
-LAYERED = ("candidate_researchers", "coauthor_summary", "identity_pairs", "identity_confidence_counts", "identity_components", "canonical_researchers", "canonical_metrics", "identity_groups", "identity_candidate_authors", "canonical_researcher_institutions", "institution_metrics", "home_institutions", "canonical_institutions_enriched", "registry_coverage", "registry_missing", "registry_band_summary", "researcher_output_comparison", "repository_heavy_researchers", "ledger_work_claims", "ledger_output_counts", "breakdown_merge_status", "institution_places")
+PLANS |= records.PLANS | ledger_queries.PLANS | summaries.PLANS | merges.PLANS
+
+
+_IDENTITY = ("authorships", "keyed_people")
+#: Layers that a plan reads several times, and that are written for it.
+LAYERS = {
+    "candidate_researchers": ("authorships", "rw", "rt"),
+    "identity_pairs": _IDENTITY,
+    "identity_confidence_counts": _IDENTITY,
+    "identity_components": _IDENTITY,
+    "canonical_researchers": ("authorships", "people", "keyed_people"),
+    "canonical_metrics": ("authorships", "rw", "people", "keyed_people", "identity_map"),
+    "identity_groups": ("authorships", "people", "keyed_people"),
+    "identity_candidate_authors": ("authorships", "rw", "rt", "people", "keyed_people"),
+    "institution_metrics": ("institution_map",),
+    "home_institutions": ("institution_map",),
+    "canonical_institutions_enriched": ("institution_map",),
+    "breakdown_merge_status": ("authorships", "people", "keyed_people"),
+    "institution_places": ("institution_map",),
+}
 
 
 def _run(plan, keep, spark, sf_dir):
@@ -236,11 +278,11 @@ def _run(plan, keep, spark, sf_dir):
 
 
 def queries() -> dict:
-    return {name: partial(_run, plan, name in LAYERED) for name, plan in PLANS.items()}
+    return {name: partial(_run, plan, LAYERS.get(name, ())) for name, plan in PLANS.items()}
 
 
 def oracle_sql() -> dict:
-    return ORACLES | records.ORACLES | ledger_queries.ORACLES | summaries.ORACLES
+    return ORACLES | records.ORACLES | ledger_queries.ORACLES | summaries.ORACLES | merges.ORACLES
 
 
 def flagship(spark, sf_dir):

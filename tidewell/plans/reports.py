@@ -55,6 +55,19 @@ def breakdown(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *(F.asc_nulls_last(c) for c in by))
 
 
+def breakdowns(rows: DataFrame, sets: dict[str, tuple[str, ...]], *counts) -> DataFrame:
+    """All breakdowns of a layer from one scan and one shuffle: breakdown (its name), the columns of all sets, and the counts.
+
+    A column that a breakdown isn't by is null; a null of the data is told from that by the breakdown's name.
+    """
+    columns = list(dict.fromkeys(c for by in sets.values() for c in by))
+    # grouping_id has a bit a column, the first one highest; set where the breakdown isn't by the column
+    ids = {sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in by): name for name, by in sets.items()}
+    name = F.element_at(F.create_map(*(F.lit(x) for pair in ids.items() for x in pair)), F.col("_id").cast("int"))
+    grouped = rows.groupingSets([[F.col(c) for c in by] for by in sets.values()], *columns).agg(F.grouping_id().alias("_id"), *counts)
+    return grouped.withColumn("breakdown", name).drop("_id")
+
+
 def top_rows(rows: DataFrame, order: list, n: int) -> DataFrame:
     """The first n rows in a total order; Spark keeps n a task."""
     return rows.orderBy(*order).limit(n)

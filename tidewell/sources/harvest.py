@@ -18,6 +18,7 @@ from tidewell.functions import text
 from tidewell.operators import store
 from tidewell.operators.kept import numbered
 from tidewell.session import ship
+from tidewell.sources import json_arrays
 
 #: What counts as a yes, and tiers that are taken without one.
 YES, TIERS = ("y", "yes", "include", "included", "true", "1"), ("core", "adjacent", "strong_adjacent")
@@ -32,9 +33,8 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """A dump that is one array: one row an element, as its text."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "array<string>")).alias("raw_json"))
+    """A dump that is one array: one row an element, as its text; read by many tasks, see json_arrays."""
+    return json_arrays.read(spark, path)
 
 
 def curated_topics(rows: DataFrame, decision: str = "include_decision", tiers=TIERS, first: Column | None = None) -> DataFrame:
