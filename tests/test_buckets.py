@@ -51,8 +51,7 @@ def test_only_touched_buckets_are_read_and_written(spark, table):
     assert {f for f in before if folder not in f} == {f for f in after if folder not in f}
     assert all(before[f] == after[f] for f in before if folder not in f)
     plan = t.old(spark, touched)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and f"bucket_of_key#" in plan.split("PartitionFilters")[1]
-    assert all(folder in f for f in t.old(spark, touched).inputFiles()) or len(t.old(spark, touched).inputFiles()) >= 1
+    assert "PartitionFilters" in plan and "bucket_of_key#" in plan.split("PartitionFilters")[1]
 
 
 def test_children_and_buckets_that_lose_their_last_row(spark, table):

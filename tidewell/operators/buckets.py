@@ -57,17 +57,17 @@ class Buckets:
 
     def upsert(self, new: DataFrame, order: list[Column]) -> list[int]:
         """New rows replace old ones of their key; of several the first in the order. Tells which buckets were rewritten."""
-        return self._merge(new, lambda old: store.upsert(old, new, list(self.keys), order))
+        return self.merge(new, lambda old: store.upsert(old, new, list(self.keys), order))
 
     def insert_absent(self, new: DataFrame, order: list[Column]) -> list[int]:
         """Rows of keys that the table doesn't hold; of several the first in the order."""
-        return self._merge(new, lambda old: store.insert_absent(old, new, list(self.keys), order))
+        return self.merge(new, lambda old: store.insert_absent(old, new, list(self.keys), order))
 
     def replace_children(self, new: DataFrame, parents: DataFrame) -> list[int]:
         """All rows of the parents' keys go, the new rows of these keys come."""
         parents = parents.select(*self.keys).distinct()
         own = new.join(parents, store._same(new, parents, list(self.keys)), "left_semi")
-        return self._merge(parents, lambda old: store.replace_children(old, own, parents, list(self.keys)))
+        return self.merge(parents, lambda old: store.replace_children(old, own, parents, list(self.keys)))
 
     def delete(self, gone: DataFrame) -> list[int]:
         """All rows of the keys in gone go."""
@@ -80,7 +80,8 @@ class Buckets:
         stored = spark.read.schema(f"{self.schema}, {NONE} boolean, {BUCKET} int").parquet(f"{self.path}/rows")
         return stored.where(F.col(NONE).isNull()).drop(NONE)
 
-    def _merge(self, by: DataFrame, merge) -> list[int]:
+    def merge(self, by: DataFrame, merge) -> list[int]:
+        """The buckets of by get the rows that merge makes of their old ones; a merge that may run twice has to give the same then."""
         touched = self.touched(by)
         if touched:
             self._write(merge(self.old(by.sparkSession, touched)), touched)

@@ -26,23 +26,32 @@ def kept(df: DataFrame, name: str = "kept") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_once: dict[tuple, tuple] = {}
+_once: dict[tuple, object] = {}
 
 
-def kept_once(name: str, sources: list[DataFrame], make) -> DataFrame:
-    """make() as a table that is written once an application, for all who ask for it again.
+def once(name: str, sources: list[DataFrame], make):
+    """make(), once an application for all who ask for it again.
 
-    It belongs to the files that sources read, by their paths, sizes and times: once a file changes,
-    the table is made anew.
+    The result belongs to the files that sources read, by their paths, sizes and times: once a file
+    changes, it is made anew.
     """
     spark = sources[0].sparkSession
     files = spark.read.format("binaryFile").load(sorted({f for s in sources for f in s.inputFiles()}))  # contents are not read
     state = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
     key = (spark.sparkContext.applicationId, name, *state)
     if key not in _once:
-        made = kept(make(), name)
-        _once[key] = made.schema, made.inputFiles()
-    schema, paths = _once[key]
+        _once[key] = make()
+    return _once[key]
+
+
+def kept_once(name: str, sources: list[DataFrame], make) -> DataFrame:
+    """make() as a table that is written once an application, see once()."""
+
+    def written():
+        table = kept(make(), name)
+        return table.schema, table.inputFiles()
+
+    spark, (schema, paths) = sources[0].sparkSession, once(name, sources, written)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.buckets import Buckets
-from tidewell.operators.kept import kept, shared_folder
+from tidewell.operators.kept import kept, once, shared_folder
+from tidewell.plans import retrieval
 from tidewell.plans.oracles import SIGHTINGS
+from tidewell.plans.records import ORACLES as FLAT
+from tidewell.plans.views import ctes
 from tidewell.sources import json_arrays
 from tidewell.streaming import counters
 
@@ -59,14 +64,77 @@ def _arrays(t):
     return read.select("r.event_id", "r.run_id", "r.status", "r.told.value", "r.told.raw_json")
 
 
+#: Retrievals of the test works: batch, run, source, its type, identifier and name, context, tier, time, and which works (by the number in their id).
+RETRIEVALS = (
+    ("b1", "r1", "hs_topic_T1", "topic", "T1", "Topic one", "topic_scan", "core", "2024-01-01T00:00:00", "k % 3 <> 0"),
+    ("b2", "r2", "hs_journal_S1", "journal", "S1", "Journal one", "journal_scan", None, "2024-02-01T00:00:00", "k % 2 = 0"),
+    ("b2", "r2", "hs_topic_T1", "topic", "T1", "Topic one", "topic_scan", "core", "2024-02-02T00:00:00", "k % 5 = 0"),
+)
+
+
+def _retrieved(t) -> retrieval.Store:
+    """Two batches applied to empty ledgers, the second one twice; works with a source were there before."""
+
+    def apply():
+        store = retrieval.Store(_place(t, "ledgers"), buckets=8)
+        works = t.works_raw.withColumn("k", F.substring("work_id", 2, 20).cast("long"))
+        known = t.work_sources.where("source_id is not null").select("work_id")
+        for name in ("b1", "b2", "b2"):
+            asked = [works.where(which).select(*(F.lit(x).cast("string").alias(c) for c, x in zip(retrieval.CONTEXT, context, strict=True)), "raw_json") for batch, *context, which in RETRIEVALS if batch == name]
+            earlier = known if name == "b1" else known.unionByName(works.where(RETRIEVALS[0][-1]).where("raw_json is not null").select("work_id"))
+            store.apply(reduce(DataFrame.unionByName, asked), name, earlier)
+        return store
+
+    return once("retrieved", [t.works_raw, t.work_sources], apply)
+
+
+def _outcomes(t):
+    """What each run brought by source: works that were there already, and those that came in with it."""
+    store = _retrieved(t)
+    events, works = store.table(t.spark, "events"), store.table(t.spark, "works").select(F.col("work_id").alias("record_id"), "title")
+    return events.join(works, "record_id", "left").groupBy("run_id", "source_id", "discovery_context", "already_present").agg(F.count("*").alias("retrievals"), F.count_distinct("record_id").alias("works"), F.count("title").alias("held"))
+
+
+def _ledger(name: str):
+    return lambda t: _retrieved(t).table(t.spark, name)
+
+
 PLANS = {
+    "retrieval_records": _ledger("records"),
+    "retrieval_counters": _ledger("counters"),
+    "retrieval_topics_seen": _ledger("topics_seen"),
+    "retrieval_work_claims": _ledger("work_claims"),
+    "retrieval_identifier_claims": _ledger("identifier_claims"),
+    "retrieval_outcomes": _outcomes,
     "merge_by_buckets": _merged,
     "merge_children_by_buckets": _children,
     "seen_counter_stream": _counted_stream,
     "json_arrays_read_back": _arrays,
 }
 
+def _asked(batch, run, source, kind, identifier, name, context, tier, at, which) -> str:
+    known = "there" if batch == "b1" else f"(there OR {RETRIEVALS[0][-1]})"
+    return f"""SELECT *, '{run}' AS run_id, '{source}' AS source_id, '{kind}' AS source_type, '{identifier}' AS source_identifier, '{name}' AS source_display_name, '{context}' AS discovery_context,
+        {f"'{tier}'" if tier else 'NULL'} AS education_relevance_tier, '{at}' AS retrieved_at, {known} AS already_present, '{batch}' AS batch FROM a WHERE {which}"""
+
+
+_RETRIEVED = f"""WITH flat AS ({FLAT['flat_works']}), src AS ({FLAT['flat_work_sources']}), raw AS ({ctes('works_raw')} SELECT * FROM works_raw), had AS ({ctes('work_sources')} SELECT work_id FROM work_sources WHERE source_id IS NOT NULL),
+a AS (SELECT raw_json, flat.*, src.source_name, src.publisher, CAST(substr(flat.work_id, 2) AS BIGINT) AS k, flat.work_id IN (SELECT work_id FROM had) AS there FROM raw JOIN flat ON raw.work_id = flat.work_id JOIN src ON flat.work_id = src.work_id),
+r AS ({' UNION ALL '.join(_asked(*x) for x in RETRIEVALS)}),
+h AS (SELECT *, run_id || '|' || source_id || '|' || work_id AS key, sha1(run_id || '|' || source_id || '|' || work_id)[1:16] AS h, lower(regexp_replace(trim(doi), '^https?://(dx\\.)?doi\\.org/', '', 'i')) AS n FROM r)
+"""
+
 ORACLES = {
+    "retrieval_records": _RETRIEVED + "SELECT 'oahr_' || h AS harvest_record_id, 'raw_openalex_retrieval_' || h AS raw_record_id, run_id, source_id, work_id, retrieved_at, 200 AS response_status, already_present, raw_json, sha1(raw_json) AS content_hash FROM h",
+    "retrieval_counters": _RETRIEVED + """SELECT work_id, source_id, max(source_type) AS source_type, max(source_identifier) AS source_identifier, max(source_display_name) AS source_display_name, min(retrieved_at) AS first_seen_at, max(retrieved_at) AS latest_seen_at,
+        count(*) AS seen_count, max(batch) AS batch FROM h GROUP BY 1, 2""",
+    "retrieval_topics_seen": _RETRIEVED + "SELECT work_id, source_identifier AS topic_id, min(source_display_name) AS topic_name, min(education_relevance_tier) AS education_relevance_tier, min(retrieved_at) AS seen_at FROM h WHERE source_type = 'topic' GROUP BY 1, 2",
+    "retrieval_work_claims": _RETRIEVED + """SELECT 'claim_openalex_retrieval_' || h AS claim_id, 'openalex' AS source_system, run_id, 'raw_openalex_retrieval_' || h AS raw_record_id, work_id AS source_work_id, work_id, doi, title, publication_year, publication_date, work_type,
+        source_name AS container_title, publisher, 'native_record' AS claim_confidence, discovery_context AS match_method, retrieved_at AS created_at FROM h""",
+    "retrieval_identifier_claims": _RETRIEVED + """, c AS (SELECT *, 'openalex_work_id' AS identifier_type, work_id AS identifier, work_id AS identifier_normalised, 'native_record' AS confidence, 'idclaim_openalex_retrieval_' || h AS claim_id FROM h
+        UNION ALL SELECT *, 'doi', trim(doi), n, 'source_supplied', 'idclaim_openalex_doi_retrieval_' || sha1(key || '|' || n)[1:16] FROM h WHERE trim(doi) <> '')
+        SELECT claim_id, work_id, 'openalex' AS source_system, run_id, 'raw_openalex_retrieval_' || h AS raw_record_id, identifier_type, identifier, identifier_normalised, confidence, discovery_context AS match_method, retrieved_at AS created_at FROM c""",
+    "retrieval_outcomes": _RETRIEVED + "SELECT run_id, source_id, discovery_context, already_present, count(*) AS retrievals, count(DISTINCT work_id) AS works, count(title) AS held FROM h GROUP BY ALL",
     "merge_by_buckets": SIGHTINGS + """, r AS (SELECT *, row_number() OVER (PARTITION BY record_id, run_id ORDER BY event_id DESC) AS n, max(run_id) OVER (PARTITION BY record_id) AS last FROM harvest_log)
         SELECT record_id, event_id, status, value FROM r WHERE run_id = last AND (n = 1 OR run_id = 'run0')""",
     "merge_children_by_buckets": SIGHTINGS + """, r AS (SELECT *, bool_or(run_id = 'run1') OVER (PARTITION BY record_id) AS replaced, min(run_id) OVER (PARTITION BY record_id) = 'run2' AND max(run_id) OVER (PARTITION BY record_id) = 'run2' AS gone FROM harvest_log)

@@ -95,7 +95,7 @@ class Tables:
     def source_ids(self):
         """Numbers of the distinct source keys; only what shows a canonical id needs them."""
         if "source_ids" not in self._made:
-            self._made["source_ids"] = kept(outputs.source_ids(self.work_sources), "source_ids")
+            self._made["source_ids"] = outputs.source_ids(self.work_sources)
         return self._made["source_ids"]
 
     @property
@@ -138,7 +138,7 @@ class Tables:
 def _candidates(t):
     rw, rt, home = t.rw, t.rt, t.home
     authors = researchers.researchers(rw)
-    return researchers.candidates(authors, researchers.topic_summary(rt), researchers.top_topics(rt), researchers.main_institution(home), researchers.institution_summary(home), researchers.top_sources(rw, t.work_sources), researchers.coauthor_summary(t.edges, authors), researchers.publication_types(rw))
+    return researchers.candidates(authors, researchers.topic_summary(rt), researchers.top_topics(rt), researchers.main_institution(home), researchers.institution_summary(home), researchers.top_sources(rw, t.work_sources), researchers.coauthor_summary(t.shared, authors), researchers.publication_types(rw))
 
 
 def _components(t):
@@ -188,7 +188,7 @@ PLANS = {
     "institution_summary": lambda t: researchers.institution_summary(t.home),
     "top_sources": lambda t: researchers.top_sources(t.rw, t.work_sources),
     "coauthor_edges": lambda t: t.edges,
-    "coauthor_summary": lambda t: researchers.coauthor_summary(t.edges, researchers.researchers(t.rw)),
+    "coauthor_summary": lambda t: researchers.coauthor_summary(t.shared, researchers.researchers(t.rw)),
     "publication_type_summary": lambda t: researchers.publication_types(t.rw),
     "candidate_researchers": _candidates,
     "identity_pairs": lambda t: t.pairs,
@@ -257,12 +257,12 @@ PLANS |= records.PLANS | ledger_queries.PLANS | summaries.PLANS | merges.PLANS
 _IDENTITY = ("authorships", "keyed_people")
 #: Layers that a plan reads several times, and that are written for it.
 LAYERS = {
-    "candidate_researchers": ("authorships", "rw", "rt"),
+    "candidate_researchers": ("authorships", "rw", "rt", "home"),
     "identity_pairs": _IDENTITY,
     "identity_confidence_counts": _IDENTITY,
     "identity_components": _IDENTITY,
     "canonical_researchers": ("authorships", "people", "keyed_people"),
-    "canonical_metrics": ("authorships", "rw", "people", "keyed_people", "identity_map"),
+    "canonical_metrics": ("authorships", "researcher_institutions", "rw", "rt", "people", "keyed_people", "identity_map"),
     "identity_groups": ("authorships", "people", "keyed_people"),
     "identity_candidate_authors": ("authorships", "rw", "rt", "people", "keyed_people"),
     "institution_metrics": ("institution_map",),

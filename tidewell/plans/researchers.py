@@ -14,19 +14,32 @@ def researcher_works(authorships: DataFrame, works: DataFrame) -> DataFrame:
 
 
 def researchers(rw: DataFrame) -> DataFrame:
-    """One row an author; of several names or identifiers the smallest, which is deterministic."""
-    return rw.groupBy("author_id").agg(
-        F.min("author_name").alias("author_name"), F.min(F.nullif("orcid", F.lit(""))).alias("orcid"), F.count_distinct("work_id").alias("works"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("citations"),
-        F.min("publication_year").alias("first_year"), F.max("publication_year").alias("last_year"), F.count_distinct(F.when(F.col("is_corresponding"), F.col("work_id"))).alias("corresponding_works"),
-        F.sum(F.when(F.col("author_order") == 1, 1).otherwise(0)).alias("first_author_works"), F.bool_or("is_au_nz_affiliated").alias("is_au_nz_affiliated"),
+    """One row an author; of several names or identifiers the smallest, which is deterministic.
+
+    Rows are summed by author and work first, so that distinct works are counted as rows.
+    """
+    works = rw.groupBy("author_id", "work_id").agg(
+        F.min("author_name").alias("name"), F.min(F.nullif("orcid", F.lit(""))).alias("orcid"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("cites"),
+        F.min("publication_year").alias("year"), F.max("publication_year").alias("latest"), F.bool_or("is_corresponding").alias("corresponding"),
+        F.sum(F.when(F.col("author_order") == 1, 1).otherwise(0)).alias("firsts"), F.bool_or("is_au_nz_affiliated").alias("home"),
+    )
+    return works.groupBy("author_id").agg(
+        F.min("name").alias("author_name"), F.min("orcid").alias("orcid"), F.count("*").alias("works"), F.sum("cites").alias("citations"),
+        F.min("year").alias("first_year"), F.max("latest").alias("last_year"), F.count_if("corresponding").alias("corresponding_works"),
+        F.sum("firsts").alias("first_author_works"), F.bool_or("home").alias("is_au_nz_affiliated"),
     )
 
 
 def researcher_topics(rw: DataFrame, topics: DataFrame, curated: DataFrame, prefix: str = "https://topics.example.org/") -> DataFrame:
-    """Topics of each author, with the tier of the curated topic."""
+    """Topics of each author, with the tier of the curated topic; topics has a work and topic once.
+
+    Rows are summed by author and work before the topics multiply them.
+    """
     tier = curated.select(F.col("topic_id").alias("short_id"), "education_relevance_tier")
-    joined = rw.join(topics, "work_id").withColumn("short_id", F.replace("topic_id", F.lit(prefix), F.lit(""))).join(tier, "short_id", "left")
-    return joined.groupBy("author_id", "author_name", "topic_id", "topic_name", "education_relevance_tier").agg(F.count_distinct("work_id").alias("works"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("citations"), F.round(F.max("topic_score"), 6).alias("best_score"))
+    works = rw.groupBy("work_id", "author_id", "author_name").agg(F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("cites"))
+    joined = works.join(topics, "work_id").withColumn("short_id", F.replace("topic_id", F.lit(prefix), F.lit(""))).join(tier, "short_id", "left")
+    by = ["author_id", "author_name", "topic_id", "topic_name", "education_relevance_tier"]
+    return joined.groupBy(*by).agg(F.count("*").alias("works"), F.sum("cites").alias("citations"), F.round(F.max("topic_score"), 6).alias("best_score"))
 
 
 def topic_summary(rt: DataFrame) -> DataFrame:
@@ -71,10 +84,11 @@ def top_sources(rw: DataFrame, sources: DataFrame, k: int = 10) -> DataFrame:
 
 
 def coauthor_summary(edges: DataFrame, authors: DataFrame) -> DataFrame:
-    """Coauthors of each author, and those among them without a home affiliation."""
-    both = edges.select(F.col("author_id_a").alias("author_id"), F.col("author_id_b").alias("other"), "shared_work_count").unionByName(edges.select(F.col("author_id_b").alias("author_id"), F.col("author_id_a").alias("other"), "shared_work_count"))
-    home = authors.select(F.col("author_id").alias("other"), "is_au_nz_affiliated")
-    return both.join(home, "other", "left").groupBy("author_id").agg(F.count_distinct("other").alias("coauthors"), F.count_distinct(F.when(~F.coalesce("is_au_nz_affiliated", F.lit(False)), F.col("other"))).alias("international_coauthors"), F.sum("shared_work_count").alias("shared_works"))
+    """Coauthors of each author, and those among them without a home affiliation. edges has two authors once."""
+    ends = F.array(F.struct(F.col("author_id_a").alias("author_id"), F.col("author_id_b").alias("other")), F.struct(F.col("author_id_b").alias("author_id"), F.col("author_id_a").alias("other")))
+    both = edges.select("shared_work_count", F.explode(ends).alias("e")).select("e.author_id", "e.other", "shared_work_count")
+    home = authors.select(F.col("author_id").alias("other"), F.coalesce("is_au_nz_affiliated", F.lit(False)).alias("home"))
+    return both.join(home, "other", "left").groupBy("author_id").agg(F.count("*").alias("coauthors"), F.count_if(~F.coalesce("home", F.lit(False))).alias("international_coauthors"), F.sum("shared_work_count").alias("shared_works"))
 
 
 def publication_types(rw: DataFrame) -> DataFrame:
