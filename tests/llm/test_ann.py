@@ -84,3 +84,17 @@ def test_recall_on_the_test_tables(spark):
         total += 10
         assert len(mine) == 10
     assert hits >= 0.9 * total
+
+
+def test_an_outlier_does_not_widen_the_rerank(monkeypatch):
+    rng = np.random.default_rng(3)
+    q, x = rng.standard_normal((64, 32)), rng.standard_normal((2000, 32))
+    plain, pairs = ann._nearest(q, x, np.arange(2000), 11), []
+    far = ann._far
+    monkeypatch.setattr(ann, "_far", lambda a, b: pairs.append(len(a)) or far(a, b))
+    monkeypatch.setattr(ann, "RERANKED", 100)
+    x[0] = 1e7
+    out = ann._nearest(q, x, np.arange(2000), 11)
+    assert sum(pairs) < 2000 and max(pairs) <= 100
+    same = plain[1] != 0
+    assert set(zip(plain[0][same], plain[1][same], strict=True)) <= set(zip(out[0], out[1], strict=True))

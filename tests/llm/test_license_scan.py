@@ -1,4 +1,5 @@
 import re
+import time
 
 from tests.llm.fixtures import documents
 from tidewell.llm import license_scan
@@ -82,3 +83,20 @@ def test_many_spans(spark):
     text = "mit license " * 3000
     got = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert len(got.detections) == 5999 and got.n_words == 6000
+
+
+def test_time_grows_with_the_text(spark):
+    """Twice as many detections in twice the text take no more than two and a half times as long."""
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "released under the mit license and gpl v3 or later. " * n)], "doc_id long, text string")
+        times = []
+        for _ in range(2):
+            began = time.perf_counter()
+            assert len(license_scan.scan(df).first().detections) >= 2 * n
+            times.append(time.perf_counter() - began)
+        return min(times)
+
+    seconds(10)
+    start, two, four = seconds(1), seconds(2000), seconds(4000)
+    assert four - start < 2.5 * max(two - start, 1.0)

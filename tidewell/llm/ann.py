@@ -30,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, session
+from .common import materialize, session, size_of
 
 K, TABLES, FUNCTIONS, SAMPLE, TARGET, FILL = 10, 8, 6, 64, 0.96, 20_000
+#: Rounding of a squared distance from products, as a share of the pair's squared norms; components of pairs ranked exactly at a time; bytes of vectors a group.
+SLACK, RERANKED, GROUP = 1e-11, 1 << 22, 8 << 20
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -77,16 +79,18 @@ def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _nearest_of(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
-    near = (q * q).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * q @ x.T
+    qq, xx = (q * q).sum(1)[:, None], (x * x).sum(1)[None]
+    near = qq + xx - 2 * q @ x.T
+    slack = SLACK * (qq + xx)  # what rounding can do to this pair
     odd = ~np.isfinite(near)  # of these the exact distance decides
-    near = np.where(odd, np.inf, near)
-    scale = (q * q).sum(1)[:, None] + (x * x).sum(1).max()
     if x.shape[0] > k:
-        edge = np.partition(near, k - 1, axis=1)[:, k - 1 : k] + 1e-9 * np.where(np.isfinite(scale), scale, 0)
-        row, at = np.nonzero((near <= edge) | odd)
+        edge = np.partition(np.where(odd, np.inf, near + slack), k - 1, axis=1)[:, k - 1 : k]
+        row, at = np.nonzero((near - slack <= edge) | odd)
     else:
         row, at = (y.ravel() for y in np.indices(near.shape))
-    far = _far(q[row], x[at])
+    far, step = np.empty(len(row)), max(1, RERANKED // max(1, x.shape[1]))
+    for lo in range(0, len(row), step):
+        far[lo : lo + step] = _far(q[row[lo : lo + step]], x[at[lo : lo + step]])
     o = np.lexsort((ids[at], far, row))
     row, at, far = row[o], at[o], far[o]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -238,7 +242,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, fill: int = FILL, *
     placed = entries.select("vec_id", "h1", "h2", "v").mapInArrow(place(False), f"t int, cell long, {fields}").withColumn("d", F.size("v"))
     asked = queries.select("vec_id", "h1", "h2", "v").mapInArrow(place(True), f"t int, cell array<long>, {fields}").withColumn("cell", F.explode("cell")).withColumn("d", F.size("v"))
     parts = placed.groupBy("t", "cell", "d").agg(F.ceil(F.count("*") / fill).cast("int").alias("parts"))
-    groups = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), index.tables * size_of(kept) // GROUP)
     group = F.pmod(F.xxhash64("t", "cell", "d", "part"), F.lit(groups)).cast("int").alias("g")
     there = placed.join(parts, ["t", "cell", "d"]).withColumn("part", F.pmod(F.xxhash64("h1"), F.col("parts")).cast("int")).select(group, "t", "cell", "d", "part", "vec_id", "v")
     visits = asked.join(parts, ["t", "cell", "d"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(group, "t", "cell", "d", "part", "h1", "h2", F.col("v").alias("q"))

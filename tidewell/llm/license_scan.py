@@ -7,7 +7,8 @@ another of higher priority (or as high and longer, or the same and earlier in th
 suppressed, in one sweep over sorted spans. Everything is a projection of one row, so nothing is shuffled and no row's cost
 depends on another's.
 
-Edge cases. Null text is empty: no words, no places, empty labels, score 0. Repeated rows are
+Edge cases. Null text is empty: no words, no places, empty labels, score 0. Texts of any length are
+read whole, in time that grows with their length and their detections. Repeated rows are
 scanned each; ties between rules go to the earlier one; other columns are ignored.
 """
 
@@ -21,6 +22,9 @@ from .license_rules import rules
 #: Phrases (words by one blank) and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
+#: Spans that are told one by one before they go to the others as a run.
+RUN = 64
+_SPAN = "struct<start:int,end:int,priority:int,order:int,label:string,first:bigint,last:bigint>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,19 +43,43 @@ def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _folded(items: Column, state: Column, kind: str, step) -> Column:
+    """The spans that step gives, one by one, from a state of this kind and an item: struct(state, array of a span or none).
+
+    Items go in runs of RUN: an accumulator is copied at each step, so it never holds more than a run's spans.
+    """
+    pair = f"struct<state:{kind},out:array<{_SPAN}>>"
+    empty = lambda state: F.struct(state.alias("state"), F.array().alias("out")).cast(pair)
+
+    def one(acc, x):
+        return let(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")).cast(pair))
+
+    def run(acc, xs):
+        return let(F.aggregate(xs, empty(acc["state"]), one), lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["out"]).alias("out")).cast(f"struct<state:{kind},out:array<array<{_SPAN}>>>"))
+
+    runs = let(items, lambda all_: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(all_) / RUN) - 1, F.lit(0)).cast("int")), lambda i: F.slice(all_, i * RUN + 1, F.lit(RUN))))
+    none = F.struct(state.alias("state"), F.array().alias("out")).cast(f"struct<state:{kind},out:array<array<{_SPAN}>>>")
+    return F.aggregate(runs, none, run, lambda acc: F.flatten(acc["out"]))
+
+
 def _spans(text: Column, r: Column) -> Column:
-    """Spans of a rule: start and end in characters, priority, order, label."""
+    """Spans of a rule: start and end in characters, priority, order, label, first word and the one after the last.
+
+    Each match goes on where the one before it ended, so words are counted from match to match.
+    """
     pattern = F.concat(F.lit(r"(?s)\G(.*?)(?<= )((?:"), r["pattern"], F.lit(")(?= ))"))
     whole, hit = F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, F.lit(2))
-    kind = "struct<at:int,out:array<struct<start:int,end:int,priority:int,order:int,label:string>>>"
-    none = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(kind)
+    none = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("words"))
 
     def step(acc, x):
-        end = acc["at"] + F.length(x["whole"])
-        span = F.struct((end - F.length(x["hit"])).alias("start"), end.alias("end"), r["priority"].alias("priority"), r["order"].alias("order"), r["label"].alias("label"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+        end, words = acc["at"] + F.length(x["whole"]), acc["words"] + _blanks(x["whole"])
+        span = F.struct(
+            (end - F.length(x["hit"])).alias("start"), end.alias("end"), r["priority"].alias("priority"), r["order"].alias("order"), r["label"].alias("label"),
+            (words - _blanks(x["hit"]) - 1).alias("first"), words.alias("last"),
+        )
+        return F.struct(F.struct(end.alias("at"), words.alias("words")).alias("state"), F.array(span).alias("out"))
 
-    return F.aggregate(F.arrays_zip(whole.alias("whole"), hit.alias("hit")), none, step, lambda acc: acc["out"])
+    return _folded(F.arrays_zip(whole.alias("whole"), hit.alias("hit")), none, "struct<at:int,words:bigint>", step)
 
 
 def _unsuppressed(spans: Column, levels: list[int]) -> Column:
@@ -61,19 +89,17 @@ def _unsuppressed(spans: Column, levels: list[int]) -> Column:
     contain one and could beat it come before it; so for each priority the farthest end so far
     tells whether one does.
     """
-    keyed = F.transform(spans, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("low"), d["order"].alias("order"), d["label"].alias("label")))
-    kind = "struct<ends:array<int>,out:array<struct<start:int,end:int,priority:int,order:int,label:string>>>"
-    none = F.struct(F.array(*[F.lit(-1)] * len(levels)).alias("ends"), F.array().alias("out")).cast(kind)
+    keyed = F.transform(spans, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("low"), d["order"].alias("order"), d["label"].alias("label"), d["first"].alias("first"), d["last"].alias("last")))
     listed = F.array(*(F.lit(-x) for x in levels))
 
     def step(acc, d):
         at, end = F.array_position(listed, d["low"]).cast("int"), -d["back"]
-        beaten = F.exists(F.slice(acc["ends"], F.lit(1), at), lambda e: e >= end)
-        ends = F.transform(acc["ends"], lambda e, i: F.when(i + 1 == at, F.greatest(e, end)).otherwise(e))
-        own = F.struct(d["start"].alias("start"), end.alias("end"), (-d["low"]).alias("priority"), d["order"].alias("order"), d["label"].alias("label"))
-        return F.struct(ends.alias("ends"), F.when(beaten, acc["out"]).otherwise(F.array_append(acc["out"], own)).alias("out"))
+        beaten = F.exists(F.slice(acc, F.lit(1), at), lambda e: e >= end)
+        ends = F.transform(acc, lambda e, i: F.when(i + 1 == at, F.greatest(e, end)).otherwise(e))
+        own = F.struct(d["start"].alias("start"), end.alias("end"), (-d["low"]).alias("priority"), d["order"].alias("order"), d["label"].alias("label"), d["first"].alias("first"), d["last"].alias("last"))
+        return F.struct(ends.alias("state"), F.when(beaten, F.array()).otherwise(F.array(own)).alias("out"))
 
-    return F.aggregate(F.array_sort(keyed), none, step, lambda acc: acc["out"])
+    return _folded(F.array_sort(keyed), F.array(*[F.lit(-1)] * len(levels)), "array<int>", step)
 
 
 def _detect(t: Column, listed: Column, firsts: list[str], levels: list[int]) -> Column:
@@ -103,8 +129,7 @@ def scan(docs: DataFrame, signatures=None, base=BASE) -> DataFrame:
 
     def all_of(t):
         n = (_blanks(t) - 1).cast("long")
-        word = lambda at: (_blanks(F.substring(t, F.lit(1), at)) - 1).cast("long")
-        kept = let(_detect(t, listed, firsts, levels), lambda kept: F.transform(kept, lambda d: F.struct(word(d["start"]).alias("first"), (word(d["end"]) + 1).alias("last"), d["priority"].alias("priority"), d["label"].alias("label"))))
+        kept = F.transform(_detect(t, listed, firsts, levels), lambda d: F.struct(*(d[f].alias(f) for f in ("first", "last", "priority", "label"))))
         return F.struct(n.alias("n_words"), F.array_compact(F.array(*(_base(t, n, *b) for b in base))).alias("base"), F.coalesce(kept, F.array()).alias("detections"))
 
     df = docs.select("doc_id", let(words_text(F.col("text")), all_of).alias("_r")).select("doc_id", "_r.*")
