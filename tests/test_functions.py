@@ -1,7 +1,10 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions import ladders, text
+from tidewell.plans import identity
 
 
 def one(spark, column, value):
@@ -36,3 +39,23 @@ def test_ladders_take_the_first_rung_and_nulls_fall_through(spark):
     assert got == [("missing_source", "repository_or_open_output", "missing_source"), ("journal_review_article", "core_scholarly", "scholarly_journal"), ("conference_output", "other", "other_source"), ("repository_article_or_preprint_record", "repository_or_open_output", "repository_or_preprint_platform"), ("other_output", "other", "other_source")]
     flags = df.select(*(v.alias(f) for f, v in ladders.output_flags(n, k, w).items())).collect()
     assert all(x is not None for r in flags for x in r)
+
+
+def test_normal_forms_of_whole_documents(spark):
+    """Every text equals Python's form; the rows that are ASCII never reach Python."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, "ﬁ ½ Å é ｶﾞ"), (-2, None), (-3, ""), (-4, "plain"), (-5, "̈́")], "doc_id long, text string")
+    rows = docs.unionByName(odd)
+    for form, name in ((text.nfkc, "NFKC"), (text.nfc, "NFC")):
+        got = {r.doc_id: r.text for r in text.normalised(rows, form, "text").collect()}
+        want = {r.doc_id: None if r.text is None else unicodedata.normalize(name, r.text) for r in rows.collect()}
+        assert got == want
+    plan = text.normalised(docs, text.nfkc, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Union" in plan
+
+
+def test_names_in_composed_form(spark):
+    names = ["Zoë Māori-Smith", "O’Brien", "Ångström", None, "  X  Y "]
+    rows = spark.createDataFrame([(n,) for n in names], "author_name string")
+    got = [r.name_key for r in identity.with_keys(rows.coalesce(1)).collect()]
+    assert sorted(got) == sorted(["zoë māori-smith", "o'brien", "ångström", "", "x y"])
