@@ -27,38 +27,40 @@ COUNTERS = ["first_seen", "latest_seen", "seen_count"]
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-class Counter(StatefulProcessor):
-    """first_seen, latest_seen and seen_count of a key; with quiet_ms, a key that no batch has brought for so long is told as quiet, once."""
+def counter(keys: list[str], quiet_ms: int | None) -> StatefulProcessor:
+    """The processor of a key's sightings. It is a class of its own here so that it travels whole: the process that reads its state's schema has no package of ours."""
 
-    def __init__(self, keys: list[str], quiet_ms: int | None):
-        self.keys, self.quiet_ms = keys, quiet_ms
+    class Counter(StatefulProcessor):
+        """first_seen, latest_seen and seen_count of a key; with quiet_ms, a key that no batch has brought for so long is told as quiet, once."""
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("counter", "first_seen long, latest_seen long, seen_count long")
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.held = handle.getValueState("counter", "first_seen long, latest_seen long, seen_count long")
 
-    def _told(self, key, counter, quiet: bool) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *counter, quiet)], columns=[*self.keys, *COUNTERS, "is_quiet"])
+        def _told(self, key, counter, quiet: bool) -> pd.DataFrame:
+            return pd.DataFrame([(*key, *counter, quiet)], columns=[*keys, *COUNTERS, "is_quiet"])
 
-    def handleInputRows(self, key, rows, timerValues):
-        first, latest, n = self.held.get() if self.held.exists() else (None, None, 0)
-        for batch in rows:
-            seen = batch["seen_at"]
-            first = int(seen.min()) if first is None else min(first, int(seen.min()))
-            latest = int(seen.max()) if latest is None else max(latest, int(seen.max()))
-            n += len(seen)
-        self.held.update((first, latest, n))
-        if self.quiet_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
-        yield self._told(key, (first, latest, n), False)
+        def handleInputRows(self, key, rows, timerValues):
+            first, latest, n = self.held.get() if self.held.exists() else (None, None, 0)
+            for batch in rows:
+                seen = batch["seen_at"]
+                first = int(seen.min()) if first is None else min(first, int(seen.min()))
+                latest = int(seen.max()) if latest is None else max(latest, int(seen.max()))
+                n += len(seen)
+            self.held.update((first, latest, n))
+            if quiet_ms is not None:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + quiet_ms)
+            yield self._told(key, (first, latest, n), False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield self._told(key, self.held.get(), True)
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            yield self._told(key, self.held.get(), True)
 
-    def close(self) -> None:
-        pass
+        def close(self) -> None:
+            pass
+
+    return Counter()
 
 
 def counted(stream: DataFrame, keys: list[str], quiet_ms: int | None = None) -> DataFrame:
@@ -67,7 +69,7 @@ def counted(stream: DataFrame, keys: list[str], quiet_ms: int | None = None) ->
     kinds = dict(stream.dtypes)
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), *(f"{c} long" for c in COUNTERS), "is_quiet boolean"])
     sightings = stream.select(*keys, "seen_at").where("seen_at is not null")
-    return sightings.groupBy(*keys).transformWithStateInPandas(Counter(keys, quiet_ms), schema, "Update", "None" if quiet_ms is None else "ProcessingTime")
+    return sightings.groupBy(*keys).transformWithStateInPandas(counter(keys, quiet_ms), schema, "Update", "None" if quiet_ms is None else "ProcessingTime")
 
 
 def keep(stream: DataFrame, keys: list[str], table: str, checkpoint: str, quiet_ms: int | None = None, buckets: int = 64, **trigger):
