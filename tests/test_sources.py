@@ -137,3 +137,14 @@ def test_streams(spark, tmp_path):
     q.awaitTermination()
     last = max(int(p.name) for p in (tmp_path / "out").iterdir())
     assert sorted((r.k, r.seen_count) for r in spark.read.parquet(f"{out}/{last}").collect()) == [("a", 3), ("b", 1)]
+
+
+def test_raw_records_are_dealt_out_and_parsed_once(spark, tmp_path):
+    from tidewell.plans import views
+
+    spark.range(200_000).selectExpr("id AS o_orderkey", "id * 7 % 1000 AS o_custkey", "timestamp'1995-01-01' AS o_orderdate", "sha2(string(id), 256) AS o_comment").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    raw = views.view(spark, str(tmp_path), "works_raw")
+    assert raw.rdd.getNumPartitions() > 4  # of one file
+    assert raw.agg(F.count("*")).first()[0] == 200_000
+    plan = flatten.works(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('{"id":"W') == 1 and plan.lower().count("parsejson") == 1
