@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import graph
 from tidewell.operators.kept import kept_by, tasks_for
-from tidewell.plans import researchers
+from tidewell.plans import reports, researchers
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,12 @@ def test_no_shuffle_to_an_author(made):
 def test_tasks_grow_with_the_files(spark, tmp_path):
     spark.range(3_000_000).select(F.xxhash64("id").alias("x")).write.parquet(str(tmp_path / "t"))
     assert tasks_for(spark.read.parquet(str(tmp_path / "t"))) > spark.sparkContext.defaultParallelism
+
+
+def test_output_shares(spark):
+    rw = spark.createDataFrame([("a", w) for w in "wwxyz"] + [("b", "w"), ("b", "x"), ("c", "n")], "author_id string, work_id string")
+    tags = spark.createDataFrame([("w", "core_scholarly"), ("w", "repository_or_open_output"), ("x", "core_scholarly"), ("x", "core_scholarly"), ("y", None)], "work_id string, broad_output_family string")
+    out = reports.researcher_outputs(rw, tags, 3)
+    assert _rows(out, ["author_id", "works", "core", "repository", "repository_share"]) == [("a", 3, 2, 1, 0.333333)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "REPARTITION_BY_NUM" in plan
