@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import graph
 from tidewell.operators.kept import kept_by, tasks_for
-from tidewell.plans import reports, researchers
+from tidewell.plans import reports, researchers, views
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +68,18 @@ def test_tasks_grow_with_the_files(spark, tmp_path):
     assert tasks_for(spark.read.parquet(str(tmp_path / "t"))) > spark.sparkContext.defaultParallelism
 
 
+@pytest.mark.parametrize("name, key", [("work_topics", "work_id"), ("researcher_institutions", "author_id")])
+def test_views_are_aggregated_by_their_key(spark, name, key):
+    """Rows go once to as many tasks as are asked for, and are neither sorted nor summed before that."""
+    folder = "/root/testdata/sf0.001"
+    rows = views.keyed(spark, folder, name, 7)
+    plan = rows.repartition(7, key)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(concat" in plan
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning(concat") :].split("BroadcastExchange")[0]
+    plain = views.view(spark, folder, name)
+    assert _rows(rows, plain.columns) == _rows(plain, plain.columns)
+
+
 def test_output_shares(spark):
     rw = spark.createDataFrame([("a", w) for w in "wwxyz"] + [("b", "w"), ("b", "x"), ("c", "n")], "author_id string, work_id string")
     tags = spark.createDataFrame([("w", "core_scholarly"), ("w", "repository_or_open_output"), ("x", "core_scholarly"), ("x", "core_scholarly"), ("y", None)], "work_id string, broad_output_family string")
