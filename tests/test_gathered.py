@@ -68,6 +68,16 @@ def test_tasks_grow_with_the_files(spark, tmp_path):
     assert tasks_for(spark.read.parquet(str(tmp_path / "t"))) > spark.sparkContext.defaultParallelism
 
 
+def test_topic_summary_stays_where_its_rows_are(made):
+    rt = researchers.researcher_topics(made[5], made[6])
+    out = researchers.topic_summary(rt)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Exchange hashpartitioning" not in plan
+    tier = lambda t, x: F.when(F.col("education_relevance_tier") == t, F.col(x))
+    want = rt.groupBy("author_id").agg(F.count_distinct("topic_id").alias("topics"), F.count_distinct(tier("core", "topic_id")).alias("core_topics"), F.count_distinct(tier("adjacent", "topic_id")).alias("adjacent_topics"), F.coalesce(F.sum(tier("core", "works")), F.lit(0)).alias("core_work_links"))
+    assert _rows(out, want.columns) == _rows(want, want.columns) and dict(out.dtypes)["topics"] == "bigint"
+
+
 @pytest.mark.parametrize("name, key", [("work_topics", "work_id"), ("researcher_institutions", "author_id")])
 def test_views_are_aggregated_by_their_key(spark, name, key):
     """Rows go once to as many tasks as are asked for, and are neither sorted nor summed before that."""
