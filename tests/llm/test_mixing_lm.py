@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import documents, words
 from tidewell.llm import mixing_lm, spelling
@@ -138,3 +139,14 @@ def test_repeated_rows(spark):
     df = spark.createDataFrame([*rows, rows[7]], "doc_id long, text string")
     out = [tuple(r) for r in mixing_lm.score(df, *mixing_lm.train(df)).collect()]
     assert len(out) == 61 and len(set(out)) == 60
+
+
+def test_table_without_context_follows_from_the_counts(spark):
+    texts = ["a b a c", "b a zz", "", "c c a b yy"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = mixing_lm.train(df, usable=F.lit(True))[0]
+    seq = block(model, *texts)
+    _, _, _, bit, at = mixing_lm._events(model, seq, 0, len(seq.symbol))
+    n = np.zeros(2 * int(model.at[1]), np.int64)
+    np.add.at(n, 2 * at[0] + bit, 1)
+    assert n.sum() and (mixing_lm._alone(model) == n.reshape(-1, 2)).all() and (model.tables[: model.at[1]] == mixing_lm._packed(n.reshape(-1, 2))).all()

@@ -61,8 +61,10 @@ class Model:
     rare: tuple[int, float] = (0, 0.0)  # training tokens behind the mark; the share of such tokens, each seen once less, that are no new ones
     spelled: spelling.Model | None = None
     at: np.ndarray = field(init=False)
+    longest: int = field(init=False)  # code
 
     def __post_init__(self):
+        self.longest = int(self.lengths.max())
         self.at = np.append(0, np.cumsum([1 << b for b in self.bits]))
 
 
@@ -75,6 +77,17 @@ def _lut():
 ODDS, LEVEL = _lut()
 
 
+def _once_less():
+    """ODDS and LEVEL of pairs of counts as they are, then with a one, then with a zero less (large counts keep theirs): what _inputs looks up while learning."""
+    v = np.arange(1 << 16)
+    ones, zeros = v & 255, v >> 8
+    v = np.concatenate([v, v - ((ones > 0) & (ones < 128)), v - 256 * ((zeros > 0) & (zeros < 128))])
+    return ODDS[v], LEVEL[v]
+
+
+ODDS_LESS, LEVEL_LESS = _once_less()
+
+
 def code_lengths(counts: np.ndarray) -> np.ndarray:
     """Of a Huffman code, by two queues."""
     n = len(counts)
@@ -191,14 +204,14 @@ class Sequence:
 
 
 def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
-    """Of the tokens a to b: the token, depth, and bit of each bit of their codes, and its slot in each table."""
+    """Of the tokens a to b: the token, depth, and bit of each bit of their codes, and its slot in each table; without a sequence, in the first one only."""
     symbol = seq.symbol[a:b] if symbol is None else symbol
     size = model.lengths[symbol]
     token = np.repeat(np.arange(b - a, dtype=np.int32), size)
     ends = np.cumsum(size)
     depth = np.arange(len(token), dtype=np.int32)
     depth -= np.repeat((ends - size).astype(np.int32), size)
-    kind = np.uint32 if model.lengths.max() < 31 else U
+    kind = np.uint32 if model.longest < 31 else U
     rest = (np.repeat(size.astype(kind), size)) - depth.astype(kind)
     code = np.repeat(model.codes[symbol].astype(kind), size)
     node = kind(1) << depth.astype(kind) | code >> rest
@@ -207,7 +220,7 @@ def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
         node = node ^ node >> U(32)
     node = node.astype(np.uint32) * np.uint32(0x9E3779B1)
     slots = []
-    for j, c in enumerate(seq.contexts):
+    for j, c in enumerate(seq.contexts if seq is not None else [None]):
         h = node if c is None else (node ^ np.repeat(c[a:b], size)) * np.uint32(0x9E3779B1)
         slots.append((h >> np.uint32(32 - model.bits[j])).astype(np.int64) + int(model.at[j]))
     return token, ends, depth, bit, slots
@@ -216,15 +229,13 @@ def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
 def _inputs(model: Model, slots, bit=None, counted=None):
     """Log odds of every context and the gate; while learning, as if bits that were counted had been seen once less."""
     x, level = [], []
-    one = None if bit is None else bit.astype(bool)
+    odds, levels = (ODDS, LEVEL) if bit is None else (ODDS_LESS, LEVEL_LESS)
+    part = None if bit is None else np.where(counted, np.where(bit, 1 << 16, 2 << 16), 0)
     for j, s in enumerate(slots):
-        v = model.tables[s]
-        if bit is not None:
-            n = np.where(one, v & np.uint16(255), v >> np.uint16(8))
-            v -= np.where(one, np.uint16(1), np.uint16(256)) * (counted & (n > 0) & (n < 128))
-        x.append(ODDS[v])
+        v = model.tables[s] if bit is None else model.tables[s] + part
+        x.append(odds[v])
         if j > 1:
-            level.append(LEVEL[v])
+            level.append(levels[v])
     return x, level[1].astype(np.int64) * LEVELS + level[0], level[0]
 
 
@@ -239,7 +250,7 @@ def _place(depth, level, z):
     """Buckets around a log odds, and the share of the upper one."""
     y = (np.clip(z, -8, 7.999) + 8) * 2
     low = y.astype(np.int64)
-    return (np.minimum(depth, DEPTHS - 1) * LEVELS + level) * STEPS + low, y - low
+    return (np.minimum(depth, DEPTHS - 1) * LEVELS + level) * STEPS + low, y - low.astype(np.float32)
 
 
 def _probability(model: Model, slots, depth):
@@ -252,14 +263,15 @@ def _probability(model: Model, slots, depth):
 
 
 def token_costs(model: Model, seq: Sequence) -> np.ndarray:
-    """log10 probability of each token's code after what came before it."""
-    out = []
+    """log10 probability of each token's code after what came before it; the bits' probabilities are multiplied, as far as these stay above the least number, and told in one logarithm a token."""
+    out, short = [], model.longest <= 48  # of bits of 1e-6 at least
     for a in range(0, len(seq.symbol), CHUNK):
         b = min(a + CHUNK, len(seq.symbol))
         _, ends, depth, bit, slots = _events(model, seq, a, b)
         p = _probability(model, slots, depth)
-        total = np.append(0.0, np.cumsum(np.log10(np.where(bit, p, 1 - p)), dtype=np.float64))
-        out.append(np.diff(total[np.append(0, ends)]))
+        p = np.where(bit, p, 1 - p)
+        first = np.append(0, ends[:-1])
+        out.append(np.log10(np.multiply.reduceat(p, first, dtype=np.float64)) if short else np.add.reduceat(np.log10(p), first, dtype=np.float64))
     return np.concatenate(out) if out else np.zeros(0)
 
 
@@ -271,7 +283,7 @@ def _packed(counts: np.ndarray) -> np.ndarray:
 
 
 def _tables(docs: DataFrame, model: Model) -> np.ndarray:
-    """Counts of zeros and ones in every slot, from all texts."""
+    """Counts of zeros and ones in every slot, from all texts; those without a context follow from the symbols' counts."""
     slots = int(model.at[-1])
     width = -(-slots // BLOCKS)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -283,8 +295,10 @@ def _tables(docs: DataFrame, model: Model) -> np.ndarray:
                 seq = Sequence(m, data, offs)
                 for a in range(0, len(seq.symbol), CHUNK):
                     _, _, _, bit, at = _events(m, seq, a, min(a + CHUNK, len(seq.symbol)))
-                    for s in at:
-                        np.add.at(n, 2 * s + bit, np.uint32(1))
+                    for s in at[1:]:
+                        s <<= 1
+                        s += bit
+                        np.add.at(n, s, np.uint32(1))
         # a block a batch, by planes of bytes, which the shuffle's compression makes small
         for i, x in enumerate(n.reshape(BLOCKS, -1)):
             planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -310,9 +324,21 @@ def _tables(docs: DataFrame, model: Model) -> np.ndarray:
     for r in some.groupBy("block").applyInArrow(settle, kind).toLocalIterator():  # two bytes a slot in all
         out[r.block * width : (r.block + 1) * width] = np.frombuffer(r.n, np.uint16)
     shared.unpersist()
+    out[: model.at[1]] = _packed(_alone(model))
     return out[:slots]
 
 
+def _alone(model: Model) -> np.ndarray:
+    """Zeros and ones in the slots of the table without a context, from the counts of symbols."""
+    size = int(model.at[1])
+    n = np.zeros(2 * size, np.int64)
+    for a in range(0, len(model.counts), CHUNK):
+        symbol = np.arange(a, min(a + CHUNK, len(model.counts)))
+        token, _, _, bit, at = _events(model, None, 0, len(symbol), symbol)
+        np.add.at(n, 2 * at[0] + bit, model.counts[symbol][token])
+    return np.minimum(n, (1 << 32) - 1).reshape(-1, 2)
+
+
 def _fit(docs: DataFrame, model: Model) -> None:
     """Weights and map, learned online by every task over its texts, then averaged by how many bits each has seen."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -323,7 +349,7 @@ def _fit(docs: DataFrame, model: Model) -> None:
     def learn(batches):
         m = shared.value
         w, energy, used = start.copy(), np.ones(shape), np.zeros(GATES)
-        seen, ones = np.zeros(ROWS * STEPS + 1), np.zeros(ROWS * STEPS + 1)
+        hits, shares = np.zeros((ROWS * STEPS, 2)), np.zeros((ROWS * STEPS, 2))  # by place and bit: how often, and the sum of the upper places' shares
         for batch in batches:
             for _, _, data, offs in seqs.blocks(batch.column("text")):
                 seq = Sequence(m, data, offs)
@@ -340,9 +366,13 @@ def _fit(docs: DataFrame, model: Model) -> None:
                         w[j] += 0.1 * g / np.sqrt(energy[j])
                     used += np.bincount(gate, minlength=GATES)
                     at, up = _place(depth, level, z)
-                    for s, share in ((at, 1 - up), (at + 1, up)):
-                        seen += np.bincount(s, share, len(seen))
-                        ones += np.bincount(s, share * bit, len(ones))
+                    at *= 2
+                    at += bit
+                    hits += np.bincount(at, minlength=hits.size).reshape(-1, 2)
+                    shares += np.bincount(at, up, hits.size).reshape(-1, 2)
+        lower, upper = np.append(hits - shares, [[0, 0]], 0), np.append([[0, 0]], shares, 0)
+        ones = (lower + upper)[:, 1]
+        seen = (lower + upper).sum(1)
         yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (w * used, used, seen, ones)], names=["w", "used", "seen", "ones"])
 
     def add(key, table):
