@@ -122,3 +122,26 @@ def test_empty_tables(spark):
     assert alignment.alignment(df.limit(0), A, B).count() == 0
     got = alignment.alignment(df.where("text is null or doc_id = 501"), A, B).collect()
     assert [tuple(r[1:]) for r in got] == [(0, 0, 0, 0, 0, 0, "")] * 2
+
+
+def test_new_chunks_are_encoded_together_and_come_apart(monkeypatch):
+    aligner = alignment.Aligner(A, B)
+    chunks = [" " + c for c in ["the", "don't", "x\ny", "½", "a▁", "▁b", "\ttab", "end\n", "日本", "", "(", "1́", "<s>", *(f"word{i}" for i in range(300))]]
+    sent, encode = [], aligner.a.encode
+    monkeypatch.setattr(aligner.a, "encode", lambda texts: sent.append(len(texts)) or encode(texts))
+    got = aligner.aligned(chunks)
+    assert sum(sent) < len(chunks)
+    alone = alignment.Aligner(A, B)
+    assert got == [alone._new([c])[0] for c in chunks] and None in got
+    assert aligner.aligned(chunks) == got
+
+
+def test_a_full_cache_keeps_what_blocks_ask_for(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE", 4)
+    aligner, new = alignment.Aligner(A, B), []
+    own = aligner._new
+    monkeypatch.setattr(aligner, "_new", lambda chunks: new.extend(chunks) or own(chunks))
+    for i in range(6):
+        aligner.begin()
+        aligner.aligned([" the", " of", *(f" b{i}x{k}" for k in range(5))])
+    assert new.count(" the") == new.count(" of") == 1 and len(aligner.known) <= 4

@@ -8,7 +8,8 @@ tokens that end at the same byte are linked.
 Both tokenizers begin anew at a blank between two other characters (see `vocabularies`), so such a
 place is a border whatever stands around it. Documents are therefore cut there into chunks, each
 distinct chunk of a block is encoded and aligned once, all new chunks of a run of texts in one
-bisection, and a document's groups are those of its chunks, one after another.
+bisection, and a document's groups are those of its chunks, one after another. New chunks are encoded
+RUN at a time as one text; where its tokens' bytes differ, or a chunk ends inside a token, each alone.
 
 How many links of the corpus hold an id pair is summed over blocks (`tallies`); the highest number of
 a B id is a window over its pairs, of which there are as many as A has ids at most. Both go back to
@@ -24,6 +25,7 @@ repeat. Other columns are ignored. An empty table gives none.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tallies import blocks, looked_up, summed
-from .vocabularies import Bytes, Pieces, spaced
+from .vocabularies import Bytes, Pieces, joined, spaced
 
 #: Aligned chunks that a worker keeps; longer ones than LONGEST characters are aligned anew in each block.
 CACHE, LONGEST = 150_000, 32
-#: Characters of a block.
-CHARACTERS = 1 << 23
+#: Characters of a block; chunks that are encoded one after another.
+CHARACTERS, RUN = 1 << 23, 128
+#: The entry of a chunk whose tokens' bytes are not its own.
+UNSOUND = -1, 0, 0, "", ()
 OWN = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string"}
 _loaded: dict = {}
 
@@ -54,40 +58,77 @@ class Aligner:
     """Aligned chunks: for each its numbers of A tokens, B tokens and groups, its groups as text, and its links as pairs of ids."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b, self.known = Bytes(a_path), Pieces(b_path), {}
+        self.a, self.b, self.known, self.found, self.full = Bytes(a_path), Pieces(b_path), {}, {}, False
+        # an id and what stands behind it inside a group, and at the end of its side
+        self.texts = [f"{i}{mark}" for last in "|;" for i in range(max(len(self.a.bytes), len(self.b.bytes))) for mark in (",", last)]
+        self.sizes = np.array([len(x) for x in self.texts], np.int64)
+
+    def begin(self) -> None:
+        """Another block begins: of a cache that was full before the last one, what that one found there stays."""
+        if self.full:
+            self.known = self.found
+        self.full, self.found = len(self.known) >= CACHE, {}
 
     def aligned(self, chunks: list[str]) -> list:
         """One entry a chunk; None where the tokens' bytes are not the chunk's."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+        known = self.known
+        self.found.update((c, known[c]) for c in chunks if c in known)
+        new = [c for c in chunks if c not in known]
         fresh = dict(zip(new, self._new(new), strict=True)) if new else {}
-        self.known.update((c, x) for c, x in fresh.items() if len(c) <= LONGEST)
-        return [fresh[c] if c in fresh else self.known[c] for c in chunks]
+        out = [fresh[c] if c in fresh else known[c] for c in chunks]
+        # the first chunks of a block are its frequent ones
+        known.update(islice(((c, x) for c, x in fresh.items() if len(c) <= LONGEST), max(0, CACHE - len(known))))
+        return out
+
+    def _run(self, chunks: list[str], raw: bytes, a: list[int], b: list[int]):
+        """The tokens of chunks that were encoded one after another, and where each chunk ends among them; None if their bytes differ or a chunk ends inside one."""
+        if b"".join(map(self.a.bytes.__getitem__, a)) != raw or b"".join(map(self.b.bytes.__getitem__, b)) != raw:
+            return None
+        ends = np.cumsum([len(c.encode()) for c in chunks]) if len(chunks) > 1 else np.array([len(raw)])
+        out = []
+        for ids, lengths in ((np.array(a, np.int64), self.a.lengths), (np.array(b, np.int64), self.b.lengths)):
+            upto = lengths[ids].cumsum()
+            at = np.searchsorted(upto, ends, "right")
+            if len(chunks) > 1 and (at.min() < 1 or (upto[at - 1] != ends).any()):
+                return None
+            out += [ids, at]
+        return out
 
     def _new(self, chunks: list[str]) -> list:
-        a, b = self.a.encode(chunks), self.b.encode(chunks)
-        a_bytes, b_bytes = self.a.bytes, self.b.bytes
-        out, good = [None] * len(chunks), []
-        for i, (c, x, y) in enumerate(zip(chunks, a, b, strict=True)):
-            raw = c.encode()
-            if b"".join([a_bytes[k] for k in x]) == raw == b"".join([b_bytes[k] for k in y]):
-                good.append(i)
+        out, good, tokens, runs = [None] * len(chunks), [], [], joined(chunks, RUN)
+        while runs:
+            texts, apart = ["".join([chunks[i] for i in run]) for run in runs], []
+            for run, text, a, b in zip(runs, texts, self.a.encode(texts), self.b.encode(texts), strict=True):
+                if found := self._run([chunks[i] for i in run], text.encode(), a, b):
+                    good += run
+                    tokens.append(found)
+                elif len(run) > 1:
+                    apart += [[i] for i in run]
+            runs = apart
         if not good:
             return out
-        a_ids, b_ids = (np.array([k for i in good for k in ids[i]], np.int64) for ids in (a, b))
+        (a_ids, b_ids), upto = (np.concatenate([x[k] for x in tokens]) for k in (0, 2)), []
+        for k in (0, 2):
+            size = np.array([len(x[k]) for x in tokens])
+            upto.append(np.concatenate([x[k + 1] for x in tokens]) + np.repeat(size.cumsum() - size, [len(x[k + 1]) for x in tokens]))
         a_lengths, b_lengths = self.a.lengths[a_ids], self.b.lengths[b_ids]
         _, last, ends = align(a_lengths, b_lengths)
         linked = np.flatnonzero(b_lengths.cumsum()[last] == a_lengths.cumsum())
-        pairs = (a_ids[linked] << 32 | b_ids[last[linked]]).tolist()
-        a_cuts, b_cuts = [0, *(np.flatnonzero(ends) + 1).tolist()], [0, *(last[ends] + 1).tolist()]
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        groups = [",".join(a_text[a0:a1]) + "|" + ",".join(b_text[b0:b1]) for a0, a1, b0, b1 in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:], strict=False)]
+        pairs = tuple((a_ids[linked] << 32 | b_ids[last[linked]]).tolist())
+        a_cuts, b_cuts = np.append(0, np.flatnonzero(ends) + 1), np.append(0, last[ends] + 1)
+        # a group's A tokens stand before its B tokens, behind those of the groups before
+        b_ends = np.zeros(len(b_ids), np.int64)
+        b_ends[b_cuts[1:] - 1] = 1
+        text = np.empty(len(a_ids) + len(b_ids), np.int64)
+        text[np.arange(len(a_ids)) + np.repeat(b_cuts[:-1], np.diff(a_cuts))] = 2 * a_ids + ends
+        text[np.arange(len(b_ids)) + np.repeat(a_cuts[1:], np.diff(b_cuts))] = 2 * b_ids + b_ends + len(self.texts) // 2
+        whole = "".join(map(self.texts.__getitem__, text.tolist()))
         # chunks end at borders of groups, and each link is the end of an A token
-        a_ends = np.cumsum([len(a[i]) for i in good])
-        upto, links = np.searchsorted(a_cuts, a_ends).tolist(), np.searchsorted(linked, a_ends).tolist()
-        for i, g0, g1, k0, k1 in zip(good, [0, *upto], upto, [0, *links], links, strict=False):
-            out[i] = len(a[i]), len(b[i]), g1 - g0, ";".join(groups[g0:g1]), pairs[k0:k1]
+        cuts = [np.append(0, x) for x in (*upto, np.searchsorted(a_cuts, upto[0]), np.searchsorted(linked, upto[0]), self.sizes[text].cumsum()[upto[0] + upto[1] - 1])]
+        n_a, n_b, n_groups = (np.diff(x).tolist() for x in cuts[:3])
+        links, places = cuts[3].tolist(), cuts[4].tolist()
+        for i, *size, k0, k1, c0, c1 in zip(good, n_a, n_b, n_groups, links, links[1:], places, places[1:], strict=False):
+            out[i] = *size, whole[c0 : c1 - 1], pairs[k0:k1]
         return out
 
 
@@ -97,31 +138,33 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def maker():
         if (a_path, b_path) not in _loaded:
             _loaded[a_path, b_path] = Aligner(a_path, b_path)
-        aligner, info, last = _loaded[a_path, b_path], [], [None]
+        aligner, sizes, groups, links, last = _loaded[a_path, b_path], [np.zeros((0, 4), np.int64)], [], [], [None]
 
         def read(block, texts):
             if last[0] is not block:
                 last[0] = block
-                info.clear()
+                aligner.begin()
+                sizes[0] = sizes[0][:0]
+                groups.clear()
+                links.clear()
             numbered = [[block.numbers(c) for c in spaced(t)] if t else [] for t in texts]
-            chunks = list(block.place)
-            info.extend(aligner.aligned(chunks[len(info) :]))
+            found = [x or UNSOUND for x in aligner.aligned(list(islice(block.place, len(groups), None)))]
+            sizes[0] = np.concatenate([sizes[0], np.array([(*x[:3], len(x[4])) for x in found], np.int64).reshape(-1, 4)])
+            groups.extend([x[3] for x in found])
+            links.extend([x[4] for x in found])
             for runs in numbered:
-                sizes, digest, sound = [0, 0, 0, 0], hashlib.sha256(), bool(runs)
+                total, digest, sound = np.zeros(4, np.int64), hashlib.sha256(), bool(runs)
                 for k, run in enumerate(runs):
-                    found = [info[i] for i in run.tolist()]
-                    if None in found:
+                    own = sizes[0][run]
+                    if own[:, 0].min() < 0:
                         sound = False
                         break
-                    for j in range(3):
-                        sizes[j] += sum([x[j] for x in found])
-                    sizes[3] += sum([len(x[4]) for x in found])
-                    digest.update((";" * (k > 0) + ";".join([x[3] for x in found])).encode())
-                yield ((*sizes, digest.hexdigest()), runs) if sound else ((0, 0, 0, 0, ""), [])
+                    total += own.sum(0)
+                    digest.update((";" * (k > 0) + ";".join(map(groups.__getitem__, run.tolist()))).encode())
+                yield ((*total.tolist(), digest.hexdigest()), runs) if sound else ((0, 0, 0, 0, ""), [])
 
         def spread(chunks):
-            links = [x[4] if x else [] for x in info]
-            keys, number = np.unique(np.array([p for k in links for p in k], np.int64), return_inverse=True)
+            keys, number = np.unique(np.fromiter(chain.from_iterable(links), np.int64), return_inverse=True)
             return np.array([len(k) for k in links], np.int64), number, keys.tolist()
 
         return read, spread

@@ -23,6 +23,8 @@ import numpy as np
 _JOINED = re.compile(r"[\s▁] | [\s▁]|^\s|\s$")
 _BETWEEN = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 _BLANK = re.compile(r"[ \n]")
+#: A chunk that may follow one that ends like it, and be followed by one that begins like it.
+_WHOLE = re.compile(r" [^\s▁](?:.*[^\s▁])?", re.DOTALL)
 #: Texts are cut into chunks a slice of so many characters at a time.
 SLICE = 1 << 22
 
@@ -43,6 +45,13 @@ def spaced(text: str):
         yield [" " + c for c in found]
 
 
+def joined(chunks: list[str], most: int) -> list[list[int]]:
+    """Places of chunks in runs of at most so many, whose chunks come apart again where they are put one after another; others stand alone."""
+    whole = [i for i, c in enumerate(chunks) if _WHOLE.fullmatch(c)]
+    runs = [whole[i : i + most] for i in range(0, len(whole), most)]
+    return runs + [[i] for i in sorted(set(range(len(chunks))).difference(whole))] if len(whole) < len(chunks) else runs
+
+
 def _open(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
