@@ -150,3 +150,32 @@ def test_table_without_context_follows_from_the_counts(spark):
     n = np.zeros(2 * int(model.at[1]), np.int64)
     np.add.at(n, 2 * at[0] + bit, 1)
     assert n.sum() and (mixing_lm._alone(model) == n.reshape(-1, 2)).all() and (model.tables[: model.at[1]] == mixing_lm._packed(n.reshape(-1, 2))).all()
+
+
+def test_inputs_and_costs_match_one_bit_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    counts = np.array([9, 4, *rng.integers(2, 50, 40)])
+    lengths = mixing_lm.code_lengths(counts)
+    model = mixing_lm.Model(np.arange(40).astype(np.uint64), counts, mixing_lm.canonical(lengths), lengths, counts > 30, counts < 3, (8, 8, 8, 8))
+    model.tables = rng.integers(0, 1 << 16, int(model.at[-1])).astype(np.uint16)
+    slots, bit, counted = rng.integers(0, 1 << 10, (4, 500)), rng.integers(0, 2, 500).astype(np.uint8), rng.integers(0, 2, 500).astype(np.uint8)
+    x, gate, level = mixing_lm._inputs(model, slots, bit, counted)
+    for i in range(500):
+        seen = []
+        for s in slots[:, i]:
+            zeros, ones = divmod(int(model.tables[s]), 256)
+            ones -= bool(counted[i] and bit[i] and 0 < ones < 128)
+            zeros -= bool(counted[i] and not bit[i] and 0 < zeros < 128)
+            seen.append(zeros << 8 | ones)
+        assert [y[i] for y in x] == [mixing_lm.ODDS[v] for v in seen]
+        assert level[i] == mixing_lm.LEVEL[seen[2]] and gate[i] == int(mixing_lm.LEVEL[seen[3]]) * mixing_lm.LEVELS + level[i]
+    depth, z = rng.integers(0, 40, 500), rng.normal(0, 6, 500).astype(np.float32)
+    at, up = mixing_lm._place(depth.astype(np.int32), level, z.copy())
+    y = (np.clip(z, -8, 7.999) + 8) * 2
+    assert (at == (np.minimum(depth, mixing_lm.DEPTHS - 1) * mixing_lm.LEVELS + level) * mixing_lm.STEPS + np.floor(y)).all()
+    assert up == pytest.approx(y - np.floor(y), abs=1e-5)
+    seq = block(model, "a b c", "", "d")
+    monkeypatch.setattr(mixing_lm, "_probability", lambda m, s, d: np.full(len(d), 0.25, np.float32))
+    _, ends, _, bits, _ = mixing_lm._events(model, seq, 0, len(seq.symbol))
+    want = np.add.reduceat(np.log10(np.where(bits, 0.25, 0.75)), np.append(0, ends[:-1]))
+    assert mixing_lm.token_costs(model, seq) == pytest.approx(want)

@@ -221,36 +221,53 @@ def _events(model: Model, seq: Sequence, a: int, b: int, symbol=None):
     node = node.astype(np.uint32) * np.uint32(0x9E3779B1)
     slots = []
     for j, c in enumerate(seq.contexts if seq is not None else [None]):
-        h = node if c is None else (node ^ np.repeat(c[a:b], size)) * np.uint32(0x9E3779B1)
-        slots.append((h >> np.uint32(32 - model.bits[j])).astype(np.int64) + int(model.at[j]))
+        if c is None:
+            h = node >> np.uint32(32 - model.bits[j])
+        else:
+            h = np.repeat(c[a:b], size)
+            h ^= node
+            h *= np.uint32(0x9E3779B1)
+            h >>= np.uint32(32 - model.bits[j])
+        h = h.astype(np.int64)
+        h += int(model.at[j])
+        slots.append(h)
     return token, ends, depth, bit, slots
 
 
 def _inputs(model: Model, slots, bit=None, counted=None):
-    """Log odds of every context and the gate; while learning, as if bits that were counted had been seen once less."""
+    """Log odds of every context and the gate; while learning, as if bits that were counted (1, others 0) had been seen once less."""
     x, level = [], []
     odds, levels = (ODDS, LEVEL) if bit is None else (ODDS_LESS, LEVEL_LESS)
-    part = None if bit is None else np.where(counted, np.where(bit, 1 << 16, 2 << 16), 0)
+    part = None if bit is None else (counted * (np.uint8(2) - bit)).astype(np.int64) << 16
     for j, s in enumerate(slots):
-        v = model.tables[s] if bit is None else model.tables[s] + part
-        x.append(odds[v])
+        v = model.tables.take(s).astype(np.int64)
+        if bit is not None:
+            v += part
+        x.append(odds.take(v))
         if j > 1:
-            level.append(levels[v])
+            level.append(levels.take(v))
     return x, level[1].astype(np.int64) * LEVELS + level[0], level[0]
 
 
 def _mixed(weights, x, gate):
-    z = weights[len(x)][gate] * np.float32(0.3)
+    z = weights[len(x)].take(gate)
+    z *= np.float32(0.3)
     for w, y in zip(weights, x, strict=False):
-        z += w[gate] * y
-    return np.clip(z, -12, 12)
+        part = w.take(gate)
+        part *= y
+        z += part
+    return np.clip(z, -12, 12, out=z)
 
 
 def _place(depth, level, z):
     """Buckets around a log odds, and the share of the upper one."""
     y = (np.clip(z, -8, 7.999) + 8) * 2
-    low = y.astype(np.int64)
-    return (np.minimum(depth, DEPTHS - 1) * LEVELS + level) * STEPS + low, y - low.astype(np.float32)
+    low = y.astype(np.int32)
+    at = (np.minimum(depth, DEPTHS - 1) * np.uint8(LEVELS) + level).astype(np.int32)
+    at *= STEPS
+    at += low
+    y -= low.astype(np.float32)
+    return at.astype(np.int64), y
 
 
 def _probability(model: Model, slots, depth):
@@ -258,7 +275,7 @@ def _probability(model: Model, slots, depth):
     x, gate, level = _inputs(model, slots)
     z = _mixed(model.weights, x, gate)
     at, up = _place(depth, level, z)
-    fine = model.refined[at] * (1 - up) + model.refined[at + 1] * up
+    fine = model.refined.take(at) * (1 - up) + model.refined[1:].take(at) * up
     return np.clip(0.5 / (1 + np.exp(-z)) + 0.5 * fine, 1e-6, 1 - 1e-6)
 
 
@@ -269,7 +286,7 @@ def token_costs(model: Model, seq: Sequence) -> np.ndarray:
         b = min(a + CHUNK, len(seq.symbol))
         _, ends, depth, bit, slots = _events(model, seq, a, b)
         p = _probability(model, slots, depth)
-        p = np.where(bit, p, 1 - p)
+        p = np.abs(p - (bit ^ np.uint8(1)))  # 1 - p for a zero
         first = np.append(0, ends[:-1])
         out.append(np.log10(np.multiply.reduceat(p, first, dtype=np.float64)) if short else np.add.reduceat(np.log10(p), first, dtype=np.float64))
     return np.concatenate(out) if out else np.zeros(0)
@@ -357,7 +374,7 @@ def _fit(docs: DataFrame, model: Model) -> None:
                     own = seq.symbol[a : a + CHUNK]
                     less = m.least[own]  # with one occurrence less they were behind the mark
                     token, _, depth, bit, slots = _events(m, seq, a, a + len(own), np.where(less, OTHER, own))
-                    x, gate, level = _inputs(m, slots, bit, ~less[token])
+                    x, gate, level = _inputs(m, slots, bit, (~less).view(np.uint8)[token])
                     z = _mixed(w.astype(np.float32), x, gate)
                     err = bit - 1 / (1 + np.exp(-z))
                     for j in range(CONTEXTS + 1):
