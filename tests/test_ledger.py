@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.plans import ror, runs
+from tidewell.plans import registry, ror, runs
 
 
 def test_run_lifecycle(spark):
@@ -36,3 +36,13 @@ def test_enrichment(spark):
     assert ror.websites(canon, value(("r1", "l1"), ("r1", "l2")), value(("r1", "d1"), ("r1", "d2"))).count() == 4
     assert ror.external_ids(canon, ids).count() == 1 and [r.canonical_institution_id for r in ror.policy_organisations(canon).collect()] == ["CI1"]
     assert out["CI1"].lat == 1.0 and F is not None
+
+
+@pytest.mark.parametrize("name", ["ledger_identifier_claims", "ledger_work_claims", "ledger_retrievals"])
+def test_works_are_not_broadcast(spark, name):
+    """Works made of records look small to Spark, which doesn't know how long these are; the driver would have to hold all of them."""
+    query = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    joins = [x for x in query._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    met = [x for x in joins if "doi_clean" in x or name == "ledger_retrievals" and "work_id" in x]
+    assert met and all("strategy=merge" in x for x in met)
+    assert not any("canonical_source_id" in x or "_range" in x for x in joins)
