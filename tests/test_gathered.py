@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import graph
 from tidewell.operators.kept import kept_by, tasks_for
-from tidewell.plans import reports, researchers, views
+from tidewell.plans import identity, reports, researchers, views
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +57,32 @@ def test_shared_works_of_wanted_authors(spark, made):
     assert graph.shared_works_of(crowd, wanted, 3).count() == 0
 
 
+def test_crowded_works_count_for_all_of_their_authors(spark):
+    """Works of 130, 150 and 120 authors, some of whom are in several, beside small ones that repeat pairs of these or bring new ones."""
+    people = {"V": range(130), "W": range(100, 250), "X": range(240, 360), "a": (0, 1, 400), "b": (0, 1, 245), "c": (5, 359), "d": (400, 401), "e": (402,)}
+    rows = [(w, f"A{i}", f"N{i}", None, 1, False, i % 3 == 0) for w, whose in people.items() for i in whose]
+    authorships = spark.createDataFrame(rows, "work_id string, author_id string, author_name string, orcid string, author_order int, is_corresponding boolean, is_au_nz_affiliated boolean")
+    works = spark.createDataFrame([(w, 2000, "article", 1) for w in people], "work_id string, publication_year int, work_type string, cited_by_count int")
+    topics = spark.createDataFrame([], "work_id string, topic_id string, topic_name string, topic_score double, education_relevance_tier string")
+    gathered = kept_by(researchers.gathered(authorships, works, 3, topics, researchers.topic_list(topics)), "author_id", 3)
+    got = {r.author_id: (r.coauthors, r.international_coauthors, r.shared_works) for r in researchers.coauthor_counts(gathered, researchers.author_rows(gathered), 3).collect()}
+    want = {}
+    for i in {i for whose in people.values() for i in whose}:
+        mine = [set(whose) - {i} for whose in people.values() if i in whose]
+        if others := set().union(*mine):
+            want[f"A{i}"] = (len(others), sum(o % 3 != 0 for o in others), sum(map(len, mine)))
+    assert got == want
+
+
+def test_pairs_of_a_block_in_a_crowded_work(spark):
+    crowd = spark.createDataFrame([(w, f"A{i:03}") for w in ("v", "w") for i in range(150)] + [("w", None)], "work_id string, author_id string")
+    people = spark.createDataFrame([(f"A{i:03}", n) for i, n in ((0, "Ann Lee"), (1, "Ann Lee"), (2, "Abe Lee"), (3, "Bob Ray"), (4, "Mono"), (5, "Mono"))] + [(f"A{i:03}", "Cy Zed") for i in range(10, 40)], "author_id string, author_name string")
+    wanted = identity.in_blocks(identity.with_keys(people))
+    found = {(r.author_id_a, r.author_id_b, r.shared_work_count) for r in graph.shared_works_of(crowd, wanted, 3, None).collect()}
+    zed = {(f"A{i:03}", f"A{j:03}", 2) for i in range(10, 40) for j in range(i + 1, 40)}  # their initials are too many, their name isn't
+    assert found == zed | {("A000", "A001", 2), ("A000", "A002", 2), ("A001", "A002", 2), ("A004", "A005", 2)}
+
+
 def test_no_shuffle_to_an_author(made):
     rows = made[5]
     for layer in (researchers.author_rows(rows), researchers.source_lists(rows), researchers.publication_types(rows, F.col("times"))):
