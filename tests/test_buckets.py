@@ -77,3 +77,16 @@ def test_batches_in_a_row(spark, tmp_path_factory, batches):
         t.upsert(spark.createDataFrame(new, ROWS), [F.desc("n")])
         held |= {r[0]: r for r in new}
     assert rows(t.rows(spark)) == sorted(held.values(), key=str)
+
+
+def test_wide_rows_are_put_as_by_an_upsert(spark, table):
+    """The first batch replaces nothing, the second some rows, the third is the second again."""
+    t, df = table
+    held = df.where("k is not null")
+    t = Buckets.create(held, t.path + "2", ["k"], 16)
+    for batch in ([("new1", 1, 7), ("new2", 2, 8)], *[[("k1", 1, 7), ("new2", 3, 9), ("newer", 4, 4)]] * 2):
+        new = spark.createDataFrame(batch, ROWS)
+        held = spark.createDataFrame(rows(store.upsert(held, new, ["k"], [F.desc("n")])), ROWS)
+        t.put(new)
+        assert rows(t.rows(spark)) == rows(held)
+    assert t.put(new.limit(0)) == []
